@@ -135,3 +135,166 @@ def star_clinical_tables(spark: SparkSession, sf_dir: str) -> ClinicalTables:
         observation=observation_versions(spark, sf_dir),
         procedure=procedure_versions(spark, sf_dir),
     )
+
+
+# --- ingest inputs derived from the star tables -----------------------------------------
+# Order bundles carry the order's Patient (POST, urn fullUrl), an Observation and
+# a Condition (POST, subject by urn). Every 50th key class is broken on purpose:
+# remainder 7 truncated JSON, 8 a searchset, 9 no entries, 10 a bare Patient,
+# 11 an unknown Patient element. Every fourth bundle (remainder 1) is a batch.
+# Line items become one-entry batch bundles with a Procedure PUT by explicit id.
+BROKEN_MALFORMED, BROKEN_SEARCHSET, BROKEN_EMPTY, BROKEN_BARE, BROKEN_UNKNOWN = 7, 8, 9, 10, 11
+BUNDLE_OBJECT_TIME = dt.datetime(2001, 9, 1)
+
+
+def _ts_text(c: Column) -> Column:
+    return F.concat(_date_text(c), F.lit("T00:00:00Z"))
+
+
+def _entry(full_url: Column, resource: Column, method: str, url: Column) -> Column:
+    return F.to_json(F.struct(full_url.alias("fullUrl"), resource.alias("resource"),
+                              F.struct(F.lit(method).alias("method"), url.alias("url")).alias("request")))
+
+
+def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(object_name, object_time, body)`` bundle documents, one per order and one
+    per line item; a narrow map over ``orders`` plus the Procedure join."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_orderdate")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    v = F.when(ck % 5 == 0, F.lit(1)).otherwise(F.lit(0))
+    birth = F.when(ck % 97 == 0, F.lit("1950")).otherwise(
+        _date_text(F.date_add(F.lit(dt.date(1921, 1, 1)), ((ck * 37 + v * 400) % 25000).cast("int"))))
+    pref = F.concat(F.lit("urn:uuid:p-"), ck.cast("string"))
+    patient = F.struct(
+        F.lit("Patient").alias("resourceType"),
+        F.struct(_ts_text(F.date_add(F.lit(dt.date.fromisoformat(PATIENT_VERSION_BASE)), v))
+                 .alias("lastUpdated"), F.format_string("%019d", v).alias("versionId")).alias("meta"),
+        F.when((ck + v) % 2 == 0, F.lit("female")).otherwise(F.lit("male")).alias("gender"),
+        birth.alias("birthDate"),
+        F.when(k % 50 == BROKEN_UNKNOWN, F.lit("blue")).alias("favouriteColour"))
+    meta1 = F.struct(_ts_text(F.col("o_orderdate")).alias("lastUpdated"),
+                     F.format_string("%019d", F.lit(1)).alias("versionId"))
+    observation = F.struct(
+        F.lit("Observation").alias("resourceType"), meta1.alias("meta"),
+        F.lit("final").alias("status"),
+        _coding(F.when(k % 10 == 3, F.lit(OTHER_SYSTEM)).otherwise(F.lit(LOINC)),
+                _code_by(k % 10, OBSERVATION_CODES)).alias("code"),
+        F.struct(pref.alias("reference")).alias("subject"),
+        F.when(k % 11 != 0, _date_text(F.col("o_orderdate"))).alias("effectiveDateTime"))
+    condition = F.struct(
+        F.lit("Condition").alias("resourceType"), meta1.alias("meta"),
+        _coding(F.lit(SNOMED), _code_by(k % 12, CONDITION_CODES)).alias("code"),
+        F.struct(pref.alias("reference")).alias("subject"))
+    entries = F.concat_ws(",",
+                          _entry(pref, patient, "POST", F.lit("Patient")),
+                          _entry(F.concat(F.lit("urn:uuid:ob-"), k.cast("string")), observation,
+                                 "POST", F.lit("Observation")),
+                          _entry(F.concat(F.lit("urn:uuid:co-"), k.cast("string")), condition,
+                                 "POST", F.lit("Condition")))
+    btype = (F.when(k % 50 == BROKEN_SEARCHSET, F.lit("searchset"))
+             .when(k % 4 == 1, F.lit("batch")).otherwise(F.lit("transaction")))
+    body = F.concat(F.lit('{"resourceType":"Bundle","type":"'), btype, F.lit('","entry":['),
+                    F.when(k % 50 == BROKEN_EMPTY, F.lit("")).otherwise(entries), F.lit("]}"))
+    body = (F.when(k % 50 == BROKEN_MALFORMED, F.substring(body, 1, 40))
+            .when(k % 50 == BROKEN_BARE, F.to_json(patient)).otherwise(body))
+    orders_docs = o.select(
+        F.concat(F.lit("bundles/order-"), k.cast("string"), F.lit(".json")).alias("object_name"),
+        F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"), body.alias("body"))
+
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    j = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey, "inner")
+    pid = F.concat(F.lit("pr-"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                   F.col("l_linenumber").cast("string"))
+    procedure = F.struct(
+        F.lit("Procedure").alias("resourceType"), pid.alias("id"),
+        F.struct(_ts_text(F.col("l_shipdate")).alias("lastUpdated"),
+                 F.format_string("%019d.%019d", F.col("l_partkey"), F.col("l_suppkey"))
+                 .alias("versionId")).alias("meta"),
+        F.lit("completed").alias("status"),
+        _coding(F.lit(SNOMED), _code_by(F.col("l_partkey") % 40, PROCEDURE_CODES)).alias("code"),
+        F.struct(F.concat(F.lit("Patient/p-"), F.col("o_custkey").cast("string"))
+                 .alias("reference")).alias("subject"),
+        _date_text(F.col("l_shipdate")).alias("performedDateTime"))
+    purl = F.concat(F.lit("Procedure/"), pid)
+    pbody = F.concat(F.lit('{"resourceType":"Bundle","type":"batch","entry":['),
+                     _entry(purl, procedure, "PUT", purl), F.lit("]}"))
+    li_docs = j.select(
+        F.concat(F.lit("bundles/procedure-"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"),
+                 F.lit("-"), F.col("l_suppkey").cast("string"), F.lit("-"),
+                 F.date_format(F.to_date("l_shipdate"), "yyyyMMdd"), F.lit(".json")).alias("object_name"),
+        F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"), pbody.alias("body"))
+    return orders_docs.unionByName(li_docs)
+
+
+# Object events: one per order object. Remainders of o_orderkey % 13: 5 a deletion
+# event, 6 no bucket, 7 another bucket, 8 a .txt object, 9 no event type.
+EXPECTED_BUCKET = "clinical-landing"
+OTHER_BUCKET = "elsewhere"
+DELETED_EVENT = "google.cloud.storage.object.v1.deleted"
+
+
+def object_event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: object-event JSON text per order object (with an extra unknown field)."""
+    from gapwise.operators.ingest import OBJECT_FINALIZED
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
+    k = F.col("o_orderkey")
+    r = k % 13
+    ev = F.struct(
+        F.when(r == 5, F.lit(DELETED_EVENT)).when(r == 9, F.lit(None).cast("string"))
+         .otherwise(F.lit(OBJECT_FINALIZED)).alias("event_type"),
+        F.when(r == 6, F.lit(None).cast("string")).when(r == 7, F.lit(OTHER_BUCKET))
+         .otherwise(F.lit(EXPECTED_BUCKET)).alias("bucket"),
+        F.concat(F.lit("bundles/order-"), k.cast("string"),
+                 F.when(r == 8, F.lit(".txt")).otherwise(F.lit(".json"))).alias("name"),
+        k.cast("string").alias("generation"),
+        F.col("o_totalprice").cast("long").alias("size"),
+        F.lit("application/json").alias("contentType"),
+        F.lit("STANDARD").alias("storageClass"))
+    return o.select(F.to_json(ev).alias("value"))
+
+
+# Store write attempts: one attempt per line item of the order's bundle, in
+# line-number order; status by l_partkey % 8: 0,1,2 → 200, 3 → 503, 4 → 429,
+# 5 → 400, 6 → 500, 7 → connection failure.
+ATTEMPT_STATUS = {0: 200, 1: 200, 2: 200, 3: 503, 4: 429, 5: 400, 6: 500}
+
+
+def store_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    r = F.col("l_partkey") % 8
+    code = None
+    for rem, st in ATTEMPT_STATUS.items():
+        code = F.when(r == rem, F.lit(st)) if code is None else code.when(r == rem, F.lit(st))
+    return li.select(
+        F.concat(F.lit("bundles/order-"), F.col("l_orderkey").cast("string"), F.lit(".json"))
+        .alias("object_name"),
+        # Attempt number: line number, then part and supplier keys break ties.
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("attempt"),
+        code.alias("status_code"), (r == 7).alias("connection_error"))
+
+
+# Run requests: one envelope per order, data = base64 of {"runDate": order date};
+# o_orderkey % 9: 1 no data, 2 blank runDate, 3 malformed base64, 4 not JSON,
+# 5 impossible date, 6 the JSON text null, 7 no message at all.
+def run_request_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    r = k % 9
+    payload = (F.when(r == 2, F.lit('{"runDate":"  "}'))
+               .when(r == 4, F.lit("runDate=2001-01-01"))
+               .when(r == 5, F.lit('{"runDate":"2001-02-30"}'))
+               .when(r == 6, F.lit("null"))
+               .otherwise(F.concat(F.lit('{"runDate":"'), _date_text(F.col("o_orderdate")),
+                                   F.lit('","source":"backfill"}'))))
+    data = (F.when(r == 1, F.lit(None).cast("string"))
+            .when(r == 3, F.lit("%%not-base64%%"))
+            .otherwise(F.base64(F.encode(payload, "UTF-8"))))
+    env = F.struct(
+        F.when(r != 7, F.struct(data.alias("data"), k.cast("string").alias("messageId")))
+         .alias("message"),
+        F.lit("projects/x/subscriptions/measure-run").alias("subscription"))
+    return o.select(k.cast("string").alias("request_id"), F.to_json(env).alias("value"))

@@ -53,19 +53,20 @@ cond AS (
 """
 
 
-def measure_ctes(run: str = RUN, sfx: str = "") -> str:
-    """Measure CTEs for one run date; names end in ``sfx``."""
+def measure_ctes(run: str = RUN, sfx: str = "", pat: str = "pat", proc: str = "proc",
+                 obs: str = "obs", cond: str = "cond") -> str:
+    """Measure CTEs for one run date over the given tables; names end in ``sfx``."""
     return f"""
 pat_age{sfx} AS (
   SELECT id, gender, TRY_CAST(birth_date AS DATE) AS bdate,
          year({run}) - year(TRY_CAST(birth_date AS DATE)) AS age
-  FROM pat
+  FROM {pat}
 ),
 proc_day{sfx} AS (
-  SELECT id, patient_id, code, CAST(TRY_CAST(performed AS TIMESTAMP) AS DATE) AS day FROM proc
+  SELECT id, patient_id, code, CAST(TRY_CAST(performed AS TIMESTAMP) AS DATE) AS day FROM {proc}
 ),
 obs_day{sfx} AS (
-  SELECT id, patient_id, system, code, CAST(TRY_CAST(effective AS TIMESTAMP) AS DATE) AS day FROM obs
+  SELECT id, patient_id, system, code, CAST(TRY_CAST(effective AS TIMESTAMP) AS DATE) AS day FROM {obs}
 ),
 bcs_den{sfx} AS (
   SELECT id AS patient_id FROM pat_age{sfx} WHERE gender = 'female' AND age BETWEEN 50 AND 74
@@ -81,7 +82,7 @@ bcs{sfx} AS (
   FROM bcs_den{sfx} d LEFT JOIN bcs_num{sfx} n ON n.patient_id = d.patient_id
 ),
 cdc_den{sfx} AS (
-  SELECT DISTINCT a.id AS patient_id FROM pat_age{sfx} a JOIN cond c ON c.patient_id = a.id
+  SELECT DISTINCT a.id AS patient_id FROM pat_age{sfx} a JOIN {cond} c ON c.patient_id = a.id
   WHERE c.code IN ('44054006', '46635009', '73211009') AND a.age BETWEEN 18 AND 75
 ),
 cdc_num{sfx} AS (
@@ -328,3 +329,147 @@ FROM evals_2 e LEFT JOIN dim d ON d.id = e.measure_id
         "'caregap-' || replace(lower(measure_id), '_', '-') || '-' || patient_id, '[A-Za-z0-9.-]+') "
         "OR length('caregap-' || replace(lower(measure_id), '_', '-') || '-' || patient_id) > 64"),
 }
+
+# --- ingest -------------------------------------------------------------------
+BROKEN = "(7, 8, 9, 10, 11)"
+INGEST_BASE = BASE_CTES.rstrip() + f""",
+ok_orders AS (
+  SELECT o_orderkey AS k, o_custkey AS ck FROM orders WHERE o_orderkey % 50 NOT IN {BROKEN}
+),
+li_obj AS (
+  SELECT 'bundles/procedure-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-'
+           || l_suppkey || '-' || strftime(CAST(l_shipdate AS DATE), '%Y%m%d') || '.json' AS object_name,
+         'pr-' || l_orderkey || '-' || l_linenumber AS pid, 'p-' || o_custkey AS patient
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+entries AS (
+  SELECT 'bundles/order-' || k || '.json' AS object_name, 0 AS pos, 'Patient' AS resource_type,
+         'urn:uuid:p-' || ck AS full_url, 'p-' || ck AS resource_id, true AS rewritten,
+         CAST(NULL AS VARCHAR) AS reference
+  FROM ok_orders
+  UNION ALL
+  SELECT 'bundles/order-' || k || '.json', 1, 'Observation', 'urn:uuid:ob-' || k, 'ob-' || k, true,
+         'urn:uuid:p-' || ck
+  FROM ok_orders
+  UNION ALL
+  SELECT 'bundles/order-' || k || '.json', 2, 'Condition', 'urn:uuid:co-' || k, 'co-' || k, true,
+         'urn:uuid:p-' || ck
+  FROM ok_orders
+  UNION ALL
+  SELECT object_name, 0, 'Procedure', 'Procedure/' || pid, pid, false, 'Patient/' || patient
+  FROM li_obj
+),
+pat_i AS (SELECT * FROM pat WHERE id IN (SELECT 'p-' || ck FROM ok_orders)),
+obs_i AS (SELECT * FROM obs WHERE id IN (SELECT 'ob-' || k FROM ok_orders)),
+cond_i AS (SELECT * FROM cond WHERE id IN (SELECT 'co-' || k FROM ok_orders)),
+attempts AS (
+  SELECT 'bundles/order-' || l_orderkey || '.json' AS object_name, l_linenumber, l_partkey,
+         l_suppkey, l_shipdate,
+         CASE l_partkey % 8 WHEN 0 THEN 200 WHEN 1 THEN 200 WHEN 2 THEN 200 WHEN 3 THEN 503
+              WHEN 4 THEN 429 WHEN 5 THEN 400 WHEN 6 THEN 500 END AS status_code,
+         l_partkey % 8 = 7 AS connection_error
+  FROM lineitem
+),
+classified AS (
+  SELECT *, CASE WHEN connection_error THEN 'transient'
+                 WHEN status_code BETWEEN 200 AND 299 THEN 'success'
+                 WHEN status_code IN (429, 500, 502, 503, 504) THEN 'transient'
+                 ELSE 'permanent' END AS outcome
+  FROM attempts
+),
+disp AS (
+  SELECT object_name, count(*) AS attempts,
+         arg_max(outcome, (l_linenumber, l_partkey, l_suppkey, l_shipdate)) AS last_outcome
+  FROM classified GROUP BY object_name
+),
+disp2 AS (
+  SELECT *, CASE WHEN last_outcome <> 'transient' THEN 'ack'
+                 WHEN attempts >= 5 THEN 'redeliver' ELSE 'retry' END AS disposition
+  FROM disp
+),
+events AS (
+  SELECT o_orderkey AS k, 'bundles/order-' || o_orderkey
+           || CASE WHEN o_orderkey % 13 = 8 THEN '.txt' ELSE '.json' END AS name,
+         CASE WHEN o_orderkey % 13 = 6 THEN NULL WHEN o_orderkey % 13 = 7 THEN 'elsewhere'
+              ELSE 'clinical-landing' END AS bucket,
+         CASE WHEN o_orderkey % 13 = 5 THEN 'google.cloud.storage.object.v1.deleted'
+              WHEN o_orderkey % 13 = 9 THEN NULL
+              ELSE 'google.cloud.storage.object.v1.finalized' END AS event_type,
+         CASE WHEN o_orderkey % 13 = 5 THEN 'ignored: unexpected event type'
+              WHEN o_orderkey % 13 = 6 THEN 'ignored: malformed event'
+              WHEN o_orderkey % 13 = 7 THEN 'ignored: unexpected bucket'
+              WHEN o_orderkey % 13 = 8 THEN 'ignored: not a .json object' END AS reason
+  FROM orders
+)
+"""
+
+
+def with_ingest(body: str, extra: str = "") -> str:
+    return "WITH " + INGEST_BASE.strip() + extra + "\n" + body
+
+
+INGEST = {
+    "object_admission": with_ingest("SELECT name, bucket, event_type, reason FROM events"),
+    "bundle_validation": with_ingest(f"""
+SELECT 'bundles/order-' || o_orderkey || '.json' AS object_name,
+       CASE o_orderkey % 50 WHEN 7 THEN 'malformed JSON' WHEN 8 THEN 'not a transaction or batch bundle'
+            WHEN 9 THEN 'no entries' WHEN 10 THEN 'not a Bundle' WHEN 11 THEN 'unknown element' END
+         AS reason,
+       CASE o_orderkey % 50 WHEN 8 THEN 'searchset' WHEN 10 THEN 'Patient'
+            WHEN 11 THEN 'Patient.favouriteColour' END AS detail
+FROM orders WHERE o_orderkey % 50 IN {BROKEN}"""),
+    "bundle_entries": with_ingest(
+        "SELECT object_name, pos, 'transaction' AS bundle_type, resource_type, full_url, "
+        "'PUT' AS method, resource_type || '/' || resource_id AS url, resource_id, rewritten "
+        "FROM entries"),
+    "rewrite_stats": with_ingest(
+        "SELECT object_name, count(*) AS entries, count(*) FILTER (WHERE rewritten) AS rewritten, "
+        "count(*) FILTER (WHERE NOT rewritten) AS left_as_is FROM entries GROUP BY object_name"),
+    "resolved_references": with_ingest(
+        "SELECT object_name, pos, reference, "
+        "CASE WHEN reference LIKE 'urn:uuid:%' THEN 'Patient/' || substr(reference, 10) "
+        "ELSE reference END AS resolved_reference, false AS unresolved "
+        "FROM entries WHERE reference IS NOT NULL"),
+    "ingested_patients": with_ingest(
+        "SELECT id, gender, birth_date, printf('%019d', v) AS version_id FROM pat_i"),
+    "ingested_observations": with_ingest(
+        "SELECT id, patient_id, system, code, effective AS effective_text FROM obs_i"),
+    "ingested_procedures": with_ingest(
+        "SELECT id, patient_id, code, performed AS performed_text, "
+        "printf('%019d.%019d', l_partkey, l_suppkey) AS version_id FROM proc"),
+    "ingest_round_trip": with_ingest(
+        "SELECT measure_id, patient_id, in_numerator, last_evidence_date FROM evals_i",
+        ",\n" + measure_ctes(RUN, "_i", pat="pat_i", obs="obs_i", cond="cond_i").strip()),
+    "resource_counts": with_ingest(
+        "SELECT resource_type, count(DISTINCT resource_id) AS resources FROM entries "
+        "GROUP BY resource_type"),
+    "ingest_results": with_ingest(
+        "SELECT object_name, count(*) AS resource_count FROM entries GROUP BY object_name"),
+    "outcome_classification": with_ingest(
+        "SELECT object_name, l_linenumber AS line_number, l_partkey AS part_key, status_code, "
+        "connection_error, outcome FROM classified"),
+    "dispositions": with_ingest(
+        "SELECT object_name, attempts, last_outcome, disposition FROM disp2"),
+    "ingest_report": with_ingest(f"""
+SELECT status, count(*) AS objects FROM (
+  SELECT 'skipped' AS status FROM events WHERE reason IS NOT NULL
+  UNION ALL
+  SELECT 'skipped' FROM events WHERE reason IS NULL AND k % 50 IN {BROKEN}
+  UNION ALL
+  SELECT CASE WHEN d.disposition IS NULL OR d.last_outcome = 'success' THEN 'ingested'
+              WHEN d.last_outcome = 'permanent' THEN 'skipped' ELSE 'failed' END
+  FROM events e LEFT JOIN disp2 d ON d.object_name = e.name
+  WHERE e.reason IS NULL AND e.k % 50 NOT IN {BROKEN}
+) s GROUP BY status"""),
+    "run_requests": """
+SELECT CAST(o_orderkey AS VARCHAR) AS request_id,
+       CASE WHEN o_orderkey % 9 IN (1, 2, 7) THEN DATE '2001-08-01'
+            WHEN o_orderkey % 9 IN (3, 4, 5, 6) THEN NULL
+            ELSE CAST(o_orderdate AS DATE) END AS run_date,
+       CASE WHEN o_orderkey % 9 IN (3, 4, 5, 6) THEN 'ignored' ELSE 'run' END AS outcome,
+       CASE o_orderkey % 9 WHEN 1 THEN 'default: no data' WHEN 7 THEN 'default: no data'
+            WHEN 2 THEN 'default: no runDate' WHEN 3 THEN 'ignored: malformed base64'
+            WHEN 4 THEN 'ignored: malformed JSON' WHEN 5 THEN 'ignored: invalid runDate'
+            WHEN 6 THEN 'ignored: null request' END AS reason
+FROM orders""",
+}
