@@ -331,7 +331,12 @@ def parse_bundles(raw: DataFrame, materialize: bool = True) -> DataFrame:
 
 def ingest(raw: DataFrame, materialize: bool = True) -> Ingested:
     """The whole chain for ``(object_name, object_time, body)`` rows."""
-    good, rejected = validate_parsed(parse_bundles(raw, materialize))
+    return ingest_parsed(parse_bundles(raw, materialize))
+
+
+def ingest_parsed(parsed: DataFrame) -> Ingested:
+    """The chain after parsing (``bundle`` VARIANT column already present)."""
+    good, rejected = validate_parsed(parsed)
     entries = rewrite_to_put(explode_entries(normalize_bundle_type(good)))
     good2, rejected2 = reject_unknown_elements(good, entries)
     entries = entries.join(good2.select("object_name"), "object_name", "left_semi")
