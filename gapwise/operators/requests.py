@@ -18,6 +18,7 @@ from gapwise.functions.expr import as_date_lit
 ENVELOPE_DDL = "message STRUCT<data: STRING, messageId: STRING>, subscription STRING"
 BASE64_TEXT = r"^[A-Za-z0-9+/]*={0,2}$"
 ISO_DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+R_BAD_ENVELOPE = "ignored: malformed envelope"
 R_NO_DATA = "default: no data"
 R_BLANK_JSON = "default: blank payload"
 R_BLANK_DATE = "default: no runDate"
@@ -43,7 +44,10 @@ def parse_run_requests(envelopes: DataFrame, today, col: str = "value") -> DataF
     rd_text = F.try_variant_get(F.col("_v"), "$.runDate", "string")
     rd_blank = rd_text.isNull() | (F.trim(rd_text) == "")
     rd = F.when(rd_text.rlike(ISO_DATE_TEXT), F.try_to_date(rd_text, "yyyy-MM-dd"))
-    reason = (F.when(blank_data, F.lit(R_NO_DATA))
+    envelope_ok = F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(col)))
+                             .startswith("OBJECT"), F.lit(False))
+    reason = (F.when(~envelope_ok, F.lit(R_BAD_ENVELOPE))
+              .when(blank_data, F.lit(R_NO_DATA))
               .when(F.col("_raw").isNull(), F.lit(R_BAD_BASE64))
               .when(F.trim(F.col("_text")) == "", F.lit(R_BLANK_JSON))
               .when(F.col("_v").isNull(), F.lit(R_BAD_JSON))
