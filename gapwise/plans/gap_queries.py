@@ -9,7 +9,7 @@ untouched). Clocks are fixed so results are reproducible.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gapwise.operators import checks, gaps, issues, runs, serving
 from gapwise.plans.measures import CATALOG, MeasureTables, evaluate_all
 from gapwise.sources.fixtures import RUN_DATE, star_clinical_tables
+from gapwise.session import checkpoint_root
 from gapwise.sources.measure_dim import measure_dim
 
 RUN1 = dt.date(2000, 8, 1)
@@ -31,10 +32,21 @@ class TwoRuns:
     def __init__(self, spark, sf_dir):
         self.spark = spark
         t = MeasureTables.of(star_clinical_tables(spark, sf_dir))
-        self.evals1 = evaluate_all(t, RUN1)
-        self.evals2 = evaluate_all(t, RUN2)
+        self._t = t
         self.dim = measure_dim(spark)
 
+    @cached_property
+    def evals1(self) -> DataFrame:
+        # Each run's evaluations feed the upsert (twice), counts and the run
+        # log: checkpoint them once, as a run does (``plans.run``).
+        checkpoint_root(self.spark)
+        return evaluate_all(self._t, RUN1).checkpoint(eager=True)
+
+    @cached_property
+    def evals2(self) -> DataFrame:
+        checkpoint_root(self.spark)
+        return evaluate_all(self._t, RUN2).checkpoint(eager=True)
+
     def state(self) -> DataFrame:
         s1 = gaps.upsert_gaps(gaps.empty_state(self.spark), self.evals1, NOW1)
         return gaps.upsert_gaps(s1, self.evals2, NOW2)

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gapwise.sources.tables import read_table
+
 # --- fixed values -----------------------------------------------------------
 RUN_DATE = dt.date(2001, 8, 1)
 SNOMED = "http://snomed.info/sct"
@@ -47,7 +49,14 @@ def _meta(last_updated: Column, version_id: Column) -> Column:
 
 
 def _date_text(c: Column) -> Column:
-    return F.date_format(F.to_date(c), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` (a DATE cast to text; cheaper than a pattern formatter)."""
+    return F.to_date(c).cast("string")
+
+
+def _padded(*cols: Column) -> Column:
+    """Non-negative integers as 19-digit zero-padded text joined by ``.``, so
+    text order equals numeric order (the version tie-break)."""
+    return F.concat_ws(".", *[F.lpad(c.cast("string"), 19, "0") for c in cols])
 
 
 def _patient_ref(custkey: Column) -> Column:
@@ -71,7 +80,7 @@ class ClinicalTables:
 def patient_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     v = F.col("v")
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
+    c = read_table(spark, sf_dir, "customer", "c_custkey")
     # Two versions for every fifth customer: a narrow explode, no shuffle.
     c = c.withColumn("v", F.explode(F.when(k % 5 == 0, F.array(F.lit(0), F.lit(1)))
                                     .otherwise(F.array(F.lit(0)))))
@@ -80,23 +89,22 @@ def patient_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         F.concat(F.lit("p-"), k.cast("string")).alias("id"),
         _meta(F.date_add(F.lit(dt.date.fromisoformat(PATIENT_VERSION_BASE)), v),
-              F.format_string("%019d", v)).alias("meta"),
+              _padded(v)).alias("meta"),
         F.when((k + v) % 2 == 0, F.lit("female")).otherwise(F.lit("male")).alias("gender"),
         birth.alias("birthDate"),
     )
 
 
 def procedure_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.select(
         F.concat(F.lit("pr-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("id"),
         # Versions of one id are ordered by ship date, then part key, then supplier key.
         _meta(F.col("l_shipdate"),
-              F.format_string("%019d.%019d", F.col("l_partkey"), F.col("l_suppkey"))).alias("meta"),
+              _padded(F.col("l_partkey"), F.col("l_suppkey"))).alias("meta"),
         _patient_ref(F.col("o_custkey")).alias("subject"),
         _coding(F.lit(SNOMED), _code_by(F.col("l_partkey") % 40, PROCEDURE_CODES)).alias("code"),
         F.struct(_date_text(F.col("l_shipdate")).alias("dateTime")).alias("performed"),
@@ -105,10 +113,10 @@ def procedure_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observation_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     return o.select(
         F.concat(F.lit("ob-"), k.cast("string")).alias("id"),
-        _meta(F.col("o_orderdate"), F.format_string("%019d", F.lit(1))).alias("meta"),
+        _meta(F.col("o_orderdate"), _padded(F.lit(1))).alias("meta"),
         _patient_ref(F.col("o_custkey")).alias("subject"),
         _coding(F.when(k % 10 == 3, F.lit(OTHER_SYSTEM)).otherwise(F.lit(LOINC)),
                 _code_by(k % 10, OBSERVATION_CODES)).alias("code"),
@@ -119,10 +127,10 @@ def observation_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def condition_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     return o.select(
         F.concat(F.lit("co-"), k.cast("string")).alias("id"),
-        _meta(F.col("o_orderdate"), F.format_string("%019d", F.lit(1))).alias("meta"),
+        _meta(F.col("o_orderdate"), _padded(F.lit(1))).alias("meta"),
         _patient_ref(F.col("o_custkey")).alias("subject"),
         _coding(F.lit(SNOMED), _code_by(k % 12, CONDITION_CODES)).alias("code"),
     )
@@ -159,8 +167,7 @@ def _entry(full_url: Column, resource: Column, method: str, url: Column) -> Colu
 def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(object_name, object_time, body)`` bundle documents, one per order and one
     per line item; a narrow map over ``orders`` plus the Procedure join."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     v = F.when(ck % 5 == 0, F.lit(1)).otherwise(F.lit(0))
     birth = F.when(ck % 97 == 0, F.lit("1950")).otherwise(
@@ -169,12 +176,12 @@ def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     patient = F.struct(
         F.lit("Patient").alias("resourceType"),
         F.struct(_ts_text(F.date_add(F.lit(dt.date.fromisoformat(PATIENT_VERSION_BASE)), v))
-                 .alias("lastUpdated"), F.format_string("%019d", v).alias("versionId")).alias("meta"),
+                 .alias("lastUpdated"), _padded(v).alias("versionId")).alias("meta"),
         F.when((ck + v) % 2 == 0, F.lit("female")).otherwise(F.lit("male")).alias("gender"),
         birth.alias("birthDate"),
         F.when(k % 50 == BROKEN_UNKNOWN, F.lit("blue")).alias("favouriteColour"))
     meta1 = F.struct(_ts_text(F.col("o_orderdate")).alias("lastUpdated"),
-                     F.format_string("%019d", F.lit(1)).alias("versionId"))
+                     _padded(F.lit(1)).alias("versionId"))
     observation = F.struct(
         F.lit("Observation").alias("resourceType"), meta1.alias("meta"),
         F.lit("final").alias("status"),
@@ -202,15 +209,14 @@ def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("bundles/order-"), k.cast("string"), F.lit(".json")).alias("object_name"),
         F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"), body.alias("body"))
 
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     j = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey, "inner")
     pid = F.concat(F.lit("pr-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                    F.col("l_linenumber").cast("string"))
     procedure = F.struct(
         F.lit("Procedure").alias("resourceType"), pid.alias("id"),
         F.struct(_ts_text(F.col("l_shipdate")).alias("lastUpdated"),
-                 F.format_string("%019d.%019d", F.col("l_partkey"), F.col("l_suppkey"))
+                 _padded(F.col("l_partkey"), F.col("l_suppkey"))
                  .alias("versionId")).alias("meta"),
         F.lit("completed").alias("status"),
         _coding(F.lit(SNOMED), _code_by(F.col("l_partkey") % 40, PROCEDURE_CODES)).alias("code"),
@@ -224,7 +230,7 @@ def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("bundles/procedure-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"),
                  F.lit("-"), F.col("l_suppkey").cast("string"), F.lit("-"),
-                 F.date_format(F.to_date("l_shipdate"), "yyyyMMdd"), F.lit(".json")).alias("object_name"),
+                 F.regexp_replace(_date_text(F.col("l_shipdate")), "-", ""), F.lit(".json")).alias("object_name"),
         F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"), pbody.alias("body"))
     return orders_docs.unionByName(li_docs)
 
@@ -239,7 +245,7 @@ DELETED_EVENT = "google.cloud.storage.object.v1.deleted"
 def object_event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value``: object-event JSON text per order object (with an extra unknown field)."""
     from gapwise.operators.ingest import OBJECT_FINALIZED
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice")
     k = F.col("o_orderkey")
     r = k % 13
     ev = F.struct(
@@ -263,8 +269,7 @@ ATTEMPT_STATUS = {0: 200, 1: 200, 2: 200, 3: 503, 4: 429, 5: 400, 6: 500}
 
 
 def store_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     r = F.col("l_partkey") % 8
     code = None
     for rem, st in ATTEMPT_STATUS.items():
@@ -281,7 +286,7 @@ def store_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # o_orderkey % 9: 1 no data, 2 blank runDate, 3 malformed base64, 4 not JSON,
 # 5 impossible date, 6 the JSON text null, 7 no message at all.
 def run_request_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
     k = F.col("o_orderkey")
     r = k % 9
     payload = (F.when(r == 2, F.lit('{"runDate":"  "}'))
