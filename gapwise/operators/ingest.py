@@ -41,6 +41,7 @@ REJECT_NOT_BUNDLE = "not a Bundle"
 REJECT_BUNDLE_TYPE = "not a transaction or batch bundle"
 REJECT_NO_ENTRIES = "no entries"
 REJECT_UNKNOWN_ELEMENT = "unknown element"
+REJECT_DUPLICATE_URL = "duplicate fullUrl"
 # Top-level elements of the FHIR R4 resources this pipeline projects (public
 # specification). Resource types not listed here are not checked.
 KNOWN_ELEMENTS = {
@@ -113,30 +114,64 @@ def admit_events(events: DataFrame, expected_bucket: str | None = None) -> DataF
 
 # --- I2 / I3: validation -------------------------------------------------------------
 def validate_bundles(raw: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Parse ``body`` texts and split into ``(good, rejected)``."""
-    return validate_parsed(parse_bundles(raw, materialize))
+    """Parse ``body`` texts and split into ``(good, rejected)``."""
+    return split_validated(parse_bundles(raw, materialize))
 
 
-def validate_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split parsed bundles into ``(good, rejected)``.
+def _entries_of(bundle: Column) -> Column:
+    return F.try_variant_get(bundle, "$.entry", "array<variant>")
 
-    ``good`` keeps the VARIANT ``bundle`` and its ``bundle_type``; ``rejected``
-    keeps the object with a ``reason`` and ``detail``.
+
+def _entry_type(e: Column) -> Column:
+    return F.try_variant_get(e, "$.resource.resourceType", "string")
+
+
+def _first_unknown(e: Column) -> Column:
+    """``Type.key`` of the first top-level key of the entry's resource that is
+    not allowed for its type (NULL when none, or when the type is unchecked)."""
+    allowed = F.try_element_at(_known_elements_map(), _entry_type(e))
+    keys = F.map_keys(F.try_variant_get(e, "$.resource", "map<string,variant>"))
+    bad = F.try_element_at(F.filter(keys, lambda k: ~F.array_contains(allowed, k)), F.lit(1))
+    return F.concat(_entry_type(e), F.lit("."), bad)
+
+
+def validate_parsed(parsed: DataFrame) -> DataFrame:
+    """Add ``reason`` / ``detail`` to parsed bundles; NULL reason = accepted.
+
+    All checks are expressions over the bundle row (higher-order functions
+    over its entry array), so validation never shuffles. The unknown-element
+    scan is a column of its own, read by both reason and detail, so Spark
+    evaluates it once per bundle.
     """
     rtype = F.try_variant_get("bundle", "$.resourceType", "string")
     btype = F.try_variant_get("bundle", "$.type", "string")
-    n_entries = F.size(F.try_variant_get("bundle", "$.entry", "array<variant>"))
+    ents = _entries_of(F.col("bundle"))
+    n_entries = F.size(ents)
+    unknown = F.try_element_at(F.filter(F.transform(ents, _first_unknown), lambda x: x.isNotNull()),
+                               F.lit(1))
+    urls = F.filter(F.transform(ents, lambda e: F.try_variant_get(e, "$.fullUrl", "string")),
+                    lambda x: x.isNotNull())
+    duplicated = F.size(F.array_distinct(urls)) < F.size(urls)
     reason = (F.when(F.col("bundle").isNull(), F.lit(REJECT_MALFORMED))
               .when(F.coalesce(rtype != F.lit("Bundle"), F.lit(True)), F.lit(REJECT_NOT_BUNDLE))
               .when(F.coalesce(~btype.isin(*WRITE_BUNDLE_TYPES), F.lit(True)),
                     F.lit(REJECT_BUNDLE_TYPE))
-              .when(F.coalesce(n_entries < 1, F.lit(True)), F.lit(REJECT_NO_ENTRIES)))
+              .when(F.coalesce(n_entries < 1, F.lit(True)), F.lit(REJECT_NO_ENTRIES))
+              .when(F.col("_unknown").isNotNull(), F.lit(REJECT_UNKNOWN_ELEMENT))
+              .when(duplicated, F.lit(REJECT_DUPLICATE_URL)))
     detail = (F.when(F.col("reason") == REJECT_NOT_BUNDLE, F.coalesce(rtype, F.lit("unknown")))
-              .when(F.col("reason") == REJECT_BUNDLE_TYPE, F.coalesce(btype, F.lit("none"))))
-    checked = parsed.withColumn("reason", reason).withColumn("detail", detail)
-    good = checked.where(F.col("reason").isNull()).drop("reason", "detail") \
-        .withColumn("bundle_type", btype)
-    rejected = checked.where(F.col("reason").isNotNull()).drop("bundle")
+              .when(F.col("reason") == REJECT_BUNDLE_TYPE, F.coalesce(btype, F.lit("none")))
+              .when(F.col("reason") == REJECT_UNKNOWN_ELEMENT, F.col("_unknown")))
+    return (parsed.withColumn("_unknown", unknown)
+            .withColumn("reason", reason)
+            .withColumn("detail", detail)
+            .withColumn("bundle_type", btype)
+            .drop("_unknown"))
+
+
+def split_validated(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    good = checked.where(F.col("reason").isNull()).drop("reason", "detail")
+    rejected = checked.where(F.col("reason").isNotNull()).drop("bundle", "bundle_type")
     return good, rejected
 
 
@@ -148,38 +183,46 @@ def _known_elements_map() -> Column:
 
 
 def unknown_elements(entries: DataFrame) -> DataFrame:
-    """Per entry, top-level resource keys not in the type's allow-list.
+    """Per entry, top-level resource keys not in the type's allow-list (I3 diagnostic).
 
     Strictness is reduced to this check: per resource type, top level only.
     """
     keys = F.map_keys(F.try_variant_get("resource", "$", "map<string,variant>"))
-    allowed = F.element_at(_known_elements_map(), F.col("resource_type"))
-    bad = F.when(allowed.isNotNull(),
-                 F.filter(keys, lambda k: ~F.array_contains(allowed, k)))
+    allowed = F.try_element_at(_known_elements_map(), F.col("resource_type"))
+    bad = F.filter(keys, lambda k: ~F.array_contains(allowed, k))
     return entries.select("object_name", "pos", "resource_type", bad.alias("unknown"))\
         .where(F.size("unknown") > 0)
 
 
-def reject_unknown_elements(good: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Drop whole bundles that contain an unknown element; return ``(good, rejected)``."""
-    bad = (unknown_elements(entries)
-           .groupBy("object_name")
-           .agg(F.min(F.concat(F.col("resource_type"), F.lit("."),
-                               F.element_at("unknown", 1))).alias("detail")))
-    rejected = good.join(bad, "object_name", "inner").select(
-        "object_name", *[c for c in good.columns if c not in ("object_name", "bundle", "bundle_type")],
-        F.lit(REJECT_UNKNOWN_ELEMENT).alias("reason"), "detail")
-    return good.join(bad.select("object_name"), "object_name", "left_anti"), rejected
+# --- I4 / I5 / I6 / I7: entries and idempotent rewrite --------------------------------
+def _target_id(e: Column) -> Column:
+    """Id an entry ends up with: the urn tail for a rewritten POST, else its own id."""
+    full_url = F.try_variant_get(e, "$.fullUrl", "string")
+    rewritten = (F.try_variant_get(e, "$.resource", "variant").isNotNull()
+                 & F.try_variant_get(e, "$.request", "variant").isNotNull()
+                 & (F.coalesce(F.try_variant_get(e, "$.request.method", "string"), F.lit("")) == "POST")
+                 & F.coalesce(full_url.startswith(URN_UUID), F.lit(False)))
+    return F.when(rewritten, F.substring(full_url, len(URN_UUID) + 1, 1 << 30)) \
+        .otherwise(F.try_variant_get(e, "$.resource.id", "string"))
 
 
-# --- I4 / I5 / I6 / I7: entries and idempotent rewrite --------------------------------
 def explode_entries(good: DataFrame) -> DataFrame:
-    """One row per entry with its position and typed request fields (I4)."""
+    """One row per entry with its position and typed request fields (I4).
+
+    Each row also carries ``_targets``: the bundle's ``fullUrl → Type/id`` map,
+    built from the bundle row itself (fullUrls are unique in accepted bundles),
+    which :func:`resolve_references` uses instead of a self-join.
+    """
     keep = [c for c in good.columns if c not in ("bundle",)]
-    e = good.select(*keep, F.posexplode(F.try_variant_get("bundle", "$.entry", "array<variant>"))
-                    .alias("pos", "entry"))
+    ents = _entries_of(F.col("bundle"))
+    with_url = F.filter(ents, lambda e: F.try_variant_get(e, "$.fullUrl", "string").isNotNull())
+    targets = F.map_from_entries(F.transform(with_url, lambda e: F.struct(
+        F.try_variant_get(e, "$.fullUrl", "string"),
+        F.concat_ws("/", _entry_type(e), _target_id(e)))))
+    e = good.select(*keep, targets.alias("_targets"),
+                    F.posexplode(ents).alias("pos", "entry"))
     return e.select(
-        *keep, "pos",
+        *keep, "_targets", "pos",
         F.try_variant_get("entry", "$.fullUrl", "string").alias("full_url"),
         F.try_variant_get("entry", "$.resource", "variant").alias("resource"),
         F.try_variant_get("entry", "$.resource.resourceType", "string").alias("resource_type"),
@@ -228,22 +271,16 @@ def resolve_references(entries: DataFrame, ref_path: str = "$.subject.reference"
     """Resolve ``urn:uuid:`` references against entry fullUrls of the same bundle (I8).
 
     Adds ``reference`` (as written), ``resolved_reference`` (``Type/id``) and
-    ``unresolved`` (a urn that names no entry of the bundle). A self-join on
-    ``(object_name, fullUrl)``; the target side has one row per key.
+    ``unresolved`` (a urn that names no entry of the bundle). The lookup uses
+    the bundle's own ``_targets`` map, so it needs no join or shuffle.
     """
     ref = F.try_variant_get("resource", ref_path, "string")
-    e = entries.withColumn("reference", ref)
-    targets = (entries.where(F.col("full_url").startswith(URN_UUID))
-               .select(F.col("object_name").alias("_obj"), F.col("full_url").alias("_url"),
-                       F.concat_ws("/", F.col("resource_type"), F.col("resource_id")).alias("_target"))
-               .dropDuplicates(["_obj", "_url"]))
-    j = e.join(targets, (F.col("object_name") == F.col("_obj"))
-               & (F.col("reference") == F.col("_url")), "left")
-    is_urn = F.coalesce(F.col("reference").startswith(URN_UUID), F.lit(False))
-    return (j.withColumn("resolved_reference",
-                         F.when(is_urn, F.col("_target")).otherwise(F.col("reference")))
-            .withColumn("unresolved", is_urn & F.col("_target").isNull())
-            .drop("_obj", "_url", "_target"))
+    is_urn = F.coalesce(ref.startswith(URN_UUID), F.lit(False))
+    target = F.try_element_at(F.col("_targets"), ref)
+    return (entries.withColumn("reference", ref)
+            .withColumn("resolved_reference", F.when(is_urn, target).otherwise(ref))
+            .withColumn("unresolved", is_urn & target.isNull())
+            .drop("_targets"))
 
 
 # --- I10: analytics projection ---------------------------------------------------------
@@ -321,9 +358,11 @@ def parse_bundles(raw: DataFrame, materialize: bool = True) -> DataFrame:
     parsed rows to the shared checkpoint folder (a reliable checkpoint, which
     also cuts the lineage for executor loss), so the text is parsed once.
     """
-    parsed = raw.select(*[c for c in raw.columns if c != "body"],
-                        F.try_parse_json(F.col("body")).alias("bundle"))
+    parsed = validate_parsed(raw.select(*[c for c in raw.columns if c != "body"],
+                                        F.try_parse_json(F.col("body")).alias("bundle")))
     if materialize:
+        # Validation is stored with the parsed rows, so its higher-order
+        # functions also run once per bundle.
         checkpoint_root(raw.sparkSession)
         parsed = parsed.checkpoint(eager=True)
     return parsed
@@ -331,17 +370,23 @@ def parse_bundles(raw: DataFrame, materialize: bool = True) -> DataFrame:
 
 def ingest(raw: DataFrame, materialize: bool = True) -> Ingested:
     """The whole chain for ``(object_name, object_time, body)`` rows."""
-    return ingest_parsed(parse_bundles(raw, materialize))
+    return ingest_parsed(parse_bundles(raw, materialize), materialize)
 
 
-def ingest_parsed(parsed: DataFrame) -> Ingested:
-    """The chain after parsing (``bundle`` VARIANT column already present)."""
-    good, rejected = validate_parsed(parsed)
-    entries = rewrite_to_put(explode_entries(normalize_bundle_type(good)))
-    good2, rejected2 = reject_unknown_elements(good, entries)
-    entries = entries.join(good2.select("object_name"), "object_name", "left_semi")
-    entries = resolve_references(entries)
-    return Ingested(entries, rejected.unionByName(rejected2, allowMissingColumns=True), good2)
+def ingest_parsed(parsed: DataFrame, materialize: bool = False) -> Ingested:
+    """The chain after parsing (``bundle`` VARIANT column already present).
+
+    Map-only: validation, explode, rewrite and reference resolution are all
+    per-bundle expressions, so ingest never shuffles. ``materialize``
+    checkpoints the resolved entries when several consumers read them.
+    """
+    if "reason" not in parsed.columns:
+        parsed = validate_parsed(parsed)
+    good, rejected = split_validated(parsed)
+    entries = resolve_references(rewrite_to_put(explode_entries(normalize_bundle_type(good))))
+    if materialize:
+        entries = entries.checkpoint(eager=True)
+    return Ingested(entries, rejected, good)
 
 
 # --- I9 / I15: replay safety and counts ----------------------------------------------
