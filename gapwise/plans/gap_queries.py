@@ -31,10 +31,16 @@ DRILL_PATIENT = "p-105"
 class TwoRuns:
     def __init__(self, spark, sf_dir):
         self.spark = spark
-        t = MeasureTables.of(star_clinical_tables(spark, sf_dir))
-        self._t = t
+        self._base = MeasureTables.of(star_clinical_tables(spark, sf_dir))
         self.dim = measure_dim(spark)
 
+    @property
+    def _t(self) -> MeasureTables:
+        # Ranking twice is cheaper here than checkpointing four ranked tables
+        # (measured at sf0.1); ``MeasureTables.materialized`` is the option
+        # for long backfills.
+        return self._base
+
     @cached_property
     def evals1(self) -> DataFrame:
         # Each run's evaluations feed the upsert (twice), counts and the run
