@@ -58,8 +58,9 @@ def to_gap_rows(evals: DataFrame) -> DataFrame:
 def last_per_key(evals: DataFrame, seq: str | None = None) -> DataFrame:
     """Keep one evaluation per key: the one with the highest ``seq``.
 
-    Without ``seq`` the batch must already be key-unique (the measures
-    guarantee it); duplicates are then an error, not a silent pick.
+    Without ``seq`` the batch is used as given: it must already be
+    key-unique, which measure results are (one row per denominator patient).
+    :func:`duplicate_keys` checks a batch of other origin.
     """
     if seq is None:
         return evals

@@ -2,8 +2,11 @@
 
 A table ``name`` lives under ``<root>/<name>/``:
 
-* ``v=<n>/``     immutable snapshots, each written completely by one job;
-* ``_manifest/`` an append-only Parquet table of committed versions.
+* ``v=<n>-<token>/`` immutable snapshots, each written completely by one job
+  (the token makes a retried commit write a fresh folder, so a snapshot left
+  behind by a failed job never blocks the next commit);
+* ``_manifest/``      an append-only Parquet table of committed versions and
+  their folders.
 
 A commit writes the next snapshot first and appends its manifest row only
 after the write succeeded, so readers see either the old or the new snapshot,
@@ -18,6 +21,7 @@ a warehouse path), never a machine-local one on a cluster.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,7 @@ from pyspark.sql import types as T
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
+    T.StructField("path", T.StringType(), False),
     T.StructField("committed_at", T.TimestampType(), False),
     T.StructField("note", T.StringType(), True),
 ])
@@ -48,29 +53,35 @@ class TableStore:
                 return None
             raise
 
-    def current_version(self, name: str) -> int | None:
-        """Highest committed version (a single number read from the manifest)."""
+    def _current(self, name: str):
+        """``(version, path)`` of the newest committed snapshot, or None."""
         m = self._read(self._manifest(name), MANIFEST_SCHEMA)
         if m is None:
             return None
-        row = m.agg(F.max("version")).first()
-        return None if row is None or row[0] is None else int(row[0])
+        row = m.orderBy(F.col("version").desc()).select("version", "path").first()
+        return None if row is None else (int(row["version"]), row["path"])
+
+    def current_version(self, name: str) -> int | None:
+        """Highest committed version (a single manifest row read)."""
+        cur = self._current(name)
+        return None if cur is None else cur[0]
 
     def read(self, name: str, schema: T.StructType) -> DataFrame:
-        v = self.current_version(name)
-        if v is None:
+        cur = self._current(name)
+        if cur is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/v={v}")
+        return self.spark.read.schema(schema).parquet(cur[1])
 
     def commit(self, name: str, df: DataFrame, note: str | None = None,
                partition_by: list[str] | None = None) -> int:
         v = (self.current_version(name) or 0) + 1
+        path = f"{self.root}/{name}/v={v}-{uuid.uuid4().hex[:12]}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.root}/{name}/v={v}")
+        w.parquet(path)
         self.spark.createDataFrame(
-            [(v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), note)], MANIFEST_SCHEMA
+            [(v, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), note)], MANIFEST_SCHEMA
         ).coalesce(1).write.mode("append").parquet(self._manifest(name))
         return v
 
