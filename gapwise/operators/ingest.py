@@ -6,11 +6,16 @@ DataFrame. Bodies are parsed once into Spark's VARIANT type and every later
 step reads typed fields from it with ``try_variant_get``; there is no
 per-row Python.
 
-Flow: ``validate_bundles`` (typed rejects) → ``reject_unknown_elements`` →
-``explode_entries`` (+ batch→transaction) → ``rewrite_to_put`` →
-``resolve_references`` → ``project_resources`` (one typed table per resource
-type) → append as versions; ``latest`` gives the current state, so replaying
-a bundle never adds resources.
+Flow: ``parse_bundles`` (parse + ``validate_parsed``: typed rejects, unknown
+elements, duplicate fullUrls; checkpointed) → ``split_validated`` →
+``explode_entries`` (+ batch→transaction, per-bundle ``fullUrl`` map) →
+``rewrite_to_put`` → ``resolve_references`` → ``project_resources`` (one typed
+table per resource type) → append as versions; ``latest`` gives the current
+state, so replaying a bundle never adds resources.
+
+Every step up to the projection is a per-row expression (higher-order
+functions over a bundle's entry array), so ingest is map-only: no join and no
+shuffle, whatever the number or size of bundles.
 """
 
 from __future__ import annotations
