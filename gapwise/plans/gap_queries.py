@@ -104,6 +104,12 @@ def search_gaps_page(spark, sf_dir):
     return serving.page(serving.search_gaps(s, status="OPEN"), 1, 50)
 
 
+def search_gaps_keyset(spark, sf_dir):
+    """R3 by keyset: the 50 OPEN gaps after (run-2 time, id 1000) in the fixed order."""
+    s = TwoRuns(spark, sf_dir).state()
+    return serving.page_after(serving.search_gaps(s, status="OPEN"), (NOW2, 1000), 50)
+
+
 def page_info(spark, sf_dir):
     s = TwoRuns(spark, sf_dir).state()
     return serving.page_info(serving.search_gaps(s, status="CLOSED", measure_id="COL_SCREENING"), 25)
@@ -153,6 +159,7 @@ GAP_QUERIES = {
     "run_log": run_log,
     "constraint_report": constraint_report,
     "search_gaps_page": search_gaps_page,
+    "search_gaps_keyset": search_gaps_keyset,
     "page_info": page_info,
     "gap_summary": gap_summary,
     "scorecard": scorecard,

@@ -287,6 +287,10 @@ UNION ALL SELECT 'measure.not_null.display_name',
     "search_gaps_page": with_two_runs(
         "SELECT * FROM st2 WHERE status = 'OPEN' "
         "ORDER BY last_evaluated_at DESC, id DESC LIMIT 50 OFFSET 50"),
+    "search_gaps_keyset": with_two_runs(
+        f"SELECT * FROM st2 WHERE status = 'OPEN' AND (last_evaluated_at < {NOW2} "
+        f"OR (last_evaluated_at = {NOW2} AND id < 1000)) "
+        "ORDER BY last_evaluated_at DESC, id DESC LIMIT 50"),
     "page_info": with_two_runs(
         "SELECT count(*) AS total_elements, CAST(ceil(count(*) / 25.0) AS INTEGER) AS total_pages "
         "FROM st2 WHERE status = 'CLOSED' AND measure_id = 'COL_SCREENING'"),
