@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Remove reliable-checkpoint files once their DataFrame is unreferenced,
+    # so a long-lived session does not grow the shared checkpoint folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
