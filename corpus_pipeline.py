@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gapwise.llm import quality
+from gapwise.llm import linededup, quality
 from gapwise.session import scratch_path
 
 
@@ -22,8 +23,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, quality.train(docs, labels))
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many documents share; n_chars follows the text."""
+    return (linededup.drop_lines(docs)
+            .withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+            .select(*docs.columns))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality_stage),
+    ("line dedup", line_stage),
 ]
 
 #: SQL can express neither the ranking nor the encoding.
@@ -35,6 +44,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch_path(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}")
         docs = spark.read.parquet(path)
     return docs

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gapwise.llm import quality
+from gapwise.llm import linededup, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -19,7 +20,16 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    return linededup.drop_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_line_dedup": op2_line_dedup,
+}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": linededup.SQL,
 }
-ORACLES: dict[str, str] = {}
