@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import linededup, quality
+from gapwise.llm import decontam, linededup, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -26,10 +26,20 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(_read(spark, sf_dir, "documents", "doc_id", "text"),
+                                        _read(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
+    "op3_decontamination": op3_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": linededup.SQL,
+    "op3_decontamination": decontam.SQL,
 }
