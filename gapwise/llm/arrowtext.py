@@ -98,11 +98,6 @@ def tokens(data: np.ndarray, offsets: np.ndarray, table: np.ndarray
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def per_row(row: np.ndarray, n: int) -> np.ndarray:
-    """Bounds of the tokens of each of ``n`` rows: row i owns bounds[i]:bounds[i + 1]."""
-    return np.searchsorted(row, np.arange(n + 1))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = x ^ (x >> np.uint64(32))
@@ -134,3 +129,38 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
     value = (total[ends] - total[starts]) * down[starts]
     return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``k`` words of each row, in text order, and the rows' bounds.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A row of fewer words,
+    but not none, has its whole sequence as its only shingle. Row i owns
+    hashes[bounds[i]:bounds[i + 1]], repeats included.
+    """
+    data = LOWER[data]
+    starts, ends, row = tokens(data, offsets, NON_SPACE)
+    words = hash_spans(data, starts, ends)
+    n = len(offsets) - 1
+    first = np.searchsorted(row, np.arange(n + 1))
+    count = np.diff(first)
+
+    def run(at: np.ndarray, size: int) -> np.ndarray:
+        acc = words[at]
+        for j in range(1, size):
+            acc = mix(acc * np.uint64(0xE7037ED1A0B428DB) + words[at + j])
+        return mix(acc + np.uint64(size))
+
+    at = np.arange(max(len(words) - k + 1, 0))
+    at = at[row[at] == row[at + k - 1]]
+    values, where = [run(at, k)], [row[at]]
+    for size in range(1, k):
+        short = np.flatnonzero(count == size)
+        if len(short):
+            values.append(run(first[short], size))
+            where.append(short)
+    hashes, rows = np.concatenate(values), np.concatenate(where)
+    if len(values) > 1:
+        order = np.argsort(rows, kind="stable")
+        hashes, rows = hashes[order], rows[order]
+    return hashes, np.searchsorted(rows, np.arange(n + 1))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import decontam, linededup, quality
+from gapwise.llm import cws, decontam, linededup, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -34,10 +34,15 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.fingerprint_neighbours(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_fingerprints": op4_fingerprints,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": linededup.SQL,
