@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import linededup, quality
+from gapwise.llm import decontam, linededup, quality, setsketch
 from gapwise.session import scratch_path
 
 
@@ -30,9 +30,22 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .select(*docs.columns))
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near duplicates."""
+    return setsketch.drop_near_duplicates(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no considerable part of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontam.drop_contaminated(docs, benchmark)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality_stage),
     ("line dedup", line_stage),
+    ("near duplicates", near_stage),
+    ("decontamination", decontamination_stage),
 ]
 
 #: SQL can express neither the ranking nor the encoding.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import cws, decontam, linededup, quality
+from gapwise.llm import cws, decontam, linededup, quality, setsketch
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -38,13 +38,19 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.fingerprint_neighbours(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), words=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_fingerprints": op4_fingerprints,
+    "op5_near_duplicates": op5_near_duplicates,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": linededup.SQL,
     "op3_decontamination": decontam.SQL,
+    "op5_near_duplicates": setsketch.SQL,
 }
