@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import cws, decontam, linededup, quality, setsketch
+from gapwise.llm import cws, decontam, linededup, quality, setsketch, warczst
+from gapwise.session import scratch_path
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -42,15 +43,28 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), words=2)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages", "page_id", "url", "html")
+    archives = warczst.write_archives(warczst.plan_records(pages), warczst.sample_dictionary(pages))
+    archives.write.parquet(path := scratch_path(spark, "warc"))
+    read = warczst.read_records(spark.read.parquet(path), payloads=False)
+    kind = pages.schema["page_id"].dataType
+    return read.select(
+        warczst.page_id_of("record_id").cast(kind).alias("page_id"), "payload_bytes",
+        "payload_digest", "record_type", warczst.page_id_of("refers_to").cast(kind).alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_fingerprints": op4_fingerprints,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_warc": op6_warc,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": linededup.SQL,
     "op3_decontamination": decontam.SQL,
     "op5_near_duplicates": setsketch.SQL,
+    "op6_warc": warczst.SQL,
 }
