@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import decontam, linededup, quality, setsketch
+from gapwise.llm import bpe, decontam, linededup, quality, setsketch
 from gapwise.session import scratch_path
 
 
@@ -41,11 +41,19 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontam.drop_contaminated(docs, benchmark)
 
 
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document encoded by the public byte-level vocabulary and decoded again."""
+    import public_tokenizers
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality_stage),
     ("line dedup", line_stage),
     ("near duplicates", near_stage),
     ("decontamination", decontamination_stage),
+    ("byte-level BPE", encoding_stage),
 ]
 
 #: SQL can express neither the ranking nor the encoding.

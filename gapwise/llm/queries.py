@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import cws, decontam, linededup, quality, setsketch, warczst
+from gapwise.llm import bpe, cws, decontam, linededup, quality, setsketch, warczst, wordpiece
 from gapwise.session import scratch_path
 
 
@@ -54,6 +54,22 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payload_digest", "record_type", warczst.page_id_of("refers_to").cast(kind).alias("refers_to"))
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return bpe.round_trip(_read(spark, sf_dir, "documents", "doc_id", "text"),
+                          bpe.load_ranks(_vocabulary("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.count_tokens(_read(spark, sf_dir, "documents", "doc_id", "text"),
+                                  wordpiece.load_entries(_vocabulary("word_bpe_49k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -61,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_warc": op6_warc,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op8_token_counts": op8_token_counts,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": linededup.SQL,
