@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import bpe, cws, decontam, linededup, quality, setsketch, warczst, wordpiece
+from gapwise.llm import (bpe, cws, decontam, hilbert, linededup, quality, setsketch, sitetree, warczst,
+                         wordpiece)
 from gapwise.session import scratch_path
 
 
@@ -70,6 +71,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   wordpiece.load_entries(_vocabulary("word_bpe_49k.json")))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.extract(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard_documents(
+        _read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -79,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_main_text": op9_main_text,
+    "op10_shards": op10_shards,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": linededup.SQL,
