@@ -120,10 +120,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) ->
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     """Write ``docs`` as one folder of Parquet files per shard, in curve order within a file.
 
-    doc_id must identify a row.
+    doc_id must identify a row; a column named shard is replaced.
     """
-    place = shard_documents(docs, shards).select(
-        F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    (docs.join(place, docs["doc_id"].eqNullSafe(F.col("_id"))).drop("_id")
-     .repartition("_shard").sortWithinPartitions("_shard", "_slot").drop("_slot")
-     .withColumnRenamed("_shard", "shard").write.partitionBy("shard").parquet(path))
+    place = shard_documents(docs, shards).select("doc_id", "shard", "slot")
+    rows = docs.select("doc_id", F.struct(*[c for c in docs.columns if c != "shard"]).alias("row"))
+    both = rows.alias("r").join(place.alias("p"), F.col("r.doc_id").eqNullSafe(F.col("p.doc_id")))
+    (both.select("p.shard", "p.slot", "row").repartition("shard").sortWithinPartitions("shard", "slot")
+     .select("row.*", "shard").write.partitionBy("shard").parquet(path))

@@ -209,24 +209,24 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     probes = (docs.select(own.alias("doc"), F.explode(cold).alias("k"))
               .select("doc", "k.a", "k.b"))
     hits = (probe(probes, build_arrays(keys, shards, min_docs), shards, min_docs)
-            .groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("_hits"))
-            .select(F.col("doc").alias("_doc"), "_hits"))
+            .groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("hits")))
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = (docs.select(*rest, own.alias("_doc"))
-              .join(hits.hint("shuffle_hash"), "_doc", "left"))
+    # the input row travels as one column, so that its names meet no names used here
+    joined = (docs.select(F.struct(*rest).alias("row"), own.alias("doc"))
+              .join(hits.hint("shuffle_hash"), "doc", "left"))
 
     def kept(line: Column) -> Column:
         key = key_of(line)
         k = _hashes(key)
-        found = is_hot(k) | F.coalesce(F.array_contains(F.col("_hits"), k), F.lit(False))
+        found = is_hot(k) | F.coalesce(F.array_contains(F.col("hits"), k), F.lit(False))
         return (F.char_length(key) < min_chars) | ~found
 
-    return (joined.withColumn("_lines", lines_of(F.col("text")))
-            .withColumn("_kept", F.filter("_lines", kept))
-            .select(*[F.array_join("_kept", _SPLIT).alias("text") if c == "text" else F.col(c)
+    return (joined.withColumn("lines", lines_of(F.col("row.text")))
+            .withColumn("kept", F.filter("lines", kept))
+            .select(*[F.array_join("kept", _SPLIT).alias("text") if c == "text" else F.col("row")[c].alias(c)
                       for c in rest],
-                    F.size("_lines").cast("bigint").alias("n_lines"),
-                    (F.size("_lines") - F.size("_kept")).cast("bigint").alias("n_dropped")))
+                    F.size("lines").cast("bigint").alias("n_lines"),
+                    (F.size("lines") - F.size("kept")).cast("bigint").alias("n_dropped")))
 
 
 SQL = """

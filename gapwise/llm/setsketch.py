@@ -275,14 +275,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group, that of the smallest doc_id, all columns as they are.
 
-    Of rows that repeat a kept doc_id one stays; rows without doc_id stay where
-    no document with a doc_id has the same set.
+    Of rows that repeat a kept doc_id one stays; rows without a doc_id all stay.
     """
     found = near_duplicates(docs, words, percent)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    with_id = (docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-               .join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti"))
-    return with_id.union(docs.where("doc_id is null"))
+    gone = found.where("not kept").select(F.col("doc_id").alias("id")).distinct()
+    # the input row travels as one column, so that its names meet no names used here
+    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("row"))
+    with_id = (rows.where("id is not null").dropDuplicates(["id"])
+               .join(gone.hint("shuffle_hash"), "id", "left_anti"))
+    return with_id.union(rows.where("id is null")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 SQL = r"""
