@@ -6,33 +6,35 @@ DataFrame. Bodies are parsed once into Spark's VARIANT type and every later
 step reads typed fields from it with ``try_variant_get``; there is no
 per-row Python.
 
-Flow: ``parse_bundles`` (parse + ``validate_parsed``: typed rejects, unknown
-elements, duplicate fullUrls; checkpointed) → ``split_validated`` →
-``explode_entries`` (+ batch→transaction, per-bundle ``fullUrl`` map) →
-``rewrite_to_put`` → ``resolve_references`` → ``project_resources`` (one typed
-table per resource type) → append as versions; ``latest`` gives the current
-state, so replaying a bundle never adds resources.
-
-Every step up to the projection is a per-row expression (higher-order
-functions over a bundle's entry array), so ingest is map-only: no join and no
-shuffle, whatever the number or size of bundles.
+Flow: ``parse_bundles`` (parse + typed rejects + unknown elements) →
+``explode_entries`` (one row per entry, or one row per rejected bundle) →
+``rewrite_to_put`` (idempotent PUTs, ids inside the document, ids for creates
+that bring none). That part is a map over the bundle rows. ``stage`` writes its
+result once, partitioned by resource type with the quarantine beside it, and
+every later step reads that table: references are resolved by an equi-join of
+the rows that hold one with their bundle's fullUrls, ``project_resources``
+types the measure inputs, ``append_versions`` stores every resource type.
+``latest`` gives the current state, so replaying a bundle never adds resources.
+
+The parsed bundle and its checks are outputs of one-element ``explode`` steps:
+Catalyst does not inline generated columns, so a text is parsed once per job
+however many fields are read from it, without writing the corpus anywhere.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwise.functions.expr import safe_ts
 from gapwise.operators.versions import latest
-from gapwise.session import checkpoint_root
+from gapwise.session import scratch_path
 
 # --- fixed values ------------------------------------------------------------
 OBJECT_FINALIZED = "google.cloud.storage.object.v1.finalized"
 JSON_SUFFIX = ".json"
 URN_UUID = "urn:uuid:"
+URN_REFERENCE = '"reference":"(urn:uuid:[^"]*)"'
 WRITE_BUNDLE_TYPES = ("transaction", "batch")
 TRANSIENT_STATUS = (429, 500, 502, 503, 504)
 DEFAULT_MAX_ATTEMPTS = 5
@@ -46,7 +48,6 @@ REJECT_NOT_BUNDLE = "not a Bundle"
 REJECT_BUNDLE_TYPE = "not a transaction or batch bundle"
 REJECT_NO_ENTRIES = "no entries"
 REJECT_UNKNOWN_ELEMENT = "unknown element"
-REJECT_DUPLICATE_URL = "duplicate fullUrl"
 # Top-level elements of the FHIR R4 resources this pipeline projects (public
 # specification). Resource types not listed here are not checked.
 KNOWN_ELEMENTS = {
@@ -89,7 +90,10 @@ KNOWN_ELEMENTS = {
         "reasonReference", "diagnosis", "account", "hospitalization", "location",
         "serviceProvider", "partOf"],
 }
+#: Types with a typed projection; every other type is stored as a document.
 RESOURCE_TYPES = ("Patient", "Condition", "Observation", "Procedure")
+#: Partitions of a staged table that hold no typed resource.
+QUARANTINE, UNTYPED = "_quarantine", "_untyped"
 
 
 # --- S3 / I1: object events -------------------------------------------------------
@@ -118,9 +122,9 @@ def admit_events(events: DataFrame, expected_bucket: str | None = None) -> DataF
 
 
 # --- I2 / I3: validation -------------------------------------------------------------
-def validate_bundles(raw: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Parse ``body`` texts and split into ``(good, rejected)``."""
-    return split_validated(parse_bundles(raw, materialize))
+def _once(col: Column) -> Column:
+    """Evaluate ``col`` once per row: a one-element explode is never inlined."""
+    return F.explode(F.array(col))
 
 
 def _entries_of(bundle: Column) -> Column:
@@ -131,103 +135,60 @@ def _entry_type(e: Column) -> Column:
     return F.try_variant_get(e, "$.resource.resourceType", "string")
 
 
+def _known_elements_map() -> Column:
+    pairs = []
+    for t, keys in KNOWN_ELEMENTS.items():
+        pairs += [F.lit(t), F.array(*[F.lit(k) for k in keys])]
+    return F.create_map(*pairs)
+
+
 def _first_unknown(e: Column) -> Column:
     """``Type.key`` of the first top-level key of the entry's resource that is
-    not allowed for its type (NULL when none, or when the type is unchecked)."""
+    not allowed for its type (NULL when none, or when the type is unchecked).
+    ``_key`` carries the id and extensions of a primitive element ``key``."""
     allowed = F.try_element_at(_known_elements_map(), _entry_type(e))
     keys = F.map_keys(F.try_variant_get(e, "$.resource", "map<string,variant>"))
-    bad = F.try_element_at(F.filter(keys, lambda k: ~F.array_contains(allowed, k)), F.lit(1))
+    bad = F.try_element_at(F.filter(keys, lambda k: ~F.array_contains(
+        allowed, F.regexp_replace(k, "^_", ""))), F.lit(1))
     return F.concat(_entry_type(e), F.lit("."), bad)
 
 
-def validate_parsed(parsed: DataFrame) -> DataFrame:
-    """Add ``reason`` / ``detail`` to parsed bundles; NULL reason = accepted.
-
-    All checks are expressions over the bundle row (higher-order functions
-    over its entry array), so validation never shuffles. The unknown-element
-    scan is a column of its own, read by both reason and detail, so Spark
-    evaluates it once per bundle.
-    """
-    rtype = F.try_variant_get("bundle", "$.resourceType", "string")
-    btype = F.try_variant_get("bundle", "$.type", "string")
+def parse_bundles(raw: DataFrame) -> DataFrame:
+    """``bundle`` VARIANT plus ``reason`` / ``detail`` / ``bundle_type`` for every
+    document of ``(object_name, object_time, body)``; NULL reason = accepted (I2, I3)."""
+    keep = [c for c in raw.columns if c != "body"]
+    parsed = raw.select(*keep, _once(F.try_parse_json(F.col("body"))).alias("bundle"))
     ents = _entries_of(F.col("bundle"))
-    n_entries = F.size(ents)
-    unknown = F.try_element_at(F.filter(F.transform(ents, _first_unknown), lambda x: x.isNotNull()),
-                               F.lit(1))
-    urls = F.filter(F.transform(ents, lambda e: F.try_variant_get(e, "$.fullUrl", "string")),
-                    lambda x: x.isNotNull())
-    duplicated = F.size(F.array_distinct(urls)) < F.size(urls)
+    checks = F.struct(
+        F.try_variant_get("bundle", "$.resourceType", "string").alias("rtype"),
+        F.try_variant_get("bundle", "$.type", "string").alias("btype"),
+        F.size(ents).alias("n"),
+        F.try_element_at(F.filter(F.transform(ents, _first_unknown), lambda x: x.isNotNull()),
+                         F.lit(1)).alias("unknown"))
+    c = F.col("_c")
     reason = (F.when(F.col("bundle").isNull(), F.lit(REJECT_MALFORMED))
-              .when(F.coalesce(rtype != F.lit("Bundle"), F.lit(True)), F.lit(REJECT_NOT_BUNDLE))
-              .when(F.coalesce(~btype.isin(*WRITE_BUNDLE_TYPES), F.lit(True)),
+              .when(F.coalesce(c["rtype"] != F.lit("Bundle"), F.lit(True)), F.lit(REJECT_NOT_BUNDLE))
+              .when(F.coalesce(~c["btype"].isin(*WRITE_BUNDLE_TYPES), F.lit(True)),
                     F.lit(REJECT_BUNDLE_TYPE))
-              .when(F.coalesce(n_entries < 1, F.lit(True)), F.lit(REJECT_NO_ENTRIES))
-              .when(F.col("_unknown").isNotNull(), F.lit(REJECT_UNKNOWN_ELEMENT))
-              .when(duplicated, F.lit(REJECT_DUPLICATE_URL)))
-    detail = (F.when(F.col("reason") == REJECT_NOT_BUNDLE, F.coalesce(rtype, F.lit("unknown")))
-              .when(F.col("reason") == REJECT_BUNDLE_TYPE, F.coalesce(btype, F.lit("none")))
-              .when(F.col("reason") == REJECT_UNKNOWN_ELEMENT, F.col("_unknown")))
-    return (parsed.withColumn("_unknown", unknown)
-            .withColumn("reason", reason)
+              .when(F.coalesce(c["n"] < 1, F.lit(True)), F.lit(REJECT_NO_ENTRIES))
+              .when(c["unknown"].isNotNull(), F.lit(REJECT_UNKNOWN_ELEMENT)))
+    detail = (F.when(F.col("reason") == REJECT_NOT_BUNDLE, F.coalesce(c["rtype"], F.lit("unknown")))
+              .when(F.col("reason") == REJECT_BUNDLE_TYPE, F.coalesce(c["btype"], F.lit("none")))
+              .when(F.col("reason") == REJECT_UNKNOWN_ELEMENT, c["unknown"]))
+    return (parsed.withColumn("_c", _once(checks)).withColumn("reason", reason)
             .withColumn("detail", detail)
-            .withColumn("bundle_type", btype)
-            .drop("_unknown"))
-
-
-def split_validated(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good = checked.where(F.col("reason").isNull()).drop("reason", "detail")
-    rejected = checked.where(F.col("reason").isNotNull()).drop("bundle", "bundle_type")
-    return good, rejected
-
-
-def _known_elements_map() -> Column:
-    pairs = []
-    for t, keys in KNOWN_ELEMENTS.items():
-        pairs += [F.lit(t), F.array(*[F.lit(k) for k in keys])]
-    return F.create_map(*pairs)
-
-
-def unknown_elements(entries: DataFrame) -> DataFrame:
-    """Per entry, top-level resource keys not in the type's allow-list (I3 diagnostic).
-
-    Strictness is reduced to this check: per resource type, top level only.
-    """
-    keys = F.map_keys(F.try_variant_get("resource", "$", "map<string,variant>"))
-    allowed = F.try_element_at(_known_elements_map(), F.col("resource_type"))
-    bad = F.filter(keys, lambda k: ~F.array_contains(allowed, k))
-    return entries.select("object_name", "pos", "resource_type", bad.alias("unknown"))\
-        .where(F.size("unknown") > 0)
+            .select(*keep, "bundle", "reason", "detail", c["btype"].alias("bundle_type")))
 
 
 # --- I4 / I5 / I6 / I7: entries and idempotent rewrite --------------------------------
-def _target_id(e: Column) -> Column:
-    """Id an entry ends up with: the urn tail for a rewritten POST, else its own id."""
-    full_url = F.try_variant_get(e, "$.fullUrl", "string")
-    rewritten = (F.try_variant_get(e, "$.resource", "variant").isNotNull()
-                 & F.try_variant_get(e, "$.request", "variant").isNotNull()
-                 & (F.coalesce(F.try_variant_get(e, "$.request.method", "string"), F.lit("")) == "POST")
-                 & F.coalesce(full_url.startswith(URN_UUID), F.lit(False)))
-    return F.when(rewritten, F.substring(full_url, len(URN_UUID) + 1, 1 << 30)) \
-        .otherwise(F.try_variant_get(e, "$.resource.id", "string"))
-
-
-def explode_entries(good: DataFrame) -> DataFrame:
-    """One row per entry with its position and typed request fields (I4).
-
-    Each row also carries ``_targets``: the bundle's ``fullUrl → Type/id`` map,
-    built from the bundle row itself (fullUrls are unique in accepted bundles),
-    which :func:`resolve_references` uses instead of a self-join.
-    """
-    keep = [c for c in good.columns if c not in ("bundle",)]
-    ents = _entries_of(F.col("bundle"))
-    with_url = F.filter(ents, lambda e: F.try_variant_get(e, "$.fullUrl", "string").isNotNull())
-    targets = F.map_from_entries(F.transform(with_url, lambda e: F.struct(
-        F.try_variant_get(e, "$.fullUrl", "string"),
-        F.concat_ws("/", _entry_type(e), _target_id(e)))))
-    e = good.select(*keep, targets.alias("_targets"),
-                    F.posexplode(ents).alias("pos", "entry"))
+def explode_entries(parsed: DataFrame) -> DataFrame:
+    """One row per entry with its position and typed request fields (I4); a
+    rejected bundle gives one row without position, with its reason."""
+    keep = [c for c in parsed.columns if c != "bundle"]
+    accepted = F.when(F.col("reason").isNull(), _entries_of(F.col("bundle")))
+    e = parsed.select(*keep, F.posexplode_outer(accepted).alias("pos", "entry"))
     return e.select(
-        *keep, "_targets", "pos",
+        *keep, "pos",
         F.try_variant_get("entry", "$.fullUrl", "string").alias("full_url"),
         F.try_variant_get("entry", "$.resource", "variant").alias("resource"),
         F.try_variant_get("entry", "$.resource.resourceType", "string").alias("resource_type"),
@@ -244,23 +205,43 @@ def normalize_bundle_type(df: DataFrame) -> DataFrame:
                          .otherwise(F.col("bundle_type")))
 
 
+def _with_id(resource: Column, rid: Column) -> Column:
+    """The resource document with its top-level id set."""
+    fields = F.map_filter(F.try_variant_get(resource, "$", "map<string,variant>"), lambda k, _: k != "id")
+    return F.to_variant_object(F.map_concat(fields, F.create_map(F.lit("id"), rid.cast("variant"))))
+
+
 def rewrite_to_put(entries: DataFrame) -> DataFrame:
     """POST with a ``urn:uuid:`` fullUrl → ``PUT Type/<uuid>``, id := uuid.
 
     Everything else (existing PUT, no urn fullUrl, missing resource or
-    request) is left as is. ``rewritten`` marks the changed entries.
+    request) keeps its request as is. ``rewritten`` marks the changed entries.
+    A resource that brings no id of its own is created by the store: it gets
+    the id of its PUT url, else one formed from object name and position, the
+    same on every replay (``created``). The id is also set in the document.
     """
     rw = (F.col("resource").isNotNull() & F.col("has_request")
           & (F.coalesce(F.col("method"), F.lit("")) == "POST")
           & F.coalesce(F.col("full_url").startswith(URN_UUID), F.lit(False)))
-    uuid = F.substring(F.col("full_url"), len(URN_UUID) + 1, 1 << 30)
+    uuid = F.substr(F.col("full_url"), F.lit(len(URN_UUID) + 1))
+    put_id = F.when(F.col("method") == "PUT", F.nullif(
+        F.regexp_extract(F.col("url"), r"(?:^|/)[A-Za-z]+/([^/?]+)$", 1), F.lit("")))
+    given = F.coalesce(F.col("resource_id"), put_id)
+    fresh = F.concat(F.lit("new-"), F.substring(
+        F.sha2(F.concat_ws(":", F.col("object_name"), F.col("pos").cast("string")), 256), 1, 32))
+    has = F.col("resource").isNotNull()
+    rid = F.when(rw, uuid).when(has, F.coalesce(given, fresh)).otherwise(F.col("resource_id"))
+    cols = [c for c in entries.columns if c not in ("resource_id", "method", "url", "resource")]
     # One projection, so every output is decided from the entry as written.
-    cols = [c for c in entries.columns if c not in ("resource_id", "method", "url")]
-    return entries.select(
-        *cols, rw.alias("rewritten"),
-        F.when(rw, uuid).otherwise(F.col("resource_id")).alias("resource_id"),
+    out = entries.select(
+        *cols, F.coalesce(rw, F.lit(False)).alias("rewritten"), rid.alias("resource_id"),
+        (has & ~rw & given.isNull()).alias("created"),
         F.when(rw, F.lit("PUT")).otherwise(F.col("method")).alias("method"),
-        F.when(rw, F.concat_ws("/", F.col("resource_type"), uuid)).otherwise(F.col("url")).alias("url"))
+        F.when(rw, F.concat_ws("/", F.col("resource_type"), uuid)).otherwise(F.col("url")).alias("url"),
+        F.when(has & (F.col("resource_id").isNull() | (F.col("resource_id") != rid)),
+               _with_id(F.col("resource"), rid)).otherwise(F.col("resource")).alias("resource"))
+    return out.withColumn("urns", F.array_distinct(F.regexp_extract_all(
+        F.to_json("resource"), F.lit(URN_REFERENCE), F.lit(1))))
 
 
 def rewrite_stats(entries: DataFrame) -> DataFrame:
@@ -272,20 +253,59 @@ def rewrite_stats(entries: DataFrame) -> DataFrame:
 
 
 # --- I8: intra-bundle references --------------------------------------------------------
-def resolve_references(entries: DataFrame, ref_path: str = "$.subject.reference") -> DataFrame:
-    """Resolve ``urn:uuid:`` references against entry fullUrls of the same bundle (I8).
+BUNDLE = ["object_name", "object_time"]
+
+
+def reference_targets(entries: DataFrame) -> DataFrame:
+    """``fullUrl → Type/id`` of every bundle; of equal fullUrls the first entry counts."""
+    return (entries.where(F.col("full_url").isNotNull() & F.col("resource_type").isNotNull())
+            .groupBy(*BUNDLE, F.col("full_url").alias("urn"))
+            .agg(F.min_by(F.concat_ws("/", "resource_type", "resource_id"), "pos").alias("target")))
+
 
-    Adds ``reference`` (as written), ``resolved_reference`` (``Type/id``) and
-    ``unresolved`` (a urn that names no entry of the bundle). The lookup uses
-    the bundle's own ``_targets`` map, so it needs no join or shuffle.
+def resolve_references(entries: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """``urn:uuid:`` subjects resolved against the fullUrls of the same bundle (I8).
+
+    Adds ``reference`` (the subject as written), ``resolved_reference``
+    (``Type/id``) and ``unresolved`` (a urn that names no entry of the bundle).
+    Only rows with a urn subject are joined; the others would all meet under a
+    null key. ``among``: the entries whose fullUrls count (default: ``entries``).
     """
-    ref = F.try_variant_get("resource", ref_path, "string")
-    is_urn = F.coalesce(ref.startswith(URN_UUID), F.lit(False))
-    target = F.try_element_at(F.col("_targets"), ref)
-    return (entries.withColumn("reference", ref)
-            .withColumn("resolved_reference", F.when(is_urn, target).otherwise(ref))
-            .withColumn("unresolved", is_urn & target.isNull())
-            .drop("_targets"))
+    ref = F.try_variant_get("resource", "$.subject.reference", "string")
+    rows = entries.withColumn("reference", ref)
+    is_urn = F.coalesce(F.col("reference").startswith(URN_UUID), F.lit(False))
+    plain = (rows.where(~is_urn).withColumn("resolved_reference", F.col("reference"))
+             .withColumn("unresolved", F.lit(False)))
+    targets = reference_targets(entries if among is None else among)
+    joined = (rows.where(is_urn).withColumn("urn", F.col("reference"))
+              .join(targets, [*BUNDLE, "urn"], "left")
+              .withColumn("resolved_reference", F.col("target"))
+              .withColumn("unresolved", F.col("target").isNull()))
+    return plain.unionByName(joined.select(*plain.columns))
+
+
+def reference_rows(entries: DataFrame) -> DataFrame:
+    """Every urn reference anywhere in a resource: ``(bundle, pos, urn, target)``,
+    target NULL where it names no entry of the bundle."""
+    return (entries.select(*BUNDLE, "pos", F.explode("urns").alias("urn"))
+            .join(reference_targets(entries), [*BUNDLE, "urn"], "left"))
+
+
+def resolve_documents(entries: DataFrame) -> DataFrame:
+    """``resource`` with every resolvable urn reference replaced by ``Type/id``."""
+    pairs = (reference_rows(entries).where(F.col("target").isNotNull())
+             .groupBy(*BUNDLE, "pos").agg(F.collect_list(F.struct("urn", "target")).alias("_pairs")))
+
+    def quoted(text: Column) -> Column:
+        return F.concat(F.lit('"reference":"'), text, F.lit('"'))
+
+    has = F.size("urns") > 0
+    text = F.aggregate("_pairs", F.to_json("resource"),
+                       lambda doc, p: F.replace(doc, quoted(p["urn"]), quoted(p["target"])))
+    done = (entries.where(has).join(pairs, [*BUNDLE, "pos"], "left")
+            .withColumn("resource", F.when(F.col("_pairs").isNotNull(), F.parse_json(text))
+                        .otherwise(F.col("resource"))))
+    return entries.where(~F.coalesce(has, F.lit(False))).unionByName(done.select(*entries.columns))
 
 
 # --- I10: analytics projection ---------------------------------------------------------
@@ -304,94 +324,99 @@ def _coding() -> Column:
                                       "array<struct<system:string,code:string>>").alias("coding"))
 
 
-def _subject() -> Column:
-    return F.struct(F.regexp_extract(F.col("resolved_reference"), r"^Patient/([^/]+)$", 1)
-                    .alias("patientId"))
+PATIENT_REFERENCE = r"(?:^|/)Patient/([^/]+)(?:/_history/[^/]+)?$"
 
 
-def project_resources(entries: DataFrame) -> dict[str, DataFrame]:
-    """Typed version rows per resource type, shaped like the measure inputs.
+def _subject(reference: Column) -> Column:
+    """``patientId`` of a relative or absolute, versioned or plain Patient reference; else NULL."""
+    return F.struct(F.nullif(F.regexp_extract(reference, PATIENT_REFERENCE, 1), F.lit("")).alias("patientId"))
 
-    Choice fields become structs (``performedDateTime`` → ``performed.dateTime``),
-    references become ``subject.patientId``.
-    """
-    base = entries.where(F.col("resource_id").isNotNull())
-    get = lambda p: F.try_variant_get("resource", p, "string")
-    out = {
-        "Patient": base.where(F.col("resource_type") == "Patient").select(
-            F.col("resource_id").alias("id"), _version_meta().alias("meta"),
-            get("$.gender").alias("gender"), get("$.birthDate").alias("birthDate")),
-        "Condition": base.where(F.col("resource_type") == "Condition").select(
-            F.col("resource_id").alias("id"), _version_meta().alias("meta"),
-            _subject().alias("subject"), _coding().alias("code")),
-        "Observation": base.where(F.col("resource_type") == "Observation").select(
-            F.col("resource_id").alias("id"), _version_meta().alias("meta"),
-            _subject().alias("subject"), _coding().alias("code"),
-            F.struct(get("$.effectiveDateTime").alias("dateTime")).alias("effective")),
-        "Procedure": base.where(F.col("resource_type") == "Procedure").select(
-            F.col("resource_id").alias("id"), _version_meta().alias("meta"),
-            _subject().alias("subject"), _coding().alias("code"),
-            F.struct(get("$.performedDateTime").alias("dateTime")).alias("performed")),
+
+def project(resource_type: str, rows: DataFrame, reference: Column | None = None) -> DataFrame:
+    """Typed version rows of one type from ``(id, meta, resource)``, shaped like the
+    measure inputs (I10): choice fields become structs (``performedDateTime`` →
+    ``performed.dateTime``), references become ``subject.patientId``."""
+    def get(p: str) -> Column:
+        return F.try_variant_get("resource", p, "string")
+
+    subject = _subject(get("$.subject.reference") if reference is None else reference).alias("subject")
+    own = {
+        "Patient": [get("$.gender").alias("gender"), get("$.birthDate").alias("birthDate")],
+        "Condition": [subject, _coding().alias("code")],
+        "Observation": [subject, _coding().alias("code"),
+                        F.struct(get("$.effectiveDateTime").alias("dateTime")).alias("effective")],
+        "Procedure": [subject, _coding().alias("code"),
+                      F.struct(get("$.performedDateTime").alias("dateTime")).alias("performed")],
     }
-    return out
+    return rows.select("id", "meta", *own[resource_type])
+
+
+def _stored(entries: DataFrame) -> DataFrame:
+    return entries.where(F.col("resource").isNotNull())
+
+
+def project_resources(entries: DataFrame) -> dict[str, DataFrame]:
+    """Typed version rows per measure input type."""
+    def rows(t: str) -> DataFrame:
+        own = _stored(entries).where(F.col("resource_type") == t)
+        return own if t == "Patient" else resolve_references(own, among=entries)
+
+    named = {t: rows(t).withColumns({"id": F.col("resource_id"), "meta": _version_meta()}) for t in RESOURCE_TYPES}
+    return {t: project(t, df, None if t == "Patient" else F.col("resolved_reference"))
+            for t, df in named.items()}
 
 
 class Ingested:
-    """Result of one ingest pass over a set of bundle documents."""
+    """One ingest pass: ``rows`` are the entries and the rejected bundles."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
 
-    def __init__(self, entries: DataFrame, rejected: DataFrame, good: DataFrame):
-        self.entries = entries
-        self.rejected = rejected
-        self.good = good
+    @property
+    def entries(self) -> DataFrame:
+        return self.rows.where(F.col("reason").isNull()).drop("reason", "detail")
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.rows.where(F.col("reason").isNotNull()).select("object_name", "object_time", "reason", "detail")
+
+    @property
+    def resolved(self) -> DataFrame:
+        return resolve_references(self.entries)
 
     def versions(self) -> dict[str, DataFrame]:
         return project_resources(self.entries)
 
     def versions_long(self) -> DataFrame:
-        """All version rows in one table: ``resource_type, id, meta, resource`` (S5 input)."""
-        return self.entries.where(F.col("resource_id").isNotNull()).select(
-            "resource_type", F.col("resource_id").alias("id"), _version_meta().alias("meta"),
-            F.to_json("resource").alias("resource_json"), "object_name", "pos")
+        """Every resource of every type as a version row with its final document (S5 input)."""
+        return _stored(resolve_documents(self.entries)).select(
+            F.coalesce("resource_type", F.lit(UNTYPED)).alias("resource_type"),
+            F.col("resource_id").alias("id"), _version_meta().alias("meta"), "resource", "object_name", "pos")
 
 
-def parse_bundles(raw: DataFrame, materialize: bool = True) -> DataFrame:
-    """``(object_name, object_time, bundle VARIANT)``, parsed exactly once.
+def ingest(raw: DataFrame) -> Ingested:
+    """The map part of the chain for ``(object_name, object_time, body)`` rows, nothing written.
 
-    Every later step reads several fields of ``bundle``; left as an
-    expression, Catalyst would inline the parse into each of those filters and
-    projections and re-parse the text per reference. ``materialize`` writes the
-    parsed rows to the shared checkpoint folder (a reliable checkpoint, which
-    also cuts the lineage for executor loss), so the text is parsed once.
+    Every use of the result parses the texts again: use :func:`stage` where
+    more than one step reads it.
     """
-    parsed = validate_parsed(raw.select(*[c for c in raw.columns if c != "body"],
-                                        F.try_parse_json(F.col("body")).alias("bundle")))
-    if materialize:
-        # Validation is stored with the parsed rows, so its higher-order
-        # functions also run once per bundle.
-        checkpoint_root(raw.sparkSession)
-        parsed = parsed.checkpoint(eager=True)
-    return parsed
-
+    return Ingested(rewrite_to_put(explode_entries(normalize_bundle_type(parse_bundles(raw)))))
 
-def ingest(raw: DataFrame, materialize: bool = True) -> Ingested:
-    """The whole chain for ``(object_name, object_time, body)`` rows."""
-    return ingest_parsed(parse_bundles(raw, materialize), materialize)
 
+def stage(raw: DataFrame, path: str | None = None) -> Ingested:
+    """:func:`ingest` written once to ``path`` (default: a fresh shared scratch folder),
+    partitioned by resource type with the quarantine as a partition of its own."""
+    spark: SparkSession = raw.sparkSession
+    path = path or scratch_path(spark, "ingest")
+    rows = ingest(raw).rows.withColumn(
+        "part", F.when(F.col("reason").isNotNull(), F.lit(QUARANTINE))
+        .otherwise(F.coalesce("resource_type", F.lit(UNTYPED))))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
+    return staged(spark, path, rows.schema)
 
-def ingest_parsed(parsed: DataFrame, materialize: bool = False) -> Ingested:
-    """The chain after parsing (``bundle`` VARIANT column already present).
 
-    Map-only: validation, explode, rewrite and reference resolution are all
-    per-bundle expressions, so ingest never shuffles. ``materialize``
-    checkpoints the resolved entries when several consumers read them.
-    """
-    if "reason" not in parsed.columns:
-        parsed = validate_parsed(parsed)
-    good, rejected = split_validated(parsed)
-    entries = resolve_references(rewrite_to_put(explode_entries(normalize_bundle_type(good))))
-    if materialize:
-        entries = entries.checkpoint(eager=True)
-    return Ingested(entries, rejected, good)
+def staged(spark: SparkSession, path: str, schema) -> Ingested:
+    return Ingested(spark.read.schema(schema).parquet(path))
 
 
 # --- I9 / I15: replay safety and counts ----------------------------------------------
@@ -403,7 +428,7 @@ def resource_counts(versions_long: DataFrame) -> DataFrame:
 
 def drop_identical_replays(versions_long: DataFrame) -> DataFrame:
     """Remove version rows identical in type, id and content."""
-    h = F.xxhash64("resource_json")
+    h = F.xxhash64(F.to_json("resource"))
     return versions_long.withColumn("_h", h).dropDuplicates(["resource_type", "id", "_h"]).drop("_h")
 
 
@@ -441,24 +466,24 @@ def ingest_report(statuses: DataFrame) -> DataFrame:
     return statuses.groupBy("status").agg(F.count(F.lit(1)).alias("objects"))
 
 
-def object_statuses(admitted: DataFrame, ingested: Ingested,
-                    disp: DataFrame | None = None) -> DataFrame:
-    """``(object_name, status)`` for every event: ``skipped`` when the event is
-    ignored or the bundle is rejected (acknowledged, never retried); for parsed
-    bundles the write outcome decides: ``ingested`` on success, ``skipped`` on a
-    permanent store error, ``failed`` while transient errors persist."""
-    ignored = admitted.where(F.col("reason").isNotNull()).select(
-        "object_name", F.lit("skipped").alias("status"))
-    rejected = ingested.rejected.select("object_name", F.lit("skipped").alias("status"))
-    ok = ingested.good.select("object_name")
-    if disp is None:
-        written = ok.select("object_name", F.lit("ingested").alias("status"))
-    else:
-        d = disp.select("object_name", "last_outcome", "disposition")
-        written = ok.join(d, "object_name", "left").select(
-            "object_name",
-            F.when(F.col("disposition").isNull() | (F.col("last_outcome") == "success"),
-                   F.lit("ingested"))
-             .when(F.col("last_outcome") == "permanent", F.lit("skipped"))
-             .otherwise(F.lit("failed")).alias("status"))
-    return reduce(DataFrame.unionByName, [ignored, rejected, written])
+def object_statuses(admitted: DataFrame, ingested: Ingested, disp: DataFrame | None = None) -> DataFrame:
+    """``(object_name, status)`` for every delivered event.
+
+    ``skipped``: acknowledged without a write (event ignored, object missing or
+    rejected, permanent store error); ``ingested``: written; ``pending``: no
+    outcome yet, or a transient error with attempts left; ``failed``:
+    attempts used up, to be delivered again. Without ``disp`` every accepted
+    bundle counts as written.
+    """
+    per_object = (ingested.rows.groupBy("object_name")
+                  .agg(F.max(F.col("reason").isNotNull()).alias("_rejected")))
+    rows = admitted.select("object_name", "reason").join(per_object, "object_name", "left")
+    written = F.lit("ingested")
+    if disp is not None:
+        rows = rows.join(disp.select("object_name", "last_outcome", "disposition"), "object_name", "left")
+        written = (F.when(F.col("last_outcome") == "success", F.lit("ingested"))
+                   .when(F.col("last_outcome") == "permanent", F.lit("skipped"))
+                   .when(F.col("disposition") == "redeliver", F.lit("failed"))
+                   .otherwise(F.lit("pending")))
+    skipped = F.col("reason").isNotNull() | F.coalesce(F.col("_rejected"), F.lit(True))
+    return rows.select("object_name", F.when(skipped, F.lit("skipped")).otherwise(written).alias("status"))

@@ -13,14 +13,29 @@ from pyspark.sql import functions as F
 from gapwise.operators import ingest as I
 from gapwise.operators.requests import parse_run_requests
 from gapwise.plans.measures import MeasureTables, evaluate_all
-from gapwise.sources.fixtures import (EXPECTED_BUCKET, RUN_DATE, bundle_documents,
-                                      object_event_texts, run_request_texts, store_attempts)
+from gapwise.operators.versions import latest
+from gapwise.session import scratch_path
+from gapwise.sources.bundles import append_versions, read_resources, read_versions, write_bundle_files
+from gapwise.sources.fixtures import (EXPECTED_BUCKET, RUN_DATE, bundle_documents, census_documents,
+                                      object_event_texts, procedure_event_texts, run_request_texts,
+                                      store_attempts, visit_documents)
+from gapwise.streaming.streams import stream_bundles
 
 
 def _ingested(spark, sf_dir) -> I.Ingested:
+    """For queries that read the entries once: nothing is written."""
     return I.ingest(bundle_documents(spark, sf_dir))
 
 
+def _staged(spark, sf_dir) -> I.Ingested:
+    """For queries that join the entries with themselves: written once, then read."""
+    return I.stage(bundle_documents(spark, sf_dir))
+
+
+def _visits(spark, sf_dir) -> I.Ingested:
+    return I.stage(visit_documents(spark, sf_dir))
+
+
 def object_admission(spark, sf_dir) -> DataFrame:
     ev = I.parse_object_events(object_event_texts(spark, sf_dir))
     return I.admit_events(ev, EXPECTED_BUCKET).select("name", "bucket", "event_type", "reason")
@@ -41,18 +56,18 @@ def rewrite_stats(spark, sf_dir) -> DataFrame:
 
 
 def resolved_references(spark, sf_dir) -> DataFrame:
-    return (_ingested(spark, sf_dir).entries.where(F.col("reference").isNotNull())
+    return (_staged(spark, sf_dir).resolved.where(F.col("reference").isNotNull())
             .select("object_name", "pos", "reference", "resolved_reference", "unresolved"))
 
 
 def ingested_patients(spark, sf_dir) -> DataFrame:
-    t = MeasureTables(_ingested(spark, sf_dir).versions())
+    t = MeasureTables(_staged(spark, sf_dir).versions())
     return t.latest("Patient").select("id", "gender", F.col("birthDate").alias("birth_date"),
                                       F.col("meta.versionId").alias("version_id"))
 
 
 def ingested_observations(spark, sf_dir) -> DataFrame:
-    t = MeasureTables(_ingested(spark, sf_dir).versions())
+    t = MeasureTables(_staged(spark, sf_dir).versions())
     return t.latest("Observation").select(
         "id", F.col("subject.patientId").alias("patient_id"),
         F.element_at("code.coding", 1)["system"].alias("system"),
@@ -61,7 +76,7 @@ def ingested_observations(spark, sf_dir) -> DataFrame:
 
 
 def ingested_procedures(spark, sf_dir) -> DataFrame:
-    t = MeasureTables(_ingested(spark, sf_dir).versions())
+    t = MeasureTables(_staged(spark, sf_dir).versions())
     return t.latest("Procedure").select(
         "id", F.col("subject.patientId").alias("patient_id"),
         F.element_at("code.coding", 1)["code"].alias("code"),
@@ -71,7 +86,7 @@ def ingested_procedures(spark, sf_dir) -> DataFrame:
 
 def ingest_round_trip(spark, sf_dir) -> DataFrame:
     """All measures over the ingested tables (bundle → tables → measures)."""
-    return evaluate_all(MeasureTables(_ingested(spark, sf_dir).versions()), RUN_DATE)
+    return evaluate_all(MeasureTables(_staged(spark, sf_dir).versions()), RUN_DATE)
 
 
 def resource_counts(spark, sf_dir) -> DataFrame:
@@ -79,7 +94,56 @@ def resource_counts(spark, sf_dir) -> DataFrame:
     docs = bundle_documents(spark, sf_dir)
     replay = docs.unionByName(docs.withColumn("object_time", F.col("object_time")
                                               + F.expr("INTERVAL 1 DAY")))
-    return I.resource_counts(I.ingest(replay).versions_long())
+    return I.resource_counts(I.stage(replay).versions_long())
+
+
+def stored_versions(spark, sf_dir) -> DataFrame:
+    """Every resource type of the visit bundles through the version store, delivered twice."""
+    root = scratch_path(spark, "versions")
+    visits = _visits(spark, sf_dir)
+    for _ in range(2):  # the same batch again replaces itself
+        append_versions(visits, root, "b-1")
+    doc = F.col("resource")
+    return read_versions(spark, root).select(
+        "resource_type", "id", "object_name", "pos",
+        F.try_variant_get(doc, "$.id", "string").alias("document_id"),
+        F.try_variant_get(doc, "$.subject.reference", "string").alias("subject"),
+        F.try_variant_get(doc, "$.encounter.reference", "string").alias("encounter"))
+
+
+def stored_observations(spark, sf_dir) -> DataFrame:
+    """Typed read of one type from the version store."""
+    root = scratch_path(spark, "versions")
+    append_versions(_visits(spark, sf_dir), root)
+    return read_resources(spark, root, "Observation").select(
+        "id", F.col("subject.patientId").alias("patient_id"), F.col("effective.dateTime").alias("effective_text"))
+
+
+def document_references(spark, sf_dir) -> DataFrame:
+    """Every urn reference anywhere in the visit bundles' resources, with its target."""
+    return I.reference_rows(_visits(spark, sf_dir).entries).select(
+        "object_name", "pos", F.col("urn").alias("reference"), "target", F.col("target").isNull().alias("unresolved"))
+
+
+def quarantine(spark, sf_dir) -> DataFrame:
+    return _visits(spark, sf_dir).rejected.select("object_name", "reason", "detail")
+
+
+def visit_rewrites(spark, sf_dir) -> DataFrame:
+    """Mixed bundles: rewritten, left as is, created, and entries without a resource."""
+    return I.ingest(visit_documents(spark, sf_dir)).entries.groupBy("object_name").agg(
+        F.count(F.lit(1)).alias("entries"), F.count_if("rewritten").alias("rewritten"),
+        F.count_if(~F.col("rewritten")).alias("left_as_is"), F.count_if("created").alias("created"),
+        F.count_if(F.col("resource").isNull()).alias("without_resource"))
+
+
+def streamed_patients(spark, sf_dir) -> DataFrame:
+    """Census bundles as files, through the file stream into the store, then the latest versions."""
+    root = scratch_path(spark, "stream")
+    write_bundle_files(census_documents(spark, sf_dir), f"{root}/landing")
+    stream_bundles(spark, f"{root}/landing", f"{root}/store", f"{root}/state",
+                   max_files_per_trigger=2000).awaitTermination()
+    return latest(read_resources(spark, f"{root}/store", "Patient")).select("id", "gender")
 
 
 def ingest_results(spark, sf_dir) -> DataFrame:
@@ -98,15 +162,12 @@ def dispositions(spark, sf_dir) -> DataFrame:
 
 
 def ingest_report(spark, sf_dir) -> DataFrame:
-    """Events → admission → read the admitted objects → validate → write outcome."""
-    admitted = I.admit_events(I.parse_object_events(object_event_texts(spark, sf_dir)),
-                              EXPECTED_BUCKET)
-    docs = bundle_documents(spark, sf_dir)
-    accepted = admitted.where(F.col("reason").isNull()).select(F.col("name").alias("object_name"))
-    ing = I.ingest(docs.join(accepted, "object_name", "left_semi"))
-    disp = I.dispositions(store_attempts(spark, sf_dir))
-    return I.ingest_report(I.object_statuses(admitted.withColumnRenamed("name", "object_name"),
-                                             ing, disp))
+    """Events of all bundle objects → admission → read the admitted objects → validate → outcome."""
+    texts = object_event_texts(spark, sf_dir).unionByName(procedure_event_texts(spark, sf_dir))
+    admitted = I.admit_events(I.parse_object_events(texts), EXPECTED_BUCKET).withColumnRenamed("name", "object_name")
+    accepted = admitted.where(F.col("reason").isNull()).select("object_name").distinct()
+    ing = I.ingest(bundle_documents(spark, sf_dir).join(accepted, "object_name", "left_semi"))
+    return I.ingest_report(I.object_statuses(admitted, ing, I.dispositions(store_attempts(spark, sf_dir))))
 
 
 def run_requests(spark, sf_dir) -> DataFrame:
@@ -125,6 +186,12 @@ INGEST_QUERIES = {
     "ingested_procedures": ingested_procedures,
     "ingest_round_trip": ingest_round_trip,
     "resource_counts": resource_counts,
+    "stored_versions": stored_versions,
+    "stored_observations": stored_observations,
+    "document_references": document_references,
+    "quarantine": quarantine,
+    "visit_rewrites": visit_rewrites,
+    "streamed_patients": streamed_patients,
     "ingest_results": ingest_results,
     "outcome_classification": outcome_classification,
     "dispositions": dispositions,

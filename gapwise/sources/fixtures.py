@@ -164,6 +164,14 @@ def _entry(full_url: Column, resource: Column, method: str, url: Column) -> Colu
                               F.struct(F.lit(method).alias("method"), url.alias("url")).alias("request")))
 
 
+def procedure_object_name() -> Column:
+    """Object name of a line item's bundle, without its suffix."""
+    return F.concat(F.lit("bundles/procedure-"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                    F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"),
+                    F.lit("-"), F.col("l_suppkey").cast("string"), F.lit("-"),
+                    F.regexp_replace(_date_text(F.col("l_shipdate")), "-", ""))
+
+
 def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(object_name, object_time, body)`` bundle documents, one per order and one
     per line item; a narrow map over ``orders`` plus the Procedure join."""
@@ -227,21 +235,99 @@ def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     pbody = F.concat(F.lit('{"resourceType":"Bundle","type":"batch","entry":['),
                      _entry(purl, procedure, "PUT", purl), F.lit("]}"))
     li_docs = j.select(
-        F.concat(F.lit("bundles/procedure-"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"),
-                 F.lit("-"), F.col("l_suppkey").cast("string"), F.lit("-"),
-                 F.regexp_replace(_date_text(F.col("l_shipdate")), "-", ""), F.lit(".json")).alias("object_name"),
+        F.concat(procedure_object_name(), F.lit(".json")).alias("object_name"),
         F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"), pbody.alias("body"))
     return orders_docs.unionByName(li_docs)
 
 
-# Object events: one per order object. Remainders of o_orderkey % 13: 5 a deletion
+# Visit bundles: one per order, with what the order bundles lack. Entries: 0 Patient
+# (POST, urn, with a primitive-extension sibling), 1 Organization (POST without
+# fullUrl or id), 2 Encounter (POST, urn), 3 Observation (POST, urn; every 11th
+# repeats the Encounter's fullUrl), 4 Condition (PUT, its id only in the url),
+# 5 a DELETE without a resource. Encounter subject by o_orderkey % 5: 0 a urn that
+# names no entry, 1 an absolute versioned reference, else the Patient's urn.
+# Observation subject: every third a Group. Every 50th (remainder 7) is cut off.
+def visit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    kt = k.cast("string")
+    patient_urn, encounter_urn = F.concat(F.lit("urn:uuid:p-"), ck), F.concat(F.lit("urn:uuid:en-"), kt)
+
+    def ref(c: Column) -> Column:
+        return F.struct(c.alias("reference"))
+
+    patient = F.struct(F.lit("Patient").alias("resourceType"), F.lit("female").alias("gender"),
+                       _date_text(F.col("o_orderdate")).alias("birthDate"),
+                       F.struct(F.lit("b1").alias("id")).alias("_birthDate"))
+    organization = F.struct(F.lit("Organization").alias("resourceType"),
+                            F.concat(F.lit("Clinic "), kt).alias("name"))
+    encounter_subject = (F.when(k % 5 == 0, F.concat(F.lit("urn:uuid:gone-"), kt))
+                         .when(k % 5 == 1, F.concat(F.lit("https://h/fhir/Patient/p-"), ck, F.lit("/_history/3")))
+                         .otherwise(patient_urn))
+    encounter = F.struct(F.lit("Encounter").alias("resourceType"), F.lit("finished").alias("status"),
+                         ref(encounter_subject).alias("subject"))
+    observation = F.struct(
+        F.lit("Observation").alias("resourceType"), F.lit("own").alias("id"), F.lit("final").alias("status"),
+        _coding(F.lit(LOINC), _code_by(k % 10, OBSERVATION_CODES)).alias("code"),
+        ref(F.when(k % 3 == 0, F.lit("Group/g1")).otherwise(patient_urn)).alias("subject"),
+        ref(encounter_urn).alias("encounter"),
+        _date_text(F.col("o_orderdate")).alias("effectiveDateTime"))
+    condition = F.struct(F.lit("Condition").alias("resourceType"),
+                         _coding(F.lit(SNOMED), _code_by(k % 12, CONDITION_CODES)).alias("code"),
+                         ref(patient_urn).alias("subject"))
+    none = F.lit(None).cast("string")
+    entries = F.concat_ws(
+        ",", _entry(patient_urn, patient, "POST", F.lit("Patient")),
+        _entry(none, organization, "POST", F.lit("Organization")),
+        _entry(encounter_urn, encounter, "POST", F.lit("Encounter")),
+        _entry(F.when(k % 11 == 0, encounter_urn).otherwise(F.concat(F.lit("urn:uuid:ov-"), kt)),
+               observation, "POST", F.lit("Observation")),
+        _entry(none, condition, "PUT", F.concat(F.lit("Condition/cv-"), kt)),
+        F.concat(F.lit('{"request":{"method":"DELETE","url":"Basic/'), kt, F.lit('"}}')))
+    body = F.concat(F.lit('{"resourceType":"Bundle","type":"transaction","entry":['), entries, F.lit("]}"))
+    return o.select(
+        F.concat(F.lit("visits/order-"), kt, F.lit(".json")).alias("object_name"),
+        F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"),
+        F.when(k % 50 == BROKEN_MALFORMED, F.substring(body, 1, 40)).otherwise(body).alias("body"))
+
+
+# Census bundles: fifty customers' Patients each, so the number of objects grows with the table.
+CENSUS_SIZE = 50
+
+
+def census_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer", "c_custkey")
+    k = F.col("c_custkey")
+    patient = F.struct(F.lit("Patient").alias("resourceType"),
+                       F.when(k % 2 == 0, F.lit("female")).otherwise(F.lit("male")).alias("gender"))
+    urn = F.concat(F.lit("urn:uuid:c-"), k.cast("string"))
+    return (c.select(F.floor(k / CENSUS_SIZE).alias("g"), _entry(urn, patient, "POST", F.lit("Patient")).alias("e"))
+            .groupBy("g").agg(F.array_join(F.sort_array(F.collect_list("e")), ",").alias("es"))
+            .select(F.concat(F.lit("census/group-"), F.col("g").cast("string"), F.lit(".json")).alias("object_name"),
+                    F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"),
+                    F.concat(F.lit('{"resourceType":"Bundle","type":"batch","entry":['), F.col("es"),
+                             F.lit("]}")).alias("body")))
+
+
+# Object events: one per bundle object. For order objects, remainders of o_orderkey % 13: 5 a deletion
 # event, 6 no bucket, 7 another bucket, 8 a .txt object, 9 no event type.
 EXPECTED_BUCKET = "clinical-landing"
 OTHER_BUCKET = "elsewhere"
 DELETED_EVENT = "google.cloud.storage.object.v1.deleted"
 
 
+def procedure_event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: a finalized event per line-item bundle; every 17th order's objects are absent
+    (their names end in ``.gone.json``)."""
+    from gapwise.operators.ingest import OBJECT_FINALIZED
+    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    name = F.concat(procedure_object_name(), F.when(F.col("l_orderkey") % 17 == 0, F.lit(".gone.json"))
+                    .otherwise(F.lit(".json")))
+    return li.select(F.to_json(F.struct(
+        F.lit(OBJECT_FINALIZED).alias("event_type"), F.lit(EXPECTED_BUCKET).alias("bucket"),
+        name.alias("name"))).alias("value"))
+
+
 def object_event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value``: object-event JSON text per order object (with an extra unknown field)."""
     from gapwise.operators.ingest import OBJECT_FINALIZED

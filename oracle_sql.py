@@ -412,6 +412,30 @@ def with_ingest(body: str, extra: str = "") -> str:
     return "WITH " + INGEST_BASE.strip() + extra + "\n" + body
 
 
+VISIT_CTES = """
+visit AS (
+  SELECT k, ck, 'visits/order-' || k || '.json' AS object_name, pos, strftime(CAST(d AS DATE), '%Y-%m-%d') AS day,
+         CASE pos WHEN 0 THEN 'Patient' WHEN 1 THEN 'Organization' WHEN 2 THEN 'Encounter' WHEN 3 THEN 'Observation'
+                  WHEN 4 THEN 'Condition' END AS resource_type,
+         CASE pos WHEN 0 THEN 'p-' || ck
+                  WHEN 1 THEN 'new-' || substr(sha256('visits/order-' || k || '.json:1'), 1, 32)
+                  WHEN 2 THEN 'en-' || k WHEN 3 THEN CASE WHEN k % 11 = 0 THEN 'en-' ELSE 'ov-' END || k
+                  WHEN 4 THEN 'cv-' || k END AS id,
+         CASE WHEN pos = 2 AND k % 5 = 0 THEN 'urn:uuid:gone-' || k
+              WHEN pos = 2 AND k % 5 = 1 THEN 'https://h/fhir/Patient/p-' || ck || '/_history/3'
+              WHEN pos = 3 AND k % 3 = 0 THEN 'Group/g1'
+              WHEN pos IN (2, 3, 4) THEN 'Patient/p-' || ck END AS subject,
+         CASE WHEN pos = 3 THEN 'Encounter/en-' || k END AS encounter
+  FROM (SELECT o_orderkey AS k, o_custkey AS ck, o_orderdate AS d FROM orders WHERE o_orderkey % 50 <> 7) o
+  CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4, 5]) AS pos) n
+)
+"""
+
+
+def with_visits(body: str) -> str:
+    return "WITH " + VISIT_CTES.strip() + "\n" + body
+
+
 INGEST = {
     "object_admission": with_ingest("SELECT name, bucket, event_type, reason FROM events"),
     "bundle_validation": with_ingest(f"""
@@ -456,15 +480,32 @@ FROM orders WHERE o_orderkey % 50 IN {BROKEN}"""),
         "SELECT object_name, attempts, last_outcome, disposition FROM disp2"),
     "ingest_report": with_ingest(f"""
 SELECT status, count(*) AS objects FROM (
-  SELECT 'skipped' AS status FROM events WHERE reason IS NOT NULL
-  UNION ALL
-  SELECT 'skipped' FROM events WHERE reason IS NULL AND k % 50 IN {BROKEN}
-  UNION ALL
-  SELECT CASE WHEN d.disposition IS NULL OR d.last_outcome = 'success' THEN 'ingested'
-              WHEN d.last_outcome = 'permanent' THEN 'skipped' ELSE 'failed' END
+  SELECT CASE WHEN reason IS NOT NULL OR k % 50 IN {BROKEN} OR d.last_outcome = 'permanent' THEN 'skipped'
+              WHEN d.last_outcome = 'success' THEN 'ingested'
+              WHEN d.disposition = 'redeliver' THEN 'failed' ELSE 'pending' END AS status
   FROM events e LEFT JOIN disp2 d ON d.object_name = e.name
-  WHERE e.reason IS NULL AND e.k % 50 NOT IN {BROKEN}
+  UNION ALL
+  SELECT CASE WHEN l_orderkey % 17 = 0 THEN 'skipped' ELSE 'pending' END FROM lineitem
 ) s GROUP BY status"""),
+    "stored_versions": with_visits("""
+SELECT resource_type, id, object_name, pos, id AS document_id, subject, encounter FROM visit WHERE pos < 5"""),
+    "stored_observations": with_visits("""
+SELECT id, CASE WHEN subject LIKE 'Patient/%' THEN substr(subject, 9) END AS patient_id, day AS effective_text
+FROM visit WHERE pos = 3"""),
+    "document_references": with_visits("""
+SELECT object_name, pos, 'urn:uuid:p-' || ck AS reference, 'Patient/p-' || ck AS target, false AS unresolved
+FROM visit WHERE pos = 4 OR (pos = 2 AND k % 5 > 1) OR (pos = 3 AND k % 3 <> 0)
+UNION ALL SELECT object_name, pos, 'urn:uuid:gone-' || k, NULL, true FROM visit WHERE pos = 2 AND k % 5 = 0
+UNION ALL SELECT object_name, pos, 'urn:uuid:en-' || k, 'Encounter/en-' || k, false FROM visit WHERE pos = 3"""),
+    "quarantine": """
+SELECT 'visits/order-' || o_orderkey || '.json' AS object_name, 'malformed JSON' AS reason,
+       CAST(NULL AS VARCHAR) AS detail FROM orders WHERE o_orderkey % 50 = 7""",
+    "visit_rewrites": """
+SELECT 'visits/order-' || o_orderkey || '.json' AS object_name, 6 AS entries, 3 AS rewritten, 3 AS left_as_is,
+       1 AS created, 1 AS without_resource FROM orders WHERE o_orderkey % 50 <> 7""",
+    "streamed_patients": """
+SELECT 'c-' || c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender
+FROM customer""",
     "run_requests": """
 SELECT CAST(o_orderkey AS VARCHAR) AS request_id,
        CASE WHEN o_orderkey % 9 IN (1, 2, 7) THEN DATE '2001-08-01'

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gapwise.operators import ingest as I
 from gapwise.operators.requests import parse_run_requests, run_dates_in_order
-from gapwise.sources.bundles import append_versions, read_bundles, read_resources
+from gapwise.sources.bundles import (append_versions, read_admitted, read_bundles, read_resources,
+                                     read_versions)
 
 T = dt.datetime(2024, 1, 1)
 
@@ -59,7 +60,7 @@ def test_parse_cases(spark):
                    "no_entries": (I.REJECT_NO_ENTRIES, None),
                    "malformed": (I.REJECT_MALFORMED, None),
                    "unknown_element": (I.REJECT_UNKNOWN_ELEMENT, "Patient.favouriteColor")}
-    assert sorted(r.object_name for r in ing.good.collect()) == ["batch", "transaction"]
+    assert sorted({r.object_name for r in ing.entries.collect()}) == ["batch", "transaction"]
     types = {r.bundle_type for r in ing.entries.collect()}
     assert types == {"transaction"}  # batch normalised
 
@@ -72,7 +73,7 @@ def test_rewrite_cases(spark):
         {"fullUrl": "urn:uuid:x", "request": {"method": "POST", "url": "Patient"}},  # no resource
     ])
     ing = I.ingest(raw(spark, {"b": json.dumps(b)}))
-    e = {r.pos: r for r in ing.entries.collect()}
+    e = {r.pos: r for r in ing.resolved.collect()}
     assert (e[0].method, e[0].url, e[0].resource_id, e[0].rewritten) == ("PUT", "Patient/pat-1", "pat-1", True)
     assert (e[1].method, e[1].url, e[1].resource_id, e[1].rewritten) == ("PUT", "Patient/keep-1", "keep-1", False)
     assert (e[2].method, e[2].rewritten, e[2].unresolved) == ("POST", False, True)
@@ -99,10 +100,66 @@ def test_replay_does_not_add_resources(spark, tmp_dir):
     c2 = {r.resource_type: r.resources for r in I.resource_counts(I.ingest(twice).versions_long()).collect()}
     assert c1 == c2 == {"Patient": 1, "Observation": 1, "Encounter": 1}
     assert I.drop_identical_replays(I.ingest(twice).versions_long()).count() == 3
-    append_versions(I.ingest(twice).versions(), tmp_dir)
+    append_versions(I.ingest(twice), tmp_dir)
     assert read_resources(spark, tmp_dir, "Patient").count() == 2  # two versions, one resource
 
 
+def test_nothing_is_lost(spark, tmp_dir):
+    """Entries = stored + without a resource, and every type, id-less create and legal sibling is kept."""
+    b = bundle(entries=[
+        entry("urn:uuid:pat-1", dict(PATIENT, _birthDate={"id": "x"})), entry(None, {"resourceType": "Organization"}),
+        entry("urn:uuid:dup", ENC), entry("urn:uuid:dup", OBS), {"request": {"method": "DELETE", "url": "Basic/1"}},
+        entry(None, {"resourceType": "Device"}, "PUT", "Device/d-1"), entry("urn:uuid:q", {"status": "untyped"}, url="x")])
+    ing = I.stage(raw(spark, {"b": json.dumps(b), "bad": CASES["searchset"]}))
+    assert ing.rejected.count() == 1
+    batch = append_versions(ing, tmp_dir)
+    rows = read_versions(spark, tmp_dir).selectExpr("*", "to_json(resource) doc").collect()
+    assert ing.entries.count() == 7 == len(rows) + 1
+    assert {r.resource_type for r in rows} == {"Patient", "Organization", "Encounter", "Observation", "Device", "_untyped"}
+    assert all(json.loads(r.doc)["id"] == r.id for r in rows)
+    ids = {r.resource_type: r.id for r in rows}
+    assert ids["Device"] == "d-1" and ids["Organization"].startswith("new-")
+    assert json.loads(next(r.doc for r in rows if r.resource_type == "Encounter"))["subject"]["reference"] == "Patient/pat-1"
+    append_versions(ing, tmp_dir, batch)  # the same batch again
+    assert read_versions(spark, tmp_dir).count() == 6
+    assert {r.id for r in I.stage(raw(spark, {"b": json.dumps(b)})).versions_long().collect()} == {r.id for r in rows}
+
+
+def test_subject_forms(spark):
+    refs = ["urn:uuid:pat-1", "Patient/p9", "https://h/fhir/Patient/p9", "Patient/p9/_history/2", "Group/g", "urn:uuid:no"]
+    b = bundle(entries=[entry("urn:uuid:pat-1", PATIENT)] + [
+        entry(f"urn:uuid:o{i}", dict(OBS, subject={"reference": r})) for i, r in enumerate(refs)])
+    got = {r.id: r.subject.patientId for r in I.stage(raw(spark, {"b": json.dumps(b)})).versions()["Observation"].collect()}
+    assert got == {"o0": "pat-1", "o1": "p9", "o2": "p9", "o3": "p9", "o4": None, "o5": None}
+
+
+def test_a_bundle_of_many_entries(spark):
+    n = 20_000
+    b = bundle(entries=[entry(f"urn:uuid:e{i}", {"resourceType": "Encounter", "partOf": {"reference": f"urn:uuid:e{(i + 1) % n}"},
+                                                "subject": {"reference": f"urn:uuid:e{i // 2}"}}) for i in range(n)])
+    ing = I.stage(raw(spark, {"b": json.dumps(b)}))
+    assert ing.resolved.where("resolved_reference = concat('Encounter/e', pos div 2)").count() == n
+    long = ing.versions_long().selectExpr("pos", "try_variant_get(resource, '$.partOf.reference', 'string') r")
+    assert long.where(f"r = concat('Encounter/e', (pos + 1) % {n})").count() == n
+
+
+def test_admitted_objects_are_read(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "in"))
+    for name in ("transaction", "searchset"):
+        with open(os.path.join(tmp_dir, "in", f"{name}.json"), "w") as f:
+            f.write(CASES[name])
+    events = spark.createDataFrame([("in/transaction.json", None), ("in/searchset.json", None), ("in/gone.json", None),
+                                    ("in/x.txt", I.IGNORED_NOT_JSON)], "name string, reason string")
+    docs = read_admitted(spark, events, tmp_dir)
+    assert sorted(r.object_name for r in docs.collect()) == ["in/searchset.json", "in/transaction.json"]
+    att = spark.createDataFrame([("in/transaction.json", 1, 503, False)],
+                                "object_name string, attempt int, status_code int, connection_error boolean")
+    got = {r.object_name: r.status for r in I.object_statuses(
+        events.withColumnRenamed("name", "object_name"), I.ingest(docs), I.dispositions(att)).collect()}
+    assert got == {"in/transaction.json": "pending", "in/searchset.json": "skipped", "in/gone.json": "skipped",
+                   "in/x.txt": "skipped"}
+
+
 def test_read_bundle_files(spark, tmp_dir):
     for name, body in CASES.items():
         with open(os.path.join(tmp_dir, f"{name}.json"), "w") as f:
