@@ -11,13 +11,13 @@ documents are linked if the Jaccard similarity of their sets is at least
 2. Equal sets form a class; only its smallest doc_id goes on.
 3. Bands of ``BAND`` registers are hashed to buckets. A pair of similarity 0.8
    shares no bucket with probability below 4e-6, more similar ones less.
-4. Pairs are estimated from their registers and set sizes by maximum
-   likelihood, dropped if the estimate is over six standard errors too low,
-   and the others verified on the full sets. In a bucket, every member meets
-   the bucket's smallest doc_id first. Buckets whose members are then still in
-   several components go on: all their pairs across components are estimated
-   from sketches, block against block, and the likely ones verified. So
-   each pair of a bucket is verified, or found unlikely, or already joined.
+4. In a bucket every member meets the bucket's smallest doc_id. Such a pair is
+   estimated from registers and set sizes by maximum likelihood, dropped if the
+   estimate is over six standard errors too low, and else verified on the full
+   sets. Members of a bucket that then do not hang together are gathered by the
+   label that most of the bucket has; all of them are compared on full sets
+   with all members under other labels, block against block. So each
+   pair of a bucket is verified, or found unlikely, or already joined.
 5. Components are found by star rounds over the verified links.
 
 Edge cases: null or empty text: empty set, own group; repeated rows get equal
@@ -48,7 +48,7 @@ BASE = 1.001
 RATE = 20.0
 #: Pairs estimated this far below the threshold are not verified: over six standard errors.
 MARGIN = 0.2
-#: Members of a bucket that are compared with each other in one piece.
+#: Members of a family that are compared with as many others in one piece.
 BLOCK = 256
 SALTS = 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -171,6 +171,16 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, by their full shingle sets."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = _shingle_sets(docs, asked, words).checkpoint()
+    both = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+            .select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"),
+                    (F.size("sa") + F.size("sb")).alias("total")))
+    return (both.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common")))
+            .select("a", "b").distinct())
+
+
+def _shingle_sets(docs: DataFrame, asked: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the documents in ``asked(node)``."""
     plain = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(
         asked.hint("shuffle_hash"), "node", "left_semi")
 
@@ -180,48 +190,76 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))],
                                              names=["node", "shingles"])
 
-    sets = map_arrow(plain, run, "node bigint, shingles array<bigint>").checkpoint()
-    both = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-            .select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"),
-                    (F.size("sa") + F.size("sb")).alias("total")))
-    return (both.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common")))
-            .select("a", "b").distinct())
-
-
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (a, b) of different components in the same bucket.
-
-    ``members(bucket, size, node, component, n, regs)``. A bucket is cut into
-    blocks and every two blocks meet in a group of their own, so no group holds
-    more than two blocks however large the bucket is.
+    return map_arrow(plain, run, "node bigint, shingles array<bigint>")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, label): a node linked with it, two steps down; equal labels are one component."""
+    down = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")).checkpoint()
+    next_down = down.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return down.join(next_down, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+
+
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set, piece by piece of the shingles."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not left or not right:
+        return out
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (left, right)]
+    shared = np.intersect1d(*[np.unique(v) for v, _ in sides])
+    for at in range(0, len(shared), width):
+        piece = shared[at:at + width]
+        marks = []
+        for (values, owner), n in zip(sides, out.shape):
+            k = np.minimum(np.searchsorted(piece, values), len(piece) - 1)
+            inside = piece[k] == values
+            m = np.zeros((n, len(piece)), np.float32)
+            m[owner[inside], k[inside]] = 1
+            marks.append(m)
+        out += marks[0] @ marks[1].T
+    return out
+
+
+def _across(rest: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of different labels in the same family.
+
+    ``rest(family, node, label)``. Nodes of the family's own label need not
+    meet each other. All others are cut into blocks, and each block meets
+    every block of the family in a group of its own, which compares full sets
+    and returns one link for each two labels that have any. So a group holds
+    two blocks, however large the family, and no pair becomes a row but links.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    placed = (members.withColumn("blocks", blocks).withColumn("mine", mine)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                      "mine", "node", "component", "n", "regs"))
+    sizes = (rest.groupBy("family").agg(
+        F.count_if(F.col("label") != F.col("family")).alias("strange"),
+        F.count_if(F.col("label") == F.col("family")).alias("own")))
+    blocks = [F.ceil(F.col(c) / BLOCK).cast("int") for c in ("strange", "own")]
+    is_own = F.col("label") == F.col("family")
+    mine = F.when(is_own, F.col("nb") + F.pmod(F.xxhash64("node"), F.greatest("mb", F.lit(1)))).otherwise(
+        F.pmod(F.xxhash64("node"), F.greatest("nb", F.lit(1)))).cast("int")
+    others = F.when(is_own, F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("nb") + F.col("mb") - 1))
+    placed = (rest.join(sizes.select("family", blocks[0].alias("nb"), blocks[1].alias("mb")), "family")
+              .where("nb > 0").withColumn("mine", mine).withColumn("other", F.explode(others))
+              .select("family", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                      "mine", "node", "label"))
+    sets = _shingle_sets(docs, rest.select("node").distinct(), words).checkpoint()
 
     def run(table: pa.Table) -> pa.Table:
-        node, comp, size, mine, i, j = (table.column(c).to_numpy() for c in
-                                        ("node", "component", "n", "mine", "i", "j"))
-        regs = _matrix(table.column("regs"))
+        node, label, mine, i, j = (table.column(c).to_numpy() for c in ("node", "label", "mine", "i", "j"))
+        column = table.column("shingles").combine_chunks()
+        shingle, bounds = column.values.to_numpy(), column.offsets.to_numpy()
+        size = np.diff(bounds).astype(float)
         left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        a, b = [], []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((i[0] != j[0]) | (right > x))]
-            y = y[100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])]
-            if len(y):
-                near = estimate(np.broadcast_to(regs[x], (len(y), REGISTERS)), regs[y],
-                                np.full(len(y), float(size[x])), size[y].astype(float))
-                y = y[near >= _likely(percent)]
-                a.append(np.minimum(node[x], node[y]))
-                b.append(np.maximum(node[x], node[y]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate(a) if a else none, "b": np.concatenate(b) if b else none})
-
-    return (placed.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint")
-            .distinct())
+        common = common_shingles(*[[shingle[bounds[x]:bounds[x + 1]] for x in side] for side in (left, right)])
+        linked = (100 * common >= percent * (size[left][:, None] + size[right][None, :] - common)) & (common > 0)
+        linked &= label[left][:, None] != label[right][None, :]
+        x, y = np.nonzero(linked)
+        x, y = left[x], right[y]
+        names = np.stack([np.minimum(label[x], label[y]), np.maximum(label[x], label[y])], axis=1)
+        keep = np.unique(names, axis=0, return_index=True)[1] if len(x) else np.zeros(0, np.int64)
+        return pa.table({"a": np.minimum(node[x], node[y])[keep], "b": np.maximum(node[x], node[y])[keep]})
+
+    return (placed.join(sets, "node").groupBy("family", "i", "j").applyInArrow(run, "a bigint, b bigint"))
 
 
 def link_classes(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -229,19 +267,18 @@ def link_classes(docs: DataFrame, nodes: DataFrame, words: int, percent: int) ->
     bands = _bands(nodes)
     full = (bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
             .where("size > 1"))
-    members = bands.join(full, "bucket").checkpoint()
-    met = members.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")
-                                                  ).distinct()
+    members = bands.join(full, "bucket").where("node != leader").checkpoint()
+    met = members.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = _verified(_estimated(met, nodes, percent).checkpoint(), docs, words, percent).checkpoint()
-    joined = connected_components(links.toDF("u", "v"))
-    placed = (members.join(joined, "node", "left")
-              .withColumn("component", F.coalesce("component", "node")).checkpoint())
-    open_buckets = (placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                    .where("x != y").select("bucket"))
-    rest = (placed.join(open_buckets, "bucket", "left_semi")
-            .join(nodes.select("node", "n", "regs"), "node"))
-    more = _across(rest, percent).join(met, ["a", "b"], "left_anti").checkpoint()
-    return links.union(_verified(more, docs, words, percent))
+    # the leaders have met everyone; what is open are pairs of other members under different labels
+    placed = (members.where("size > 2").select("bucket", "node").join(_labels(links), "node", "left")
+              .withColumn("label", F.coalesce("label", "node")).checkpoint())
+    counted = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    open_buckets = (counted.groupBy("bucket").agg(
+        F.count("*").alias("labels"), F.max(F.struct("n", F.negative("label").alias("label"))).alias("most"))
+        .where("labels > 1").select("bucket", F.negative("most.label").alias("family")))
+    rest = placed.join(open_buckets, "bucket").select("family", "node", "label").distinct().checkpoint()
+    return links.union(_across(rest, docs, words, percent))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
