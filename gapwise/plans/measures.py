@@ -8,17 +8,16 @@ tables, with the result contract
 ``patient_id STRING, in_numerator BOOLEAN, last_evidence_date DATE``.
 
 Plan notes (checked with ``explain``):
-* each resource type is reduced to its latest versions once per run
-  (``MeasureTables``); all measures reuse the same DataFrames, so inside one
-  ``evaluate_all`` plan the version-ranking exchanges are identical and Spark
-  reuses them (``ReusedExchange``) instead of re-shuffling;
-* population and evidence predicates run after the ranking, as the measure
-  semantics require;
+* filters on anything but the id must follow the latest-version ranking, but
+  expressions need not: code flags, evidence days and birth years are computed
+  before the ranking, so only ``(id, order key, patient, flags, day)`` is
+  shuffled for it and never the ``code`` arrays or texts;
+* ``evaluate_all`` ranks each table once for the whole catalog;
 * evidence is aggregated per patient with partial (map-side) aggregation, and
   a qualifying-condition side is de-duplicated before its join, so a patient
   with a very large number of rows never reaches one task as a raw group;
-* denominator ⋈ numerator is a join of two key-unique sides on
-  ``patient_id``; AQE picks broadcast or sort-merge from measured sizes.
+* population and evidence are joined on ``patient_id``, both sides key-unique;
+  AQE picks broadcast or sort-merge from measured sizes.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,65 +113,59 @@ def catalog_by_id() -> dict[str, MeasureSpec]:
 
 
 class MeasureTables:
-    """Latest-version tables for one run, built lazily and shared by measures."""
+    """Version tables of one run, from which measures take ranked, narrow views."""
 
     def __init__(self, versions: dict[str, DataFrame]):
         self._versions = versions
-        self._latest: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, clinical) -> "MeasureTables":
         return cls(clinical.by_type())
 
-    def latest(self, resource: str) -> DataFrame:
-        if resource not in self._latest:
-            df = self._versions[resource].select(*PROJECTION[resource])
-            self._latest[resource] = latest(df)
-        return self._latest[resource]
-
-    def materialized(self) -> "MeasureTables":
-        """Rank every table once and checkpoint it (shared folder).
-
-        For many run dates over the same tables (a long backfill): each run
-        reads the checkpointed latest versions instead of re-ranking (one
-        shuffle per table) per run date. For two or three dates re-ranking
-        was cheaper at sf0.1, so nothing uses it by default.
-        """
-        from gapwise.session import checkpoint_root
-        if self._versions:
-            checkpoint_root(next(iter(self._versions.values())).sparkSession)
-        out = MeasureTables(self._versions)
-        for r in self._versions:
-            out._latest[r] = self.latest(r).checkpoint(eager=True)
-        return out
+    def latest(self, resource: str, *columns: Column) -> DataFrame:
+        """Newest version of every resource. With ``columns`` (expressions over a
+        version row) only those, ``id`` and the order key are ranked and shuffled."""
+        df = self._versions[resource]
+        if not columns:
+            return latest(df.select(*PROJECTION[resource]))
+        narrow = df.select("id", F.struct("meta.lastUpdated", "meta.versionId").alias("meta"), *columns)
+        return latest(narrow).drop("meta")
+
+
+def _birth() -> Column:
+    return safe_date(F.col("birthDate")).alias("birth")
+
+
+def _patient() -> Column:
+    return F.col("subject.patientId").alias("patient_id")
+
+
+def _day(resource: str) -> Column:
+    return utc_date(safe_ts(F.col(DATE_FIELD[resource]))).alias("day")
 
 
 def denominator(spec: MeasureSpec, tables: MeasureTables, run_date) -> DataFrame:
     rd = as_date_lit(run_date)
-    p = tables.latest("Patient")
-    cond = year_diff(rd, safe_date(F.col("birthDate"))).between(spec.min_age, spec.max_age)
+    p = tables.latest("Patient", F.col("gender"), _birth())
+    cond = year_diff(rd, F.col("birth")).between(spec.min_age, spec.max_age)
     if spec.gender is not None:
         cond = (F.col("gender") == F.lit(spec.gender)) & cond
     d = p.where(cond).select(F.col("id").alias("patient_id"))
     if spec.condition_codes:
         # Q15/Q16: patients with at least one qualifying condition; the
         # condition side is made key-unique first (partial aggregation).
-        c = (tables.latest("Condition")
-             .where(has_code(F.col("code.coding"), spec.condition_codes))
-             .select(F.col("subject.patientId").alias("patient_id"))
-             .distinct())
+        flag = has_code(F.col("code.coding"), spec.condition_codes).alias("hit")
+        c = tables.latest("Condition", _patient(), flag).where("hit").select("patient_id").distinct()
         d = d.join(c, "patient_id", "left_semi")
     return d
 
 
 def evidence_dates(ev: Evidence, tables: MeasureTables, run_date) -> DataFrame:
     """Newest qualifying evidence date per patient for one clause (Q5, Q9–Q14, Q17)."""
-    day = utc_date(safe_ts(F.col(DATE_FIELD[ev.resource])))
-    return (tables.latest(ev.resource)
-            .where(has_code(F.col("code.coding"), ev.codes, ev.system)
-                   & in_lookback(day, run_date, ev.months))
-            .groupBy(F.col("subject.patientId").alias("patient_id"))
-            .agg(F.max(day).alias("last_evidence_date")))
+    flag = has_code(F.col("code.coding"), ev.codes, ev.system).alias("hit")
+    return (tables.latest(ev.resource, _patient(), _day(ev.resource), flag)
+            .where(F.col("hit") & in_lookback(F.col("day"), run_date, ev.months))
+            .groupBy("patient_id").agg(F.max("day").alias("last_evidence_date")))
 
 
 def numerator(spec: MeasureSpec, tables: MeasureTables, run_date) -> DataFrame:
@@ -203,67 +196,60 @@ def evaluate_each(tables: MeasureTables, run_date, catalog=CATALOG) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
-def _present(flags: list) -> "F.Column":
-    """Array of the non-NULL entries of ``flags``."""
-    return F.filter(F.array(*flags), lambda x: x.isNotNull())
-
-
 def evaluate_all(tables: MeasureTables, run_date, catalog=CATALOG) -> DataFrame:
     """All catalog measures in one plan, tagged with ``measure_id`` (M4).
 
     Same rows as :func:`evaluate_each`, but every resource table is ranked
-    (one shuffle each) exactly once for the whole catalog instead of once per
-    measure: the population rows carry the ids of the measures whose filters
-    they pass, evidence rows carry the ids of the clauses they satisfy, and the
-    two are joined on ``(measure_id, patient_id)``.
+    once, its evidence is aggregated once per patient with one conditional
+    maximum per measure, and population and evidence meet on ``patient_id``.
+    The measures become rows only after that join.
     """
     specs = sorted(catalog, key=lambda m: m.id)
     rd = as_date_lit(run_date)
 
-    p = tables.latest("Patient")
-    age = year_diff(rd, safe_date(F.col("birthDate")))
+    p = tables.latest("Patient", F.col("gender"), _birth()).withColumnRenamed("id", "patient_id")
     cond_specs = [s for s in specs if s.condition_codes]
     if cond_specs:
-        flags = [has_code(F.col("code.coding"), s.condition_codes).alias(f"_c{i}")
-                 for i, s in enumerate(cond_specs)]
-        c = (tables.latest("Condition")
-             .select(F.col("subject.patientId").alias("_pid"), *flags)
-             .where(reduce(lambda a, b: a | b, [F.col(f"_c{i}") for i in range(len(cond_specs))]))
-             .groupBy("_pid")
-             .agg(*[F.bool_or(f"_c{i}").alias(f"_c{i}") for i in range(len(cond_specs))]))
-        p = p.join(c, p["id"] == c["_pid"], "left")
-
-    def in_population(s: MeasureSpec):
+        names = [f"_c{specs.index(s)}" for s in cond_specs]
+        flags = [has_code(F.col("code.coding"), s.condition_codes).alias(n) for s, n in zip(cond_specs, names)]
+        c = (tables.latest("Condition", _patient(), *flags)
+             .where(reduce(lambda a, b: a | b, [F.col(n) for n in names]))
+             .groupBy("patient_id").agg(*[F.bool_or(n).alias(n) for n in names]))
+        p = p.join(c, "patient_id", "left")
+
+    parts, clauses = [], [(i, ev) for i, s in enumerate(specs) for ev in s.evidence]
+    for resource in DATE_FIELD:
+        own = [(i, k, ev) for k, (i, ev) in enumerate(clauses) if ev.resource == resource]
+        if not own:
+            continue
+        flags = [has_code(F.col("code.coding"), ev.codes, ev.system).alias(f"_f{k}") for _, k, ev in own]
+        rows = tables.latest(resource, _patient(), _day(resource), *flags)
+        days = []
+        for i in range(len(specs)):
+            hits = [F.col(f"_f{k}") & in_lookback(F.col("day"), rd, ev.months) for m, k, ev in own if m == i]
+            day = F.when(reduce(lambda a, b: a | b, hits), F.col("day")) if hits else F.lit(None).cast("date")
+            days.append(day.alias(f"_d{i}"))
+        kept = rows.select("patient_id", *days)
+        parts.append(kept.where(F.coalesce(*[F.col(f"_d{i}") for i in range(len(specs))]).isNotNull()))
+    ev = (reduce(DataFrame.unionByName, parts).groupBy("patient_id")
+          .agg(*[F.max(f"_d{i}").alias(f"_d{i}") for i in range(len(specs))]))
+
+    age = year_diff(rd, F.col("birth"))
+
+    def in_population(i: int, s: MeasureSpec) -> Column:
         cond = age.between(s.min_age, s.max_age)
         if s.gender is not None:
             cond = (F.col("gender") == F.lit(s.gender)) & cond
         if s.condition_codes:
-            cond = cond & F.coalesce(F.col(f"_c{cond_specs.index(s)}"), F.lit(False))
-        return F.when(cond, F.lit(s.id))
-
-    den = p.select(F.col("id").alias("patient_id"),
-                   F.explode(_present([in_population(s) for s in specs])).alias("measure_id"))
-
-    ev_parts = []
-    for resource in DATE_FIELD:
-        clauses = [(s, ev) for s in specs for ev in s.evidence if ev.resource == resource]
-        if not clauses:
-            continue
-        day = utc_date(safe_ts(F.col(DATE_FIELD[resource])))
-        tags = [F.when(has_code(F.col("code.coding"), ev.codes, ev.system)
-                       & in_lookback(day, rd, ev.months), F.lit(s.id)) for s, ev in clauses]
-        ev_parts.append(tables.latest(resource).select(
-            F.col("subject.patientId").alias("patient_id"), day.alias("day"),
-            F.explode(F.array_distinct(_present(tags))).alias("measure_id")))
-    ev = (reduce(DataFrame.unionByName, ev_parts)
-          .groupBy("measure_id", "patient_id")
-          .agg(F.max("day").alias("last_evidence_date"))
-          .withColumn("_hit", F.lit(True)))
-
-    return den.join(ev, ["measure_id", "patient_id"], "left").select(
-        "measure_id", "patient_id",
-        F.col("_hit").isNotNull().alias("in_numerator"),
-        "last_evidence_date")
+            cond = cond & F.col(f"_c{i}")
+        return F.when(cond, F.struct(F.lit(s.id).alias("measure_id"), F.col(f"_d{i}").alias("last_evidence_date")))
+
+    return (p.join(ev, "patient_id", "left")
+            .select("patient_id", F.explode(F.filter(
+                F.array(*[in_population(i, s) for i, s in enumerate(specs)]),
+                lambda x: x.isNotNull())).alias("_m"))
+            .select("_m.measure_id", "patient_id",
+                    F.col("_m.last_evidence_date").isNotNull().alias("in_numerator"), "_m.last_evidence_date"))
 
 
 def assert_contract(df: DataFrame) -> DataFrame:

@@ -1,55 +1,41 @@
--- CDC_A1C: diabetes, HbA1c testing.
--- Population: calendar-year age 18..75 at :run_date with a diabetes condition
--- (any code system).
--- Evidence: a LOINC 4548-4 observation dated within 12 months up to :run_date.
+-- CDC_A1C: HbA1c testing in diabetes.
+-- Population: calendar-year age 18..75 at :run_date with a diabetes condition.
+-- Evidence: a LOINC HbA1c observation within 12 months up to :run_date.
+-- The current version of a resource is the one with the greatest order key;
+-- whatever a rule needs from it is reduced to flags and days before that pick.
 -- Parameters: :dataset (validated, quoted namespace), :run_date (DATE).
-WITH current_patient AS (
-  SELECT id, birthDate FROM (
-    SELECT p.*, row_number() OVER (PARTITION BY p.id
-                                   ORDER BY p.meta.lastUpdated DESC, p.meta.versionId DESC) AS rn
-    FROM IDENTIFIER(:dataset || '.Patient') p)
-  WHERE rn = 1
+WITH adults AS (
+  SELECT id AS patient_id
+  FROM (SELECT id, struct(meta.lastUpdated, meta.versionId) AS version,
+               year(:run_date) - year(
+                 CASE WHEN trim(birthDate) RLIKE '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$'
+                      THEN try_cast(trim(birthDate) AS DATE) END) BETWEEN 18 AND 75 AS fits
+        FROM IDENTIFIER(:dataset || '.Patient'))
+  GROUP BY id
+  HAVING max_by(fits, version)
 ),
-current_condition AS (
-  SELECT subject, code FROM (
-    SELECT c.*, row_number() OVER (PARTITION BY c.id
-                                   ORDER BY c.meta.lastUpdated DESC, c.meta.versionId DESC) AS rn
-    FROM IDENTIFIER(:dataset || '.Condition') c)
-  WHERE rn = 1
+diabetes AS (
+  SELECT id, max_by(IF(diabetic, patient_id, NULL), version) AS patient_id
+  FROM (SELECT id, subject.patientId AS patient_id, struct(meta.lastUpdated, meta.versionId) AS version,
+               exists(code.coding, x -> x.code IN ('44054006', '46635009', '73211009')) AS diabetic
+        FROM IDENTIFIER(:dataset || '.Condition'))
+  GROUP BY id
 ),
-current_observation AS (
-  SELECT subject, code, effective FROM (
-    SELECT o.*, row_number() OVER (PARTITION BY o.id
-                                   ORDER BY o.meta.lastUpdated DESC, o.meta.versionId DESC) AS rn
-    FROM IDENTIFIER(:dataset || '.Observation') o)
-  WHERE rn = 1
-),
-diabetic AS (
-  SELECT DISTINCT subject.patientId AS patient_id
-  FROM current_condition
-  WHERE coalesce(exists(code.coding, x -> x.code IN ('44054006', '46635009', '73211009')), false)
-),
-eligible AS (
-  SELECT DISTINCT p.id AS patient_id
-  FROM current_patient p JOIN diabetic d ON d.patient_id = p.id
-  WHERE year(:run_date) - year(CASE WHEN trim(p.birthDate) RLIKE '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$'
-                                    THEN try_cast(trim(p.birthDate) AS DATE) END) BETWEEN 18 AND 75
-),
-dated AS (
-  SELECT subject.patientId AS patient_id, code,
-         to_date(CASE WHEN trim(effective.dateTime) RLIKE
+a1c AS (
+  SELECT id, max_by(fact, version) AS fact
+  FROM (SELECT id, struct(meta.lastUpdated, meta.versionId) AS version,
+               struct(subject.patientId AS patient_id,
+                      exists(code.coding, x -> x.system = 'http://loinc.org' AND x.code = '4548-4') AS counts,
+                      to_date(CASE WHEN trim(effective.dateTime) RLIKE
                         '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([Tt ][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,9})?([Zz]|[+-][0-9]{2}(:?[0-9]{2})?)?)?$'
-                      THEN try_cast(trim(effective.dateTime) AS TIMESTAMP) END) AS day
-  FROM current_observation
-),
-evidence AS (
-  SELECT patient_id, max(day) AS last_evidence_date
-  FROM dated
-  WHERE coalesce(exists(code.coding, x -> x.system = 'http://loinc.org' AND x.code = '4548-4'), false)
-    AND day BETWEEN add_months(:run_date, -12) AND :run_date
-  GROUP BY patient_id
+                        THEN try_cast(trim(effective.dateTime) AS TIMESTAMP) END) AS day) AS fact
+        FROM IDENTIFIER(:dataset || '.Observation'))
+  GROUP BY id
 )
-SELECT e.patient_id,
-       v.patient_id IS NOT NULL AS in_numerator,
-       v.last_evidence_date
-FROM eligible e LEFT JOIN evidence v ON v.patient_id = e.patient_id
+SELECT patient_id, count(day) > 0 AS in_numerator, max(day) AS last_evidence_date
+FROM adults
+LEFT SEMI JOIN diabetes USING (patient_id)
+LEFT JOIN (SELECT fact.patient_id, max(fact.day) AS day FROM a1c
+           WHERE fact.counts AND fact.day BETWEEN add_months(:run_date, -12) AND :run_date
+           GROUP BY fact.patient_id) USING (patient_id)
+GROUP BY patient_id
