@@ -48,27 +48,42 @@ def check_not_null(df: DataFrame, cols) -> DataFrame:
     return counts.selectExpr(f"stack({len(cols)}, {stack}) AS (column, nulls)")
 
 
-def constraint_report(gaps: DataFrame, runs: DataFrame, measures: DataFrame) -> DataFrame:
-    """``(check_name, violations)`` for every constraint of the three tables."""
-    def n(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(name).alias("check_name"), "violations")
-
-    def nn(prefix: str, df: DataFrame, cols) -> DataFrame:
-        return check_not_null(df, cols).select(
-            F.concat(F.lit(prefix + ".not_null."), F.col("column")).alias("check_name"),
-            F.col("nulls").alias("violations"))
-
-    parts = [
-        n("care_gap.fk_measure", check_fk(gaps, "measure_id", measures)),
-        n("care_gap.status_domain", check_domain(gaps, "status", GAP_STATUSES)),
-        n("care_gap.unique_measure_patient", check_unique(gaps, ["measure_id", "patient_id"])),
-        n("care_gap.unique_id", check_unique(gaps, ["id"])),
-        nn("care_gap", gaps, GAP_NOT_NULL),
-        n("measure_run.status_domain", check_domain(runs, "status", RUN_STATUSES)),
-        n("measure_run.unique_id", check_unique(runs, ["id"])),
-        nn("measure_run", runs, RUN_NOT_NULL),
-        n("measure.unique_id", check_unique(measures, ["id"])),
-        nn("measure", measures, MEASURE_NOT_NULL),
-    ]
+def _row_checks(table: str, df: DataFrame, not_null, domains: dict, fks: dict) -> DataFrame:
+    """Not-null, domain and foreign-key counts of one table in a single aggregation.
+
+    ``fks`` maps a column to the (small) dimension it refers to.
+    """
+    aggs = []
+    for col, (name, ref) in fks.items():
+        known = ref.select(F.col("id").alias(col), F.lit(True).alias(f"_{name}")).distinct()
+        df = df.join(known, col, "left")
+        aggs.append(F.count_if(F.col(col).isNotNull() & F.col(f"_{name}").isNull()).alias(name))
+    for col, allowed in domains.items():
+        aggs.append(F.count_if(~F.col(col).isin(list(allowed))).alias(f"{col}_domain"))
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"not_null.{c}") for c in not_null]
+    counts = df.agg(*aggs)
+    stack = ", ".join(f"'{table}.{c}', `{c}`" for c in counts.columns)
+    return counts.selectExpr(f"stack({len(counts.columns)}, {stack}) AS (check_name, violations)")
+
+
+def _unique_checks(table: str, df: DataFrame, keys: dict) -> DataFrame:
+    parts = [check_unique(df, cols).agg(F.count(F.lit(1)).alias("violations"))
+             .select(F.lit(f"{table}.{name}").alias("check_name"), "violations") for name, cols in keys.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def constraint_report(gaps: DataFrame, runs: DataFrame, measures: DataFrame) -> DataFrame:
+    """``(check_name, violations)`` for every constraint of the three tables.
+
+    One aggregation per table and one per unique key, so give it stored tables,
+    not long plans.
+    """
+    return reduce(DataFrame.unionByName, [
+        _row_checks("care_gap", gaps, GAP_NOT_NULL, {"status": GAP_STATUSES},
+                    {"measure_id": ("fk_measure", measures)}),
+        _unique_checks("care_gap", gaps, {"unique_measure_patient": ["measure_id", "patient_id"], "unique_id": ["id"]}),
+        _row_checks("measure_run", runs, RUN_NOT_NULL, {"status": RUN_STATUSES}, {}),
+        _unique_checks("measure_run", runs, {"unique_id": ["id"]}),
+        _row_checks("measure", measures, MEASURE_NOT_NULL, {}, {}),
+        _unique_checks("measure", measures, {"unique_id": ["id"]}),
+    ])

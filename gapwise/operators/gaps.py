@@ -11,7 +11,8 @@ Semantics kept from the gap writer:
   ``last_evaluated_at``; ``id`` and ``first_identified_at`` stay;
 * keys absent from the batch are left untouched (gaps are never deleted, and
   an older run date replayed later still overwrites newer state);
-* inside one batch the last row of a key wins (explicit sequence column).
+* inside one batch the last row of a key wins (explicit sequence column); a
+  batch without a sequence must not repeat a key.
 
 Scale: the merge is one full outer join on ``(measure_id, patient_id)``; both
 keys are in the join so a measure holding most rows does not skew it. New ids
@@ -29,6 +30,7 @@ from pyspark.sql import types as T
 
 from gapwise.functions.expr import gap_status
 from gapwise.operators.ids import dense_index
+from gapwise.session import checkpoint_root
 
 KEY = ["measure_id", "patient_id"]
 
@@ -55,15 +57,8 @@ def to_gap_rows(evals: DataFrame) -> DataFrame:
                         "last_evidence_date")
 
 
-def last_per_key(evals: DataFrame, seq: str | None = None) -> DataFrame:
-    """Keep one evaluation per key: the one with the highest ``seq``.
-
-    Without ``seq`` the batch is used as given: it must already be
-    key-unique, which measure results are (one row per denominator patient).
-    :func:`duplicate_keys` checks a batch of other origin.
-    """
-    if seq is None:
-        return evals
+def last_per_key(evals: DataFrame, seq: str) -> DataFrame:
+    """Keep one evaluation per key: the one with the highest ``seq``."""
     w = Window.partitionBy(*KEY).orderBy(F.col(seq).desc())
     return evals.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", seq)
 
@@ -72,35 +67,49 @@ def duplicate_keys(evals: DataFrame) -> DataFrame:
     return evals.groupBy(*KEY).count().where(F.col("count") > 1)
 
 
+def _one_per_key(rows: DataFrame) -> DataFrame:
+    """Fails the job on a key that occurs twice: without a sequence there is no last row."""
+    return rows.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("_n"), F.first("status").alias("status"),
+        F.first("last_evidence_date").alias("last_evidence_date")
+    ).withColumn("status", F.when(F.col("_n") == 1, F.col("status")).otherwise(F.raise_error(
+        F.concat(F.lit("duplicate evaluation of "), F.concat_ws("/", *KEY))))).drop("_n")
+
+
 def upsert_gaps(state: DataFrame, evals: DataFrame, now: dt.datetime,
-                seq: str | None = None) -> DataFrame:
-    """New gap state after applying one evaluation batch at time ``now``."""
+                seq: str | None = None, max_id: int | None = None) -> DataFrame:
+    """New gap state after applying one evaluation batch at time ``now``.
+
+    State and batch are joined once; the result is checkpointed, since both the
+    kept rows and the new rows, which get ids, are read from it. ``max_id`` is
+    the greatest id of the state, as the store's manifest has it; None
+    reads it from the state. Without ``seq`` a key may occur once per batch.
+    """
     now_c = F.lit(now).cast("timestamp")
-    e = to_gap_rows(last_per_key(evals, seq) if seq else evals)
+    e = to_gap_rows(last_per_key(evals, seq)) if seq else _one_per_key(to_gap_rows(evals))
     s = state.select(*COLUMNS)
-    j = s.alias("s").join(e.alias("e"), KEY, "full_outer")
-    matched_or_kept = j.where(F.col("s.id").isNotNull()).select(
+    checkpoint_root(state.sparkSession)
+    evaluated = F.col("e.status").isNotNull()
+    j = s.alias("s").join(e.alias("e"), KEY, "full_outer").select(
         F.col("s.id").alias("id"), *KEY,
-        F.when(F.col("e.status").isNotNull(), F.col("e.status"))
-         .otherwise(F.col("s.status")).alias("status"),
-        F.when(F.col("e.status").isNotNull(), F.col("e.last_evidence_date"))
-         .otherwise(F.col("s.last_evidence_date")).alias("last_evidence_date"),
-        F.col("s.first_identified_at").alias("first_identified_at"),
-        F.when(F.col("e.status").isNotNull(), now_c)
-         .otherwise(F.col("s.last_evaluated_at")).alias("last_evaluated_at"),
-    )
-    new = j.where(F.col("s.id").isNull()).select(
-        *KEY, F.col("e.status").alias("status"),
-        F.col("e.last_evidence_date").alias("last_evidence_date"))
-    # The start id is a scalar subquery over the state: computed by Spark
-    # once, never collected to the driver.
-    max_id = s.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar()
-    new = dense_index(new, KEY, name="id", start=max_id + 1)
-    new = new.select(
-        "id", *KEY, "status",
-        "last_evidence_date", now_c.alias("first_identified_at"),
-        now_c.alias("last_evaluated_at"))
-    return matched_or_kept.unionByName(new).select(*COLUMNS)
+        F.coalesce("e.status", "s.status").alias("status"),
+        F.when(evaluated, F.col("e.last_evidence_date")).otherwise(F.col("s.last_evidence_date"))
+         .alias("last_evidence_date"),
+        F.coalesce("s.first_identified_at", now_c).alias("first_identified_at"),
+        F.when(evaluated, now_c).otherwise(F.col("s.last_evaluated_at")).alias("last_evaluated_at"),
+    ).checkpoint()
+    if max_id is None:
+        # A scalar subquery over the joined rows: never collected to the driver.
+        start = j.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar() + 1
+    else:
+        start = max_id + 1
+    new = dense_index(j.where(F.col("id").isNull()).drop("id"), KEY, name="id", start=start)
+    return j.where(F.col("id").isNotNull()).unionByName(new.select(*COLUMNS)).select(*COLUMNS)
+
+
+def state_stats() -> dict:
+    """Aggregates that the store takes while a state is written."""
+    return {"max_id": F.max("id")}
 
 
 def gap_counts(evals: DataFrame) -> DataFrame:

@@ -9,12 +9,13 @@ single-task window) and grouped into bundles of bounded size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwise.functions.expr import as_date_lit, is_valid_fhir_id, issue_id
 from gapwise.operators.ids import index_within_group
 from gapwise.operators.serving import with_display_name
+from gapwise.operators.versions import latest
 
 # --- fixed values ------------------------------------------------------------
 ISSUE_STATUS = "final"
@@ -111,9 +112,31 @@ def chunk_issues(docs: DataFrame, size: int = BUNDLE_SIZE) -> DataFrame:
                            ordered.alias("entry"))).alias("bundle"))
 
 
-def write_issues(docs: DataFrame, path: str) -> None:
-    """JSON documents partitioned by measure; a rerun replaces only the
-    measures it contains (dynamic partition overwrite) (S8)."""
+def write_issues(docs: DataFrame, path: str, seq: int) -> None:
+    """Put every document of one write into the sink.
+
+    Documents are added under the write's sequence number, partitioned by
+    measure, and never removed; :func:`read_issues` gives the last one put
+    under each id. A write that is repeated under its number replaces itself.
+    """
     (docs.select("measure_id", "id", F.to_json("document").alias("json"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("measure_id").json(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("measure_id").json(f"{path}/seq={seq}"))
+
+
+def read_issues(spark: SparkSession, path: str) -> DataFrame:
+    """``(id, json, seq, measure_id)``: the current document of every id."""
+    rows = spark.read.schema("id STRING, json STRING, seq BIGINT, measure_id STRING").json(path)
+    return latest(rows, "id", [F.col("seq").desc()])
+
+
+def flat_chunks(chunks: DataFrame) -> DataFrame:
+    """What a transaction chunk holds: entry count, and the ids of its PUTs in order."""
+    put = F.from_json("bundle", "type STRING, entry ARRAY<STRUCT<resource: STRUCT<id: STRING>, "
+                                "request: STRUCT<method: STRING, url: STRING>>>")
+    c = chunks.select("measure_id", "chunk", "entries", F.explode(F.array(put)).alias("b"))
+    ids = F.transform("b.entry", lambda e: e["resource"]["id"])
+    urls = F.transform("b.entry", lambda e: F.concat_ws(" ", e["request"]["method"], e["request"]["url"]))
+    return c.select("measure_id", "chunk", "entries", F.col("b.type").alias("bundle_type"),
+                    F.element_at(ids, 1).alias("first_id"), F.element_at(ids, -1).alias("last_id"),
+                    F.array_join(ids, ",").alias("ids"), F.element_at(urls, 1).alias("first_request"))

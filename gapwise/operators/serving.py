@@ -18,12 +18,16 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapwise.operators.ids import dense_index
+
 # --- fixed values ------------------------------------------------------------
 STATUSES = ("OPEN", "CLOSED")
 DEFAULT_PAGE_SIZE = 50
 MIN_PAGE_SIZE = 1
 MAX_PAGE_SIZE = 200
 RECENT_RUNS = 20
+#: Up to here a page is read as a top-k; this bounds what a task holds, not the page number.
+TOP_ROWS = 10_000
 
 
 def validate_search(status: str | None = None, page: int = 0,
@@ -57,9 +61,18 @@ def sort_gaps(gaps: DataFrame) -> DataFrame:
 
 
 def page(gaps: DataFrame, page_no: int = 0, size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """Page ``page_no`` of ``size`` rows in the fixed order."""
+    """Page ``page_no`` of ``size`` rows in the fixed order.
+
+    A page near the front is a top-k of all rows up to its end. For a deep
+    page that would hold all of them in every task, so its rows are taken by
+    position in a distributed sort instead.
+    """
     validate_search(None, page_no, size)
-    return sort_gaps(gaps).offset(page_no * size).limit(size)
+    first = page_no * size
+    if first + size <= TOP_ROWS:
+        return sort_gaps(gaps).offset(first).limit(size)
+    placed = dense_index(gaps, [F.col("last_evaluated_at").desc(), F.col("id").desc()], name="_at", start=0)
+    return sort_gaps(placed.where(F.col("_at").between(first, first + size - 1)).drop("_at"))
 
 
 def page_after(gaps: DataFrame, after: tuple[dt.datetime, int] | None,
@@ -94,8 +107,8 @@ def list_measures(measures: DataFrame) -> DataFrame:
 
 
 def recent_runs(runs: DataFrame, n: int = RECENT_RUNS) -> DataFrame:
-    """Latest ``n`` runs by start time."""
-    return runs.orderBy(F.col("started_at").desc()).limit(n)
+    """Latest ``n`` runs by start time, ties by id."""
+    return runs.orderBy(F.col("started_at").desc(), F.col("id").desc()).limit(n)
 
 
 def with_display_name(df: DataFrame, measures: DataFrame, id_col: str = "measure_id",

@@ -16,9 +16,13 @@ from pyspark.sql import functions as F
 
 from gapwise.operators import checks, gaps, issues, runs, serving
 from gapwise.plans.measures import CATALOG, MeasureTables, evaluate_all
+from gapwise.plans.run import current_state, run_measures
+from gapwise.plans.sqlfiles import load_measures, register_dataset
+from gapwise.session import scratch_path
 from gapwise.sources.fixtures import RUN_DATE, star_clinical_tables
-from gapwise.session import checkpoint_root
 from gapwise.sources.measure_dim import measure_dim
+from gapwise.sources.store import TableStore
+from gapwise.sources.tables import read_table
 
 RUN1 = dt.date(2000, 8, 1)
 RUN2 = RUN_DATE
@@ -29,33 +33,33 @@ DRILL_PATIENT = "p-105"
 
 
 class TwoRuns:
+    """The two runs over the star tables; ``evals1`` and ``evals2`` are lazy plans."""
+
     def __init__(self, spark, sf_dir):
         self.spark = spark
-        self._base = MeasureTables.of(star_clinical_tables(spark, sf_dir))
+        self._t = MeasureTables.of(star_clinical_tables(spark, sf_dir))
         self.dim = measure_dim(spark)
 
-    @property
-    def _t(self) -> MeasureTables:
-        # Ranking twice is cheaper here than checkpointing four ranked tables
-        # (measured at sf0.1); ``MeasureTables.materialized`` is the option
-        # for long backfills.
-        return self._base
-
     @cached_property
     def evals1(self) -> DataFrame:
-        # Each run's evaluations feed the upsert (twice), counts and the run
-        # log: checkpoint them once, as a run does (``plans.run``).
-        checkpoint_root(self.spark)
-        return evaluate_all(self._t, RUN1).checkpoint(eager=True)
+        return evaluate_all(self._t, RUN1)
 
     @cached_property
     def evals2(self) -> DataFrame:
-        checkpoint_root(self.spark)
-        return evaluate_all(self._t, RUN2).checkpoint(eager=True)
+        return evaluate_all(self._t, RUN2)
+
+    @cached_property
+    def store(self) -> TableStore:
+        """A store in which both runs have been committed, as two real runs do."""
+        store = TableStore(self.spark, scratch_path(self.spark, "gaps"))
+        for evals, now in ((self.evals1, NOW1), (self.evals2, NOW2)):
+            state = store.read("care_gap", gaps.CARE_GAP_SCHEMA)
+            store.commit("care_gap", gaps.upsert_gaps(state, evals, now, max_id=store.stats("care_gap").get("max_id", 0)),
+                         partition_by=["measure_id"], stats=gaps.state_stats())
+        return store
 
     def state(self) -> DataFrame:
-        s1 = gaps.upsert_gaps(gaps.empty_state(self.spark), self.evals1, NOW1)
-        return gaps.upsert_gaps(s1, self.evals2, NOW2)
+        return self.store.read("care_gap", gaps.CARE_GAP_SCHEMA)
 
     def run_log(self) -> DataFrame:
         parts = []
@@ -67,6 +71,96 @@ class TwoRuns:
         return runs.current_runs(reduce(DataFrame.unionByName, parts))
 
 
+def _orders(spark, sf_dir) -> DataFrame:
+    return read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+
+
+def order_runs(spark, sf_dir) -> DataFrame:
+    """Run-log rows from the orders: one run per order date, started at midnight.
+
+    By day of the month: every 5th day's run failed, every 7th is still
+    running, the others succeeded with the day's O and other orders as counts.
+    """
+    day = F.to_date("o_orderdate")
+    per_day = _orders(spark, sf_dir).groupBy(day.alias("run_date")).agg(
+        F.count_if(F.col("o_orderstatus") == "O").cast("int").alias("gaps_open"),
+        F.count_if(F.col("o_orderstatus") != "O").cast("int").alias("gaps_closed"))
+    n = F.dayofmonth("run_date")
+    rid, start = F.concat(F.lit("day-"), F.col("run_date").cast("string")), F.col("run_date").cast("timestamp")
+    none = F.lit(None)
+    started = per_day.select(
+        rid.alias("id"), "run_date", start.alias("started_at"), none.cast("timestamp").alias("completed_at"),
+        F.lit("RUNNING").alias("status"), none.cast("string").alias("error"),
+        none.cast("int").alias("gaps_open"), none.cast("int").alias("gaps_closed"), F.lit(0).alias("step"))
+    failed = n % 5 == 0
+    ended = per_day.where(n % 7 != 0).select(
+        rid.alias("id"), "run_date", start.alias("started_at"),
+        (start + F.expr("INTERVAL 5 MINUTE")).alias("completed_at"),
+        F.when(failed, F.lit("FAILED")).otherwise(F.lit("SUCCEEDED")).alias("status"),
+        F.when(failed, F.concat(F.lit("no data for "), F.col("run_date").cast("string"))).alias("error"),
+        F.when(~failed, F.col("gaps_open")).alias("gaps_open"),
+        F.when(~failed, F.col("gaps_closed")).alias("gaps_closed"), F.lit(1).alias("step"))
+    return started.unionByName(ended)
+
+
+def run_history(spark, sf_dir):
+    """Run log with failed and unfinished runs, written to the store and read as status lines."""
+    store = TableStore(spark, scratch_path(spark, "runs"))
+    store.append("measure_run", order_runs(spark, sf_dir))
+    return serving.run_freshness(runs.current_runs(store.read_log("measure_run", runs.LOG_SCHEMA)))
+
+
+def constraint_violations(spark, sf_dir):
+    """Every kind of violation, made from the orders by the order key's last digit: 1 an unknown
+    measure, 2 an unknown status, 3 the id of the order before, 4 no patient, 5 a second row of the
+    key, 6 no status; runs: day 3 and 4 of a month share an id, day 9 has an unknown status."""
+    o = _orders(spark, sf_dir)
+    k, r = F.col("o_orderkey"), F.col("o_orderkey") % 10
+    at = F.col("o_orderdate").cast("timestamp")
+    base = o.select(
+        F.when(r == 3, k - 1).otherwise(k).alias("id"),
+        F.when(r == 1, F.lit("UNKNOWN")).otherwise(F.lit("CDC_A1C")).alias("measure_id"),
+        F.when(r != 4, F.concat(F.lit("o-"), k.cast("string"))).alias("patient_id"),
+        F.when(r == 2, F.lit("HALF")).when(r != 6, F.lit("OPEN")).alias("status"),
+        F.lit(None).cast("date").alias("last_evidence_date"), at.alias("first_identified_at"),
+        at.alias("last_evaluated_at"), F.when(r == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))).alias("c"))
+    dirty = base.withColumn("c", F.explode("c")).withColumn("id", F.when(F.col("c") == 1, -F.col("id")).otherwise(F.col("id")))
+    n = F.dayofmonth("run_date")
+    rows = runs.current_runs(order_runs(spark, sf_dir)).withColumns({
+        "id": F.when(n.isin(3, 4), F.date_format("run_date", "yyyy-MM")).otherwise(F.col("id")),
+        "status": F.when(n == 9, F.lit("LOST")).otherwise(F.col("status"))})
+    return checks.constraint_report(dirty.drop("c"), rows, measure_dim(spark))
+
+
+def issue_id_quarantine(spark, sf_dir):
+    """Issue ids of customers by name (its # is not allowed), by key, or by a key that makes it too long."""
+    c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
+    k = F.col("c_custkey")
+    evals = c.select(F.lit("BCS_MAMMOGRAPHY").alias("measure_id"),
+                     F.when(k % 3 == 0, F.col("c_name")).when(k % 3 == 1, F.concat(F.lit("p-"), k.cast("string")))
+                     .otherwise(F.lpad(k.cast("string"), 60, "0")).alias("patient_id"))
+    return issues.invalid_issue_ids(evals)
+
+
+def issue_store(spark, sf_dir):
+    """Issues of both runs put into the sink, the second twice, and the current ones read back."""
+    r = TwoRuns(spark, sf_dir)
+    path = scratch_path(spark, "issues")
+    for seq, rd, evals in ((1, RUN1, r.evals1), (2, RUN2, r.evals2), (2, RUN2, r.evals2)):
+        issues.write_issues(issues.issue_document(issues.issue_rows(evals, r.dim, rd)), path, seq)
+    doc = F.from_json("json", "identifiedDateTime STRING, detail STRING")
+    return issues.read_issues(spark, path).select(
+        "measure_id", "id", "seq", doc["identifiedDateTime"].alias("identified"), doc["detail"].alias("detail"))
+
+
+def sql_run_state(spark, sf_dir):
+    """The gap state after a real run of the SQL-file measures."""
+    store = TableStore(spark, scratch_path(spark, "sqlrun"))
+    dataset = register_dataset(star_clinical_tables(spark, sf_dir))
+    run_measures(spark, dataset, RUN2, store, now=NOW2, run_id="sql", catalog=load_measures())
+    return current_state(store)
+
+
 def gap_status(spark, sf_dir):
     return gaps.to_gap_rows(TwoRuns(spark, sf_dir).evals2)
 
@@ -147,7 +241,7 @@ def invalid_issue_ids(spark, sf_dir):
 
 def issue_bundles(spark, sf_dir):
     r = TwoRuns(spark, sf_dir)
-    return issues.chunk_issues(issues.issue_document(issues.issue_rows(r.evals2, r.dim, RUN2)))
+    return issues.flat_chunks(issues.chunk_issues(issues.issue_document(issues.issue_rows(r.evals2, r.dim, RUN2))))
 
 
 GAP_QUERIES = {
@@ -169,4 +263,9 @@ GAP_QUERIES = {
     "issue_documents": issue_documents,
     "invalid_issue_ids": invalid_issue_ids,
     "issue_bundles": issue_bundles,
+    "issue_store": issue_store,
+    "issue_id_quarantine": issue_id_quarantine,
+    "run_history": run_history,
+    "constraint_violations": constraint_violations,
+    "sql_run_state": sql_run_state,
 }

@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from gapwise.operators import checks, gaps, issues, runs
-from gapwise.plans.measures import CATALOG, MeasureTables, evaluate_all, run_date_of
+from gapwise.plans.measures import CATALOG, assert_contract, evaluate_all, run_date_of
+from gapwise.plans.sqlfiles import MeasureDefinition, evaluate_sql_catalog
 from gapwise.session import checkpoint_root
 from gapwise.sources.measure_dim import measure_dim
 from gapwise.sources.store import TableStore
@@ -29,26 +29,42 @@ def _utcnow() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def run_measures(spark: SparkSession, tables: MeasureTables, run_date, store: TableStore,
+def evaluate(spark: SparkSession, source, run_date, catalog) -> DataFrame:
+    """Evaluations of a catalog: specs over ``MeasureTables``, or SQL measures
+    (:class:`MeasureDefinition`) over the name of a dataset."""
+    if all(isinstance(m, MeasureDefinition) for m in catalog):
+        return evaluate_sql_catalog(spark, source, run_date, list(catalog))
+    return evaluate_all(source, run_date, catalog)
+
+
+def run_measures(spark: SparkSession, source, run_date, store: TableStore,
                  now: dt.datetime | None = None, run_id: str | None = None, catalog=CATALOG,
                  issues_path: str | None = None,
                  code_system: str = issues.DEFAULT_MEASURE_CODE_SYSTEM) -> dict:
+    """Evaluate ``catalog`` over ``source`` (see :func:`evaluate`) and publish the result.
+
+    The run fails, and publishes nothing, if the result lacks a contract
+    column, names an unknown measure or repeats a key, or if another run has
+    committed in the meantime.
+    """
     run_date = run_date_of(run_date)
     started = now or _utcnow()
     run_id = run_id or runs.new_run_id()
     store.append("measure_run", runs.run_started(spark, run_id, run_date, started))
     try:
         checkpoint_root(spark)
-        evals = evaluate_all(tables, run_date, catalog).checkpoint(eager=True)
+        evals = assert_contract(evaluate(spark, source, run_date, catalog)).checkpoint(eager=True)
         dim = measure_dim(spark)
         if checks.check_fk(evals, "measure_id", dim).limit(1).count() > 0:
             raise ValueError("evaluated measure is not in the measure dimension")
         state = store.read("care_gap", gaps.CARE_GAP_SCHEMA)
-        new_state = gaps.upsert_gaps(state, evals, now or _utcnow())
-        store.commit("care_gap", new_state, note=f"run {run_id}")
+        new_state = gaps.upsert_gaps(state, evals, now or _utcnow(),
+                                     max_id=store.stats("care_gap").get("max_id", 0))
+        version = store.commit("care_gap", new_state, note=f"run {run_id}", partition_by=["measure_id"],
+                               stats=gaps.state_stats())
         if issues_path:
             docs = issues.issue_document(issues.issue_rows(evals, dim, run_date, code_system))
-            issues.write_issues(docs, issues_path)
+            issues.write_issues(docs, issues_path, version)
         summary = gaps.run_summary(evals, len(catalog))
         done = now or _utcnow()
         store.append("measure_run", runs.run_completed(summary, run_id, run_date, started, done))

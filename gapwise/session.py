@@ -19,8 +19,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A broadcast side is only chosen by AQE from measured runtime sizes.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # The static planner broadcasts on estimates, so it does not choose; AQE
+    # does, from the measured size of a finished shuffle.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Remove reliable-checkpoint files once their DataFrame is unreferenced,
@@ -47,18 +49,12 @@ def get_spark(master: str | None = None, app: str = "gapwise",
     return spark
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    if tz not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
-        raise ValueError(f"session time zone must be UTC, got {tz!r}")
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is read, never overridden.
-    Only when it is unset (local tests) is a folder under the system temp dir
-    chosen and registered.
+    On a cluster this is set by the deployment and is read, never overridden;
+    unset, it is an error there, as a temp folder is another disk on every
+    executor. Only a local master (tests) gets a folder under the system temp dir.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
@@ -68,6 +64,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - unset key
         d = None
     if not d:
+        master = spark.sparkContext.master
+        if not (master.startswith("local") and not master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
         d = os.path.join(tempfile.gettempdir(), "gapwise-checkpoints", uuid.uuid4().hex)
     spark.sparkContext.setCheckpointDir(d)

@@ -5,14 +5,15 @@ A table ``name`` lives under ``<root>/<name>/``:
 * ``v=<n>-<token>/`` immutable snapshots, each written completely by one job
   (the token makes a retried commit write a fresh folder, so a snapshot left
   behind by a failed job never blocks the next commit);
-* ``_manifest/``      an append-only Parquet table of committed versions and
-  their folders.
+* ``_manifest/v=<n>.json`` one small file per committed version: its folder,
+  commit time, note and the statistics measured while it was written.
 
-A commit writes the next snapshot first and appends its manifest row only
-after the write succeeded, so readers see either the old or the new snapshot,
-never a half-written one, and a path is never overwritten while it may be
-read. Appends (``append``) add files under ``<root>/<name>/`` directly and are
-used for append-only logs.
+A commit first writes its snapshot and then creates the manifest file of the
+version after the one it was computed from. The file system creates that file
+only if it is absent, so of two writers that started from the same version one
+commits and the other raises :class:`ConcurrentCommit`; no update is lost.
+Readers see either the old or the new snapshot. Append-only logs (``append``)
+add files under ``<root>/<name>/log``.
 
 ``root`` must be a shared folder (the deployment's ``spark.checkpoint.dir`` or
 a warehouse path), never a machine-local one on a cluster.
@@ -21,73 +22,123 @@ a warehouse path), never a machine-local one on a cluster.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
+from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
-MANIFEST_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("path", T.StringType(), False),
-    T.StructField("committed_at", T.TimestampType(), False),
-    T.StructField("note", T.StringType(), True),
-])
+MANIFEST_DDL = "version BIGINT, path STRING, committed_at STRING, note STRING, stats MAP<STRING, BIGINT>"
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer has committed since the table was read."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    version: int
+    path: str
+    stats: dict[str, int]
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._base: dict[str, int] = {}
 
     def _manifest(self, name: str) -> str:
         return f"{self.root}/{name}/_manifest"
 
-    def _read(self, path: str, schema: T.StructType) -> DataFrame | None:
-        """The Parquet table at ``path``, or None when nothing was written there."""
+    def _optional(self, read, path: str) -> DataFrame | None:
+        """The table at ``path``, or None when nothing was written there."""
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return read(path)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
                 return None
             raise
 
-    def _current(self, name: str):
-        """``(version, path)`` of the newest committed snapshot, or None."""
-        m = self._read(self._manifest(name), MANIFEST_SCHEMA)
-        if m is None:
-            return None
-        row = m.orderBy(F.col("version").desc()).select("version", "path").first()
-        return None if row is None else (int(row["version"]), row["path"])
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def snapshots(self, name: str) -> list[Snapshot]:
+        """Committed versions, newest first (one manifest row each)."""
+        m = self._optional(self.spark.read.schema(MANIFEST_DDL).json, self._manifest(name))
+        rows = [] if m is None else m.where("version is not null").collect()
+        return sorted((Snapshot(r["version"], r["path"], dict(r["stats"] or {})) for r in rows),
+                      key=lambda x: -x.version)
+
+    def current(self, name: str) -> Snapshot | None:
+        found = self.snapshots(name)
+        return found[0] if found else None
 
     def current_version(self, name: str) -> int | None:
-        """Highest committed version (a single manifest row read)."""
-        cur = self._current(name)
-        return None if cur is None else cur[0]
+        cur = self.current(name)
+        return None if cur is None else cur.version
 
     def read(self, name: str, schema: T.StructType) -> DataFrame:
-        cur = self._current(name)
+        """The newest snapshot; the next :meth:`commit` is checked against it."""
+        cur = self.current(name)
+        self._base[name] = cur.version if cur else 0
         if cur is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(cur[1])
+        return self.spark.read.schema(schema).parquet(cur.path).select(*schema.fieldNames())
+
+    def stats(self, name: str) -> dict[str, int]:
+        """Statistics of the snapshot that :meth:`read` returned (empty for an empty table)."""
+        base = self._base.get(name)
+        return next((x.stats for x in self.snapshots(name) if x.version == base), {})
 
     def commit(self, name: str, df: DataFrame, note: str | None = None,
-               partition_by: list[str] | None = None) -> int:
-        v = (self.current_version(name) or 0) + 1
+               partition_by: list[str] | None = None, stats: dict[str, Column] | None = None) -> int:
+        """Write ``df`` as the version after the one last read; ``stats`` are
+        aggregates taken during the write, without another pass."""
+        base = self._base.get(name)
+        v = (base if base is not None else self.current_version(name) or 0) + 1
         path = f"{self.root}/{name}/v={v}-{uuid.uuid4().hex[:12]}"
+        seen = Observation()
+        if stats:
+            df = df.observe(seen, *[c.cast("bigint").alias(k) for k, c in stats.items()])
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        self.spark.createDataFrame(
-            [(v, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), note)], MANIFEST_SCHEMA
-        ).coalesce(1).write.mode("append").parquet(self._manifest(name))
+        row = {"version": v, "path": path, "note": note,
+               "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+               "stats": {k: x for k, x in seen.get.items() if x is not None} if stats else {}}
+        fs, claim = self._fs(f"{self._manifest(name)}/v={v}.json")
+        try:
+            out = fs.create(claim, False)
+        except Py4JJavaError as e:
+            if "exist" in str(e.java_exception).lower():
+                raise ConcurrentCommit(f"{name}: version {v} has been committed by another writer") from None
+            raise
+        out.write(bytearray((json.dumps(row) + "\n").encode()))
+        out.close()
+        self._base[name] = v
         return v
 
+    def vacuum(self, name: str, keep: int = 2) -> int:
+        """Delete the folders of all but the newest ``keep`` committed snapshots.
+
+        A reader of an older snapshot fails, so keep as many as runs may overlap.
+        """
+        old = self.snapshots(name)[max(1, keep):]
+        for x in old:
+            for path in (f"{self._manifest(name)}/v={x.version}.json", x.path):
+                fs, p = self._fs(path)
+                fs.delete(p, True)
+        return len(old)
+
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(f"{self.root}/{name}/log")
 
     def read_log(self, name: str, schema: T.StructType) -> DataFrame:
-        df = self._read(f"{self.root}/{name}/log", schema)
+        df = self._optional(self.spark.read.schema(schema).parquet, f"{self.root}/{name}/log")
         return self.spark.createDataFrame([], schema) if df is None else df

@@ -1,26 +1,11 @@
-"""Reading the input tables with enough scan parallelism."""
+"""Reading the input tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the scan yields fewer partitions than
-    the session's parallelism.
-
-    A file with a single row group is read by one task, and every narrow step
-    after it (projection, JSON building, parsing) would stay on that task until
-    the first shuffle. At cluster scale a scan has thousands of splits and
-    this is a no-op, so it never adds a shuffle there.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of one input table, pruned at the scan, spread over the cores."""
+    """One input table; ``columns`` are pruned at the scan."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread(df)
+    return df.select(*columns) if columns else df

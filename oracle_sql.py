@@ -288,7 +288,7 @@ FROM (SELECT measure_id,
       FROM summ GROUP BY measure_id) c
 LEFT JOIN dim d ON d.id = c.measure_id
 """),
-    "recent_runs": with_two_runs("SELECT * FROM runs ORDER BY started_at DESC LIMIT 20"),
+    "recent_runs": with_two_runs("SELECT * FROM runs ORDER BY started_at DESC, id DESC LIMIT 20"),
     "run_freshness": with_two_runs(
         "SELECT id, status, started_at, "
         "CASE WHEN status = 'SUCCEEDED' THEN gaps_open || ' open / ' || gaps_closed || ' closed' "
@@ -308,6 +308,61 @@ SELECT e.measure_id, e.patient_id,
          AS mitigation_date
 FROM evals_2 e LEFT JOIN dim d ON d.id = e.measure_id
 """),
+    "issue_bundles": with_two_runs("""
+SELECT measure_id, chunk, count(*)::INTEGER AS entries, 'transaction' AS bundle_type,
+       arg_min(id, patient_id) AS first_id, arg_max(id, patient_id) AS last_id,
+       string_agg(id, ',' ORDER BY patient_id) AS ids, 'PUT DetectedIssue/' || arg_min(id, patient_id) AS first_request
+FROM (SELECT measure_id, patient_id,
+             'caregap-' || replace(lower(measure_id), '_', '-') || '-' || patient_id AS id,
+             (row_number() OVER (PARTITION BY measure_id ORDER BY patient_id) - 1) // 200 AS chunk FROM evals_2)
+GROUP BY measure_id, chunk"""),
+    "issue_store": with_two_runs("""
+SELECT measure_id, 'caregap-' || replace(lower(measure_id), '_', '-') || '-' || patient_id AS id,
+       max(seq) AS seq, CASE max(seq) WHEN 2 THEN '2001-08-01' ELSE '2000-08-01' END AS identified,
+       CASE WHEN arg_max(in_numerator, seq) THEN 'Care gap closed: qualifying service on record.'
+            ELSE 'Open care gap: no qualifying service found in the measurement window.' END AS detail
+FROM (SELECT *, 1::BIGINT AS seq FROM evals_1 UNION ALL SELECT *, 2::BIGINT FROM evals_2)
+GROUP BY measure_id, patient_id"""),
+    "issue_id_quarantine": """
+SELECT * FROM (
+  SELECT 'BCS_MAMMOGRAPHY' AS measure_id, pid AS patient_id, 'caregap-bcs-mammography-' || pid AS id
+  FROM (SELECT CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN 'p-' || c_custkey
+                    ELSE lpad(CAST(c_custkey AS VARCHAR), 60, '0') END AS pid FROM customer))
+WHERE NOT regexp_full_match(id, '[A-Za-z0-9.-]+') OR length(id) > 64""",
+    "run_history": """
+SELECT 'day-' || strftime(d, '%Y-%m-%d') AS id,
+       CASE WHEN day(d) % 7 = 0 THEN 'RUNNING' WHEN day(d) % 5 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status,
+       CAST(d AS TIMESTAMP) AS started_at,
+       CASE WHEN day(d) % 7 = 0 THEN NULL WHEN day(d) % 5 = 0 THEN 'no data for ' || strftime(d, '%Y-%m-%d')
+            ELSE o || ' open / ' || c || ' closed' END AS detail
+FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) FILTER (WHERE o_orderstatus = 'O') AS o,
+             count(*) FILTER (WHERE o_orderstatus <> 'O') AS c FROM orders GROUP BY 1)""",
+    "constraint_violations": """
+WITH g AS (
+  SELECT CASE WHEN r = 3 THEN k - 1 ELSE k END * s AS id, CASE WHEN r = 1 THEN 'UNKNOWN' ELSE 'CDC_A1C' END AS measure_id,
+         CASE WHEN r <> 4 THEN 'o-' || k END AS patient_id,
+         CASE WHEN r = 2 THEN 'HALF' WHEN r <> 6 THEN 'OPEN' END AS status
+  FROM (SELECT o_orderkey AS k, o_orderkey % 10 AS r FROM orders) o
+  JOIN (SELECT unnest([1, -1]) AS s) t ON s = 1 OR r = 5),
+m AS (
+  SELECT CASE WHEN day(d) IN (3, 4) THEN strftime(d, '%Y-%m') ELSE 'day-' || strftime(d, '%Y-%m-%d') END AS id,
+         day(d) = 9 AS lost FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders))
+SELECT 'care_gap.fk_measure' AS check_name, (SELECT count(*) FROM g WHERE measure_id = 'UNKNOWN') AS violations
+UNION ALL SELECT 'care_gap.status_domain', (SELECT count(*) FROM g WHERE status = 'HALF')
+UNION ALL SELECT 'care_gap.unique_measure_patient', (SELECT count(*) FROM (
+  SELECT 1 FROM g WHERE patient_id IS NOT NULL GROUP BY measure_id, patient_id HAVING count(*) > 1))
+UNION ALL SELECT 'care_gap.unique_id', (SELECT count(*) FROM (SELECT 1 FROM g GROUP BY id HAVING count(*) > 1))
+UNION ALL SELECT 'care_gap.not_null.patient_id', (SELECT count(*) FROM g WHERE patient_id IS NULL)
+UNION ALL SELECT 'care_gap.not_null.status', (SELECT count(*) FROM g WHERE status IS NULL)
+UNION ALL SELECT 'measure_run.status_domain', (SELECT count(*) FROM m WHERE lost)
+UNION ALL SELECT 'measure_run.unique_id', (SELECT count(*) FROM (SELECT 1 FROM m GROUP BY id HAVING count(*) > 1))
+UNION ALL SELECT unnest(['care_gap.not_null.id', 'care_gap.not_null.measure_id',
+  'care_gap.not_null.first_identified_at', 'care_gap.not_null.last_evaluated_at', 'measure_run.not_null.id',
+  'measure_run.not_null.run_date', 'measure_run.not_null.started_at', 'measure_run.not_null.status',
+  'measure.unique_id', 'measure.not_null.id', 'measure.not_null.display_name']), 0""",
+    "sql_run_state": with_two_runs(f"""
+SELECT row_number() OVER (ORDER BY measure_id, patient_id) AS id, measure_id, patient_id, status, last_evidence_date,
+       {NOW2} AS first_identified_at, {NOW2} AS last_evaluated_at FROM ev2"""),
     "invalid_issue_ids": with_two_runs(
         "SELECT measure_id, patient_id, "
         "'caregap-' || replace(lower(measure_id), '_', '-') || '-' || patient_id AS id "

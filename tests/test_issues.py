@@ -45,11 +45,16 @@ def test_bad_ids_fail_or_quarantine(spark):
         issues.issue_rows(e, measure_dim(spark), "2024-01-01").collect()
 
 
-def test_issue_sink_replaces_measure_partitions(spark, tmp_dir):
+def test_issue_sink_puts_and_never_removes(spark, tmp_dir):
     dim = measure_dim(spark)
-    e1 = spark.createDataFrame([("CDC_A1C", "p1", False, None), ("COL_SCREENING", "p1", False, None)], EV)
-    issues.write_issues(issues.issue_document(issues.issue_rows(e1, dim, "2024-01-01")), tmp_dir)
-    e2 = spark.createDataFrame([("CDC_A1C", "p2", False, None)], EV)
-    issues.write_issues(issues.issue_document(issues.issue_rows(e2, dim, "2024-01-02")), tmp_dir)
-    got = sorted((r.measure_id, r.id) for r in spark.read.json(tmp_dir).collect())
-    assert got == [("CDC_A1C", "caregap-cdc-a1c-p2"), ("COL_SCREENING", "caregap-col-screening-p1")]
+
+    def put(seq, rows, day):
+        e = spark.createDataFrame(rows, EV)
+        issues.write_issues(issues.issue_document(issues.issue_rows(e, dim, day)), tmp_dir, seq)
+
+    put(1, [("CDC_A1C", "p1", False, None), ("COL_SCREENING", "p1", False, None)], "2024-01-01")
+    put(2, [("CDC_A1C", "p2", False, None), ("CDC_A1C", "p1", True, None)], "2024-01-02")
+    put(2, [("CDC_A1C", "p2", False, None), ("CDC_A1C", "p1", True, None)], "2024-01-02")  # repeated write
+    got = {r.id: json.loads(r.json)["identifiedDateTime"] for r in issues.read_issues(spark, tmp_dir).collect()}
+    assert got == {"caregap-cdc-a1c-p1": "2024-01-02", "caregap-cdc-a1c-p2": "2024-01-02",
+                   "caregap-col-screening-p1": "2024-01-01"}

@@ -1,4 +1,4 @@
-"""Scan spreading and a randomized check of the safe date cast."""
+"""A randomized check of the safe date cast."""
 import datetime as dt
 import random
 import re
@@ -6,15 +6,6 @@ import re
 from pyspark.sql import functions as F
 
 from gapwise.functions.expr import safe_date
-from gapwise.sources.tables import spread
-
-
-def test_spread_only_when_under_parallelism(spark):
-    par = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 100, 1, numPartitions=1)
-    assert spread(one).rdd.getNumPartitions() == par
-    many = spark.range(0, 100, 1, numPartitions=par + 3)
-    assert spread(many) is many  # no extra shuffle on an already parallel scan
 
 
 def _model(s):
