@@ -59,7 +59,8 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_WORDS = re.compile(r"[a-z]+")
+#: Words of a class or id value; capitals inside begin a new word.
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no markup; it ends at their own end tag.
@@ -91,6 +92,8 @@ NOISE_WORDS = frozenset(
     "breadcrumbs topbar masthead footer comment comments commentlist disqus respond reply replies share "
     "sharing social related recommended recommendations widget widgets toolbar pagination pager copyright "
     "skip hidden".split())
+#: Parts of words that say the same wherever they stand.
+NOISE_PARTS = re.compile("comment|cookie|sidebar|advert|newsletter|breadcrumb|sponsor|popup")
 #: With one of these words beside it, a word like ``header`` names a part of the article.
 ARTICLE_WORDS = frozenset("article post entry story content main body text".split())
 
@@ -128,18 +131,19 @@ def _style(tag: str, raw: str) -> tuple[str, bool, bool, bool]:
         return tag, noise, main, article
     found = {}
     for m in _ATTRIBUTE.finditer(raw):
-        found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or "").lower())
-    named = [w for a in ("class", "id") for w in _WORDS.findall(found.get(a, ""))]
+        found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    named = [w.lower() for a in ("class", "id") for w in _WORDS.findall(found.get(a, ""))]
     key = ".".join([tag, *sorted(set(named))])
-    role = found.get("role", "")
+    role = found.get("role", "").lower()
     if tag not in ("html", "body", "main"):
         words = set(named)
-        noise |= role in NOISE_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-        noise |= "display:none" in found.get("style", "").replace(" ", "")
-        noise |= bool(words & NOISE_WORDS) and tag != "article" or bool(words & {"comment", "comments", "reply"})
+        noise |= role in NOISE_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
+        noise |= "display:none" in found.get("style", "").replace(" ", "").lower()
+        noise |= bool(words & NOISE_WORDS) and tag != "article" or "reply" in words
+        noise |= any(NOISE_PARTS.search(w) for w in words)
         noise |= bool(words & {"header"}) and not words & ARTICLE_WORDS
     main |= role == "main"
-    article |= role == "article" or "articlebody" in found.get("itemprop", "")
+    article |= role == "article" or "articlebody" in found.get("itemprop", "").lower()
     return key, noise, main, article
 
 

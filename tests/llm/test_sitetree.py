@@ -37,6 +37,14 @@ def test_markup_that_is_broken_or_missing():
     assert _text("<main><p>in</p></main><p>out</p>") == "in"
 
 
+def test_names_of_noise():
+    for name in ("siteNav", "user-comments", "usercomments", "CookieBar", "right_sidebar", "ADS", "adBox", "top-ad2",
+                 "site-header", "pageFooter"):
+        assert _text(f"<p>in</p><div class='{name}'><p>out</p></div>") == "in", name
+    for name in ("article-header", "shadow", "lead", "badge", "gradient", "download", "maintext"):
+        assert _text(f"<p>in</p><div class='{name}'><p>also</p></div>") == "in\n\nalso", name
+
+
 def _site(n, host="h"):
     return [(i, f"http://{host}/p/{i}", f"""<body><div class="box">Welcome to our site</div>
       <div class="body"><p>Own text number {i}.</p><p>And {i * 7} more words.</p><div class="tagline">Always fresh</div>
