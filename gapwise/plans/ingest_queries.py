@@ -12,14 +12,18 @@ from pyspark.sql import functions as F
 
 from gapwise.operators import ingest as I
 from gapwise.operators.requests import parse_run_requests
+from gapwise.operators.runs import LOG_SCHEMA, run_started
 from gapwise.plans.measures import MeasureTables, evaluate_all
 from gapwise.operators.versions import latest
 from gapwise.session import scratch_path
-from gapwise.sources.bundles import append_versions, read_resources, read_versions, write_bundle_files
-from gapwise.sources.fixtures import (EXPECTED_BUCKET, RUN_DATE, bundle_documents, census_documents,
+from gapwise.sources.bundles import (append_versions, read_bundles, read_resources, read_versions,
+                                     write_bundle_files)
+from gapwise.sources.fixtures import (BUNDLE_OBJECT_TIME, EXPECTED_BUCKET, RUN_DATE, bundle_documents, census_documents,
                                       object_event_texts, procedure_event_texts, run_request_texts,
                                       store_attempts, visit_documents)
-from gapwise.streaming.streams import stream_bundles
+from gapwise.sources.store import TableStore
+from gapwise.sources.tables import read_table
+from gapwise.streaming.streams import run_requests_stream, stream_bundles
 
 
 def _ingested(spark, sf_dir) -> I.Ingested:
@@ -137,6 +141,38 @@ def visit_rewrites(spark, sf_dir) -> DataFrame:
         F.count_if(F.col("resource").isNull()).alias("without_resource"))
 
 
+def bundle_files(spark, sf_dir) -> DataFrame:
+    """Census bundles landed as files and read back as whole documents."""
+    root = scratch_path(spark, "landing")
+    write_bundle_files(census_documents(spark, sf_dir), root)
+    entries = I.ingest(read_bundles(spark, root)).entries
+    return I.ingest_result(entries.withColumn(
+        "object_name", F.regexp_extract("object_name", "object=([^/]+)/", 1)))
+
+
+def request_runs(spark, sf_dir) -> DataFrame:
+    """One run request per quarter of order dates, newest first and the newest twice, through the
+    request stream: a run row for each delivery, in arrival order (G8)."""
+    root = scratch_path(spark, "requests")
+    quarters = (read_table(spark, sf_dir, "orders", "o_orderdate")
+                .select(F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("d")).distinct())
+    last = quarters.agg(F.max("d").alias("d"))
+    payload = F.to_json(F.struct(F.col("d").cast("string").alias("runDate")))
+    data = F.base64(F.encode(payload, "UTF-8"))
+    (quarters.withColumn("again", F.lit(0)).unionByName(last.withColumn("again", F.lit(1)))
+     .orderBy("again", F.desc("d")).coalesce(1)
+     .select(F.to_json(F.struct(F.struct(data.alias("data")).alias("message"))).alias("value"))
+     .write.text(f"{root}/landing"))
+    store, runs_seen = TableStore(spark, f"{root}/store"), []
+
+    def runner(run_date) -> None:
+        runs_seen.append(run_date)
+        store.append("measure_run", run_started(spark, f"r-{len(runs_seen)}", run_date, BUNDLE_OBJECT_TIME))
+
+    run_requests_stream(spark, f"{root}/landing", f"{root}/state", runner, today=RUN_DATE).awaitTermination()
+    return store.read_log("measure_run", LOG_SCHEMA).select("id", "run_date", "status")
+
+
 def streamed_patients(spark, sf_dir) -> DataFrame:
     """Census bundles as files, through the file stream into the store, then the latest versions."""
     root = scratch_path(spark, "stream")
@@ -191,6 +227,8 @@ INGEST_QUERIES = {
     "document_references": document_references,
     "quarantine": quarantine,
     "visit_rewrites": visit_rewrites,
+    "bundle_files": bundle_files,
+    "request_runs": request_runs,
     "streamed_patients": streamed_patients,
     "ingest_results": ingest_results,
     "outcome_classification": outcome_classification,

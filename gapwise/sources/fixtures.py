@@ -164,6 +164,11 @@ def _entry(full_url: Column, resource: Column, method: str, url: Column) -> Colu
                               F.struct(F.lit(method).alias("method"), url.alias("url")).alias("request")))
 
 
+def _landed(orders: DataFrame) -> DataFrame:
+    """Orders dealt out by key: objects land in many files, the test table is a single one."""
+    return orders.repartition("o_orderkey")
+
+
 def procedure_object_name() -> Column:
     """Object name of a line item's bundle, without its suffix."""
     return F.concat(F.lit("bundles/procedure-"), F.col("l_orderkey").cast("string"), F.lit("-"),
@@ -175,7 +180,7 @@ def procedure_object_name() -> Column:
 def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(object_name, object_time, body)`` bundle documents, one per order and one
     per line item; a narrow map over ``orders`` plus the Procedure join."""
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    o = _landed(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate"))
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     v = F.when(ck % 5 == 0, F.lit(1)).otherwise(F.lit(0))
     birth = F.when(ck % 97 == 0, F.lit("1950")).otherwise(
@@ -248,7 +253,7 @@ def bundle_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # names no entry, 1 an absolute versioned reference, else the Patient's urn.
 # Observation subject: every third a Group. Every 50th (remainder 7) is cut off.
 def visit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    o = _landed(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate"))
     k, ck = F.col("o_orderkey"), F.col("o_custkey").cast("string")
     kt = k.cast("string")
     patient_urn, encounter_urn = F.concat(F.lit("urn:uuid:p-"), ck), F.concat(F.lit("urn:uuid:en-"), kt)

@@ -540,6 +540,13 @@ SELECT 'visits/order-' || o_orderkey || '.json' AS object_name, 'malformed JSON'
     "visit_rewrites": """
 SELECT 'visits/order-' || o_orderkey || '.json' AS object_name, 6 AS entries, 3 AS rewritten, 3 AS left_as_is,
        1 AS created, 1 AS without_resource FROM orders WHERE o_orderkey % 50 <> 7""",
+    "bundle_files": """
+SELECT 'census_group-' || (c_custkey // 50) || '.json' AS object_name, count(*) AS resource_count
+FROM customer GROUP BY 1""",
+    "request_runs": """
+SELECT 'r-' || row_number() OVER (ORDER BY again, d DESC) AS id, d AS run_date, 'RUNNING' AS status
+FROM (SELECT DISTINCT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS d, 0 AS again FROM orders
+      UNION ALL SELECT max(CAST(date_trunc('quarter', o_orderdate) AS DATE)), 1 FROM orders)""",
     "streamed_patients": """
 SELECT 'c-' || c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender
 FROM customer""",
