@@ -168,7 +168,8 @@ def with_successor_ranges(docs: DataFrame, ranges: int) -> DataFrame:
     ahead = F.lit(None).cast("int")
     if goes:
         pairs = [x for k, p in goes.items() for x in (F.lit(k), F.lit(p))]
-        ahead = F.try_element_at(F.create_map(*pairs), F.col("_key"))
+        # the map is searched only for the few keys that begin a range
+        ahead = F.when(F.col("_key").isin(list(goes)), F.try_element_at(F.create_map(*pairs), F.col("_key")))
     rows = docs.select(key.alias("_key"), "doc_id", "text").select(
         "*", F.explode(F.filter(F.array(
             F.struct(place.alias("range"), F.lit(0).alias("ahead")),

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwise.llm.arrowtext import map_arrow
+from gapwise.llm.arrowtext import in_share, map_arrow
 
 MIN_BYTES = 1000
 ARCHIVE_BYTES = 4 << 20
@@ -291,7 +291,8 @@ def read_records(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
 def sample_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from the ``SAMPLE_PAGES`` pages whose ids have the smallest hashes."""
-    rows = (pages.where("html is not null and page_id is not null")
+    some = in_share(F.col("page_id"), SAMPLE_PAGES, pages.count())
+    rows = (pages.where("html is not null and page_id is not null").where(some)
             .select(F.xxhash64("page_id").alias("h"), "page_id",
                     F.substring("html", 1, SAMPLE_BYTES // 4).alias("html"))
             .orderBy("h", "page_id", "html").limit(SAMPLE_PAGES).collect())
