@@ -27,7 +27,6 @@ import uuid
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
@@ -56,12 +55,8 @@ class TableStore:
 
     def _optional(self, read, path: str) -> DataFrame | None:
         """The table at ``path``, or None when nothing was written there."""
-        try:
-            return read(path)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                return None
-            raise
+        fs, p = self._fs(path)
+        return read(path) if fs.exists(p) else None
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
