@@ -204,7 +204,7 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
             return F.lit(False)
         return k["a"].isin([a for a, _ in hot]) & k["b"].isin([b for _, b in hot])
 
-    own = F.xxhash64(F.lit(3), F.coalesce(F.col("text"), F.lit("")))
+    own = F.xxhash64(F.lit(3), F.col("doc_id"), F.col("text"))
     cold = F.filter(_keyed(F.col("text"), min_chars), lambda k: ~is_hot(k))
     probes = (docs.select(own.alias("doc"), F.explode(cold).alias("k"))
               .select("doc", "k.a", "k.b"))
