@@ -86,7 +86,7 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form
                         "menu menubar toolbar tablist".split())
 #: Words of class and id values.
 NOISE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion "
+    "ad ads adv advert adverts advertisement advertising adsense adbox adslot adunit adbanner adspace sponsor sponsored sponsors promo promotion "
     "banner cookie cookies consent gdpr notice notices notification alert popup modal overlay lightbox "
     "newsletter subscribe subscription signup login sidebar menu nav navbar navigation navigate breadcrumb "
     "breadcrumbs topbar masthead footer comment comments commentlist disqus respond reply replies share "

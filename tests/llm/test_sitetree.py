@@ -38,7 +38,7 @@ def test_markup_that_is_broken_or_missing():
 
 
 def test_names_of_noise():
-    for name in ("siteNav", "user-comments", "usercomments", "CookieBar", "right_sidebar", "ADS", "adBox", "top-ad2",
+    for name in ("siteNav", "user-comments", "usercomments", "CookieBar", "right_sidebar", "ADS", "adBox", "adslot", "top-ad2",
                  "site-header", "pageFooter"):
         assert _text(f"<p>in</p><div class='{name}'><p>out</p></div>") == "in", name
     for name in ("article-header", "shadow", "lead", "badge", "gradient", "download", "maintext"):
