@@ -149,7 +149,7 @@ def _first_unknown(e: Column) -> Column:
     allowed = F.try_element_at(_known_elements_map(), _entry_type(e))
     keys = F.map_keys(F.try_variant_get(e, "$.resource", "map<string,variant>"))
     bad = F.try_element_at(F.filter(keys, lambda k: ~F.array_contains(
-        allowed, F.regexp_replace(k, "^_", ""))), F.lit(1))
+        allowed, F.when(k.startswith("_"), F.substr(k, F.lit(2))).otherwise(k))), F.lit(1))
     return F.concat(_entry_type(e), F.lit("."), bad)
 
 

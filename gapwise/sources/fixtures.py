@@ -165,8 +165,12 @@ def _entry(full_url: Column, resource: Column, method: str, url: Column) -> Colu
 
 
 def _landed(orders: DataFrame) -> DataFrame:
-    """Orders dealt out by key: objects land in many files, the test table is a single one."""
-    return orders.repartition("o_orderkey")
+    """Orders dealt out by key: objects land in many files, the test table is a single one.
+
+    A number is given, as keys alone are so small that they would be put back into one task.
+    """
+    n = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return orders.repartition(n, "o_orderkey")
 
 
 def procedure_object_name() -> Column:
