@@ -25,6 +25,12 @@ under several addresses), nor is a page's whole text.
 Text inside a block element forms a block: character references decoded, white
 space turned into single blanks, trimmed; blocks are joined by two line breaks.
 
+A class or id word is weaker evidence than a tag or role. It takes no branch
+that holds the ``main`` element, the page's only articles, or more than half of
+the text that the host's entropy leaves; nor branches named by a class that
+together hold that much (``elementor-widget``). Where words leave nothing, they
+are not regarded. A ``form`` counts as such a word (it may enclose a page).
+
 Edge cases: null or empty html gives an empty text; unclosed, wrongly nested
 and unknown tags, an unclosed comment or script never fail; a null url or one
 without a host belongs to no site; repeated rows get equal results; an empty
@@ -80,7 +86,7 @@ _IN_HEAD = frozenset("base link meta title style script noscript template".split
 _BARE = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th blockquote pre figcaption article main".split())
 
 NOISE_TAGS = frozenset(
-    "head nav footer aside form script style noscript template iframe object svg canvas button select "
+    "head nav footer aside script style noscript template iframe object svg canvas button select "
     "textarea dialog menu title search datalist fieldset audio video map".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog "
                         "menu menubar toolbar tablist".split())
@@ -99,14 +105,23 @@ ARTICLE_WORDS = frozenset("article post entry story content main body text".spli
 
 
 class _Open:
-    __slots__ = ("tag", "path", "noise", "article", "main", "bare", "children", "link")
+    __slots__ = ("tag", "path", "noise", "article", "main", "bare", "children", "link", "mark")
 
-    def __init__(self, tag, path, noise, article, main, bare, link):
+    def __init__(self, tag, path, noise, article, main, bare, link, mark):
         self.tag, self.path, self.noise, self.article, self.main = tag, path, noise, article, main
-        self.bare, self.link = bare, link
+        self.bare, self.link, self.mark = bare, link, mark
         self.children: list[str] = []
 
 
+class Mark:
+    """An element whose class or id words name noise; ``up`` is the next one around it."""
+    __slots__ = ("up", "number", "names", "main", "article")
+
+    def __init__(self, up: Mark | None, number: int, names: tuple[str, ...]):
+        self.up, self.number, self.names = up, number, names
+        self.main = self.article = False
+
+
 _paths: dict[tuple[int, str], int] = {}
 
 
@@ -124,42 +139,55 @@ def _path(parent: int, key: str) -> int:
     return _paths[at]
 
 
-def _style(tag: str, raw: str) -> tuple[str, bool, bool, bool]:
-    """Style key of an element, whether it is noise, the main content, and the article."""
+def _marks(tag: str, names: list[str], words: set[str]) -> tuple[str, ...]:
+    """The class and id names that speak for noise."""
+    def speaks(name: str) -> bool:
+        own = {w.lower() for w in _WORDS.findall(name)}
+        if tag == "article":
+            return bool(own & {"reply", "comment"})
+        return (bool(own & NOISE_WORDS) or any(NOISE_PARTS.search(w) for w in own)
+                or "header" in own and not words & ARTICLE_WORDS)
+
+    return tuple(n.lower() for n in names if speaks(n))
+
+
+def _style(tag: str, raw: str) -> tuple[str, bool, bool, bool, tuple[str, ...]]:
+    """Style key of an element, whether it is noise, the main content, the article, and its noise names."""
     noise, article, main = tag in NOISE_TAGS, tag == "article", tag == "main"
+    marks = ("<form>",) if tag == "form" else ()
     if not raw or raw.isspace():
-        return tag, noise, main, article
+        return tag, noise, main, article, marks
     found = {}
     for m in _ATTRIBUTE.finditer(raw):
         found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
-    named = [w.lower() for a in ("class", "id") for w in _WORDS.findall(found.get(a, ""))]
-    key = ".".join([tag, *sorted(set(named))])
+    names = [n for a in ("class", "id") for n in found.get(a, "").split()]
+    words = {w.lower() for n in names for w in _WORDS.findall(n)}
+    key = ".".join([tag, *sorted(words)])
     role = found.get("role", "").lower()
     if tag not in ("html", "body", "main"):
-        words = set(named)
         noise |= role in NOISE_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
         noise |= "display:none" in found.get("style", "").replace(" ", "").lower()
-        noise |= bool(words & NOISE_WORDS) and tag != "article" or "reply" in words
-        noise |= any(NOISE_PARTS.search(w) for w in words)
-        noise |= bool(words & {"header"}) and not words & ARTICLE_WORDS
+        if words:
+            marks += _marks(tag, names, words)
     main |= role == "main"
     article |= role == "article" or "articlebody" in found.get("itemprop", "").lower()
-    return key, noise, main, article
+    return key, noise, main, article, marks
 
 
 class Block:
-    __slots__ = ("path", "text", "noise", "article", "main", "bare", "links")
+    __slots__ = ("path", "text", "noise", "article", "main", "bare", "links", "mark")
 
     def __init__(self, at: _Open, text: str, links: int):
-        self.path, self.text, self.noise = at.path, text, at.noise
+        self.path, self.text, self.noise, self.mark = at.path, text, at.noise, at.mark
         self.article, self.main, self.bare, self.links = at.article, at.main, at.bare, links
 
 
 def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
     """The text blocks of a page in page order, and (path, child sequence) of its elements."""
-    root = _Open("", 0, False, False, False, False, False)
+    root = _Open("", 0, False, False, False, False, False, None)
     stack, blocks, layouts, parts = [root], [], [], []
-    links, pos, size = 0, 0, len(html)
+    beside: list[tuple[str, Mark]] = []
+    links, pos, size, marked = 0, 0, len(html), 0
 
     def flush() -> None:
         nonlocal links
@@ -170,6 +198,14 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
                 at = next(e for e in reversed(stack) if e.tag in BLOCK or e.tag == "")
                 blocks.append(Block(at, text, links))
             links = 0
+        if beside:
+            text = " ".join(unescape("".join(x for x, _ in beside)).split())
+            if text:
+                at = next(e for e in reversed(stack) if e.tag in BLOCK or e.tag == "")
+                b = Block(at, text, 0)
+                b.path, b.mark = _path(at.path, "~"), beside[-1][1]
+                blocks.append(b)
+            beside.clear()
 
     def close(depth: int) -> None:
         while len(stack) > depth:
@@ -185,6 +221,9 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
         owner = next(e for e in reversed(stack) if e.tag in BLOCK or e.tag == "")
         if top.noise and not owner.noise:
             return  # an advert or button inside a line of text
+        if top.mark is not owner.mark:
+            beside.append((text, top.mark))
+            return
         parts.append(text)
         if top.link:
             links += len(text)
@@ -230,7 +269,7 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
         elif tag == "br":
             parts.append(" ") if parts else None
         top = stack[-1]
-        key, noise, main, article = _style(tag, raw)
+        key, noise, main, article, names = _style(tag, raw)
         if tag == "header" and not (top.article or top.main):
             noise = True
         if not top.children or top.children[-1] != key:
@@ -240,16 +279,75 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
                 end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(html, pos)
                 pos = end.end() if end else size
             continue
+        mark = top.mark
+        if names:
+            mark, marked = Mark(mark, marked, names), marked + 1
+        if mark is not None:
+            mark.main |= main
+            mark.article |= article
         stack.append(_Open(tag, _path(top.path, key) if block else top.path, top.noise or noise,
-                           top.article or article, top.main or main, key in _BARE, top.link or tag == "a"))
+                           top.article or article, top.main or main, key in _BARE, top.link or tag == "a",
+                           mark))
     flush()
     close(1)
     return blocks, layouts
 
 
+def _weight(text: str) -> int:
+    """Words of a text, or their number by its length where blanks do not part words."""
+    return max(text.count(" ") + 1, len(text) // 8)
+
+
+def _weights(blocks: list[Block], noise: frozenset[int] | set[int]) -> list[int]:
+    """How much each block says for the place of the main text: links and template text nothing."""
+    plain = [0 if b.links >= 0.8 * len(b.text) else _weight(b.text) for b in blocks]
+    own = [0 if b.path in noise else n for b, n in zip(blocks, plain)]
+    return own if any(own) else plain
+
+
+def _unmarked(blocks: list[Block], noise: frozenset[int] | set[int]) -> list[Block]:
+    """The blocks that no class or id word takes."""
+    if all(b.mark is None for b in blocks):
+        return blocks
+    held: dict[Mark, int] = {}
+    total = 0
+    for b, n in zip(blocks, _weights(blocks, noise)):
+        total += n
+        if b.mark is not None:
+            held[b.mark] = held.get(b.mark, 0) + n
+            up = b.mark.up
+            while up is not None and up not in held:
+                held[up], up = 0, up.up
+    marks = sorted(held, key=lambda m: m.number)
+    main, article = ({m for m in marks if m.main}, {m for m in marks if m.article})
+    for m in reversed(marks):
+        if m.up is not None:
+            held[m.up] += held[m]
+            main |= {m.up} if m in main else set()
+            article |= {m.up} if m in article else set()
+    named: dict[str, int] = {}
+    for m in marks:
+        around, up = set(), m.up
+        while up is not None:
+            around.update(up.names)
+            up = up.up
+        for name in set(m.names) - around:
+            named[name] = named.get(name, 0) + held[m]
+    most = [x for x, n in named.items() if 2 * n > total]
+    heads = tuple(x + c for x in most for c in "-_")
+    only = not any((b.article or b.main) and b.mark is None for b in blocks)
+    taken: set[Mark] = set()
+    for m in marks:
+        spared = (m in main or 2 * held[m] > total or only and m in article and 3 * held[m] >= total > 0
+                  or all(x in most or heads and x.startswith(heads) for x in m.names))
+        if m.up in taken or not spared:
+            taken.add(m)
+    return [b for b in blocks if b.mark not in taken] or blocks
+
+
 def main_text(blocks: list[Block], noise: frozenset[int] | set[int]) -> str:
     """The page's main text, given the noise paths of its host."""
-    some = [b for b in blocks if not b.noise]
+    some = _unmarked([b for b in blocks if not b.noise], noise)
     article = [b for b in some if b.article] or [b for b in some if b.main]
     inside = bool(article)
     some = article or [b for b in some if b.links < 0.8 * len(b.text)] or some

@@ -45,6 +45,23 @@ def test_names_of_noise():
         assert _text(f"<p>in</p><div class='{name}'><p>also</p></div>") == "in\n\nalso", name
 
 
+def test_noise_words_on_a_wrapper_do_not_take_the_article():
+    body = "<h1>Title</h1><p>A first paragraph of text.</p><p>And a second one.</p>"
+    want = "Title\n\nA first paragraph of text.\n\nAnd a second one."
+    for html in (f"<div class='content-sidebar-wrap'><main>{body}</main><div class='sidebar'>Side</div></div>",
+                 f"<div class='overflow-hidden'><article>{body}</article></div><div class='cookie-bar'>Cookies</div>",
+                 f"<div class='elementor-widget-container'>{body}</div><div class='menu'>Menu</div>",
+                 f"<article class='post comments-open'>{body}</article>",
+                 f"<main><article class='post comments-open'>{body}</article></main><div id='comments'>First!</div>",
+                 f"<form id='aspnetForm'>{body}<div class='sidebar'>Side</div></form>",
+                 "<div class='elementor-widget elementor-widget-heading'><h1>Title</h1></div>"
+                 "<div class='elementor-widget elementor-widget-text'><p>A first paragraph of text.</p>"
+                 "<p>And a second one.</p></div><div class='sidebar elementor-widget'>Side</div>"):
+        assert _text(html) == want, html
+    assert _text("<div class='hidden-xs'><p>all there is</p></div>") == "all there is"
+    assert _text("<p><span class='widget'>all there is</span></p>") == "all there is"
+
+
 def _site(n, host="h"):
     return [(i, f"http://{host}/p/{i}", f"""<body><div class="box">Welcome to our site</div>
       <div class="body"><p>Own text number {i}.</p><p>And {i * 7} more words.</p><div class="tagline">Always fresh</div>
