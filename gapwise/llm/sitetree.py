@@ -17,8 +17,9 @@ burden on a single task.
 
 Entropy cannot tell menus and adverts that change from page to page, nor judge
 hosts with few pages. So a node's tag, role, class and id words also mark
-branches as noise (``NOISE_TAGS``, ``NOISE_WORDS``), and a page that has an
-``article`` (else ``main``) element keeps what lies in it. Plain text elements
+branches as noise (``NOISE_TAGS``, ``NOISE_WORDS``), and a page keeps only what lies in
+its ``main`` (else its articles) if that is at least half of the text that is
+neither marked, nor links, nor template. Plain text elements
 inside the article are never removed by entropy (a host may show one article
 under several addresses), nor is a page's whole text.
 
@@ -27,8 +28,9 @@ space turned into single blanks, trimmed; blocks are joined by two line breaks.
 
 A class or id word is weaker evidence than a tag or role. It takes no branch
 that holds the ``main`` element, the page's only articles, or more than half of
-the text that the host's entropy leaves; nor branches named by a class that
-together hold that much (``elementor-widget``). Where words leave nothing, they
+the text that the host's entropy leaves (nine tenths beside an article or
+``main`` that no word marks); nor branches named by a class that together hold
+that much (``elementor-widget``). Where words leave nothing, they
 are not regarded. A ``form`` counts as such a word (it may enclose a page).
 
 Edge cases: null or empty html gives an empty text; unclosed, wrongly nested
@@ -333,24 +335,38 @@ def _unmarked(blocks: list[Block], noise: frozenset[int] | set[int]) -> list[Blo
             up = up.up
         for name in set(m.names) - around:
             named[name] = named.get(name, 0) + held[m]
-    most = [x for x, n in named.items() if 2 * n > total]
-    heads = tuple(x + c for x in most for c in "-_")
     only = not any((b.article or b.main) and b.mark is None for b in blocks)
+
+    def much(n: int, alone: bool) -> bool:
+        return 2 * n > total if alone else 10 * n > 9 * total
+
+    most = [x for x, n in named.items() if much(n, only)]
+    heads = tuple(x + c for x in most for c in "-_")
     taken: set[Mark] = set()
     for m in marks:
-        spared = (m in main or 2 * held[m] > total or only and m in article and 3 * held[m] >= total > 0
+        spared = (m in main or much(held[m], only or m in article) or only and m in article and 3 * held[m] >= total > 0
                   or all(x in most or heads and x.startswith(heads) for x in m.names))
         if m.up in taken or not spared:
             taken.add(m)
     return [b for b in blocks if b.mark not in taken] or blocks
 
 
+def _inside(blocks: list[Block], noise: frozenset[int] | set[int]) -> list[Block]:
+    """The blocks in ``main``, else in any article or ``main``, if they hold half of the text."""
+    weights = _weights(blocks, noise)
+    for holds in (lambda b: b.main, lambda b: b.article or b.main):
+        if 2 * sum(n for b, n in zip(blocks, weights) if holds(b)) >= sum(weights):
+            found = [b for b in blocks if holds(b)]
+            if found:
+                return found
+    return []
+
+
 def main_text(blocks: list[Block], noise: frozenset[int] | set[int]) -> str:
     """The page's main text, given the noise paths of its host."""
     some = _unmarked([b for b in blocks if not b.noise], noise)
-    article = [b for b in some if b.article] or [b for b in some if b.main]
-    inside = bool(article)
-    some = article or [b for b in some if b.links < 0.8 * len(b.text)] or some
+    inside = _inside(some, noise)
+    some = inside or [b for b in some if b.links < 0.8 * len(b.text)] or some
     kept = [b for b in some if b.path not in noise or inside and b.bare]
     return "\n\n".join(b.text for b in kept or some)
 

@@ -62,6 +62,19 @@ def test_noise_words_on_a_wrapper_do_not_take_the_article():
     assert _text("<p><span class='widget'>all there is</span></p>") == "all there is"
 
 
+def test_an_article_is_evidence_not_a_verdict():
+    body = "".join(f"<p>Paragraph number {i} of the story.</p>" for i in range(20))
+    text = "\n\n".join(f"Paragraph number {i} of the story." for i in range(20))
+    more = "<div class='more'><article><h3>Other story</h3></article></div>"
+    assert _text(f"<main><h1>T</h1>{body}{more}</main><div>Imprint</div>") == f"T\n\n{text}\n\nOther story"
+    assert _text(f"<div><h1>T</h1>{body}</div>{more}") == f"T\n\n{text}\n\nOther story"
+    assert _text(f"<main><h1>T</h1><p>Intro</p><article>{body}</article></main>") == f"T\n\nIntro\n\n{text}"
+    assert _text(f"<main>{body}</main>{more}") == text
+    assert _text(f"<div class='sidebar-left'>{body}</div>{more}") == f"{text}\n\nOther story"
+    assert _text("<div class='ad'>Buy five of these now</div><article><h1>T</h1><p>T</p></article>") == "T\n\nT"
+    assert _text(f"<article>{body}</article><article><p>Short</p></article><div>x</div>") == f"{text}\n\nShort"
+
+
 def _site(n, host="h"):
     return [(i, f"http://{host}/p/{i}", f"""<body><div class="box">Welcome to our site</div>
       <div class="body"><p>Own text number {i}.</p><p>And {i * 7} more words.</p><div class="tagline">Always fresh</div>
