@@ -10,7 +10,9 @@ fall together. For a node that ``m`` pages have:
   log_m of the number of pages with that text (0: every page has the same text).
 
 A branch of which both fall below ``THRESHOLD`` is template noise and is removed
-from each page of the host, if at least ``MIN_PAGES`` pages have it. The tree is
+from each page of the host, if at least ``MIN_PAGES`` pages have it. Pages of a
+host whose own text (what no tag, role or word marks) is the same count as one,
+so the copies of an article do not look like template. The tree is
 only ever held as counts (host, node, feature, pages): tasks count their own
 pages first, sums are then shuffled, so a host with a third of all pages is no
 burden on a single task.
@@ -19,9 +21,9 @@ Entropy cannot tell menus and adverts that change from page to page, nor judge
 hosts with few pages. So a node's tag, role, class and id words also mark
 branches as noise (``NOISE_TAGS``, ``NOISE_WORDS``), and a page keeps only what lies in
 its ``main`` (else its articles) if that is at least half of the text that is
-neither marked, nor links, nor template. Plain text elements
-inside the article are never removed by entropy (a host may show one article
-under several addresses), nor is a page's whole text.
+neither marked, nor links, nor template. Entropy never removes what lies in
+an article chosen so, nor the plain text elements (whatever their class) of a
+``main``, nor a page's whole text.
 
 Text inside a block element forms a block: character references decoded, white
 space turned into single blanks, trimmed; blocks are joined by two line breaks.
@@ -48,6 +50,7 @@ from collections.abc import Iterator
 from html import unescape
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -288,7 +291,7 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
             mark.main |= main
             mark.article |= article
         stack.append(_Open(tag, _path(top.path, key) if block else top.path, top.noise or noise,
-                           top.article or article, top.main or main, key in _BARE, top.link or tag == "a",
+                           top.article or article, top.main or main, tag in _BARE, top.link or tag == "a",
                            mark))
     flush()
     close(1)
@@ -367,7 +370,7 @@ def main_text(blocks: list[Block], noise: frozenset[int] | set[int]) -> str:
     some = _unmarked([b for b in blocks if not b.noise], noise)
     inside = _inside(some, noise)
     some = inside or [b for b in some if b.links < 0.8 * len(b.text)] or some
-    kept = [b for b in some if b.path not in noise or inside and b.bare]
+    kept = [b for b in some if b.path not in noise or inside and (b.article or b.bare)]
     return "\n\n".join(b.text for b in kept or some)
 
 
@@ -381,8 +384,41 @@ def host_of(url: str | None) -> str:
 _PAGE, _CONTENT, _LAYOUT = 0, 1, 2
 
 
+def _own_text(blocks: list[Block]) -> int:
+    """What pages with the same text of their own have in common."""
+    own = [b.text for b in blocks if not b.noise and b.mark is None]
+    return _hash("\n\n".join(own or [b.text for b in blocks]))
+
+
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """(host, features): one page of those of a host that have the same text of their own.
+
+    ``features`` holds its (path, kind, feature) triples as 64-bit integers; of copies
+    that differ elsewhere the one with the smallest bytes stands for all.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts, own, features = [], [], []
+            for url, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                host = host_of(url)
+                if not host or not html:
+                    continue
+                blocks, layouts = parse(html)
+                seen = {(x.path, _CONTENT, _hash(x.text)) for x in blocks}
+                seen |= {(path, _LAYOUT, layout) for path, layout in layouts}
+                hosts.append(host)
+                own.append(_own_text(blocks))
+                features.append(np.array(sorted(seen), np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(own, pa.int64()), pa.array(features, pa.binary())],
+                names=["host", "own", "features"])
+
+    return (map_arrow(pages.select("url", "html"), run, "host string, own bigint, features binary")
+            .groupBy("host", "own").agg(F.min("features").alias("features")))
+
+
 def count_features(pages: DataFrame) -> DataFrame:
-    """(host, path, kind, feature, n): pages of a host with a feature of a node, summed per task."""
+    """(host, path, kind, feature, n): distinct pages of a host with a feature of a node, summed per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(counts: Counter) -> pa.RecordBatch:
             host, path, kind, feature = zip(*counts)
@@ -393,13 +429,8 @@ def count_features(pages: DataFrame) -> DataFrame:
 
         counts: Counter = Counter()
         for b in batches:
-            for url, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                host = host_of(url)
-                if not host or not html:
-                    continue
-                blocks, layouts = parse(html)
-                seen = {(host, x.path, _CONTENT, _hash(x.text)) for x in blocks}
-                seen |= {(host, path, _LAYOUT, layout) for path, layout in layouts}
+            for host, features in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                seen = {(host, *x) for x in np.frombuffer(features, np.int64).reshape(-1, 3).tolist()}
                 seen |= {(host, path, _PAGE, 0) for _, path, _, _ in seen}
                 counts.update(seen)
                 if len(counts) > 100_000:
@@ -408,7 +439,7 @@ def count_features(pages: DataFrame) -> DataFrame:
         if counts:
             yield rows(counts)
 
-    return (map_arrow(pages.select("url", "html"), run,
+    return (map_arrow(distinct_pages(pages).select("host", "features"), run,
                       "host string, path bigint, kind int, feature bigint, n bigint")
             .groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n")))
 

@@ -110,6 +110,27 @@ def test_copies_of_an_article_keep_their_text(spark):
     assert got[0] == "Head\n\nSame text" and got[50] == "all alike"
 
 
+def test_copies_keep_a_body_in_any_element(spark):
+    one = "<div>Our site</div><article><h1 class='entry-title'>T</h1><div class='text'>body</div></article>"
+    rows = [(i, f"http://h/{i}", one) for i in range(9)]
+    # distinct pages whose article has the same lead on each: it is the article's
+    rows += [(400 + i, f"http://f/{i}", f"<div class='top'>Our site</div><article><p class='lead'>Our lead</p>"
+              f"<section>Story {i} of this host</section></article>") for i in range(9)]
+    got = {r.page_id: r.text for r in sitetree.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert {got[i] for i in range(9)} == {"T\n\nbody"}
+    for i in range(9):
+        assert got[400 + i] == f"Our lead\n\nStory {i} of this host"
+
+
+def test_groups_of_copies_without_an_article_are_no_template(spark):
+    pages = spark.range(10_000).select(
+        F.col("id").alias("page_id"), F.format_string("http://g/%d", "id").alias("url"),
+        F.format_string("<nav>Menu %d</nav><div class='top'>Our site</div><div><p>Group %d of a text</p>"
+                        "<p class='lead'>Lead %d of it</p></div>", "id", F.col("id") % 5, F.col("id") % 5).alias("html"))
+    got = {(r.text, r["count"]) for r in sitetree.extract(pages).groupBy("text").count().collect()}
+    assert got == {(f"Group {i} of a text\n\nLead {i} of it", 2000) for i in range(5)}
+
+
 def test_importance_against_a_direct_computation(spark):
     import math
     rows = _site(10)
