@@ -7,10 +7,15 @@ leading skippable frame, finds the end of each frame from its block headers,
 and decodes frame by frame, so a damaged record does not hide the others. It
 checks the WARC version line, required headers, Content-Length against the
 block, the record's end, the HTTP length against the payload and the payload's
-SHA-1. What fails is a row with ``error`` set, never a dropped row.
+SHA-1 (the last two not of truncated or segmented records). What fails is a row
+with ``error`` set, never a dropped row. Only a block of Content-Type
+application/http has an HTTP head before its payload; other blocks (warcinfo,
+metadata, resource, conversion) are payload whole. A revisit may name what it
+refers to by id, by target URI (``refers_to_url``), or not at all.
 
 Archives are rows (archive, content): those that ``write_archives`` makes, or
-``spark.read.format("binaryFile")`` over *.warc.zst files. An archive is closed
+``spark.read.format("binaryFile")`` over *.warc.zst files (their ``path`` is the
+archive's name). An archive is closed
 at ``ARCHIVE_BYTES`` of compressed records, so a task holds one small archive.
 
 Equal payloads: of pages whose payloads of at least ``MIN_BYTES`` bytes are
@@ -31,6 +36,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 from collections.abc import Iterator
 
@@ -54,6 +60,9 @@ _FRAME_MAGIC = 0xFD2FB528
 _ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _END = b"\r\n\r\n"
+#: Servers also end HTTP head lines with a bare line feed.
+_HTTP_END = re.compile(rb"\r?\n\r?\n")
+_HTTP_LENGTH = re.compile(rb"^content-length[ \t]*:[ \t]*(\d+)[ \t]*\r?$", re.I | re.M)
 
 
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
@@ -121,6 +130,9 @@ def _headers(head: bytes) -> tuple[str, dict[str, str]]:
     first, *lines = head.decode("utf-8").split("\r\n")
     out = {}
     for line in lines:
+        if line[:1] in (" ", "\t") and out:
+            out[name.strip().lower()] += " " + line.strip()
+            continue
         name, colon, value = line.partition(":")
         if not colon or not name.strip():
             raise ValueError(f"bad header line {line[:60]!r}")
@@ -132,6 +144,23 @@ def _bare(uri: str | None) -> str | None:
     return uri.strip("<>") if uri else None
 
 
+def _split_http(block: bytes) -> tuple[int | None, bytes]:
+    """The length that the HTTP head of a block names, and the payload after it."""
+    end = _HTTP_END.search(block)
+    if not end:
+        raise ValueError("block without HTTP header end")
+    length = _HTTP_LENGTH.search(block, 0, end.end())
+    return int(length[1]) if length else None, block[end.end():]
+
+
+def _sha1(named: str) -> str | None:
+    """The hex digits of a digest header, which has them in base 32 or hex; None if it is no SHA-1."""
+    algorithm, _, value = named.partition(":")
+    if algorithm.lower().replace("-", "") != "sha1":
+        return None
+    return bytes.fromhex(value).hex() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+
+
 def parse_record(raw: bytes) -> dict:
     """The checked fields of one record; ValueError says what is wrong with it."""
     head, found, rest = raw.partition(_END)
@@ -148,28 +177,27 @@ def parse_record(raw: bytes) -> dict:
     size = int(h["content-length"])
     if len(rest) != size + len(_END) or rest[size:] != _END:
         raise ValueError(f"Content-Length {size} does not match the record")
-    http_head, found, payload = rest[:size].partition(_END)
-    if not found:
-        raise ValueError("block without HTTP header end")
-    length = _headers(http_head)[1].get("content-length")
-    kind = h["warc-type"]
-    if kind == "revisit":
-        if payload:
+    kind, length, payload = h["warc-type"], None, rest[:size]
+    whole = kind != "revisit" and "warc-truncated" not in h and "warc-segment-number" not in h
+    http = h.get("content-type", "").partition(";")[0].strip().lower() == "application/http"
+    if http and (payload or kind != "revisit"):
+        length, payload = _split_http(payload)
+        if kind == "revisit" and payload:
             raise ValueError("revisit record with a payload")
-        if "warc-refers-to" not in h:
-            raise ValueError("revisit record without WARC-Refers-To")
-    elif length is not None and length != str(len(payload)):
-        raise ValueError(f"HTTP Content-Length {length} does not match the payload")
-    digest = None
-    named = h.get("warc-payload-digest", "")
-    if named.startswith("sha1:"):
-        digest = base64.b32decode(named[5:]).hex()
-        if kind != "revisit" and hashlib.sha1(payload).hexdigest() != digest:
-            raise ValueError("payload does not match its digest")
+        if whole and length is not None and length != len(payload):
+            raise ValueError(f"HTTP Content-Length {length} does not match the payload")
+    digest = _sha1(h.get("warc-payload-digest", ""))
+    if whole and digest is not None and hashlib.sha1(payload).hexdigest() != digest:
+        raise ValueError("payload does not match its digest")
+    bare = kind == "revisit" and not payload
+    url = h.get("warc-target-uri")
+    if version == "WARC/1.0" and url and url[0] == "<" and url[-1] == ">":
+        url = url[1:-1]  # as the grammar of 1.0 has it
     return {"record_id": _bare(h["warc-record-id"]), "record_type": kind, "date": h["warc-date"],
-            "url": h.get("warc-target-uri"), "refers_to": _bare(h.get("warc-refers-to")),
-            "payload_bytes": int(length) if length and length.isdigit() else len(payload),
-            "payload_digest": digest, "payload": payload if kind != "revisit" else None}
+            "url": url, "refers_to": _bare(h.get("warc-refers-to")),
+            "refers_to_url": h.get("warc-refers-to-target-uri"),
+            "payload_bytes": length if bare else len(payload),
+            "payload_digest": digest, "payload": None if bare else payload}
 
 
 def read_archive(content: bytes) -> Iterator[dict]:
@@ -255,13 +283,15 @@ def write_archives(records: DataFrame, dictionary: bytes, date: str = DATE) -> D
 _FIELDS = [("offset", pa.int64(), T.LongType()), ("record_id", pa.string(), T.StringType()),
            ("record_type", pa.string(), T.StringType()), ("date", pa.string(), T.StringType()),
            ("url", pa.string(), T.StringType()), ("refers_to", pa.string(), T.StringType()),
+           ("refers_to_url", pa.string(), T.StringType()),
            ("payload_bytes", pa.int64(), T.LongType()),
            ("payload_digest", pa.string(), T.StringType()),
            ("payload", pa.binary(), T.BinaryType()), ("error", pa.string(), T.StringType())]
 
 
 def read_records(archives: DataFrame, payloads: bool = True) -> DataFrame:
-    """A row for each record of ``archives(archive, content)``; ``payloads`` False leaves those null."""
+    """A row for each record of ``archives(archive, content)``, or of binaryFile rows with their ``path``
+    as the archive; ``payloads`` False leaves those out."""
     fields = [x for x in _FIELDS if payloads or x[0] != "payload"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +316,8 @@ def read_records(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
     schema = T.StructType([T.StructField("archive", T.StringType()),
                            *(T.StructField(f, kind) for f, _, kind in fields)])
-    return map_arrow(archives.select("archive", "content"), run, schema)
+    name = "archive" if "archive" in archives.columns else "path"
+    return map_arrow(archives.select(F.col(name).alias("archive"), "content"), run, schema)
 
 
 def sample_dictionary(pages: DataFrame) -> bytes:

@@ -113,3 +113,54 @@ def test_header_and_length_checks(change):
     assert change[0] in raw
     with pytest.raises(ValueError):
         warczst.parse_record(raw.replace(*change, 1))
+
+
+def _record(kind, block, *headers):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:x:{kind}>", "WARC-Date: 2020-01-01T00:00:00Z",
+            f"Content-Length: {len(block)}", *headers]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_files_with_all_kinds_of_records(spark, tmp_dir):
+    digest = "0123456789012345678901234567890123456789"
+    made = [
+        (_record("warcinfo", b"software: x\r\nformat: WARC", "Content-Type: application/warc-fields"),
+         b"software: x\r\nformat: WARC", 25),
+        (_record("request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n", "Content-Type: application/http; msgtype=request"), b"", 0),
+        (_record("response", b"HTTP/1.1 200 OK\nX-Odd: caf\xe9\nno colon\n\n<p>x", "Content-Type: application/http;msgtype=response",
+                 "WARC-Payload-Digest: sha1:" + hashlib.sha1(b"<p>x").hexdigest()), b"<p>x", 4),
+        (_record("response", b"HTTP/1.1 200 OK\r\nContent-Length: 99\r\n\r\ncut", "Content-Type: application/http",
+                 "WARC-Truncated: length"), b"cut", 3),
+        (_record("resource", b"\x00\r\n\r\n\x01", "Content-Type: image/png", "WARC-Target-URI: <http://h/",
+                 " a>"), b"\x00\r\n\r\n\x01", 6),
+        (_record("metadata", b"", "Content-Type: application/warc-fields"), b"", 0),
+        (_record("conversion", "Only täxt".encode(), "Content-Type: text/plain", "WARC-Refers-To: <urn:x:response>"),
+         "Only täxt".encode(), 10),
+        (_record("revisit", b"HTTP/1.1 200 OK\r\nContent-Length: 7\r\n\r\n", "Content-Type: application/http; msgtype=response",
+                 "WARC-Refers-To-Target-URI: http://h/first", f"WARC-Payload-Digest: sha1:{digest}"), None, 7),
+        (_record("revisit", b""), None, None),
+    ]
+    samples = [b"some words that come again %d " % i * 20 for i in range(300)]
+    dictionary = warczst.train_dictionary(samples, 4096)
+    for name, known in (("a", b""), ("b", dictionary)):
+        packer = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(known) if known else None)
+        with open(f"{tmp_dir}/{name}.warc.zst", "wb") as f:
+            f.write(warczst.dictionary_frame(known) + b"".join(packer.compress(raw) for raw, _, _ in made))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(tmp_dir)
+    read = warczst.read_records(files).orderBy("archive", "offset").collect()
+    assert [r.error for r in read] == [None] * 2 * len(made)
+    assert [r.archive.rsplit("/", 1)[1] for r in read] == ["a.warc.zst"] * len(made) + ["b.warc.zst"] * len(made)
+    assert [(None if r.payload is None else bytes(r.payload), r.payload_bytes) for r in read] == [x[1:] for x in made] * 2
+    assert read[7].refers_to is None and read[7].refers_to_url == "http://h/first" and read[7].payload_digest == digest
+    assert read[6].refers_to == "urn:x:response" and read[4].url == "http://h/ a"
+
+
+def test_archives_written_to_files_read_back(spark, tmp_dir):
+    rows = _rows()
+    pages = spark.createDataFrame(rows, PAGES)
+    archives = warczst.write_archives(warczst.plan_records(pages), warczst.sample_dictionary(pages))
+    for r in archives.collect():
+        with open(f"{tmp_dir}/{r.archive}", "wb") as f:
+            f.write(r.content)
+    read = warczst.read_records(spark.read.format("binaryFile").load(tmp_dir), payloads=False)
+    assert read.where("error is null").count() == read.count() == len(rows)
