@@ -9,14 +9,15 @@ last byte; matches are mapped to word numbers and from there to code point
 offsets of the original text.
 
 The benchmark is a stated query set. Its windows are cut into blocks of at
-most ``MAX_PATTERN_BYTES`` pattern bytes, so one automaton has a bounded size,
-and every block is scanned against every document. One block holds some
-50,000 windows; a larger benchmark takes several passes, with the rows written to
+most ``MAX_PATTERN_BYTES`` bytes of patterns and item ids, so one automaton has
+a bounded size (the ids of a window that many items share are dealt to several
+blocks), and every block is scanned against every document. One block holds some
+45,000 windows; a larger benchmark takes several passes, with the rows written to
 the shared checkpoint folder in between.
 
 Edge cases: a null text has no words and is never contaminated; items without
-words and items with a null item_id have no windows; repeated items count
-once; repeated documents get equal results; an empty benchmark or table gives
+words have no windows; items with a null item_id hit like others and count as
+one item, but add no id to ``items``; repeated items count once; repeated documents get equal results; an empty benchmark or table gives
 no hits or no rows; further columns of the documents are not touched.
 """
 
@@ -38,6 +39,8 @@ from gapwise.session import checkpoint_root
 
 WINDOW = 13
 MAX_PATTERN_BYTES = 4 << 20
+#: Ids of a window that one row holds.
+PART_IDS = 65_536
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A document is contaminated if at least one word in ``SHARE`` is hit.
 SHARE = 20
@@ -65,7 +68,7 @@ def windows(words: list[bytes], size: int = WINDOW) -> set[bytes]:
 class Matcher:
     """The automaton of one block of (window, item ids)."""
 
-    def __init__(self, block: list[tuple[bytes, tuple[str, ...]]]):
+    def __init__(self, block: list[tuple[bytes, tuple[str | None, ...]]]):
         self.items = [ids for _, ids in block]
         self.automaton = ahocorasick.Automaton()
         for i, (window, _) in enumerate(block):
@@ -73,7 +76,7 @@ class Matcher:
         if block:
             self.automaton.make_automaton()
 
-    def find(self, words: list[bytes]) -> tuple[list[int], set[str]]:
+    def find(self, words: list[bytes]) -> tuple[list[int], set[str | None]]:
         """Hit words as first, last, first, last, ... and the items that hit."""
         if not self.items or not words:
             return [], set()
@@ -99,21 +102,46 @@ def merge(first: np.ndarray, last: np.ndarray) -> list[int]:
     return np.stack([starts, stops], axis=1).ravel().tolist()
 
 
+def window_ids(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(w, part, ids, nameless): the distinct windows with their item ids, sorted by w in each partition.
+
+    The ids of a window come in parts of about ``PART_IDS`` at most; ``nameless``
+    says that an item without an id has the window.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if found := sorted(windows(normalise(text.encode()), size)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found, pa.binary()), pa.array([item] * len(found), pa.string())], names=["w", "i"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("i"),
+                             F.col("text").alias("t")).where("t is not null")
+    parts = 1 + items.count() // PART_IDS
+    part = F.pmod(F.xxhash64("i"), F.lit(parts)).cast("int")
+    return (map_arrow(items, run, "w binary, i string").withColumn("part", part)
+            .groupBy("w", "part").agg(F.sort_array(F.collect_set("i")).alias("ids"),
+                                      F.max(F.col("i").isNull()).alias("nameless"))
+            .repartition("w").sortWithinPartitions("w", "part"))
+
+
 def blocks(benchmark: DataFrame, size: int = WINDOW, limit: int = MAX_PATTERN_BYTES
-           ) -> Iterator[list[tuple[bytes, tuple[str, ...]]]]:
-    """The benchmark's windows with their item ids, in blocks of ``limit`` pattern bytes."""
-    held: dict[bytes, set[str]] = {}
+           ) -> Iterator[list[tuple[bytes, tuple[str | None, ...]]]]:
+    """The benchmark's windows with their item ids (None for items without), in blocks of
+    ``limit`` bytes of patterns and ids."""
+    held: dict[bytes, list[str | None]] = {}
     used = 0
-    for row in (benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t"))
-                .where("i is not null and t is not null").toLocalIterator()):
-        for w in windows(normalise(row["t"].encode()), size):
-            if w not in held:
-                if used + len(w) > limit and held:
-                    yield [(k, tuple(v)) for k, v in held.items()]
-                    held, used = {}, 0
-                held[w] = set()
-                used += len(w)
-            held[w].add(row["i"])
+    for row in window_ids(benchmark, size).toLocalIterator():
+        w = bytes(row["w"])
+        for i in [*row["ids"], *([None] if row["nameless"] else [])]:
+            need = len(i.encode()) if i is not None else 0
+            need += len(w) if w not in held else 0
+            if held and used + need > limit:
+                yield [(k, tuple(v)) for k, v in held.items()]
+                held, used = {}, 0
+                need = len(w) + (len(i.encode()) if i is not None else 0)
+            held.setdefault(w, []).append(i)
+            used += need
     yield [(k, tuple(v)) for k, v in held.items()]
 
 
@@ -152,7 +180,7 @@ def _scan_text(text: bytes, matcher: Matcher, before: dict | None) -> dict:
     if before and before["runs"]:
         both = np.array(before["runs"] + runs).reshape(-1, 2)
         runs, items = merge(both[:, 0], both[:, 1]), items | set(before["items"])
-    return {"n_words": len(words), "runs": runs, "items": sorted(items)}
+    return {"n_words": len(words), "runs": runs, "items": sorted(items, key=lambda x: (x is None, x or ""))}
 
 
 def _is_contaminated(found: dict) -> bool:
@@ -212,17 +240,18 @@ def spans_of(text: str, runs: list[int]) -> list[dict]:
 _LOWER = {c: c + 32 for c in range(65, 91)}
 RESULT = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-    T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("items", T.ArrayType(T.StringType())), T.StructField("n_items", T.LongType()),
     T.StructField("spans", T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
     T.StructField("contaminated", T.BooleanType())])
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, spans, contaminated) for ``docs(doc_id, text, ...)``.
+    """(doc_id, n_words, n_hit, items, n_items, spans, contaminated) for ``docs(doc_id, text, ...)``.
 
     ``items`` are the ids of the items with an occurring window, sorted as
-    strings; ``spans`` the hit passages as offsets in the original text.
+    strings, and ``n_items`` their number, with one more for items without an id;
+    ``spans`` the hit passages as offsets in the original text.
     """
     plain = docs.select("doc_id", "text")
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -232,7 +261,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         hits = [sum(f["runs"][1::2]) - sum(f["runs"][::2]) + len(f["runs"]) // 2 for f in found]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([f["n_words"] for f in found], pa.int64()),
-             pa.array(hits, pa.int64()), pa.array([f["items"] for f in found], pa.list_(pa.string())),
+             pa.array(hits, pa.int64()), pa.array([[x for x in f["items"] if x is not None] for f in found],
+                                             pa.list_(pa.string())),
+             pa.array([len(f["items"]) for f in found], pa.int64()),
              pa.array([spans_of(texts[i].as_py(), f["runs"]) if f["runs"] else []
                        for i, f in enumerate(found)], spans),
              pa.array([_is_contaminated(f) for f in found])],

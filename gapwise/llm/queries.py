@@ -32,7 +32,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_contamination(_read(spark, sf_dir, "documents", "doc_id", "text"),
                                         _read(spark, sf_dir, "benchmark", "item_id", "text"))
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 

@@ -81,6 +81,41 @@ def test_drop_keeps_clean_rows_and_columns(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
 
 
+def test_items_without_an_id_hit_as_in_the_sql(spark, tmp_dir):
+    import duckdb
+
+    from gapwise.llm import queries
+    items = [(None, "one two three"), (None, "four five"), (7, "four five"), (8, "six")]
+    docs = [(1, "one two three"), (2, "four five"), (3, "seven " * 30 + "six"), (4, "none")]
+    spark.createDataFrame(items, "item_id bigint, text string").coalesce(1).write.parquet(tmp_dir + "/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1).write.parquet(tmp_dir + "/documents.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_dir}/{t}.parquet/*.parquet'")
+    want = con.execute(decontam.SQL)
+    columns = [c[0] for c in want.description]
+    got = queries.op3_decontamination(spark, tmp_dir).select(*columns)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
+    docs, bench = (spark.read.parquet(f"{tmp_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    found = {r.doc_id: r for r in decontam.find_contamination(docs, bench).collect()}
+    assert [found[i]["items"] for i in range(1, 5)] == [[], ["7"], ["8"], []]
+    assert [found[i].contaminated for i in range(1, 5)] == [True, True, False, False]
+    assert {r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()} == {3, 4}
+
+
+def test_ids_of_a_shared_window_count_for_a_block(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "PART_IDS", 50)
+    bench = spark.createDataFrame([(f"item{i:06}", "the same words") for i in range(300)], "item_id string, text string")
+    monkeypatch.setattr(decontam, "blocks", lambda b, f=decontam.blocks: f(b, limit=1000))
+    made = list(decontam.blocks(bench))
+    assert all(sum(len(w) + sum(map(len, ids)) for w, ids in block) <= 1000 for block in made)
+    assert len(made) > 2 and sorted(i for block in made for _, ids in block for i in ids) == [
+        f"item{i:06}" for i in range(300)]
+    docs = spark.createDataFrame([(1, "the same words"), (2, "other")], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in decontam.find_contamination(docs, bench).collect()}
+    assert len(found[1]["items"]) == found[1].n_items == 300 and found[2].n_items == 0
+
+
 def test_empty_sides(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     found = decontam.find_contamination(documents(spark), none).collect()
