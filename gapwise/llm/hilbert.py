@@ -1,8 +1,9 @@
 """Shards of documents along a Hilbert curve over their metadata.
 
-Size, source and language are quantised to ``2 ** BITS`` cells each, at cut
-points of a percentile sketch over all documents (text values by their first
-seven bytes as a number, which keeps their order). A document's cell has an
+Size, source and language are quantised to ``2 ** BITS`` cells each: size at cut
+points of a percentile sketch over all documents, source and language by their
+whole values, at weighted quantiles of the distinct values or, where these are
+few enough, with a cell for each. A document's cell has an
 index on the Hilbert curve through the cube of cells; documents are sorted by
 that index and the sorted run is cut into shards, so a shard covers a compact
 part of the cube and a filter on any of the dimensions skips most files.
@@ -20,10 +21,11 @@ stay empty; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapwise.operators.ids import dense_index
+from gapwise.session import checkpoint_root
 
 SHARDS = 24
 BITS = 4
@@ -72,13 +74,25 @@ def curve(bits: int = BITS, dimensions: int = DIMENSIONS) -> list[int]:
             for c in range(side**dimensions)]
 
 
-def _number(col: Column) -> Column:
-    """The first seven bytes of a text as a number of the same order; null stays null."""
-    seven = F.rpad(F.substring(F.hex(F.encode(col, "UTF-8")), 1, 14), 14, "0")
-    return F.conv(seven, 16, 10).cast("bigint")
-
-
-def _cell(value: str, cuts: list[int]) -> Column:
+def text_cuts(rows: DataFrame, column: str, side: int) -> list[str]:
+    """At most ``side`` - 1 cut points of a text column: every value, or else its quantiles."""
+    counts = (rows.select(F.col(column).alias("v")).where("v is not null")
+              .groupBy("v").agg(F.count("*").alias("n")))
+    few = counts.select("v").limit(side).collect()
+    if len(few) < side:
+        return [r["v"] for r in few]
+    checkpoint_root(rows.sparkSession)
+    placed = counts.repartitionByRange("v").withColumn("pid", F.spark_partition_id()).checkpoint()
+    sums = placed.groupBy("pid").agg(F.sum("n").alias("n")).withColumn("one", F.lit(1))  # a row a partition
+    before = sums.select("pid", (F.sum("n").over(Window.partitionBy("one").orderBy("pid")) - F.col("n")).alias("before"),
+                         F.sum("n").over(Window.partitionBy("one")).alias("total"))
+    run = F.col("before") + F.sum("n").over(Window.partitionBy("pid").orderBy("v"))
+    cut = (placed.join(F.broadcast(before), "pid").select("v", "n", "total", run.alias("run"))
+           .where(F.expr(f"least((run * {side}) div total, {side - 1}) > ((run - n) * {side}) div total")))
+    return [r["v"] for r in cut.select("v").collect()]
+
+
+def _cell(value: str, cuts: list[int] | list[str]) -> Column:
     """The number of cut points at or below the value; null: 0."""
     return sum((F.coalesce(F.col(value) >= c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
 
@@ -92,11 +106,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) ->
     rows = docs.select(
         "doc_id", (F.octet_length(text) + F.lit(8)).cast("bigint").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("same"),
-        _number(F.col("source").cast("string")).alias("d1"), _number(F.col("lang").cast("string")).alias("d2"))
+        F.col("source").cast("string").alias("d1"), F.col("lang").cast("string").alias("d2"))
     side = 1 << bits
     steps = [i / side for i in range(1, side)]
-    found = rows.agg(*[F.percentile_approx(c, steps, 10_000).alias(c) for c in ("size", "d1", "d2")]).first()
-    cells = [_cell(c, sorted(set(found[c] or []))) for c in ("size", "d1", "d2")]
+    sizes = rows.agg(F.percentile_approx("size", steps, 10_000)).first()[0]
+    cells = [_cell("size", sorted(set(sizes or []))), *[_cell(c, text_cuts(rows, c, side)) for c in ("d1", "d2")]]
     number = (cells[0] * side + cells[1]) * side + cells[2]
     table = F.array(*[F.lit(i) for i in curve(bits)])
     rows = rows.withColumn("curve", F.element_at(table, number + 1))

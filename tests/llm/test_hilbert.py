@@ -50,6 +50,28 @@ def test_shards_cover_less_of_each_dimension_than_by_chance(spark):
     assert sum(skipped) / len(skipped) > 0.25  # in a shuffled order every shard touches nearly every value
 
 
+def test_sources_that_begin_alike_are_told_apart(spark):
+    rng = random.Random(7)
+    for n in (8, 48):
+        name = [f"https://www.example.org/crawl-{i:03}" for i in range(n)]
+        rows = [(i, "x" * rng.randint(1, 5000), "en", rng.choice(name), 1) for i in range(2000)]
+        source, held = {r[0]: r[3] for r in rows}, {}
+        for r in hilbert.shard_documents(documents(spark, rows)).collect():
+            held.setdefault(r.shard, set()).add(source[r.doc_id])
+        assert sum(1 - len(x) / n for x in held.values()) / len(held) > (0.25 if n == 8 else 0.5), n
+
+
+def test_text_cuts_against_a_direct_computation(spark):
+    rng = random.Random(8)
+    values = [f"same-start-{min(int(rng.expovariate(0.05)), 99):02}" for _ in range(1500)] + [None] * 40
+    rows = spark.createDataFrame([(v,) for v in values], "v string").repartition(5)
+    some = sorted(v for v in values if v is not None)
+    want = {some[-(-i * len(some) // 16) - 1] for i in range(1, 16)}
+    assert set(hilbert.text_cuts(rows, "v", 16)) == want
+    assert sorted(hilbert.text_cuts(rows.where("v < 'same-start-09'"), "v", 16)) == sorted(
+        {v for v in some if v < "same-start-09"})
+
+
 def test_small_empty_and_written_tables(spark, tmp_dir):
     assert hilbert.shard_documents(spark.createDataFrame([], SCHEMA)).count() == 0
     few = hilbert.shard_documents(documents(spark, [(1, "a", "en", "s", 1), (2, None, None, None, None)])).collect()
