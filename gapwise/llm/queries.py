@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import (bpe, cws, decontam, hilbert, linededup, quality, setsketch, sitetree, warczst,
-                         wordpiece)
+from gapwise.llm import (bpe, cws, decontam, fim, hilbert, linededup, packing, periodic, quality, setsketch,
+                         sitetree, warczst, wordpiece)
 from gapwise.session import scratch_path
 
 
@@ -80,6 +80,19 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         _read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest_runs(_read(spark, sf_dir, "documents", "doc_id", "text"), loop_tails=True)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.round_trip(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents", "doc_id", "text"),
+                                  _vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -91,10 +104,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_main_text": op9_main_text,
     "op10_shards": op10_shards,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_packing": op13_packing,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": linededup.SQL,
     "op3_decontamination": decontam.SQL,
     "op5_near_duplicates": setsketch.SQL,
     "op6_warc": warczst.SQL,
+    "op12_fill_in_middle": fim.SQL,
 }

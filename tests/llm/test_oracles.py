@@ -14,6 +14,8 @@ COLUMNS = {
     "op8_token_counts": {"doc_id", "n_tokens"},
     "op9_main_text": {"page_id", "url", "text", "n_chars"},
     "op10_shards": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
+    "op11_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                           "collapsed_sha256"},
 }
 
 
@@ -29,7 +31,7 @@ def test_against_sql(spark, name):
     assert sorted((tuple(r) for r in got.select(*columns).collect()), key=str) == sorted(want.fetchall(), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op13_packing"}))
 def test_rows_and_columns(spark, name):
     got = QUERIES[name](spark, SF)
     table = "pages" if name.startswith("op9") else "documents"
