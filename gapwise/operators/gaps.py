@@ -107,6 +107,31 @@ def upsert_gaps(state: DataFrame, evals: DataFrame, now: dt.datetime,
     return j.where(F.col("id").isNotNull()).unionByName(new.select(*COLUMNS)).select(*COLUMNS)
 
 
+def upsert_runs(state: DataFrame, evals: DataFrame, max_id: int | None = None) -> DataFrame:
+    """The state after several runs one after the other, in one join (G2 for a backfill).
+
+    ``evals`` has the evaluations of all runs with ``seq`` (the order of the
+    runs) and ``at`` (the time of the run). What ``upsert_gaps`` does run by run
+    comes to this: the last run that has a key decides its status and date, the
+    first one identifies a new gap, and new ids follow the first run, then the key.
+    """
+    e = evals.withColumn("status", gap_status(F.col("in_numerator"))).groupBy(*KEY).agg(
+        F.max_by(F.struct("status", "last_evidence_date", "at"), "seq").alias("last"),
+        F.min(F.struct("seq", "at")).alias("first"))
+    checkpoint_root(state.sparkSession)
+    evaluated = F.col("e.last").isNotNull()
+    j = state.select(*COLUMNS).alias("s").join(e.alias("e"), KEY, "full_outer").select(
+        F.col("s.id").alias("id"), *KEY, F.coalesce("e.last.status", "s.status").alias("status"),
+        F.when(evaluated, F.col("e.last.last_evidence_date")).otherwise(F.col("s.last_evidence_date"))
+         .alias("last_evidence_date"),
+        F.coalesce("s.first_identified_at", "e.first.at").alias("first_identified_at"),
+        F.coalesce("e.last.at", "s.last_evaluated_at").alias("last_evaluated_at"),
+        F.col("e.first.seq").alias("_seq")).checkpoint()
+    start = (j.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar() if max_id is None else max_id) + 1
+    new = dense_index(j.where("id IS NULL").drop("id"), ["_seq", *KEY], name="id", start=start)
+    return j.where("id IS NOT NULL").select(*COLUMNS).unionByName(new.select(*COLUMNS))
+
+
 def state_stats() -> dict:
     """Aggregates that the store takes while a state is written."""
     return {"max_id": F.max("id")}

@@ -292,19 +292,25 @@ def reference_rows(entries: DataFrame) -> DataFrame:
 
 
 def resolve_documents(entries: DataFrame) -> DataFrame:
-    """``resource`` with every resolvable urn reference replaced by ``Type/id``."""
-    pairs = (reference_rows(entries).where(F.col("target").isNotNull())
-             .groupBy(*BUNDLE, "pos").agg(F.collect_list(F.struct("urn", "target")).alias("_pairs")))
-
-    def quoted(text: Column) -> Column:
-        return F.concat(F.lit('"reference":"'), text, F.lit('"'))
+    """``resource`` with every resolvable urn reference replaced by ``Type/id``.
 
+    The text is cut at its references, their targets are joined in, and the
+    pieces are put together again once: linear in the text, however many
+    references a resource has.
+    """
     has = F.size("urns") > 0
-    text = F.aggregate("_pairs", F.to_json("resource"),
-                       lambda doc, p: F.replace(doc, quoted(p["urn"]), quoted(p["target"])))
-    done = (entries.where(has).join(pairs, [*BUNDLE, "pos"], "left")
-            .withColumn("resource", F.when(F.col("_pairs").isNotNull(), F.parse_json(text))
-                        .otherwise(F.col("resource"))))
+    text = F.to_json("resource")
+    cut = (entries.where(has)
+           .withColumn("_refs", _once(F.regexp_extract_all(text, F.lit(URN_REFERENCE), F.lit(1))))
+           .withColumn("_pieces", F.split(text, URN_REFERENCE)))
+    found = (cut.select(*BUNDLE, "pos", F.posexplode("_refs").alias("_k", "urn"))
+             .join(reference_targets(entries), [*BUNDLE, "urn"], "left")
+             .groupBy(*BUNDLE, "pos").agg(F.sort_array(F.collect_list(
+                 F.struct("_k", F.coalesce("target", "urn").alias("to")))).alias("_to")))
+    written = F.zip_with(F.col("_pieces"), F.col("_to"), lambda piece, to: F.concat(
+        piece, F.coalesce(F.concat(F.lit('"reference":"'), to["to"], F.lit('"')), F.lit(""))))
+    done = (cut.join(found, [*BUNDLE, "pos"])
+            .withColumn("resource", F.parse_json(F.array_join(written, ""))))
     return entries.where(~F.coalesce(has, F.lit(False))).unionByName(done.select(*entries.columns))
 
 

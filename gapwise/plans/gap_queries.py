@@ -54,7 +54,7 @@ class TwoRuns:
         store = TableStore(self.spark, scratch_path(self.spark, "gaps"))
         for evals, now in ((self.evals1, NOW1), (self.evals2, NOW2)):
             state = store.read("care_gap", gaps.CARE_GAP_SCHEMA)
-            store.commit("care_gap", gaps.upsert_gaps(state, evals, now, max_id=store.stats("care_gap").get("max_id", 0)),
+            store.commit("care_gap", gaps.upsert_gaps(state, evals, now, max_id=store.stats("care_gap").get("max_id")),
                          partition_by=["measure_id"], stats=gaps.state_stats())
         return store
 

@@ -7,20 +7,24 @@ one-entry Procedure bundle, so the ingest chain runs over whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.operators import ingest as I
+from gapwise.operators.current import CurrentRows
+from gapwise.operators.replays import VersionLog
 from gapwise.operators.requests import parse_run_requests
-from gapwise.operators.runs import LOG_SCHEMA, run_started
 from gapwise.plans.measures import MeasureTables, evaluate_all
+from gapwise.plans.run import current_run_log, run_backfill
 from gapwise.operators.versions import latest
 from gapwise.session import scratch_path
 from gapwise.sources.bundles import (append_versions, read_bundles, read_resources, read_versions,
                                      write_bundle_files)
 from gapwise.sources.fixtures import (BUNDLE_OBJECT_TIME, EXPECTED_BUCKET, RUN_DATE, bundle_documents, census_documents,
-                                      object_event_texts, procedure_event_texts, run_request_texts,
-                                      store_attempts, visit_documents)
+                                      object_event_texts, procedure_event_texts, roster_documents, run_request_texts,
+                                      star_clinical_tables, stay_versions, store_attempts, visit_documents)
 from gapwise.sources.store import TableStore
 from gapwise.sources.tables import read_table
 from gapwise.streaming.streams import run_requests_stream, stream_bundles
@@ -152,10 +156,9 @@ def bundle_files(spark, sf_dir) -> DataFrame:
 
 def request_runs(spark, sf_dir) -> DataFrame:
     """One run request per quarter of order dates, newest first and the newest twice, through the
-    request stream: a run row for each delivery, in arrival order (G8)."""
+    request stream: every delivery is a finished run with its counts, in arrival order (G8)."""
     root = scratch_path(spark, "requests")
-    quarters = (read_table(spark, sf_dir, "orders", "o_orderdate")
-                .select(F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("d")).distinct())
+    quarters = order_quarters(spark, sf_dir)
     last = quarters.agg(F.max("d").alias("d"))
     payload = F.to_json(F.struct(F.col("d").cast("string").alias("runDate")))
     data = F.base64(F.encode(payload, "UTF-8"))
@@ -163,14 +166,57 @@ def request_runs(spark, sf_dir) -> DataFrame:
      .orderBy("again", F.desc("d")).coalesce(1)
      .select(F.to_json(F.struct(F.struct(data.alias("data")).alias("message"))).alias("value"))
      .write.text(f"{root}/landing"))
-    store, runs_seen = TableStore(spark, f"{root}/store"), []
+    store, tables = TableStore(spark, f"{root}/store"), MeasureTables.of(star_clinical_tables(spark, sf_dir))
+
+    def runner(run_dates, batch_id) -> None:
+        run_backfill(spark, tables, [(f"b{batch_id}-{k + 1}", d, BUNDLE_OBJECT_TIME + dt.timedelta(minutes=k))
+                                     for k, d in enumerate(run_dates)], store)
+
+    run_requests_stream(spark, f"{root}/landing", f"{root}/state", today=RUN_DATE,
+                        batch_runner=runner).awaitTermination()
+    return current_run_log(store).select("id", "run_date", "started_at", "status", "gaps_open", "gaps_closed")
 
-    def runner(run_date) -> None:
-        runs_seen.append(run_date)
-        store.append("measure_run", run_started(spark, f"r-{len(runs_seen)}", run_date, BUNDLE_OBJECT_TIME))
 
-    run_requests_stream(spark, f"{root}/landing", f"{root}/state", runner, today=RUN_DATE).awaitTermination()
-    return store.read_log("measure_run", LOG_SCHEMA).select("id", "run_date", "status")
+def order_quarters(spark, sf_dir) -> DataFrame:
+    return (read_table(spark, sf_dir, "orders", "o_orderdate")
+            .select(F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("d")).distinct())
+
+
+def document_rewrite(spark, sf_dir) -> DataFrame:
+    """The references of every roster's Group after its document has been rewritten."""
+    staged = I.stage(roster_documents(spark, sf_dir))
+    doc = F.col("resource")
+    members = F.try_variant_get(doc, "$.member", "array<struct<entity:struct<reference:string>>>")
+    refs = F.transform(members, lambda m: m["entity"]["reference"])
+    return (I.resolve_documents(staged.entries).where("resource_type = 'Group'")
+            .select("object_name", F.size(refs).alias("members"),
+                    F.size(F.filter(refs, lambda r: r.startswith("Patient/"))).alias("resolved"),
+                    F.try_variant_get(doc, "$.managingEntity.reference", "string").alias("managing"),
+                    F.array_join(refs, ",").alias("refs")))
+
+
+def latest_incremental(spark, sf_dir) -> DataFrame:
+    """Current stays kept up to date through three batches of versions, some of them late (Q1)."""
+    current = CurrentRows(TableStore(spark, scratch_path(spark, "current")), "stay")
+    for batch in (1, 0, 2):
+        current.apply(stay_versions(spark, sf_dir, batch))
+    return current.read(stay_versions(spark, sf_dir).schema).select(
+        "id", "status", F.col("meta.versionId").alias("version_id"))
+
+
+def replay_filter(spark, sf_dir) -> DataFrame:
+    """Visits delivered again a day later, every seventh with an amended Observation: what the
+    second batch stores is the amended ones (I9)."""
+    docs = visit_documents(spark, sf_dir)
+    seventh = F.regexp_extract("object_name", "([0-9]+)", 1).cast("bigint") % 7 == 0
+    again = docs.withColumns({
+        "object_time": F.col("object_time") + F.expr("INTERVAL 1 DAY"),
+        "body": F.when(seventh, F.replace("body", F.lit('"final"'), F.lit('"amended"'))).otherwise(F.col("body"))})
+    log = VersionLog(spark, scratch_path(spark, "replays"))
+    for name, delivered in (("first", docs), ("second", again)):
+        log.append(I.stage(delivered).versions_long(), name)
+    return log.read().select("resource_type", "id", "object_name", "pos", "batch",
+                             F.try_variant_get("resource", "$.status", "string").alias("status"))
 
 
 def streamed_patients(spark, sf_dir) -> DataFrame:
@@ -235,4 +281,7 @@ INGEST_QUERIES = {
     "dispositions": dispositions,
     "ingest_report": ingest_report,
     "run_requests": run_requests,
+    "document_rewrite": document_rewrite,
+    "latest_incremental": latest_incremental,
+    "replay_filter": replay_filter,
 }

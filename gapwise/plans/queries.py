@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from gapwise.functions.expr import (has_code, in_lookback, safe_date, safe_ts, utc_date,
                                     year_diff)
 from gapwise.operators.versions import version_rank
+from gapwise.plans.backfill import evaluate_dates
 from gapwise.plans.measures import (BCS_PROCEDURE_CODES, CDC_OBSERVATION_CODES,
-                                    COL_OBSERVATION_CODES, LOINC, MeasureTables,
+                                    COL_OBSERVATION_CODES, LOINC, Evidence, MeasureSpec, MeasureTables,
                                     build_measure, catalog_by_id, denominator,
                                     evaluate_all, evaluate_each, numerator)
 from gapwise.plans.sqlfiles import evaluate_sql_catalog, register_dataset
-from gapwise.sources.fixtures import RUN_DATE, star_clinical_tables
+from gapwise.plans.valuesets import evaluate_catalog
+from gapwise.sources.fixtures import CONDITION_CODES, OTHER_SYSTEM, PROCEDURE_CODES, RUN_DATE, star_clinical_tables
+from gapwise.sources.tables import read_table
 
 
 def tables(spark: SparkSession, sf_dir: str) -> MeasureTables:
@@ -119,6 +122,38 @@ def colorectal_numerator(spark, sf_dir) -> DataFrame:
     return numerator(catalog_by_id()["COL_SCREENING"], tables(spark, sf_dir), RUN_DATE)
 
 
+# --- catalogs of many measures, many run dates ------------------------------------
+def generated_catalog(measures: int = 200) -> list[MeasureSpec]:
+    """Measures by rule: age band, gender, conditions and one or two evidence clauses from the number."""
+    codes = {"Procedure": [*PROCEDURE_CODES.values(), "x"], "Observation": ["4548-4", "2335-8", "57905-2", "x"]}
+    conditions, months = list(CONDITION_CODES.values()), (6, 12, 27, 60, 120)
+    out = []
+    for i in range(measures):
+        resource = "Procedure" if i % 2 == 0 else "Observation"
+        system = None if resource == "Procedure" else (LOINC, OTHER_SYSTEM, None)[i % 3]
+        clauses = [Evidence(resource, (codes[resource][i // 2 % 4], codes[resource][i // 8 % 4]), months[i % 5], system)]
+        if i % 5 == 0:
+            clauses.append(Evidence("Observation", (codes["Observation"][i // 5 % 4], codes["Observation"][i // 3 % 4]),
+                                    months[i // 5 % 5], LOINC))
+        asked = [conditions[i % 3]] * (i % 4 == 0) + [conditions[(i + 1) % 3]] * (i % 8 == 4)
+        low = 18 + i * 7 % 45
+        out.append(MeasureSpec(f"GEN_{i:04d}", f"Generated {i}", low, low + 5 + i * 11 % 40, tuple(clauses),
+                               ("female", "male", None)[i % 3], tuple(asked)))
+    return out
+
+
+def catalog_bitset(spark, sf_dir) -> DataFrame:
+    """200 measures through the value-set indexes, in a plan as wide as that for one (M5)."""
+    return evaluate_catalog(tables(spark, sf_dir), RUN_DATE, generated_catalog(), spark)
+
+
+def backfill_dates(spark, sf_dir) -> DataFrame:
+    """All measures as of the first day of every quarter in which there is an order (M4)."""
+    quarter = F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("d")
+    days = [r["d"] for r in read_table(spark, sf_dir, "orders", "o_orderdate").select(quarter).distinct().collect()]
+    return evaluate_dates(tables(spark, sf_dir), days, spark)
+
+
 MEASURE_QUERIES = {
     "measure_bcs": measure_bcs,
     "measure_cdc": measure_cdc,
@@ -134,4 +169,6 @@ MEASURE_QUERIES = {
     "diabetic_population": diabetic_population,
     "mammography_numerator": mammography_numerator,
     "colorectal_numerator": colorectal_numerator,
+    "catalog_bitset": catalog_bitset,
+    "backfill_dates": backfill_dates,
 }

@@ -16,8 +16,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gapwise.operators import checks, gaps, issues, runs
+from gapwise.plans.backfill import evaluate_dates
 from gapwise.plans.measures import CATALOG, assert_contract, evaluate_all, run_date_of
 from gapwise.plans.sqlfiles import MeasureDefinition, evaluate_sql_catalog
 from gapwise.session import checkpoint_root
@@ -59,7 +61,7 @@ def run_measures(spark: SparkSession, source, run_date, store: TableStore,
             raise ValueError("evaluated measure is not in the measure dimension")
         state = store.read("care_gap", gaps.CARE_GAP_SCHEMA)
         new_state = gaps.upsert_gaps(state, evals, now or _utcnow(),
-                                     max_id=store.stats("care_gap").get("max_id", 0))
+                                     max_id=store.stats("care_gap").get("max_id"))
         version = store.commit("care_gap", new_state, note=f"run {run_id}", partition_by=["measure_id"],
                                stats=gaps.state_stats())
         if issues_path:
@@ -78,6 +80,43 @@ def run_measures(spark: SparkSession, source, run_date, store: TableStore,
         raise
 
 
+def run_backfill(spark: SparkSession, tables, deliveries: list[tuple], store: TableStore, catalog=CATALOG) -> None:
+    """Whole-population runs for ``deliveries`` of (run id, run date, time), in that order.
+
+    The dates are evaluated in one pass over the tables; the gap state is
+    committed once, as it is after the last run; every delivery gets its own
+    run row with its counts. A failure fails all of them and publishes nothing.
+    """
+    rows = [(run_id, run_date_of(day), at, seq) for seq, (run_id, day, at) in enumerate(deliveries)]
+    wanted = spark.createDataFrame(rows, "id STRING, run_date DATE, at TIMESTAMP, seq INT")
+    none = F.lit(None)
+
+    def log(df: DataFrame, status: str, step: int, **columns) -> None:
+        given = {"started_at": F.col("at"), "completed_at": none, "status": F.lit(status), "error": none,
+                 "gaps_open": none, "gaps_closed": none, "step": F.lit(step)} | columns
+        store.append("measure_run", df.withColumns(given).select(
+            *[F.col(f.name).cast(f.dataType) for f in runs.LOG_SCHEMA.fields]))
+
+    log(wanted, "RUNNING", 0)
+    try:
+        checkpoint_root(spark)
+        evals = evaluate_dates(tables, [r[1] for r in rows], spark, catalog).checkpoint()
+        per_run = F.broadcast(wanted.drop("id"))  # one row a delivery, from the driver
+        state = store.read("care_gap", gaps.CARE_GAP_SCHEMA)
+        new_state = gaps.upsert_runs(state, evals.join(per_run, "run_date"), store.stats("care_gap").get("max_id"))
+        store.commit("care_gap", new_state, note=f"{len(rows)} runs", partition_by=["measure_id"],
+                     stats=gaps.state_stats())
+        counts = evals.groupBy("run_date").agg(F.count_if(~F.col("in_numerator")).alias("open"),
+                                               F.count_if("in_numerator").alias("closed"))
+        zero = F.lit(0).cast("bigint")
+        log(wanted.join(counts, "run_date", "left"), "SUCCEEDED", 1, completed_at=F.col("at"),
+            gaps_open=F.coalesce("open", zero), gaps_closed=F.coalesce("closed", zero))
+    except Exception as e:
+        message = (str(e) or type(e).__name__)[:runs.ERROR_MAX_CHARS]
+        log(wanted, "FAILED", 1, completed_at=F.col("at"), error=F.lit(message))
+        raise
+
+
 def current_state(store: TableStore):
     return store.read("care_gap", gaps.CARE_GAP_SCHEMA)
 

@@ -318,6 +318,42 @@ def census_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.lit("]}")).alias("body")))
 
 
+# Roster bundles: a Group whose members are fifty customers by urn, the Patients as far as c_custkey % 7 is not
+# 0 (those urns name no entry), and a repeated reference to the first member as managing entity.
+def roster_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer", "c_custkey")
+    k = F.col("c_custkey")
+    urn = F.concat(F.lit("urn:uuid:r-"), k.cast("string"))
+    patient = F.struct(F.lit("Patient").alias("resourceType"), F.lit("unknown").alias("gender"))
+    entity = F.struct(F.struct(urn.alias("reference")).alias("entity"))
+    rows = c.select(F.floor(k / CENSUS_SIZE).cast("string").alias("g"), k, urn.alias("urn"), entity.alias("member"),
+                    F.when(k % 7 != 0, _entry(urn, patient, "POST", F.lit("Patient"))).alias("e"))
+    groups = rows.groupBy("g").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "member"))), lambda x: x["member"]).alias("m"),
+        F.min("c_custkey").alias("first"), F.array_join(F.sort_array(F.collect_list("e")), ",").alias("es"))
+    group = F.struct(F.lit("Group").alias("resourceType"), F.col("g").alias("id"),
+                     F.struct(F.concat(F.lit("urn:uuid:r-"), F.col("first").cast("string")).alias("reference"))
+                     .alias("managingEntity"), F.col("m").alias("member"))
+    url = F.concat(F.lit("Group/"), F.col("g"))
+    return groups.select(
+        F.concat(F.lit("rosters/group-"), F.col("g"), F.lit(".json")).alias("object_name"),
+        F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"),
+        F.concat(F.lit('{"resourceType":"Bundle","type":"transaction","entry":['), _entry(url, group, "PUT", url),
+                 F.when(F.col("es") != "", F.concat(F.lit(","), F.col("es"))).otherwise(F.lit("")), F.lit("]}"))
+        .alias("body"))
+
+
+# Stays: the orders of a customer as versions of one resource, in three batches by o_orderkey % 3, so that a
+# batch brings versions older than ones already there.
+def stay_versions(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    if batch is not None:
+        o = o.where(F.col("o_orderkey") % 3 == batch)
+    return o.select(F.concat(F.lit("p-"), F.col("o_custkey").cast("string")).alias("id"),
+                    _meta(F.col("o_orderdate"), _padded(F.col("o_orderkey"))).alias("meta"),
+                    F.col("o_orderstatus").alias("status"))
+
+
 # Object events: one per bundle object. For order objects, remainders of o_orderkey % 13: 5 a deletion
 # event, 6 no bucket, 7 another bucket, 8 a .txt object, 9 no event type.
 EXPECTED_BUCKET = "clinical-landing"

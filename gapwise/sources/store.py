@@ -15,6 +15,14 @@ commits and the other raises :class:`ConcurrentCommit`; no update is lost.
 Readers see either the old or the new snapshot. Append-only logs (``append``)
 add files under ``<root>/<name>/log``.
 
+A writer that dies between creating its manifest file and filling it leaves an
+empty one, which is no version to readers. The next writer claims the version
+anew under the following attempt (``v=<n>.<attempt>.json``), looks once more
+whether an earlier attempt has been filled, and only then fills its own. A slow
+writer that finds a later attempt beside its own raises: of the filled attempts
+of a version the last one counts. This rests on exclusive creation, which HDFS and
+local file systems have; object stores without it need one writer at a time.
+
 ``root`` must be a shared folder (the deployment's ``spark.checkpoint.dir`` or
 a warehouse path), never a machine-local one on a cluster.
 """
@@ -30,7 +38,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
-MANIFEST_DDL = "version BIGINT, path STRING, committed_at STRING, note STRING, stats MAP<STRING, BIGINT>"
+MANIFEST_DDL = "version BIGINT, path STRING, committed_at STRING, note STRING, stats MAP<STRING, BIGINT>, attempt INT"
 
 
 class ConcurrentCommit(RuntimeError):
@@ -66,8 +74,8 @@ class TableStore:
         """Committed versions, newest first (one manifest row each)."""
         m = self._optional(self.spark.read.schema(MANIFEST_DDL).json, self._manifest(name))
         rows = [] if m is None else m.where("version is not null").collect()
-        return sorted((Snapshot(r["version"], r["path"], dict(r["stats"] or {})) for r in rows),
-                      key=lambda x: -x.version)
+        last = {r["version"]: r for r in sorted(rows, key=lambda r: (r["version"], r["attempt"] or 0))}
+        return [Snapshot(v, r["path"], dict(r["stats"] or {})) for v, r in sorted(last.items(), reverse=True)]
 
     def current(self, name: str) -> Snapshot | None:
         found = self.snapshots(name)
@@ -107,18 +115,40 @@ class TableStore:
         row = {"version": v, "path": path, "note": note,
                "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
                "stats": {k: x for k, x in seen.get.items() if x is not None} if stats else {}}
-        fs, claim = self._fs(f"{self._manifest(name)}/v={v}.json")
-        try:
-            out = fs.create(claim, False)
-        except Py4JJavaError as e:
-            if "exist" in str(e.java_exception).lower():
-                raise ConcurrentCommit(f"{name}: version {v} has been committed by another writer") from None
-            raise
-        out.write(bytearray((json.dumps(row) + "\n").encode()))
-        out.close()
+        self._publish(name, v, row)
         self._base[name] = v
         return v
 
+    def _claim(self, name: str, v: int, attempt: int) -> str:
+        return f"{self._manifest(name)}/v={v}{f'.{attempt}' if attempt else ''}.json"
+
+    def _publish(self, name: str, v: int, row: dict) -> None:
+        """Create and fill the manifest file of version ``v``, or raise ConcurrentCommit."""
+        def filled(k: int) -> bool:
+            fs, p = self._fs(self._claim(name, v, k))
+            return fs.exists(p) and fs.getFileStatus(p).getLen() > 0
+
+        taken, attempt = ConcurrentCommit(f"{name}: version {v} has been committed by another writer"), 0
+        while True:
+            if filled(attempt):
+                raise taken
+            fs, claim = self._fs(self._claim(name, v, attempt))
+            try:
+                out = fs.create(claim, False)
+                break
+            except Py4JJavaError as e:
+                if "exist" not in str(e.java_exception).lower():
+                    raise
+                attempt += 1
+        if any(filled(k) for k in range(attempt)):
+            out.close()
+            raise taken
+        out.write(bytearray((json.dumps({**row, "attempt": attempt}) + "\n").encode()))
+        out.close()
+        fs, later = self._fs(self._claim(name, v, attempt + 1))
+        if fs.exists(later):
+            raise taken
+
     def vacuum(self, name: str, keep: int = 2) -> int:
         """Delete the folders of all but the newest ``keep`` committed snapshots.
 
@@ -126,8 +156,9 @@ class TableStore:
         """
         old = self.snapshots(name)[max(1, keep):]
         for x in old:
-            for path in (f"{self._manifest(name)}/v={x.version}.json", x.path):
-                fs, p = self._fs(path)
+            fs, claims = self._fs(f"{self._manifest(name)}/v={x.version}*.json")
+            for p in [c.getPath() for c in fs.globStatus(claims)
+                      if c.getPath().getName().split(".")[0] == f"v={x.version}"] + [self._fs(x.path)[1]]:
                 fs.delete(p, True)
         return len(old)
 

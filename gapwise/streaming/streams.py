@@ -60,21 +60,27 @@ def stream_bundles(spark: SparkSession, source: str, root: str, checkpoint: str,
 
 
 def run_requests_stream(spark: SparkSession, source: str, checkpoint: str,
-                        runner: Callable, today=None, available_now: bool = True):
+                        runner: Callable | None = None, today=None, available_now: bool = True,
+                        batch_runner: Callable | None = None):
     """Each delivered request triggers one whole-population run, in arrival order.
 
     Deliveries are run by file modification time, then file name, then line.
     A repeated delivery runs again and adds its own run row; an older run date
     that arrives last wins, as in any later run. ``runner(run_date)`` is called
-    on the driver, which holds one date per delivery of the micro-batch.
+    on the driver, which holds one date per delivery of the micro-batch;
+    ``batch_runner(run_dates, batch_id)`` gets all of them at once, for a runner
+    that evaluates many dates in one pass.
     """
     import datetime as dt
 
     def handle(df: DataFrame, batch_id: int) -> None:
         day = today or dt.datetime.now(dt.timezone.utc).date()
         wanted = parse_run_requests(df, day).where(F.col("outcome") == "run")
-        for r in wanted.orderBy("arrived", "file", "line").select("run_date").toLocalIterator():
-            runner(r["run_date"])
+        dates = [r["run_date"] for r in wanted.orderBy("arrived", "file", "line").select("run_date").toLocalIterator()]
+        if batch_runner and dates:
+            batch_runner(dates, batch_id)
+        for d in dates if runner else []:
+            runner(d)
 
     src = (spark.readStream.format("text").option("wholetext", True).load(source)
            .select(F.col("_metadata.file_modification_time").alias("arrived"),

@@ -149,6 +149,84 @@ MEASURES = {
     "colorectal_numerator": with_fixtures("SELECT patient_id, col_day AS last_evidence_date FROM seen WHERE col_day IS NOT NULL"),
 }
 
+# --- many measures, many run dates ------------------------------------------------
+MEASURES["catalog_bitset"] = "WITH " + BASE_CTES.strip() + f""",
+n AS (SELECT CAST(i AS INTEGER) AS i FROM range(200) t(i)),
+spec AS (
+  SELECT i, 18 + i * 7 % 45 AS low, 18 + i * 7 % 45 + 5 + i * 11 % 40 AS high,
+         ['female', 'male', NULL][i % 3 + 1] AS gender,
+         CASE WHEN i % 8 = 4 THEN [['44054006', '46635009', '73211009'][i % 3 + 1],
+                                   ['44054006', '46635009', '73211009'][(i + 1) % 3 + 1]]
+              WHEN i % 4 = 0 THEN [['44054006', '46635009', '73211009'][i % 3 + 1]] END AS asked
+  FROM n
+),
+clause AS (
+  SELECT i, 'p' AS kind, unnest([['71651007', '73761001', '444783004', 'x'][i // 2 % 4 + 1],
+                                 ['71651007', '73761001', '444783004', 'x'][i // 8 % 4 + 1]]) AS code,
+         CAST(NULL AS VARCHAR) AS system, [6, 12, 27, 60, 120][i % 5 + 1] AS months FROM n WHERE i % 2 = 0
+  UNION ALL
+  SELECT i, 'o', unnest([['4548-4', '2335-8', '57905-2', 'x'][i // 2 % 4 + 1],
+                         ['4548-4', '2335-8', '57905-2', 'x'][i // 8 % 4 + 1]]),
+         ['http://loinc.org', 'http://other', NULL][i % 3 + 1], [6, 12, 27, 60, 120][i % 5 + 1] FROM n WHERE i % 2 = 1
+  UNION ALL
+  SELECT i, 'o', unnest([['4548-4', '2335-8', '57905-2', 'x'][i // 5 % 4 + 1],
+                         ['4548-4', '2335-8', '57905-2', 'x'][i // 3 % 4 + 1]]),
+         'http://loinc.org', [6, 12, 27, 60, 120][i // 5 % 5 + 1] FROM n WHERE i % 5 = 0
+),
+facts AS (
+  SELECT kind, patient_id, code, system, max(day) AS day FROM (
+    SELECT 'p' AS kind, patient_id, code, '' AS system, TRY_CAST(performed AS DATE) AS day FROM proc
+    UNION ALL SELECT 'o', patient_id, code, system, TRY_CAST(effective AS DATE) FROM obs)
+  WHERE day <= {RUN} GROUP BY ALL
+),
+hit AS (
+  SELECT i, patient_id, max(day) AS day FROM facts f JOIN clause c ON c.kind = f.kind AND c.code = f.code
+  WHERE (c.system IS NULL OR c.system = f.system) AND day >= {RUN} - to_months(c.months) GROUP BY i, patient_id
+),
+who AS (
+  SELECT i, p.id AS patient_id FROM pat p JOIN spec s
+    ON year({RUN}) - year(TRY_CAST(p.birth_date AS DATE)) BETWEEN s.low AND s.high
+   AND (s.gender IS NULL OR s.gender = p.gender)
+  WHERE s.asked IS NULL
+  UNION
+  SELECT i, p.id FROM pat p JOIN spec s
+    ON year({RUN}) - year(TRY_CAST(p.birth_date AS DATE)) BETWEEN s.low AND s.high
+   AND (s.gender IS NULL OR s.gender = p.gender)
+  JOIN cond c ON c.patient_id = p.id AND list_contains(s.asked, c.code)
+)
+SELECT printf('GEN_%04d', w.i) AS measure_id, w.patient_id, h.day IS NOT NULL AS in_numerator, h.day AS last_evidence_date
+FROM who w LEFT JOIN hit h ON h.i = w.i AND h.patient_id = w.patient_id"""
+
+QUARTER_EVALS = BASE_CTES.strip() + """,
+run AS (SELECT DISTINCT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS r FROM orders),
+person AS (
+  SELECT r, id AS patient_id, gender, year(r) - year(TRY_CAST(birth_date AS DATE)) AS age FROM pat, run
+),
+asked AS (
+  SELECT r, 'BCS_MAMMOGRAPHY' AS measure_id, patient_id FROM person WHERE gender = 'female' AND age BETWEEN 50 AND 74
+  UNION ALL SELECT r, 'COL_SCREENING', patient_id FROM person WHERE age BETWEEN 45 AND 75
+  UNION ALL SELECT r, 'CDC_A1C', patient_id FROM person
+  WHERE age BETWEEN 18 AND 75 AND patient_id IN (
+    SELECT patient_id FROM cond WHERE code IN ('44054006', '46635009', '73211009'))
+),
+service AS (
+  SELECT patient_id, 'BCS_MAMMOGRAPHY' AS measure_id, 27 AS months, TRY_CAST(performed AS DATE) AS day FROM proc
+  WHERE code IN ('241055006', '71651007', '726551006', '24623002')
+  UNION ALL SELECT patient_id, 'COL_SCREENING', 120, TRY_CAST(performed AS DATE) FROM proc
+  WHERE code IN ('73761001', '444783004')
+  UNION ALL SELECT patient_id, CASE code WHEN '4548-4' THEN 'CDC_A1C' ELSE 'COL_SCREENING' END, 12, TRY_CAST(effective AS DATE)
+  FROM obs WHERE system = 'http://loinc.org' AND code IN ('4548-4', '2335-8', '57905-2')
+),
+done AS (
+  SELECT r, measure_id, patient_id, max(day) AS day FROM service, run
+  WHERE day <= r AND day >= r - to_months(months) GROUP BY ALL
+),
+quarter_evals AS (
+  SELECT r AS run_date, measure_id, patient_id, day IS NOT NULL AS in_numerator, day AS last_evidence_date
+  FROM asked LEFT JOIN done USING (r, measure_id, patient_id)
+)"""
+MEASURES["backfill_dates"] = f"WITH {QUARTER_EVALS} SELECT * FROM quarter_evals"
+
 # --- gap state, run log, checks, serving, issues -------------------------------
 RUN1 = "DATE '2000-08-01'"
 NOW1 = "TIMESTAMP '2000-08-01 06:00:00'"
@@ -543,10 +621,28 @@ SELECT 'visits/order-' || o_orderkey || '.json' AS object_name, 6 AS entries, 3
     "bundle_files": """
 SELECT 'census_group-' || (c_custkey // 50) || '.json' AS object_name, count(*) AS resource_count
 FROM customer GROUP BY 1""",
-    "request_runs": """
-SELECT 'r-' || row_number() OVER (ORDER BY again, d DESC) AS id, d AS run_date, 'RUNNING' AS status
-FROM (SELECT DISTINCT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS d, 0 AS again FROM orders
-      UNION ALL SELECT max(CAST(date_trunc('quarter', o_orderdate) AS DATE)), 1 FROM orders)""",
+    "request_runs": f"""
+WITH {QUARTER_EVALS},
+asked_for AS (SELECT r, 0 AS again FROM run UNION ALL SELECT max(r), 1 FROM run),
+numbered AS (SELECT r, row_number() OVER (ORDER BY again, r DESC) AS k FROM asked_for)
+SELECT 'b0-' || k AS id, r AS run_date, TIMESTAMP '2001-09-01' + to_minutes(k - 1) AS started_at, 'SUCCEEDED' AS status,
+       CAST(coalesce(n_open, 0) AS INTEGER) AS gaps_open, CAST(coalesce(n_closed, 0) AS INTEGER) AS gaps_closed
+FROM numbered LEFT JOIN (
+  SELECT run_date, count(*) FILTER (WHERE NOT in_numerator) AS n_open, count(*) FILTER (WHERE in_numerator) AS n_closed
+  FROM quarter_evals GROUP BY run_date) ON run_date = r""",
+    "document_rewrite": """
+SELECT 'rosters/group-' || g || '.json' AS object_name, count(*)::INTEGER AS members,
+       count(*) FILTER (WHERE known)::INTEGER AS resolved, arg_min(ref, k) AS managing, string_agg(ref, ',' ORDER BY k) AS refs
+FROM (SELECT c_custkey AS k, c_custkey // 50 AS g, c_custkey % 7 <> 0 AS known,
+             CASE WHEN c_custkey % 7 <> 0 THEN 'Patient/r-' ELSE 'urn:uuid:r-' END || c_custkey AS ref FROM customer)
+GROUP BY g""",
+    "latest_incremental": """
+SELECT 'p-' || o_custkey AS id, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status,
+       printf('%019d', arg_max(o_orderkey, (o_orderdate, o_orderkey))) AS version_id FROM orders GROUP BY o_custkey""",
+    "replay_filter": with_visits("""
+SELECT resource_type, id, object_name, pos, 'first' AS batch,
+       CASE pos WHEN 2 THEN 'finished' WHEN 3 THEN 'final' END AS status FROM visit WHERE pos < 5
+UNION ALL SELECT resource_type, id, object_name, pos, 'second', 'amended' FROM visit WHERE pos = 3 AND k % 7 = 0"""),
     "streamed_patients": """
 SELECT 'c-' || c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender
 FROM customer""",
