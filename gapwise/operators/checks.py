@@ -87,3 +87,61 @@ def constraint_report(gaps: DataFrame, runs: DataFrame, measures: DataFrame) ->
         _row_checks("measure", measures, MEASURE_NOT_NULL, {}, {}),
         _unique_checks("measure", measures, {"unique_id": ["id"]}),
     ])
+
+
+#: A dimension of so many rows is broadcast; a larger one is joined by shuffle.
+MAX_BROADCAST_ROWS = 10_000
+
+
+class ConstraintViolation(ValueError):
+    """A batch breaks constraints; ``rejects`` has its rows with the names of the broken ones."""
+
+    def __init__(self, rejects: DataFrame, n: int):
+        super().__init__(f"{n} rows break constraints")
+        self.rejects = rejects
+
+
+def batch_rejects(state: DataFrame, batch: DataFrame, measures: DataFrame) -> DataFrame:
+    """Rows of a batch of gap rows that the gap table must not take, with ``broken``, the checks' names.
+
+    Only the batch is checked. For uniqueness it meets the stored rows of its own
+    keys and ids and no others: a key must come once and keep its id, an id
+    must belong to one key.
+    """
+    key = ["measure_id", "patient_id"]
+    known = measures.select(F.col("id").alias("measure_id"), F.lit(True).alias("_known")).distinct()
+    if known.count() <= MAX_BROADCAST_ROWS:
+        known = F.broadcast(known)
+    held = state.select(F.col("id").alias("_id"), F.struct(*key).alias("_key"))
+    rows = batch.withColumn("_key", F.struct(*key)).join(known, "measure_id", "left")
+    # the row's key and id among those of the batch, and among the stored ones
+    times = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_times"))
+    owners = rows.where("id IS NOT NULL").groupBy("id").agg(F.count_distinct("_key").alias("_owners"))
+    stored_key = held.join(rows.select("_key").distinct(), "_key", "left_semi").groupBy("_key").agg(F.min("_id").alias("_held"))
+    stored_id = (held.select(F.col("_id").alias("id"), F.col("_key").alias("_owner"))
+                 .join(rows.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("_owner").alias("_owner")))
+    full = (rows.join(times, "_key", "left").join(stored_key, "_key", "left")
+            .join(owners, "id", "left").join(stored_id, "id", "left"))
+    whole = F.col("measure_id").isNotNull() & F.col("patient_id").isNotNull()
+    broken = {f"not_null.{c}": F.col(c).isNull() for c in GAP_NOT_NULL} | {
+        "status_domain": ~F.col("status").isin(*GAP_STATUSES),
+        "fk_measure": F.col("measure_id").isNotNull() & F.col("_known").isNull(),
+        "unique_measure_patient": whole & ((F.col("_times") > 1) | (F.col("_held") != F.col("id"))),
+        "unique_id": (F.col("_owners") > 1) | (F.col("_owner") != F.col("_key"))}
+    names = F.filter(F.array(*[F.when(c, F.lit(f"care_gap.{n}")) for n, c in broken.items()]), lambda x: x.isNotNull())
+    return full.withColumn("broken", names).where(F.size("broken") > 0).select(*batch.columns, "broken")
+
+
+def commit_checked(store, name: str, batch: DataFrame, measures: DataFrame, schema) -> int:
+    """Put ``batch`` (whole gap rows) into the stored table, or raise :class:`ConstraintViolation`
+    and leave the table at its version."""
+    from gapwise.session import checkpoint_root
+    checkpoint_root(batch.sparkSession)
+    state = store.read(name, schema)
+    batch = batch.select(*schema.fieldNames()).checkpoint()
+    rejects = batch_rejects(state, batch, measures).checkpoint()
+    if n := rejects.count():
+        raise ConstraintViolation(rejects, n)
+    key = ["measure_id", "patient_id"]
+    kept = state.join(batch.select(*key), key, "left_anti")
+    return store.commit(name, kept.unionByName(batch), partition_by=["measure_id"], stats={"max_id": F.max("id")})

@@ -44,6 +44,8 @@ CARE_GAP_SCHEMA = T.StructType([
     T.StructField("last_evaluated_at", T.TimestampType(), False),
 ])
 COLUMNS = [f.name for f in CARE_GAP_SCHEMA.fields]
+SUMMARY_SCHEMA = T.StructType([T.StructField("measure_id", T.StringType()), T.StructField("status", T.StringType()),
+                               T.StructField("gaps", T.LongType())])
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
@@ -76,35 +78,69 @@ def _one_per_key(rows: DataFrame) -> DataFrame:
         F.concat(F.lit("duplicate evaluation of "), F.concat_ws("/", *KEY))))).drop("_n")
 
 
-def upsert_gaps(state: DataFrame, evals: DataFrame, now: dt.datetime,
-                seq: str | None = None, max_id: int | None = None) -> DataFrame:
-    """New gap state after applying one evaluation batch at time ``now``.
-
-    State and batch are joined once; the result is checkpointed, since both the
-    kept rows and the new rows, which get ids, are read from it. ``max_id`` is
-    the greatest id of the state, as the store's manifest has it; None
-    reads it from the state. Without ``seq`` a key may occur once per batch.
-    """
+def _joined(state: DataFrame, evals: DataFrame, now: dt.datetime, seq: str | None) -> DataFrame:
+    """State and batch joined once and checkpointed: the new rows without id, ``_old`` the
+    status before, ``_hit`` whether the batch has the key."""
     now_c = F.lit(now).cast("timestamp")
     e = to_gap_rows(last_per_key(evals, seq)) if seq else _one_per_key(to_gap_rows(evals))
     s = state.select(*COLUMNS)
     checkpoint_root(state.sparkSession)
     evaluated = F.col("e.status").isNotNull()
-    j = s.alias("s").join(e.alias("e"), KEY, "full_outer").select(
+    return s.alias("s").join(e.alias("e"), KEY, "full_outer").select(
         F.col("s.id").alias("id"), *KEY,
         F.coalesce("e.status", "s.status").alias("status"),
         F.when(evaluated, F.col("e.last_evidence_date")).otherwise(F.col("s.last_evidence_date"))
          .alias("last_evidence_date"),
         F.coalesce("s.first_identified_at", now_c).alias("first_identified_at"),
         F.when(evaluated, now_c).otherwise(F.col("s.last_evaluated_at")).alias("last_evaluated_at"),
-    ).checkpoint()
+        F.col("s.status").alias("_old"), evaluated.alias("_hit")).checkpoint()
+
+
+def _numbered(j: DataFrame, max_id: int | None, order: list[str]) -> DataFrame:
+    """The joined rows as a state: those without an id get the next ones, in ``order``."""
     if max_id is None:
         # A scalar subquery over the joined rows: never collected to the driver.
         start = j.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar() + 1
     else:
         start = max_id + 1
-    new = dense_index(j.where(F.col("id").isNull()).drop("id"), KEY, name="id", start=start)
-    return j.where(F.col("id").isNotNull()).unionByName(new.select(*COLUMNS)).select(*COLUMNS)
+    new = dense_index(j.where("id IS NULL").drop("id"), order, name="id", start=start)
+    return j.where("id IS NOT NULL").select(*COLUMNS).unionByName(new.select(*COLUMNS))
+
+
+def upsert_gaps(state: DataFrame, evals: DataFrame, now: dt.datetime,
+                seq: str | None = None, max_id: int | None = None) -> DataFrame:
+    """New gap state after applying one evaluation batch at time ``now``.
+
+    State and batch are joined once; the result is checkpointed, since both the
+    kept rows and the new rows, which get ids, are read from it. ``max_id`` is
+    the greatest id of the state, as the store's manifest has it; None
+    reads it from the state. Without ``seq`` a key may occur once per batch.
+    """
+    return _numbered(_joined(state, evals, now, seq), max_id, KEY)
+
+
+def upsert_with_deltas(state: DataFrame, evals: DataFrame, now: dt.datetime, seq: str | None = None,
+                       max_id: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`upsert_gaps` and ``(measure_id, status, gaps)``, what it adds to the counts per status.
+
+    The changes come from the upsert's own join: of a key whose status is
+    another one than before, the old status loses one gap and the new one gains
+    one. Together with the counts before they are the counts after (R4, R6, R9).
+    """
+    j = _joined(state, evals, now, seq)
+    moved = j.where(F.col("_hit") & ~F.col("_old").eqNullSafe(F.col("status")))
+    one = F.lit(1).cast("bigint")
+    signs = F.array(F.struct(F.col("_old").alias("status"), (-one).alias("gaps")),
+                    F.struct(F.col("status").alias("status"), one.alias("gaps")))
+    deltas = (moved.select("measure_id", F.explode(signs).alias("d")).where("d.status IS NOT NULL")
+              .groupBy("measure_id", "d.status").agg(F.sum("d.gaps").alias("gaps")).where("gaps <> 0"))
+    return _numbered(j, max_id, KEY), deltas
+
+
+def apply_deltas(summary: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Counts per measure and status after ``deltas``; what comes to nothing is absent, as in a count."""
+    return (summary.unionByName(deltas).groupBy("measure_id", "status").agg(F.sum("gaps").alias("gaps"))
+            .where("gaps <> 0"))
 
 
 def upsert_runs(state: DataFrame, evals: DataFrame, max_id: int | None = None) -> DataFrame:
@@ -127,9 +163,7 @@ def upsert_runs(state: DataFrame, evals: DataFrame, max_id: int | None = None) -
         F.coalesce("s.first_identified_at", "e.first.at").alias("first_identified_at"),
         F.coalesce("e.last.at", "s.last_evaluated_at").alias("last_evaluated_at"),
         F.col("e.first.seq").alias("_seq")).checkpoint()
-    start = (j.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar() if max_id is None else max_id) + 1
-    new = dense_index(j.where("id IS NULL").drop("id"), ["_seq", *KEY], name="id", start=start)
-    return j.where("id IS NOT NULL").select(*COLUMNS).unionByName(new.select(*COLUMNS))
+    return _numbered(j, max_id, ["_seq", *KEY])
 
 
 def state_stats() -> dict:

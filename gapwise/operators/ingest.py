@@ -35,6 +35,8 @@ OBJECT_FINALIZED = "google.cloud.storage.object.v1.finalized"
 JSON_SUFFIX = ".json"
 URN_UUID = "urn:uuid:"
 URN_REFERENCE = '"reference":"(urn:uuid:[^"]*)"'
+#: A text without this holds no urn reference, however it is laid out; an escape may spell anything.
+URN_REFERENCE_TEXT = r'"reference"\s*:\s*"urn:uuid:|\\'
 WRITE_BUNDLE_TYPES = ("transaction", "batch")
 TRANSIENT_STATUS = (429, 500, 502, 503, 504)
 DEFAULT_MAX_ATTEMPTS = 5
@@ -127,14 +129,6 @@ def _once(col: Column) -> Column:
     return F.explode(F.array(col))
 
 
-def _entries_of(bundle: Column) -> Column:
-    return F.try_variant_get(bundle, "$.entry", "array<variant>")
-
-
-def _entry_type(e: Column) -> Column:
-    return F.try_variant_get(e, "$.resource.resourceType", "string")
-
-
 def _known_elements_map() -> Column:
     pairs = []
     for t, keys in KNOWN_ELEMENTS.items():
@@ -142,61 +136,76 @@ def _known_elements_map() -> Column:
     return F.create_map(*pairs)
 
 
+#: What is read of a bundle and of an entry, each in one cast of the VARIANT. A part of another
+#: kind than named here (a number for an object) is NULL.
+BUNDLE_DDL = "struct<resourceType: string, type: string, entry: array<variant>>"
+ENTRY_DDL = "struct<fullUrl: string, resource: variant, request: struct<method: string, url: string>>"
+RESOURCE_DDL = "struct<resourceType: string, id: string>"
+
+
+def _keys_known(rtype: Column, keys: Column) -> Column:
+    """Whether all of a resource's element names are allowed, by one match per resource."""
+    text = F.concat(F.array_join(keys, ","), F.lit(","))
+    out = F.lit(True)
+    for t, names in KNOWN_ELEMENTS.items():
+        known = text.rlike(f"^(?:_?(?:{'|'.join(sorted(names, reverse=True))}),)*+$") | (F.size(keys) == 0)
+        out = F.when(rtype == t, known).otherwise(out)
+    return out
+
+
 def _first_unknown(e: Column) -> Column:
     """``Type.key`` of the first top-level key of the entry's resource that is
     not allowed for its type (NULL when none, or when the type is unchecked).
     ``_key`` carries the id and extensions of a primitive element ``key``."""
-    allowed = F.try_element_at(_known_elements_map(), _entry_type(e))
+    rtype = F.try_variant_get(e, "$.resource.resourceType", "string")
     keys = F.map_keys(F.try_variant_get(e, "$.resource", "map<string,variant>"))
+    allowed = F.try_element_at(_known_elements_map(), rtype)
     bad = F.try_element_at(F.filter(keys, lambda k: ~F.array_contains(
         allowed, F.when(k.startswith("_"), F.substr(k, F.lit(2))).otherwise(k))), F.lit(1))
-    return F.concat(_entry_type(e), F.lit("."), bad)
+    return F.when(F.coalesce(~_keys_known(rtype, keys), F.lit(False)), F.concat(rtype, F.lit("."), bad))
 
 
 def parse_bundles(raw: DataFrame) -> DataFrame:
-    """``bundle`` VARIANT plus ``reason`` / ``detail`` / ``bundle_type`` for every
-    document of ``(object_name, object_time, body)``; NULL reason = accepted (I2, I3)."""
+    """``entry`` (ARRAY of VARIANT) plus ``reason`` / ``detail`` / ``bundle_type`` and ``has_urns`` for every
+    document of ``(object_name, object_time, body)``; NULL reason = accepted (I2, I3).
+
+    ``has_urns`` is False only where no resource can hold a urn reference.
+    """
     keep = [c for c in raw.columns if c != "body"]
-    parsed = raw.select(*keep, _once(F.try_parse_json(F.col("body"))).alias("bundle"))
-    ents = _entries_of(F.col("bundle"))
-    checks = F.struct(
-        F.try_variant_get("bundle", "$.resourceType", "string").alias("rtype"),
-        F.try_variant_get("bundle", "$.type", "string").alias("btype"),
-        F.size(ents).alias("n"),
-        F.try_element_at(F.filter(F.transform(ents, _first_unknown), lambda x: x.isNotNull()),
-                         F.lit(1)).alias("unknown"))
-    c = F.col("_c")
-    reason = (F.when(F.col("bundle").isNull(), F.lit(REJECT_MALFORMED))
-              .when(F.coalesce(c["rtype"] != F.lit("Bundle"), F.lit(True)), F.lit(REJECT_NOT_BUNDLE))
-              .when(F.coalesce(~c["btype"].isin(*WRITE_BUNDLE_TYPES), F.lit(True)),
-                    F.lit(REJECT_BUNDLE_TYPE))
-              .when(F.coalesce(c["n"] < 1, F.lit(True)), F.lit(REJECT_NO_ENTRIES))
-              .when(c["unknown"].isNotNull(), F.lit(REJECT_UNKNOWN_ELEMENT)))
-    detail = (F.when(F.col("reason") == REJECT_NOT_BUNDLE, F.coalesce(c["rtype"], F.lit("unknown")))
-              .when(F.col("reason") == REJECT_BUNDLE_TYPE, F.coalesce(c["btype"], F.lit("none")))
-              .when(F.col("reason") == REJECT_UNKNOWN_ELEMENT, c["unknown"]))
-    return (parsed.withColumn("_c", _once(checks)).withColumn("reason", reason)
+    urns = F.col("body").rlike(URN_REFERENCE_TEXT)
+    parsed = raw.select(*keep, _once(F.struct(
+        F.try_parse_json(F.col("body")).alias("v"), urns.alias("has_urns"))).alias("_p"))
+    parsed = parsed.select(*keep, "_p.has_urns", F.col("_p.v").isNotNull().alias("_json"),
+                           _once(F.try_variant_get("_p.v", "$", BUNDLE_DDL)).alias("_b"))
+    rtype, btype, ents = F.col("_b.resourceType"), F.col("_b.type"), F.col("_b.entry")
+    unknown = F.try_element_at(F.filter(F.transform(ents, _first_unknown), lambda x: x.isNotNull()), F.lit(1))
+    reason = (F.when(~F.col("_json"), F.lit(REJECT_MALFORMED))
+              .when(F.coalesce(rtype != F.lit("Bundle"), F.lit(True)), F.lit(REJECT_NOT_BUNDLE))
+              .when(F.coalesce(~btype.isin(*WRITE_BUNDLE_TYPES), F.lit(True)), F.lit(REJECT_BUNDLE_TYPE))
+              .when(F.coalesce(F.size(ents) < 1, F.lit(True)), F.lit(REJECT_NO_ENTRIES))
+              .when(F.col("_unknown").isNotNull(), F.lit(REJECT_UNKNOWN_ELEMENT)))
+    detail = (F.when(F.col("reason") == REJECT_NOT_BUNDLE, F.coalesce(rtype, F.lit("unknown")))
+              .when(F.col("reason") == REJECT_BUNDLE_TYPE, F.coalesce(btype, F.lit("none")))
+              .when(F.col("reason") == REJECT_UNKNOWN_ELEMENT, F.col("_unknown")))
+    return (parsed.withColumn("_unknown", _once(unknown)).withColumn("reason", reason)
             .withColumn("detail", detail)
-            .select(*keep, "bundle", "reason", "detail", c["btype"].alias("bundle_type")))
+            .select(*keep, ents.alias("entry"), "has_urns", "reason", "detail", btype.alias("bundle_type")))
 
 
 # --- I4 / I5 / I6 / I7: entries and idempotent rewrite --------------------------------
 def explode_entries(parsed: DataFrame) -> DataFrame:
     """One row per entry with its position and typed request fields (I4); a
     rejected bundle gives one row without position, with its reason."""
-    keep = [c for c in parsed.columns if c != "bundle"]
-    accepted = F.when(F.col("reason").isNull(), _entries_of(F.col("bundle")))
-    e = parsed.select(*keep, F.posexplode_outer(accepted).alias("pos", "entry"))
-    return e.select(
-        *keep, "pos",
-        F.try_variant_get("entry", "$.fullUrl", "string").alias("full_url"),
-        F.try_variant_get("entry", "$.resource", "variant").alias("resource"),
-        F.try_variant_get("entry", "$.resource.resourceType", "string").alias("resource_type"),
-        F.try_variant_get("entry", "$.resource.id", "string").alias("resource_id"),
-        F.try_variant_get("entry", "$.request.method", "string").alias("method"),
-        F.try_variant_get("entry", "$.request.url", "string").alias("url"),
-        F.try_variant_get("entry", "$.request", "variant").isNotNull().alias("has_request"),
-    )
+    keep = [c for c in parsed.columns if c != "entry"]
+    accepted = F.when(F.col("reason").isNull(), F.col("entry"))
+    rows = parsed.select(*keep, F.posexplode_outer(accepted).alias("pos", "entry"))
+    e = rows.select(*keep, "pos", _once(F.try_variant_get("entry", "$", ENTRY_DDL)).alias("_e"))
+    r = e.select(*keep, "pos", "_e", _once(F.try_variant_get("_e.resource", "$", RESOURCE_DDL)).alias("_r"))
+    return r.select(
+        *keep, "pos", F.col("_e.fullUrl").alias("full_url"), F.col("_e.resource").alias("resource"),
+        F.col("_r.resourceType").alias("resource_type"), F.col("_r.id").alias("resource_id"),
+        F.col("_e.request.method").alias("method"), F.col("_e.request.url").alias("url"),
+        F.col("_e.request").isNotNull().alias("has_request"))
 
 
 def normalize_bundle_type(df: DataFrame) -> DataFrame:
@@ -231,17 +240,18 @@ def rewrite_to_put(entries: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(":", F.col("object_name"), F.col("pos").cast("string")), 256), 1, 32))
     has = F.col("resource").isNotNull()
     rid = F.when(rw, uuid).when(has, F.coalesce(given, fresh)).otherwise(F.col("resource_id"))
-    cols = [c for c in entries.columns if c not in ("resource_id", "method", "url", "resource")]
+    cols = [c for c in entries.columns if c not in ("resource_id", "method", "url", "resource", "has_urns")]
     # One projection, so every output is decided from the entry as written.
     out = entries.select(
-        *cols, F.coalesce(rw, F.lit(False)).alias("rewritten"), rid.alias("resource_id"),
+        *cols, "has_urns", F.coalesce(rw, F.lit(False)).alias("rewritten"), rid.alias("resource_id"),
         (has & ~rw & given.isNull()).alias("created"),
         F.when(rw, F.lit("PUT")).otherwise(F.col("method")).alias("method"),
         F.when(rw, F.concat_ws("/", F.col("resource_type"), uuid)).otherwise(F.col("url")).alias("url"),
         F.when(has & (F.col("resource_id").isNull() | (F.col("resource_id") != rid)),
                _with_id(F.col("resource"), rid)).otherwise(F.col("resource")).alias("resource"))
-    return out.withColumn("urns", F.array_distinct(F.regexp_extract_all(
-        F.to_json("resource"), F.lit(URN_REFERENCE), F.lit(1))))
+    found = F.array_distinct(F.regexp_extract_all(F.to_json("resource"), F.lit(URN_REFERENCE), F.lit(1)))
+    none = F.when(F.col("resource").isNotNull(), F.array().cast("array<string>"))
+    return out.withColumn("urns", F.when(F.col("has_urns"), found).otherwise(none)).drop("has_urns")
 
 
 def rewrite_stats(entries: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ fixed (``last_evaluated_at DESC, id DESC``); a page is ``offset/limit`` over
 that order, which Spark plans as a distributed top-k
 (``TakeOrderedAndProject``) rather than a full sort.
 
-Scale note: a page at offset ``o`` keeps ``o + size`` rows per task; deep
-pages should move to keyset paging (``after=(last_evaluated_at, id)``), which
-``page_after`` provides.
+Scale note: a top-k page at offset ``o`` keeps ``o + size`` rows per task. A page
+beyond ``TOP_ROWS`` is found by selection instead (``deep_page``): a few counts
+over ranges of the sort key lead to the page's first row, from where on it is a
+keyset page. Nothing but a range of at most ``SELECT_ROWS`` rows is ever sorted.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapwise.operators.ids import dense_index
-
 # --- fixed values ------------------------------------------------------------
 STATUSES = ("OPEN", "CLOSED")
 DEFAULT_PAGE_SIZE = 50
@@ -28,6 +27,8 @@ MAX_PAGE_SIZE = 200
 RECENT_RUNS = 20
 #: Up to here a page is read as a top-k; this bounds what a task holds, not the page number.
 TOP_ROWS = 10_000
+#: A range of so many rows is sorted to find a position in it; larger ones are cut into so many buckets.
+SELECT_ROWS, BUCKETS = 10_000, 1024
 
 
 def validate_search(status: str | None = None, page: int = 0,
@@ -63,16 +64,51 @@ def sort_gaps(gaps: DataFrame) -> DataFrame:
 def page(gaps: DataFrame, page_no: int = 0, size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
     """Page ``page_no`` of ``size`` rows in the fixed order.
 
-    A page near the front is a top-k of all rows up to its end. For a deep
-    page that would hold all of them in every task, so its rows are taken by
-    position in a distributed sort instead.
+    A page near the front is a top-k of all rows up to its end; a deep page is found by selection.
     """
     validate_search(None, page_no, size)
     first = page_no * size
     if first + size <= TOP_ROWS:
         return sort_gaps(gaps).offset(first).limit(size)
-    placed = dense_index(gaps, [F.col("last_evaluated_at").desc(), F.col("id").desc()], name="_at", start=0)
-    return sort_gaps(placed.where(F.col("_at").between(first, first + size - 1)).drop("_at"))
+    return deep_page(gaps, page_no, size)
+
+
+def key_at(gaps: DataFrame, position: int, select_rows: int = SELECT_ROWS) -> tuple[dt.datetime, int] | None:
+    """``(last_evaluated_at, id)`` of the row at ``position`` (from 0) in the fixed order; None beyond the end.
+
+    One key after the other is narrowed down: rows are counted in ``BUCKETS``
+    ranges of the key, and the range that holds the position is looked at next,
+    until it has at most ``select_rows`` rows or a single value. The driver
+    sees one row per bucket.
+    """
+    rows = gaps.select(F.unix_micros("last_evaluated_at").alias("at"), F.col("id").alias("gap"))
+    for key in ("at", "gap"):
+        low, high, n = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+        if not position < n:
+            return None
+        while n > select_rows and low < high:
+            width = (high - low) // BUCKETS + 1
+            counts = (rows.groupBy(F.expr(f"({high} - {key}) div {width}").alias("bucket"))
+                      .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
+                      .orderBy("bucket").collect())
+            for r in counts:
+                if position < r["n"]:
+                    break
+                position -= r["n"]
+            low, high, n = r["low"], r["high"], r["n"]
+            rows = rows.where(F.col(key).between(low, high))
+    found = rows.orderBy(F.desc("at"), F.desc("gap")).limit(position + 1).orderBy("at", "gap").limit(1)
+    row = found.select(F.timestamp_micros("at").alias("at"), "gap").first()
+    return row["at"], row["gap"]
+
+
+def deep_page(gaps: DataFrame, page_no: int, size: int = DEFAULT_PAGE_SIZE, select_rows: int = SELECT_ROWS) -> DataFrame:
+    """Any page, found by selection: its first row by counting, the others as a keyset page."""
+    validate_search(None, page_no, size)
+    key = key_at(gaps, page_no * size, select_rows)
+    if key is None:
+        return gaps.limit(0)
+    return page_after(gaps, (key[0], key[1] + 1), size)
 
 
 def page_after(gaps: DataFrame, after: tuple[dt.datetime, int] | None,

@@ -204,6 +204,51 @@ def search_gaps_keyset(spark, sf_dir):
     return serving.page_after(serving.search_gaps(s, status="OPEN"), (NOW2, 1000), 50)
 
 
+def search_gaps_deep(spark, sf_dir):
+    """R3 by selection: page 20 of all gaps, found by counting ranges of the sort key."""
+    return serving.deep_page(TwoRuns(spark, sf_dir).state(), 20, 50, select_rows=100)
+
+
+def summary_deltas(spark, sf_dir):
+    """The counts per measure and status, kept by what each of the two runs changes in them."""
+    r = TwoRuns(spark, sf_dir)
+    store = TableStore(spark, scratch_path(spark, "summary"))
+    for evals, now in ((r.evals1, NOW1), (r.evals2, NOW2)):
+        state = store.read("care_gap", gaps.CARE_GAP_SCHEMA)
+        new, deltas = gaps.upsert_with_deltas(state, evals, now, max_id=store.stats("care_gap").get("max_id"))
+        store.commit("care_gap", new, partition_by=["measure_id"], stats=gaps.state_stats())
+        counts = store.read("gap_summary", gaps.SUMMARY_SCHEMA)
+        store.commit("gap_summary", gaps.apply_deltas(counts, deltas))
+    return store.read("gap_summary", gaps.SUMMARY_SCHEMA)
+
+
+def commit_rejects(spark, sf_dir):
+    """What a batch made from the orders breaks, by the order key's last digit: 1 an unknown measure, 2 an
+    unknown status, 3 the stored id of the order before, 4 no patient, 5 twice the same key, 6 no status,
+    7 a key stored under another id; the stored table (every order but those ending in 9) stays at version 1."""
+    o = _orders(spark, sf_dir)
+    k, r = F.col("o_orderkey"), F.col("o_orderkey") % 10
+    at = F.col("o_orderdate").cast("timestamp")
+    clean = o.select(k.alias("id"), F.lit("CDC_A1C").alias("measure_id"), F.concat(F.lit("o-"), k.cast("string")).alias("patient_id"),
+                     F.lit("OPEN").alias("status"), F.lit(None).cast("date").alias("last_evidence_date"),
+                     at.alias("first_identified_at"), at.alias("last_evaluated_at"), r.alias("r"))
+    store, dim = TableStore(spark, scratch_path(spark, "checked")), measure_dim(spark)
+    checks.commit_checked(store, "care_gap", clean.where("r <> 9").drop("r"), dim, gaps.CARE_GAP_SCHEMA)
+    bad = clean.withColumns({
+        "id": F.when(F.col("r") == 3, F.col("id") - 1).when(F.col("r") == 7, -F.col("id")).otherwise(F.col("id")),
+        "measure_id": F.when(F.col("r") == 1, F.lit("UNKNOWN")).otherwise(F.col("measure_id")),
+        "patient_id": F.when(F.col("r") != 4, F.col("patient_id")),
+        "status": F.when(F.col("r") == 2, F.lit("HALF")).when(F.col("r") != 6, F.col("status")),
+        "twice": F.explode(F.when(F.col("r") == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))})
+    try:
+        checks.commit_checked(store, "care_gap", bad.drop("r", "twice"), dim, gaps.CARE_GAP_SCHEMA)
+    except checks.ConstraintViolation as e:
+        return (e.rejects.select(F.explode("broken").alias("check_name")).groupBy("check_name")
+                .agg(F.count(F.lit(1)).alias("violations"))
+                .withColumn("version", F.lit(store.current_version("care_gap")).cast("bigint")))
+    raise AssertionError("the batch has been taken")
+
+
 def page_info(spark, sf_dir):
     s = TwoRuns(spark, sf_dir).state()
     return serving.page_info(serving.search_gaps(s, status="CLOSED", measure_id="COL_SCREENING"), 25)
@@ -254,6 +299,9 @@ GAP_QUERIES = {
     "constraint_report": constraint_report,
     "search_gaps_page": search_gaps_page,
     "search_gaps_keyset": search_gaps_keyset,
+    "search_gaps_deep": search_gaps_deep,
+    "summary_deltas": summary_deltas,
+    "commit_rejects": commit_rejects,
     "page_info": page_info,
     "gap_summary": gap_summary,
     "scorecard": scorecard,

@@ -351,6 +351,26 @@ UNION ALL SELECT 'measure.not_null.display_name',
         f"SELECT * FROM st2 WHERE status = 'OPEN' AND (last_evaluated_at < {NOW2} "
         f"OR (last_evaluated_at = {NOW2} AND id < 1000)) "
         "ORDER BY last_evaluated_at DESC, id DESC LIMIT 50"),
+    "search_gaps_deep": with_two_runs(
+        "SELECT * FROM st2 ORDER BY last_evaluated_at DESC, id DESC LIMIT 50 OFFSET 1000"),
+    "summary_deltas": with_two_runs("SELECT * FROM summ"),
+    "commit_rejects": """
+WITH b AS (
+  SELECT CASE r WHEN 3 THEN k - 1 WHEN 7 THEN -k ELSE k END AS id, CASE r WHEN 1 THEN 'UNKNOWN' ELSE 'CDC_A1C' END AS m,
+         CASE WHEN r <> 4 THEN 'o-' || k END AS p, CASE WHEN r = 2 THEN 'HALF' WHEN r <> 6 THEN 'OPEN' END AS status
+  FROM (SELECT o_orderkey AS k, o_orderkey % 10 AS r FROM orders) JOIN (SELECT unnest([1, 2]) AS c) ON c = 1 OR r = 5),
+st AS (SELECT o_orderkey AS id, 'CDC_A1C' AS m, 'o-' || o_orderkey AS p FROM orders WHERE o_orderkey % 10 <> 9),
+x AS (
+  SELECT b.*, count(*) OVER (PARTITION BY b.m, b.p) AS times, (SELECT count(DISTINCT (c.m, c.p)) FROM b c WHERE c.id = b.id) AS owners,
+         a.id AS held, s.m AS om, s.p AS op
+  FROM b LEFT JOIN st a ON a.m = b.m AND a.p = b.p LEFT JOIN st s ON s.id = b.id)
+SELECT check_name, count(*) AS violations, 1::BIGINT AS version FROM (
+  SELECT unnest([
+    CASE WHEN p IS NULL THEN 'care_gap.not_null.patient_id' END, CASE WHEN status IS NULL THEN 'care_gap.not_null.status' END,
+    CASE WHEN status = 'HALF' THEN 'care_gap.status_domain' END, CASE WHEN m = 'UNKNOWN' THEN 'care_gap.fk_measure' END,
+    CASE WHEN p IS NOT NULL AND (times > 1 OR held <> id) THEN 'care_gap.unique_measure_patient' END,
+    CASE WHEN owners > 1 OR om <> m OR op <> p OR (om IS NOT NULL AND p IS NULL) THEN 'care_gap.unique_id' END])
+    AS check_name FROM x) WHERE check_name IS NOT NULL GROUP BY check_name""",
     "page_info": with_two_runs(
         "SELECT count(*) AS total_elements, CAST(ceil(count(*) / 25.0) AS INTEGER) AS total_pages "
         "FROM st2 WHERE status = 'CLOSED' AND measure_id = 'COL_SCREENING'"),
