@@ -28,13 +28,23 @@ an article chosen so, nor the plain text elements (whatever their class) of a
 Text inside a block element forms a block: character references decoded, white
 space turned into single blanks, trimmed; blocks are joined by two line breaks.
 
-A class or id word is weaker evidence than a tag or role. It takes no branch
+A class or id word is weaker evidence than a tag or role. Inside an article or
+``main`` it counts only in a name made of nothing else than words for adverts,
+comments and the like and words for places (``STRONG_WORDS``, ``PLACE_WORDS``), or if
+entropy agrees: ``related-work`` and ``notice`` stay. Elsewhere it takes no branch
 that holds the ``main`` element, the page's only articles, or more than half of
 the text that the host's entropy leaves (nine tenths beside an article or
 ``main`` that no word marks); nor branches named by a class that together hold
 that much (``elementor-widget``). Where words leave nothing, they
 are not regarded. A ``form`` counts as such a word (it may enclose a page).
 
+Outside articles, text that is nearly all link goes where ``LINK_RUN`` such blocks
+follow each other, as in a menu; a title or paragraph that is a link stays. A
+page's only ``h1`` belongs to the article or ``main`` that follows it. A section
+that begins with a heading such as "12 Responses" holds reader comments.
+
+Parsing takes time in proportion to the page, however deep its elements are.
+
 Edge cases: null or empty html gives an empty text; unclosed, wrongly nested
 and unknown tags, an unclosed comment or script never fail; a null url or one
 without a host belongs to no site; repeated rows get equal results; an empty
@@ -45,10 +55,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
-from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +66,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwise.llm.arrowtext import map_arrow
+from gapwise.llm.arrowtext import ascii_lower, map_arrow
 from gapwise.session import checkpoint_root
 
 THRESHOLD = 0.2
@@ -103,6 +113,20 @@ NOISE_WORDS = frozenset(
     "breadcrumbs topbar masthead footer comment comments commentlist disqus respond reply replies share "
     "sharing social related recommended recommendations widget widgets toolbar pagination pager copyright "
     "skip hidden".split())
+#: Words that speak for noise in an article too, in names of these and ``PLACE_WORDS`` alone.
+STRONG_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adbox adslot adunit adbanner adspace sponsor sponsored "
+    "sponsors cookie cookies consent gdpr newsletter comment comments commentlist disqus breadcrumb breadcrumbs share "
+    "sharing signup sidebar".split())
+PLACE_WORDS = frozenset("top bottom left right box block list section area wrap wrapper container inner outer button "
+                        "buttons bar form user reader site page notice inline link links item items".split())
+#: How a section of reader comments is headed.
+COMMENT_HEADING = re.compile(
+    r"(?:\d+ )?(?:reader |user )?(?:comments?|responses?|replies|kommentare?|antworten|commentaires?|réponses?|"
+    r"comentarios?|respuestas?)(?: \(?\d+\)?)?:?", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: So many blocks of links one after the other are a menu.
+LINK_RUN = 3
 #: Parts of words that say the same wherever they stand.
 NOISE_PARTS = re.compile("comment|cookie|sidebar|advert|newsletter|breadcrumb|sponsor|popup")
 #: With one of these words beside it, a word like ``header`` names a part of the article.
@@ -110,23 +134,35 @@ ARTICLE_WORDS = frozenset("article post entry story content main body text".spli
 
 
 class _Open:
-    __slots__ = ("tag", "path", "noise", "article", "main", "bare", "children", "link", "mark")
+    """An open element; ``block`` is the block element that its text belongs to."""
+    __slots__ = ("tag", "path", "noise", "article", "main", "bare", "children", "link", "mark", "depth", "block", "since")
 
-    def __init__(self, tag, path, noise, article, main, bare, link, mark):
+    def __init__(self, tag, path, noise, article, main, bare, link, mark, depth=0, around=None, since=0):
         self.tag, self.path, self.noise, self.article, self.main = tag, path, noise, article, main
         self.bare, self.link, self.mark = bare, link, mark
+        self.depth, self.since = depth, since
+        self.block = self if around is None or tag in BLOCK else around.block
         self.children: list[str] = []
 
 
 class Mark:
-    """An element whose class or id words name noise; ``up`` is the next one around it."""
-    __slots__ = ("up", "number", "names", "main", "article")
+    """An element whose class or id words name noise; ``up`` is the next one around it.
+
+    ``inside``: it lies in an article or main; ``strong``: a name says so there too.
+    """
+    __slots__ = ("up", "number", "names", "main", "article", "inside", "strong")
 
-    def __init__(self, up: Mark | None, number: int, names: tuple[str, ...]):
-        self.up, self.number, self.names = up, number, names
+    def __init__(self, up: Mark | None, number: int, names: tuple[str, ...], inside: bool):
+        self.up, self.number, self.names, self.inside = up, number, names, inside
+        self.strong = any(map(_strong, names))
         self.main = self.article = False
 
 
+def _strong(name: str) -> bool:
+    words = {w.lower() for w in _WORDS.findall(name)}
+    return name == "<form>" or bool(words & STRONG_WORDS) and words <= STRONG_WORDS | PLACE_WORDS
+
+
 _paths: dict[tuple[int, str], int] = {}
 
 
@@ -153,7 +189,7 @@ def _marks(tag: str, names: list[str], words: set[str]) -> tuple[str, ...]:
         return (bool(own & NOISE_WORDS) or any(NOISE_PARTS.search(w) for w in own)
                 or "header" in own and not words & ARTICLE_WORDS)
 
-    return tuple(n.lower() for n in names if speaks(n))
+    return tuple(n for n in names if speaks(n))
 
 
 def _style(tag: str, raw: str) -> tuple[str, bool, bool, bool, tuple[str, ...]]:
@@ -180,10 +216,10 @@ def _style(tag: str, raw: str) -> tuple[str, bool, bool, bool, tuple[str, ...]]:
 
 
 class Block:
-    __slots__ = ("path", "text", "noise", "article", "main", "bare", "links", "mark")
+    __slots__ = ("tag", "path", "text", "noise", "article", "main", "bare", "links", "mark")
 
     def __init__(self, at: _Open, text: str, links: int):
-        self.path, self.text, self.noise, self.mark = at.path, text, at.noise, at.mark
+        self.tag, self.path, self.text, self.noise, self.mark = at.tag, at.path, text, at.noise, at.mark
         self.article, self.main, self.bare, self.links = at.article, at.main, at.bare, links
 
 
@@ -191,6 +227,7 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
     """The text blocks of a page in page order, and (path, child sequence) of its elements."""
     root = _Open("", 0, False, False, False, False, False, None)
     stack, blocks, layouts, parts = [root], [], [], []
+    at_depth: dict[str, list[int]] = defaultdict(list)  # where the open elements of a tag are, outermost first
     beside: list[tuple[str, Mark]] = []
     links, pos, size, marked = 0, 0, len(html), 0
 
@@ -200,13 +237,17 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
             text = " ".join(unescape("".join(parts)).split())
             parts.clear()
             if text:
-                at = next(e for e in reversed(stack) if e.tag in BLOCK or e.tag == "")
+                at = stack[-1].block
+                if at.tag in HEADINGS and COMMENT_HEADING.fullmatch(text):
+                    around = stack[at.depth - 1].block
+                    if around.tag in ("section", "div", "ol", "ul") and around.since == len(blocks):
+                        around.noise = at.noise = True
                 blocks.append(Block(at, text, links))
             links = 0
         if beside:
             text = " ".join(unescape("".join(x for x, _ in beside)).split())
             if text:
-                at = next(e for e in reversed(stack) if e.tag in BLOCK or e.tag == "")
+                at = stack[-1].block
                 b = Block(at, text, 0)
                 b.path, b.mark = _path(at.path, "~"), beside[-1][1]
                 blocks.append(b)
@@ -215,15 +256,19 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
     def close(depth: int) -> None:
         while len(stack) > depth:
             e = stack.pop()
+            at_depth[e.tag].pop()
             if e.children:
                 layouts.append((e.path, _hash(" ".join(e.children))))
 
+    def last(tag: str) -> int:
+        return at_depth[tag][-1] if at_depth[tag] else 0
+
     def say(text: str) -> None:
         nonlocal links
         top = stack[-1]
         if not text or top.tag in ("html", "head", "") and text.isspace():
             return
-        owner = next(e for e in reversed(stack) if e.tag in BLOCK or e.tag == "")
+        owner = top.block
         if top.noise and not owner.noise:
             return  # an advert or button inside a line of text
         if top.mark is not owner.mark:
@@ -246,11 +291,11 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
         tag, raw = name.lower(), m[3] if m[2] else m[6]
         block = tag in BLOCK
         if m[1] or m[4]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            depth = last(tag)
             if block:
                 flush()
             if depth:
-                if not block and any(e.tag in BLOCK for e in stack[depth + 1:]):
+                if not block and stack[-1].block.depth > depth:
                     continue  # an inline end tag does not close blocks
                 close(depth)
             continue
@@ -258,19 +303,15 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
             flush()
             if stack[-1].tag == "head" and tag not in _IN_HEAD:
                 close(len(stack) - 1)
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-            if depth and not any(e.tag in BLOCK for e in stack[depth + 1:]):
+            depth = last("p")
+            if depth and stack[-1].block.depth <= depth:
                 close(depth)
             if tag in ENDS:
                 ends, stop = ENDS[tag]
-                depth = 0
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in stop:
-                        break
-                    if stack[i].tag in ends:
-                        depth = i
-                if depth:
-                    close(depth)
+                limit = max(last(t) for t in stop)
+                open_ends = [at_depth[t][k] for t in ends if (k := bisect_right(at_depth[t], limit)) < len(at_depth[t])]
+                if open_ends:
+                    close(min(open_ends))
         elif tag == "br":
             parts.append(" ") if parts else None
         top = stack[-1]
@@ -286,13 +327,14 @@ def parse(html: str) -> tuple[list[Block], list[tuple[int, int]]]:
             continue
         mark = top.mark
         if names:
-            mark, marked = Mark(mark, marked, names), marked + 1
+            mark, marked = Mark(mark, marked, names, top.article or top.main), marked + 1
         if mark is not None:
             mark.main |= main
             mark.article |= article
+        at_depth[tag].append(len(stack))
         stack.append(_Open(tag, _path(top.path, key) if block else top.path, top.noise or noise,
                            top.article or article, top.main or main, tag in _BARE, top.link or tag == "a",
-                           mark))
+                           mark, len(stack), top, len(blocks)))
     flush()
     close(1)
     return blocks, layouts
@@ -331,13 +373,17 @@ def _unmarked(blocks: list[Block], noise: frozenset[int] | set[int]) -> list[Blo
             main |= {m.up} if m in main else set()
             article |= {m.up} if m in article else set()
     named: dict[str, int] = {}
-    for m in marks:
-        around, up = set(), m.up
-        while up is not None:
-            around.update(up.names)
-            up = up.up
-        for name in set(m.names) - around:
-            named[name] = named.get(name, 0) + held[m]
+    around: Counter[str] = Counter()
+    walk: list[tuple[Mark, set[str]]] = []
+    for m in marks:  # in page order, so the marks around one are on the walk
+        while walk and walk[-1][0] is not m.up:
+            around.subtract(walk.pop()[1])
+        names = {x.lower() for x in m.names}
+        for name in names:
+            if not around[name]:
+                named[name] = named.get(name, 0) + held[m]
+        around.update(names)
+        walk.append((m, names))
     only = not any((b.article or b.main) and b.mark is None for b in blocks)
 
     def much(n: int, alone: bool) -> bool:
@@ -346,12 +392,15 @@ def _unmarked(blocks: list[Block], noise: frozenset[int] | set[int]) -> list[Blo
     most = [x for x, n in named.items() if much(n, only)]
     heads = tuple(x + c for x in most for c in "-_")
     taken: set[Mark] = set()
+    weak: set[Mark] = set()  # words alone do not remove these
     for m in marks:
         spared = (m in main or much(held[m], only or m in article) or only and m in article and 3 * held[m] >= total > 0
-                  or all(x in most or heads and x.startswith(heads) for x in m.names))
-        if m.up in taken or not spared:
+                  or all(x.lower() in most or heads and x.lower().startswith(heads) for x in m.names))
+        if m.up in taken or not spared and (m.strong or not m.inside):
             taken.add(m)
-    return [b for b in blocks if b.mark not in taken] or blocks
+        elif not spared:
+            weak.add(m)
+    return [b for b in blocks if b.mark not in taken and not (b.mark in weak and b.path in noise)] or blocks
 
 
 def _inside(blocks: list[Block], noise: frozenset[int] | set[int]) -> list[Block]:
@@ -365,22 +414,46 @@ def _inside(blocks: list[Block], noise: frozenset[int] | set[int]) -> list[Block
     return []
 
 
+def _menus(blocks: list[Block]) -> set[int]:
+    """Numbers of the blocks that are nearly all link and stand among others of the kind."""
+    out, run = set(), []
+    for k, b in enumerate([*blocks, None]):
+        if b is not None and b.links >= 0.8 * len(b.text):
+            run.append(k)
+            continue
+        if len(run) >= LINK_RUN:
+            out.update(i for i in run if blocks[i].tag not in HEADINGS)
+        run = []
+    return out
+
+
 def main_text(blocks: list[Block], noise: frozenset[int] | set[int]) -> str:
     """The page's main text, given the noise paths of its host."""
     some = _unmarked([b for b in blocks if not b.noise], noise)
     inside = _inside(some, noise)
-    some = inside or [b for b in some if b.links < 0.8 * len(b.text)] or some
+    if inside:
+        titles = [b for b in some if b.tag == "h1"]
+        lead = [titles[0]] if len(titles) == 1 and not (titles[0].main or titles[0].article) else []
+        before = lead and some.index(lead[0]) < some.index(inside[0]) and lead[0].path not in noise
+        some = lead + inside if before else inside
+    else:
+        menus = _menus(some)
+        some = [b for k, b in enumerate(some) if k not in menus] or some
     kept = [b for b in some if b.path not in noise or inside and (b.article or b.bare)]
     return "\n\n".join(b.text for b in kept or some)
 
 
+#: The host of a url, an address in brackets as a whole; the same pattern serves Spark and Python.
+HOST = r"^[^/?#]*//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
+_HOST = re.compile(HOST)
+
+
 def host_of(url: str | None) -> str:
-    try:
-        return (urlsplit(url).hostname or "") if url else ""
-    except ValueError:
-        return ""
+    found = _HOST.search(url or "")
+    return found[1].translate(_ASCII_LOWER) if found else ""
 
 
+_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 _PAGE, _CONTENT, _LAYOUT = 0, 1, 2
 
 
@@ -468,7 +541,7 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN
     plain = pages.select("page_id", "url", "html")
     noise = noise_paths(count_features(plain), threshold, min_pages).checkpoint()
     by_host = noise.groupBy("host").agg(F.collect_set("path").alias("paths"))
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    host = F.coalesce(ascii_lower(F.regexp_extract("url", HOST, 1)), F.lit(""))
     keyed = plain.withColumn("host", host)
     if noise.count() <= BROADCAST_PATHS:
         joined = keyed.join(F.broadcast(by_host), "host", "left")

@@ -146,5 +146,145 @@ def test_importance_against_a_direct_computation(spark):
         assert (("h", path) in marked) == (content < sitetree.THRESHOLD)
 
 
+def test_words_and_links_take_nothing_from_an_article():
+    first, last = "A first paragraph of the story here.", "And more of the story follows."
+    for middle, text in (("<div id='related-work'><p>Related work is discussed.</p></div>", "Related work is discussed."),
+                         ("<section class='social-history'><p>History.</p></section>", "History."),
+                         ("<p class='notice'>Note this.</p>", "Note this."),
+                         ("<div class='comment-on-results'><p>On them.</p></div>", "On them."),
+                         ("<p><a href='x'>All of it a link</a></p>", "All of it a link"),
+                         ("<h2><a href='#'>Linked</a></h2>", "Linked")):
+        for tag in ("article", "main"):
+            assert _text(f"<{tag}><h1>T</h1><p>{first}</p>{middle}<p>{last}</p></{tag}><div>Foot</div>") == "\n\n".join(
+                ["T", first, text, last]), (tag, middle)
+    for name in ("ad", "topAd", "comments", "comment-list", "user-comments", "share-buttons", "cookie-notice"):
+        assert _text(f"<article><h1>T</h1><p>{first}</p><div class='{name}'><p>Out</p></div><p>{last}</p></article>"
+                     ) == "\n\n".join(["T", first, last]), name
+
+
+def test_links_outside_an_article():
+    body = "<h1><a href='x'>Linked title</a></h1><p>Some text of the page, a few words.</p><p><a href='y'>A linked one</a></p>"
+    menu = "<ul><li><a href='1'>One</a><li><a href='2'>Two</a><li><a href='3'>Three</a></ul>"
+    want = "Linked title\n\nSome text of the page, a few words.\n\nA linked one"
+    assert _text(f"<div>{body}</div>") == want
+    assert _text(f"{menu}<div>Text before.</div><div>{body}</div>") == "Text before.\n\n" + want
+    assert _text("<h1>Title</h1><main><p>The text of main.</p></main>") == "Title\n\nThe text of main."
+    assert _text("<h1>Site</h1><main><h1>T</h1><p>The text of main.</p></main>") == "T\n\nThe text of main."
+
+
+def test_comments_under_neutral_names():
+    for head in ("12 Responses", "Comments (3)", "Kommentare", "2 commentaires:"):
+        assert _text(f"<div><p>The text of the page.</p></div><section><h2>{head}</h2><ol><li>Bob says hi and "
+                     f"more than that</li></ol></section>") == "The text of the page."
+    assert _text("<div><h2>Comments on a book</h2><p>Text.</p></div>") == "Comments on a book\n\nText."
+
+
+def test_hosts_are_read_alike(spark):
+    urls = ["http://[2001:db8::1]/a", "https://u@v@Host.example:80/x?a@b", "//h/p", "http://h:1", "HTTP://ÄB.de#x", "x", "",
+            None, "http://[bad", "http://a/b//c", "mailto:x@y"]
+    got = spark.createDataFrame([(u,) for u in urls], "url string").select(
+        F.coalesce(sitetree.ascii_lower(F.regexp_extract("url", sitetree.HOST, 1)), F.lit(""))).collect()
+    assert [r[0] for r in got] == [sitetree.host_of(u) for u in urls]
+    assert sitetree.host_of(urls[0]) == "[2001:db8::1]" and sitetree.host_of(urls[1]) == "host.example"
+
+
+def test_sites_under_an_address_lose_their_template(spark):
+    rows = [(i, u.replace("//h/", "//u@v@[2001:db8::1]:8080/"), h) for i, u, h in _site(9)]
+    got = {r.page_id: r.text for r in sitetree.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[3] == "Own text number 3.\n\nAnd 21 more words."
+
+
+def test_parsing_is_linear_in_depth():
+    import time
+    pages = ["<div>" * 20_000 + "x" + "</div>" * 20_000, "<div>" * 3000 + "</p>" * 20_000, "<ul><li>" * 10_000,
+             "<div class='ad'>" * 10_000 + "x", "<b>" * 20_000 + "x" + "</b>" * 20_000,
+             "".join(f"<div class='ad-{i}'>" for i in range(5000)) + "x"]
+    for html in pages:
+        begin = time.process_time()
+        _text(html)
+        assert time.process_time() - begin < 2, html[:20]
+
+
+def _direct(pages):
+    """Texts of well-formed pages, from trees in memory: entropies node by node, then what is left."""
+    import math
+    from collections import Counter
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.at, self.laid, self.noise, self.blocks = [("", [])], [], 0, []
+
+        def handle_starttag(self, tag, attrs):
+            key = ".".join([tag, *sorted(x for k, v in attrs if k == "class" for x in v.split())])
+            path, kids = self.at[-1]
+            if kids[-1:] != [key]:
+                kids.append(key)
+            self.at.append((path + "/" + key, []))
+            self.noise += tag == "nav"
+
+        def handle_endtag(self, tag):
+            path, kids = self.at.pop()
+            self.laid += [(path, tuple(kids))] * bool(kids)
+            self.noise -= tag == "nav"
+
+        def handle_data(self, data):
+            if data.strip():
+                self.blocks.append((self.at[-1][0], " ".join(data.split()), self.noise > 0))
+
+    trees = {}
+    for page_id, host, html in pages:
+        trees[page_id] = t = Tree()
+        t.host = host
+        t.feed(html)
+    out = {}
+    for host in {t.host for t in trees.values()}:
+        own = [t for t in trees.values() if t.host == host]
+        noise = set()
+        for path in {p for t in own for p, _, _ in t.blocks}:
+            having = [{x for p, x, _ in t.blocks if p == path} for t in own]
+            m = sum(map(bool, having))
+            times = Counter(x for some in having for x in some)
+            content = 1 - sum(math.log(c, m) for c in times.values()) / len(times) if m > 1 else 1
+            laid = Counter(k for t in own for k in {k for p, k in t.laid if p == path})
+            shares = [n / laid.total() for n in laid.values()]
+            if m >= 5 and content < 0.2 and -sum(x * math.log(x, m) for x in shares) < 0.2:
+                noise.add(path)
+        for page_id, t in trees.items():
+            if t.host == host:
+                some = [(p, x) for p, x, menu in t.blocks if not menu]
+                out[page_id] = "\n\n".join([x for p, x in some if p not in noise] or [x for _, x in some])
+    return out
+
+
+def test_generated_sites_against_a_second_implementation(spark):
+    import random
+    rng = random.Random(21)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+    pages = []
+    for h in range(6):
+        slots = [f"s{rng.choice('klmnopq')}{k}x"[:2] + "abcdef"[k] for k in range(4)]
+        fixed = {s: words(rng.randint(1, 5)) for s in slots if rng.random() < 0.7}
+        few = [words(3) for _ in range(3)]
+        for i in range(rng.choice([3, 7, 14])):
+            parts = []
+            for s in slots:
+                text = fixed.get(s) or (rng.choice(few) if s == slots[0] else words(rng.randint(2, 9)))
+                # some texts stand in a changing number of child blocks, which makes their layout differ
+                more = "".join(f"<h6>{words(1)}</h6><pre>{words(1)}</pre>" * rng.randint(0, 1) for _ in range(s == slots[3]))
+                parts.append(f'<div class="{s}">{text}{more}</div>')
+            paragraphs = "".join(f"<p>{words(rng.randint(8, 20))}</p>" for _ in range(rng.randint(2, 5)))
+            menu = "<nav><ul>" + "".join(f"<li>{words(1)}</li>" for _ in range(rng.randint(1, 4))) + "</ul></nav>"
+            pages.append((len(pages), f"host{h}", f"<html><body>{menu}{parts[0]}{parts[1]}<section>{paragraphs}</section>"
+                                                  f"{parts[2]}{parts[3]}</body></html>"))
+    want = _direct(pages)
+    got = sitetree.extract(spark.createDataFrame([(i, f"http://{h}/{i}", x) for i, h, x in pages], PAGES)).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
 def test_empty_table(spark):
     assert sitetree.extract(spark.createDataFrame([], PAGES)).count() == 0
