@@ -8,10 +8,12 @@ documents are linked if the Jaccard similarity of their sets is at least
 1. Every set becomes ``REGISTERS`` SetSketch registers: for register i the
    minimum of exponentially distributed hashes, truncated to a power of ``BASE``.
    Registers of a union are the maxima of the registers, so sketches merge.
-2. Equal sets form a class; only its smallest doc_id goes on.
+2. Equal sets form a class; only its first row, by doc_id, goes on. A class is a node
+   with a number of its own, and a row is known by doc_id and text, so rows
+   without a doc_id or with the same one are members like all others.
 3. Bands of ``BAND`` registers are hashed to buckets. A pair of similarity 0.8
    shares no bucket with probability below 4e-6, more similar ones less.
-4. In a bucket every member meets the bucket's smallest doc_id. Such a pair is
+4. In a bucket every member meets the bucket's smallest node. Such a pair is
    estimated from registers and set sizes by maximum likelihood, dropped if the
    estimate is over six standard errors too low, and else verified on the full
    sets. Members of a bucket that then do not hang together are gathered by the
@@ -21,8 +23,10 @@ documents are linked if the Jaccard similarity of their sets is at least
 5. Components are found by star rounds over the verified links.
 
 Edge cases: null or empty text: empty set, own group; repeated rows get equal
-results; a row with a null doc_id takes the component of its class and is kept
-only if that has no doc_id at all; an empty table gives an empty result.
+results; a component is named by its smallest doc_id, null only if it has none,
+and ``kept`` compares a row's doc_id with that name, so rows that share the name
+are all kept; ``drop_near_duplicates`` leaves exactly one row of a component. An
+empty table gives an empty result. doc_id may have any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -51,6 +55,10 @@ MARGIN = 0.2
 #: Members of a family that are compared with as many others in one piece.
 BLOCK = 256
 SALTS = 16
+#: Buckets of more members are joined by broadcast, if they are at most so many.
+HOT_MEMBERS, MAX_HOT = 1000, 100_000
+#: What identifies a row: whether it has no doc_id, the doc_id, and 128 bits of the text.
+KEY = ["none", "id", "h1", "h2"]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(101, REGISTERS + 101).astype(np.uint64) * _STEP) | np.uint64(1)
 
@@ -104,26 +112,44 @@ def _sets(texts: Texts, words: int) -> Iterator[np.ndarray]:
             yield np.unique(hashes[bounds[i]:bounds[i + 1]])
 
 
-def sketch(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n, set_a, set_b, regs): set size, 128-bit hash of the set, registers."""
-    plain = docs.select("doc_id", "text")
+def _key(docs: DataFrame) -> list[Column]:
+    kind = docs.schema["doc_id"].dataType
+    return [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit("0").cast(kind)).alias("id"),
+            F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(11), "text").alias("h2")]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(none, id, h1, h2, text) of every row."""
+    return docs.select(*_key(docs), "text")
+
+
+def _sketches(keyed: DataFrame, words: int) -> DataFrame:
+    """(none, id, h1, h2, n, set_a, set_b, regs): set size, 128-bit hash of the set, registers."""
+    names = [*KEY, "n", "set_a", "set_b", "regs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for s in _sets(Texts(b.column(1)), words):
+            for s in _sets(Texts(b.column(4)), words):
                 a = mix(s).sum(dtype=np.uint64).view(np.int64)
                 c = mix(s ^ _STEP).sum(dtype=np.uint64).view(np.int64)
                 rows.append((len(s), int(a), int(c), registers(s).tobytes() if len(s) else None))
             cols = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]),
-                 pa.array(cols[3], pa.binary())], names=["doc_id", "n", "set_a", "set_b", "regs"])
+                [*b.columns[:4], *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())], names=names)
 
-    schema = T.StructType([plain.schema["doc_id"], *(T.StructField(c, T.LongType())
-                                                     for c in ("n", "set_a", "set_b")),
+    schema = T.StructType([*keyed.schema.fields[:4], *(T.StructField(c, T.LongType()) for c in ("n", "set_a", "set_b")),
                            T.StructField("regs", T.BinaryType())])
-    return map_arrow(plain, run, schema)
+    return map_arrow(keyed, run, schema)
+
+
+def _doc_id() -> Column:
+    return F.when(~F.col("none"), F.col("id")).alias("doc_id")
+
+
+def sketch(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, n, set_a, set_b, regs) of every row of ``docs(doc_id, text, ...)``."""
+    return _sketches(_keyed(docs), words).select(_doc_id(), "n", "set_a", "set_b", "regs")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -168,10 +194,10 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return map_arrow(both.select("a", "b", "na", "nb", "ra", "rb"), run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, by their full shingle sets."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _shingle_sets(docs, asked, words).checkpoint()
+    sets = _shingle_sets(docs, firsts, asked, words).checkpoint()
     both = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
             .select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"),
                     (F.size("sa") + F.size("sb")).alias("total")))
@@ -179,13 +205,19 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             .select("a", "b").distinct())
 
 
-def _shingle_sets(docs: DataFrame, asked: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the documents in ``asked(node)``."""
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(
-        asked.hint("shuffle_hash"), "node", "left_semi")
+def _shingle_sets(docs: DataFrame, firsts: DataFrame, asked: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the nodes ``asked(node)``; ``firsts`` has their rows' keys, ``docs`` the texts."""
+    wanted = firsts.join(asked, "node", "left_semi")
+    plain = docs.join(wanted.hint("shuffle_hash"), KEY).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # repeated rows of a node meet in one partition
         for b in batches:
+            new = []
+            for node in b.column(0).to_pylist():
+                new.append(node not in seen)
+                seen.add(node)
+            b = b.filter(pa.array(new, pa.bool_()))
             sets = [s.view(np.int64) for s in _sets(Texts(b.column(1)), words)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))],
                                              names=["node", "shingles"])
@@ -220,7 +252,7 @@ def common_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int
     return out
 
 
-def _across(rest: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _across(rest: DataFrame, docs: DataFrame, firsts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between nodes of different labels in the same family.
 
     ``rest(family, node, label)``. Nodes of the family's own label need not
@@ -242,7 +274,7 @@ def _across(rest: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
               .where("nb > 0").withColumn("mine", mine).withColumn("other", F.explode(others))
               .select("family", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                       "mine", "node", "label"))
-    sets = _shingle_sets(docs, rest.select("node").distinct(), words).checkpoint()
+    sets = _shingle_sets(docs, firsts, rest.select("node").distinct(), words).checkpoint()
 
     def run(table: pa.Table) -> pa.Table:
         node, label, mine, i, j = (table.column(c).to_numpy() for c in ("node", "label", "mine", "i", "j"))
@@ -262,14 +294,32 @@ def _across(rest: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
     return (placed.join(sets, "node").groupBy("family", "i", "j").applyInArrow(run, "a bigint, b bigint"))
 
 
-def link_classes(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): verified links that join all linked ``nodes(node, n, regs)`` of the same bucket."""
-    bands = _bands(nodes)
+def _members(bands: DataFrame) -> DataFrame:
+    """(bucket, node, leader, size) of the members of shared buckets, without the leaders.
+
+    A bucket with very many members would be one task of a join, so those meet
+    their leader by broadcast, where they are few enough.
+    """
     full = (bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
-            .where("size > 1"))
-    members = bands.join(full, "bucket").where("node != leader").checkpoint()
+            .where("size > 1").checkpoint())
+    hot = full.where(F.col("size") > HOT_MEMBERS)
+    if hot.count() <= MAX_HOT:
+        cold = bands.join(F.broadcast(hot.select("bucket")), "bucket", "left_anti").join(
+            full.where(F.col("size") <= HOT_MEMBERS), "bucket")
+        both = cold.unionByName(bands.join(F.broadcast(hot), "bucket"))
+    else:
+        both = bands.join(full, "bucket")
+    return both.where("node != leader").checkpoint()
+
+
+def link_classes(docs: DataFrame, firsts: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): verified links that join all linked ``nodes(node, n, regs)`` of the same bucket.
+
+    ``firsts(node, *KEY)`` says which rows of ``docs(*KEY, text)`` the nodes stand for.
+    """
+    members = _members(_bands(nodes))
     met = members.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = _verified(_estimated(met, nodes, percent).checkpoint(), docs, words, percent).checkpoint()
+    links = _verified(_estimated(met, nodes, percent).checkpoint(), docs, firsts, words, percent).checkpoint()
     # the leaders have met everyone; what is open are pairs of other members under different labels
     placed = (members.where("size > 2").select("bucket", "node").join(_labels(links), "node", "left")
               .withColumn("label", F.coalesce("label", "node")).checkpoint())
@@ -278,49 +328,65 @@ def link_classes(docs: DataFrame, nodes: DataFrame, words: int, percent: int) ->
         F.count("*").alias("labels"), F.max(F.struct("n", F.negative("label").alias("label"))).alias("most"))
         .where("labels > 1").select("bucket", F.negative("most.label").alias("family")))
     rest = placed.join(open_buckets, "bucket").select("family", "node", "label").distinct().checkpoint()
-    return links.union(_across(rest, docs, words, percent))
+    return links.union(_across(rest, docs, firsts, words, percent))
+
+
+def _salted(table: DataFrame) -> DataFrame:
+    return table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(none, id, h1, h2, n, winner) of every row; ``winner`` is the key of its component's first row,
+    NULL where the set is empty."""
+    checkpoint_root(docs.sparkSession)
+    keyed = _keyed(docs)
+    sketches = _sketches(keyed, words).checkpoint()
+    some = sketches.where("n > 0")
+    classes = (some.groupBy("set_a", "set_b").agg(F.min(F.struct(*KEY)).alias("first"))
+               .withColumn("node", F.monotonically_increasing_id()).checkpoint())
+    firsts = classes.select("node", *[F.col(f"first.{c}").alias(c) for c in KEY])
+    nodes = (some.join(classes.select("node", "set_a", "set_b", *[F.col(f"first.{c}").alias(c) for c in KEY]),
+                       ["set_a", "set_b", *KEY])
+             .dropDuplicates(["node"]).select("node", "n", "regs").checkpoint())
+    components = connected_components(link_classes(keyed, firsts, nodes, words, percent).toDF("u", "v"))
+    # a component may hold a large part of the classes, a class a large part of the rows: both are salted
+    linked = classes.join(components, "node", "left").withColumn("salt", _salt("node"))
+    winners = (linked.where("component IS NOT NULL").groupBy("component", "salt").agg(F.min("first").alias("winner"))
+               .groupBy("component").agg(F.min("winner").alias("winner")))
+    changed = (linked.join(_salted(winners), ["component", "salt"], "left")
+               .select("set_a", "set_b", F.coalesce("winner", "first").alias("winner")))
+    # rows without a set name themselves, so that they do not meet under one key
+    own = F.when(F.col("n") > 0, F.col("set_a")).otherwise(F.xxhash64(*KEY))
+    return (sketches.select(*KEY, "n", own.alias("set_a"), F.when(F.col("n") > 0, F.col("set_b")).alias("set_b"),
+                            _salt("id", "h1").alias("salt"))
+            .join(_salted(changed), ["set_a", "set_b", "salt"], "left").select(*KEY, "n", "winner"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs(doc_id, text, ...)``."""
-    checkpoint_root(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType
-    plain = docs.select("doc_id", "text")
-    sketches = sketch(plain, words).checkpoint()
-    some = sketches.where("n > 0 and doc_id is not null")
-    classes = (some.groupBy("set_a", "set_b")
-               .agg(F.min("doc_id").cast("bigint").alias("node"), F.count("*").alias("members"))
-               .checkpoint())
-    nodes = (some.select(F.col("doc_id").cast("bigint").alias("node"), "set_a", "set_b", "n", "regs")
-             .join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b", "node"], "left_semi")
-             .dropDuplicates(["node", "set_a", "set_b"]).select("node", "n", "regs").checkpoint())
-    components = connected_components(link_classes(plain, nodes, words, percent).toDF("u", "v"))
-    # only classes that change something travel; a class in a large part of the rows is salted
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-    changed = (classes.join(components, "node", "left")
-               .withColumn("component", F.coalesce("component", "node"))
-               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-               .select("set_a", "set_b", "salt", "component"))
-    out = (sketches.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_a")).otherwise(
-        F.xxhash64("doc_id")).alias("set_a"), "set_b", salt.alias("salt"))
-        .join(changed, ["set_a", "set_b", "salt"], "left"))
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).cast(kind)
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    name = F.when(F.col("n") == 0, F.col("doc_id")).when(~F.col("winner.none"), F.col("winner.id"))
+    return (_grouped(docs, words, percent).withColumn("doc_id", _doc_id()).withColumn("component_id", name)
+            .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group, that of the smallest doc_id, all columns as they are.
+    """``docs`` with one row of each component, its first by doc_id (none last), all columns as they are.
 
-    Of rows that repeat a kept doc_id one stays; rows without a doc_id all stay.
+    Of rows that repeat a row's doc_id and text one stays. Rows without words all stay.
     """
-    found = near_duplicates(docs, words, percent)
-    gone = found.where("not kept").select(F.col("doc_id").alias("id")).distinct()
+    found = _grouped(docs, words, percent)
+    gone = found.where(F.col("winner").isNotNull() & (F.col("winner") != F.struct(*KEY))).select(*KEY).distinct()
     # the input row travels as one column, so that its names meet no names used here
-    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("row"))
-    with_id = (rows.where("id is not null").dropDuplicates(["id"])
-               .join(gone.hint("shuffle_hash"), "id", "left_anti"))
-    return with_id.union(rows.where("id is null")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    has = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *_key(docs), has.alias("has"))
+    full = rows.where("has").dropDuplicates(KEY).join(gone.hint("shuffle_hash"), KEY, "left_anti")
+    return full.select("row").union(rows.where("NOT has").select("row")).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 SQL = r"""

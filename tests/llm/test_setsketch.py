@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 from cases import SCHEMA, documents, odd_rows, prose
+from pyspark.sql import functions as F
 
 from gapwise.llm import setsketch
 from gapwise.llm.arrowtext import mix
@@ -82,6 +83,52 @@ def test_null_ids_and_empty_table(spark):
     out = {(r.doc_id, r.component_id, r.kept) for r in
            setsketch.near_duplicates(documents(spark, rows), words=2).collect()}
     assert out == {(None, 5, False), (5, 5, True), (None, None, True)}
+
+
+def _variant(text, *changes):
+    words = text.split()
+    for k, w in changes:
+        words[k] = w
+    return " ".join(words)
+
+
+def test_clashing_and_missing_ids_are_members_like_others(spark):
+    """Rows known by id and text: near copies without id, one id with several texts, each row in its group."""
+    rng = random.Random(31)
+    a, b, c, d = (" ".join(f"{x}{rng.randint(0, 9)}{i}" for i in range(120)) for x in "abcd")
+    rows = [(None, a), (1, _variant(a, (50, "x"))), (None, _variant(a, (70, "y"))),        # near copies, two without id
+            (2, b), (2, c), (2, b), (3, _variant(c, (60, "z"))),                         # one id, two texts, one repeated
+            (None, d), (None, _variant(d, (40, "q"))), (None, d),                        # a group without any id
+            (4, ""), (4, ""), (None, None), (None, " ")]
+    docs = documents(spark, [(i, t, "en", "s", 1) for i, t in rows])
+    got = setsketch.near_duplicates(docs).collect()
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=repr) == sorted([
+        (None, 1, False), (1, 1, True), (None, 1, False), (2, 2, True), (2, 2, True), (2, 2, True), (3, 2, False),
+        (None, None, True), (None, None, True), (None, None, True), (4, 4, True), (4, 4, True), (None, None, True),
+        (None, None, True)], key=repr)
+    kept = setsketch.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    texts = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert [t for t in texts if t[1] and t[1].strip()] == sorted(
+        [(1, rows[1][1]), (2, b), (2, c), *[t for t in texts if t in ((None, d), (None, rows[8][1]))]], key=repr)
+    assert len(texts) == 4 + 4  # one row of each of the four groups, and the four rows without words
+    names = documents(spark, [(i, t, "en", "s", 1) for i, t in rows if t]).withColumn(
+        "doc_id", F.concat(F.lit("n"), F.col("doc_id").cast("string")))
+    assert setsketch.drop_near_duplicates(names).where("text = ' ' OR length(text) > 1").count() == 5
+
+
+def test_hot_buckets_either_way(spark, monkeypatch):
+    rows = _corpus()
+    want = _brute(rows, 2)
+    monkeypatch.setattr(setsketch, "HOT_MEMBERS", 2)
+    for most in (100_000, -1):
+        monkeypatch.setattr(setsketch, "MAX_HOT", most)
+        for r in setsketch.near_duplicates(documents(spark, rows), words=2).collect():
+            if r.doc_id is not None:
+                assert r.component_id == want[r.doc_id][1]
+
+
+def test_empty_table(spark):
     assert setsketch.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
