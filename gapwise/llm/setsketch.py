@@ -57,6 +57,8 @@ BLOCK = 256
 SALTS = 16
 #: Buckets of more members are joined by broadcast, if they are at most so many.
 HOT_MEMBERS, MAX_HOT = 1000, 100_000
+#: Keys of so many nodes (some 10 MB) are broadcast to the texts.
+MAX_ASKED = 200_000
 #: What identifies a row: whether it has no doc_id, the doc_id, and 128 bits of the text.
 KEY = ["none", "id", "h1", "h2"]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -197,7 +199,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, by their full shingle sets."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _shingle_sets(docs, firsts, asked, words).checkpoint()
+    sets = _shingle_sets(docs, firsts, asked, words)
     both = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
             .select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"),
                     (F.size("sa") + F.size("sb")).alias("total")))
@@ -206,12 +208,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, words: int,
 
 
 def _shingle_sets(docs: DataFrame, firsts: DataFrame, asked: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the nodes ``asked(node)``; ``firsts`` has their rows' keys, ``docs`` the texts."""
-    wanted = firsts.join(asked, "node", "left_semi")
-    plain = docs.join(wanted.hint("shuffle_hash"), KEY).select("node", "text")
+    """(node, shingles) of the nodes ``asked(node)``; ``firsts`` has their rows' keys, ``docs`` the texts.
+
+    The keys go to the texts by broadcast as long as they are few, else both are shuffled.
+    """
+    wanted = firsts.join(asked, "node", "left_semi").checkpoint()
+    n = wanted.count()
+    plain = docs.join(F.broadcast(wanted) if n <= MAX_ASKED else wanted.hint("shuffle_hash"), KEY).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # repeated rows of a node meet in one partition
+        seen: set[int] = set()
         for b in batches:
             new = []
             for node in b.column(0).to_pylist():
@@ -222,7 +228,9 @@ def _shingle_sets(docs: DataFrame, firsts: DataFrame, asked: DataFrame, words: i
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))],
                                              names=["node", "shingles"])
 
-    return map_arrow(plain, run, "node bigint, shingles array<bigint>")
+    sets = map_arrow(plain, run, "node bigint, shingles array<bigint>").checkpoint()
+    # a row that is repeated in several partitions gives its node several times
+    return sets if sets.count() == n else sets.dropDuplicates(["node"]).checkpoint()
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -274,7 +282,7 @@ def _across(rest: DataFrame, docs: DataFrame, firsts: DataFrame, words: int, per
               .where("nb > 0").withColumn("mine", mine).withColumn("other", F.explode(others))
               .select("family", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
                       "mine", "node", "label"))
-    sets = _shingle_sets(docs, firsts, rest.select("node").distinct(), words).checkpoint()
+    sets = _shingle_sets(docs, firsts, rest.select("node").distinct(), words)
 
     def run(table: pa.Table) -> pa.Table:
         node, label, mine, i, j = (table.column(c).to_numpy() for c in ("node", "label", "mine", "i", "j"))

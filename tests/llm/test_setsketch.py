@@ -117,12 +117,13 @@ def test_clashing_and_missing_ids_are_members_like_others(spark):
     assert setsketch.drop_near_duplicates(names).where("text = ' ' OR length(text) > 1").count() == 5
 
 
-def test_hot_buckets_either_way(spark, monkeypatch):
-    rows = _corpus()
+def test_hot_buckets_and_keys_either_way(spark, monkeypatch):
+    rows = [*_corpus(), *_corpus()]
     want = _brute(rows, 2)
     monkeypatch.setattr(setsketch, "HOT_MEMBERS", 2)
     for most in (100_000, -1):
         monkeypatch.setattr(setsketch, "MAX_HOT", most)
+        monkeypatch.setattr(setsketch, "MAX_ASKED", most)
         for r in setsketch.near_duplicates(documents(spark, rows), words=2).collect():
             if r.doc_id is not None:
                 assert r.component_id == want[r.doc_id][1]
