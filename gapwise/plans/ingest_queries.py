@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gapwise.operators import ingest as I
 from gapwise.operators.current import CurrentRows
+from gapwise.operators.paths import first_unknown
 from gapwise.operators.replays import VersionLog
 from gapwise.operators.requests import parse_run_requests
 from gapwise.plans.measures import MeasureTables, evaluate_all
@@ -23,7 +24,7 @@ from gapwise.session import scratch_path
 from gapwise.sources.bundles import (append_versions, read_bundles, read_resources, read_versions,
                                      write_bundle_files)
 from gapwise.sources.fixtures import (BUNDLE_OBJECT_TIME, EXPECTED_BUCKET, RUN_DATE, bundle_documents, census_documents,
-                                      object_event_texts, procedure_event_texts, roster_documents, run_request_texts,
+                                      nested_documents, object_event_texts, procedure_event_texts, roster_documents, run_request_texts,
                                       star_clinical_tables, stay_versions, store_attempts, visit_documents)
 from gapwise.sources.store import TableStore
 from gapwise.sources.tables import read_table
@@ -195,6 +196,11 @@ def document_rewrite(spark, sf_dir) -> DataFrame:
                     F.array_join(refs, ",").alias("refs")))
 
 
+def unknown_paths(spark, sf_dir) -> DataFrame:
+    """The first element of each nested bundle, at whatever depth, that its type does not allow."""
+    return first_unknown(I.ingest(nested_documents(spark, sf_dir)).entries)
+
+
 def latest_incremental(spark, sf_dir) -> DataFrame:
     """Current stays kept up to date through three batches of versions, some of them late (Q1)."""
     current = CurrentRows(TableStore(spark, scratch_path(spark, "current")), "stay")
@@ -282,6 +288,7 @@ INGEST_QUERIES = {
     "ingest_report": ingest_report,
     "run_requests": run_requests,
     "document_rewrite": document_rewrite,
+    "unknown_paths": unknown_paths,
     "latest_incremental": latest_incremental,
     "replay_filter": replay_filter,
 }

@@ -343,6 +343,34 @@ def roster_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("body"))
 
 
+# Nested bundles: one per order, a Condition with an element that no type has somewhere below, by
+# o_orderkey % 6: 1 in a coding, 2 in the subject's identifier, 3 in a note and in the evidence, 4 only under
+# an extension (legal), 5 beside a primitive element (legal); else none.
+def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    k = F.col("o_orderkey")
+    r, kt = k % 6, k.cast("string")
+
+    def when(n: int) -> Column:
+        return F.when(r == n, F.lit("x"))
+
+    condition = F.struct(
+        F.lit("Condition").alias("resourceType"),
+        F.struct(F.array(F.struct(F.lit("a").alias("code"), F.lit(None).cast("string").alias("colour")), F.struct(
+            _code_by(k % 12, CONDITION_CODES).alias("code"), when(1).alias("colour"))).alias("coding")).alias("code"),
+        F.struct(F.concat(F.lit("Patient/p-"), F.col("o_custkey").cast("string")).alias("reference"),
+                 F.struct(when(2).alias("number")).alias("identifier")).alias("subject"),
+        F.array(F.struct(F.lit("t").alias("text"), when(3).alias("mood"))).alias("note"),
+        F.array(F.struct(when(3).alias("found"))).alias("evidence"),
+        F.array(F.struct(when(4).alias("anything"))).alias("extension"),
+        F.struct(when(5).alias("id")).alias("_recordedDate"))
+    url = F.concat(F.lit("Condition/n-"), kt)
+    return o.select(F.concat(F.lit("nested/order-"), kt, F.lit(".json")).alias("object_name"),
+                    F.lit(BUNDLE_OBJECT_TIME).cast("timestamp").alias("object_time"),
+                    F.concat(F.lit('{"resourceType":"Bundle","type":"transaction","entry":['),
+                             _entry(url, condition, "PUT", url), F.lit("]}")).alias("body"))
+
+
 # Stays: the orders of a customer as versions of one resource, in three batches by o_orderkey % 3, so that a
 # batch brings versions older than ones already there.
 def stay_versions(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:

@@ -656,6 +656,11 @@ SELECT 'rosters/group-' || g || '.json' AS object_name, count(*)::INTEGER AS mem
 FROM (SELECT c_custkey AS k, c_custkey // 50 AS g, c_custkey % 7 <> 0 AS known,
              CASE WHEN c_custkey % 7 <> 0 THEN 'Patient/r-' ELSE 'urn:uuid:r-' END || c_custkey AS ref FROM customer)
 GROUP BY g""",
+    "unknown_paths": """
+SELECT 'nested/order-' || o_orderkey || '.json' AS object_name,
+       CASE o_orderkey % 6 WHEN 1 THEN 'Condition.code.coding[1].colour' WHEN 2 THEN 'Condition.subject.identifier.number'
+                           WHEN 3 THEN 'Condition.evidence[0].found' END AS path
+FROM orders WHERE o_orderkey % 6 IN (1, 2, 3)""",
     "latest_incremental": """
 SELECT 'p-' || o_custkey AS id, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status,
        printf('%019d', arg_max(o_orderkey, (o_orderdate, o_orderkey))) AS version_id FROM orders GROUP BY o_custkey""",
