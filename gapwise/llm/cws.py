@@ -11,19 +11,23 @@ the share of agreeing samples estimates it. ``SAMPLES`` samples are kept with
 16 bits each; a chance agreement has probability 2**-16.
 
 ``fingerprint_neighbours`` needs each document's successor by descending
-doc_id. Cut points from a percentile sketch deal doc_ids into ranges; the
-first document of a range is also sent to the end of the range before it, so
-texts are shuffled once and each task streams through its sorted rows.
+doc_id. Cut points from a percentile sketch deal doc_ids into ranges, four a
+task, found by binary search in one constant; the first document of a range is
+also sent to the end of the range before it, so texts are shuffled once and
+each task streams through its sorted rows.
 
 Edge cases: a null or empty text (or one without words) has the all-zero
 fingerprint, is like (1.0) another such text and unlike (0.0) every other; a
-null doc_id comes last; rows with equal doc_id follow each other by text; a
+null doc_id comes last; a doc_id must be an integer; rows with equal doc_id
+follow each other by text, or by a hash of it where one doc_id fills several
+ranges (equal rows stay together); a
 single row is its own successor; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,48 +141,71 @@ def edit(text: str, following: str) -> str:
     return text[:len(text) - m] + following[:m]
 
 
-def _range_of(key: Column, cuts: list[int]) -> Column:
-    """Number of the descending range of ``key``, by a balanced tree of comparisons."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= cuts[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return tree(0, len(cuts))
+_LAST = -(1 << 63)
 
 
-_LAST = -(1 << 63)
+def _longs(values: list[int]) -> Column:
+    """An array of longs as one constant: the plan is as wide for 8,000 values as for one."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _count_ahead(key: Column, tie: Column, marks: list[tuple[int, int]], equal: bool) -> Column:
+    """How many of the descending ``marks`` lie above (key, tie), or at it where ``equal``, by binary search."""
+    if not marks:
+        return F.lit(0)
+    keys, ties = _longs([k for k, _ in marks]), _longs([t for _, t in marks])
+    steps = _longs([1 << i for i in reversed(range(len(marks).bit_length()))])
+
+    def step(low: Column, width: Column) -> Column:
+        at = (low + width - 1).cast("int")
+        k, t = F.get(keys, at), F.get(ties, at)  # null beyond the end: not ahead
+        ahead = (k > key) | ((k == key) & ((t >= tie) if equal else (t > tie)))
+        return F.when(ahead, low + width).otherwise(low)
+
+    return F.aggregate(steps, F.lit(0).cast("bigint"), step).cast("int")
+
+
+def _cuts(quantiles: list[int]) -> list[tuple[int, int]]:
+    """Cut points (key, tie), descending; a key that fills several ranges is cut inside, by tie."""
+    times = Counter(quantiles)
+    out = [(k, _LAST + (1 << 64) * i // n) for k, n in times.items() for i in range(n)]
+    return sorted(out, reverse=True)
 
 
-def with_successor_ranges(docs: DataFrame, ranges: int) -> DataFrame:
-    """``docs`` as (_range, _ahead, _key, doc_id, text), dealt out by range and sorted.
+def with_successor_ranges(docs: DataFrame, ranges: int, tasks: int | None = None) -> DataFrame:
+    """``docs`` as (_range, _ahead, _key, _tie, doc_id, text), dealt out by range and sorted.
 
     Rows with _ahead = 1 are copies of the next range's first document (of the
-    first document at all behind the last range).
+    first document at all behind the last range). Where one doc_id (or null)
+    fills several ranges, its rows are cut by a hash of their text.
     """
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST))
     steps = [i / ranges for i in range(1, ranges)]
     got = docs.agg(F.percentile_approx(key, steps, 10_000).alias("q")).first()["q"] if steps else []
-    cuts = sorted(set(got or []), reverse=True)
-    place = _range_of(F.col("_key"), cuts)
-    heads = [(r["p"], r["k"]) for r in
-             docs.select(key.alias("_key")).select(place.alias("p"), "_key")
-             .groupBy("p").agg(F.max("_key").alias("k")).orderBy("p").collect()]
-    goes = {heads[(i + 1) % len(heads)][1]: heads[i][0] for i in range(len(heads))}
-    ahead = F.lit(None).cast("int")
-    if goes:
-        pairs = [x for k, p in goes.items() for x in (F.lit(k), F.lit(p))]
-        # the map is searched only for the few keys that begin a range
-        ahead = F.when(F.col("_key").isin(list(goes)), F.try_element_at(F.create_map(*pairs), F.col("_key")))
-    rows = docs.select(key.alias("_key"), "doc_id", "text").select(
-        "*", F.explode(F.filter(F.array(
-            F.struct(place.alias("range"), F.lit(0).alias("ahead")),
-            F.struct(ahead.alias("range"), F.lit(1).alias("ahead"))),
-            lambda s: s["range"].isNotNull())).alias("_to"))
-    return (rows.select(F.col("_to.range").alias("_range"), F.col("_to.ahead").alias("_ahead"),
-                        "_key", "doc_id", "text")
-            .repartition("_range")
-            .sortWithinPartitions("_range", "_ahead", F.desc("_key"), "text"))
+    cuts = _cuts(got or [])
+    # texts are hashed only where some doc_id needs it
+    tie = F.xxhash64("text") if len(cuts) > len({k for k, _ in cuts}) else F.lit(0).cast("bigint")
+    keyed = docs.select(key.alias("_key"), tie.alias("_tie"), "doc_id", "text")
+    place = _count_ahead(F.col("_key"), F.col("_tie"), cuts, equal=False)
+    heads = [(r["h"]["_key"], r["h"]["_tie"]) for r in
+             keyed.groupBy(place.alias("p")).agg(F.max(F.struct("_key", "_tie")).alias("h")).collect()]
+    heads.sort(reverse=True)  # one row a range that has any
+    n = len(heads)
+    at = (_count_ahead(F.col("_key"), F.col("_tie"), heads, equal=True) - 1).alias("_at")
+    rows = keyed.select("*", F.explode(F.array(at)).alias("_at"))  # searched once a row
+    if n:
+        is_head = ((F.get(_longs([k for k, _ in heads]), F.col("_at")) == F.col("_key"))
+                   & (F.get(_longs([t for _, t in heads]), F.col("_at")) == F.col("_tie")))
+        before = F.pmod(F.col("_at") - 1, F.lit(n))
+    else:
+        is_head, before = F.lit(False), F.lit(0)
+    own = F.struct(F.col("_at").alias("range"), F.lit(0).alias("ahead"))
+    copy = F.struct(before.alias("range"), F.lit(1).alias("ahead"))
+    dealt = rows.select("*", F.explode(F.when(is_head, F.array(own, copy)).otherwise(F.array(own))).alias("_to"))
+    return (dealt.select(F.col("_to.range").alias("_range"), F.col("_to.ahead").alias("_ahead"),
+                         "_key", "_tie", "doc_id", "text")
+            .repartitionById(tasks or ranges, F.col("_range"))
+            .sortWithinPartitions("_range", "_ahead", F.desc("_key"), F.desc("_tie"), "text"))
 
 
 _OUT = [("n_chars", pa.int64(), T.LongType()), ("edited_sha256", pa.string(), T.StringType()),
@@ -203,8 +230,9 @@ def _compare(ids: list, texts: list[str]) -> list[pa.Array]:
 def fingerprint_neighbours(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness."""
     plain = docs.select("doc_id", "text")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if ranges is None:
-        ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = 4 * tasks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size, now, closed = [], [], 0, None, None
@@ -215,8 +243,8 @@ def fingerprint_neighbours(docs: DataFrame, ranges: int | None = None) -> DataFr
                 names=["doc_id", *(name for name, _, _ in _OUT)])
 
         for batch in batches:
-            kind = batch.column(3).type
-            for place, ahead, doc_id, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
+            kind = batch.column(4).type
+            for place, ahead, doc_id, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4, 5))):
                 if ahead and closed == place:
                     continue  # a repeated row of the next range's first document
                 closed = place if ahead else None
@@ -234,4 +262,4 @@ def fingerprint_neighbours(docs: DataFrame, ranges: int | None = None) -> DataFr
             yield flush()
 
     schema = T.StructType([plain.schema["doc_id"], *(T.StructField(n, t) for n, _, t in _OUT)])
-    return map_arrow(with_successor_ranges(plain, ranges), run, schema)
+    return map_arrow(with_successor_ranges(plain, ranges, tasks), run, schema)

@@ -69,3 +69,31 @@ def test_repeated_null_and_empty(spark):
     assert cws.fingerprint_neighbours(spark.createDataFrame([], SCHEMA)).count() == 0
     one = cws.fingerprint_neighbours(documents(spark, [(5, "a b c d", "en", "s", 7)])).collect()
     assert [(r.doc_id, r.near_next) for r in one] == [(5, 1.0)]
+
+
+def test_one_id_may_hold_most_rows(spark):
+    rng = random.Random(5)
+    rows = [(7 if i % 3 else None, prose(rng, 6) + f" {i}", "en", "s", 1) for i in range(300)]
+    rows += [(i, prose(rng, 6), "en", "s", 1) for i in range(20)] + [(2**60 + i, f"big {i}", "en", "s", 1) for i in range(5)]
+    dealt = cws.with_successor_ranges(documents(spark, rows).select("doc_id", "text"), 16, 4)
+    sizes = Counter(r._range for r in dealt.where("_ahead = 0").select("_range").collect())
+    assert sum(sizes.values()) == len(rows) and max(sizes.values()) < 70
+    got = cws.fingerprint_neighbours(documents(spark, rows), 16).collect()
+    assert len(got) == len(rows)
+    # every row has a successor, and every row is one: the edited texts end with each text's start
+    order = [r.asDict() for r in dealt.where("_ahead = 0").collect()]
+    order.sort(key=lambda r: (-r["_key"], -r["_tie"], r["text"]))
+    want = Counter()
+    for i, r in enumerate(order):
+        after, m = order[(i + 1) % len(order)]["text"], len(r["text"]) // 3
+        want[(r["doc_id"], hashlib.sha256((r["text"][:len(r["text"]) - m] + after[:m]).encode()).hexdigest())] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in got) == want
+
+
+def test_plan_does_not_grow_with_the_ranges(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "'some text' as text")
+    def lines(ranges):
+        plan = cws.with_successor_ranges(docs, ranges, 4)._jdf.queryExecution().optimizedPlan()
+        assert "split(" not in plan.toString() and "Invoke" not in plan.toString()  # constants are folded
+        return plan.numberedTreeString().count("\n")
+    assert lines(4) == lines(4000)
