@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.operators.runs import RUN_STATUSES
+from gapwise.operators.serving import broadcast_if_small
 
 # --- fixed values ------------------------------------------------------------
 GAP_STATUSES = ("OPEN", "CLOSED")
@@ -25,7 +26,7 @@ MEASURE_NOT_NULL = ("id", "display_name")
 
 def check_fk(df: DataFrame, col: str, ref: DataFrame, ref_col: str = "id") -> DataFrame:
     """Rows whose ``col`` has no match in ``ref`` (NULL references pass)."""
-    keys = ref.select(F.col(ref_col).alias("_ref")).distinct()
+    keys = broadcast_if_small(ref.select(F.col(ref_col).alias("_ref")).distinct())
     return df.where(F.col(col).isNotNull()).join(keys, F.col(col) == F.col("_ref"), "left_anti")
 
 
@@ -56,7 +57,7 @@ def _row_checks(table: str, df: DataFrame, not_null, domains: dict, fks: dict) -
     aggs = []
     for col, (name, ref) in fks.items():
         known = ref.select(F.col("id").alias(col), F.lit(True).alias(f"_{name}")).distinct()
-        df = df.join(known, col, "left")
+        df = df.join(broadcast_if_small(known), col, "left")
         aggs.append(F.count_if(F.col(col).isNotNull() & F.col(f"_{name}").isNull()).alias(name))
     for col, allowed in domains.items():
         aggs.append(F.count_if(~F.col(col).isin(list(allowed))).alias(f"{col}_domain"))
@@ -89,10 +90,6 @@ def constraint_report(gaps: DataFrame, runs: DataFrame, measures: DataFrame) ->
     ])
 
 
-#: A dimension of so many rows is broadcast; a larger one is joined by shuffle.
-MAX_BROADCAST_ROWS = 10_000
-
-
 class ConstraintViolation(ValueError):
     """A batch breaks constraints; ``rejects`` has its rows with the names of the broken ones."""
 
@@ -109,9 +106,7 @@ def batch_rejects(state: DataFrame, batch: DataFrame, measures: DataFrame) -> Da
     must belong to one key.
     """
     key = ["measure_id", "patient_id"]
-    known = measures.select(F.col("id").alias("measure_id"), F.lit(True).alias("_known")).distinct()
-    if known.count() <= MAX_BROADCAST_ROWS:
-        known = F.broadcast(known)
+    known = broadcast_if_small(measures.select(F.col("id").alias("measure_id"), F.lit(True).alias("_known")).distinct())
     held = state.select(F.col("id").alias("_id"), F.struct(*key).alias("_key"))
     rows = batch.withColumn("_key", F.struct(*key)).join(known, "measure_id", "left")
     # the row's key and id among those of the batch, and among the stored ones

@@ -29,6 +29,16 @@ RECENT_RUNS = 20
 TOP_ROWS = 10_000
 #: A range of so many rows is sorted to find a position in it; larger ones are cut into so many buckets.
 SELECT_ROWS, BUCKETS = 10_000, 1024
+#: A dimension of at most so many rows is broadcast; a larger one is joined by shuffle.
+MAX_BROADCAST_ROWS = 10_000
+
+
+def broadcast_if_small(dim: DataFrame) -> DataFrame:
+    """``dim`` marked for broadcast after its rows were counted, up to ``MAX_BROADCAST_ROWS``; else as it is.
+
+    Without it the fact side of a join with a few measures would be dealt to as many tasks.
+    """
+    return F.broadcast(dim) if dim.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else dim
 
 
 def validate_search(status: str | None = None, page: int = 0,
@@ -151,10 +161,9 @@ def with_display_name(df: DataFrame, measures: DataFrame, id_col: str = "measure
                       name_col: str = "name") -> DataFrame:
     """Display name from the dimension, falling back to the id.
 
-    The dimension has one row per catalog measure; AQE broadcasts it from its
-    measured size.
+    The dimension has one row per catalog measure and is broadcast if it is small.
     """
-    dim = measures.select(F.col("id").alias("_mid"), F.col("display_name").alias("_dn"))
+    dim = broadcast_if_small(measures.select(F.col("id").alias("_mid"), F.col("display_name").alias("_dn")))
     return (df.join(dim, F.col(id_col) == F.col("_mid"), "left")
             .withColumn(name_col, F.coalesce(F.col("_dn"), F.col(id_col)))
             .drop("_mid", "_dn"))

@@ -74,3 +74,21 @@ def test_measures_runs_freshness(spark):
     assert recent == [f"r{i}" for i in range(29, 9, -1)]
     fr = {r.id: r.detail for r in serving.run_freshness(runs_df).collect()}
     assert fr["r1"] == "1 open / 2 closed" and fr["r0"] == "boom"
+
+
+def test_small_dimension_needs_no_shuffle_of_the_facts(spark, monkeypatch):
+    from gapwise.operators import serving
+    facts = spark.range(1000).selectExpr("concat('m', id % 3) as measure_id", "id")
+    dim = spark.createDataFrame([("m0", "Zero"), ("m1", "One")], "id string, display_name string")
+
+    def joined():
+        return serving.with_display_name(facts, dim)
+
+    plan = joined()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    want = sorted((r.measure_id, r.id, r.name) for r in joined().collect())
+    monkeypatch.setattr(serving, "MAX_BROADCAST_ROWS", 1)
+    plan = joined()._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(measure_id" in plan
+    assert sorted((r.measure_id, r.id, r.name) for r in joined().collect()) == want
+    assert {r[2] for r in want if r[0] == "m2"} == {"m2"}
