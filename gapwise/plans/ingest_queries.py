@@ -26,6 +26,7 @@ from gapwise.sources.bundles import (append_versions, read_bundles, read_resourc
 from gapwise.sources.fixtures import (BUNDLE_OBJECT_TIME, EXPECTED_BUCKET, RUN_DATE, bundle_documents, census_documents,
                                       nested_documents, object_event_texts, procedure_event_texts, roster_documents, run_request_texts,
                                       star_clinical_tables, stay_versions, store_attempts, visit_documents)
+from gapwise.sources.splitbundles import split_entries
 from gapwise.sources.store import TableStore
 from gapwise.sources.tables import read_table
 from gapwise.streaming.streams import run_requests_stream, stream_bundles
@@ -155,6 +156,17 @@ def bundle_files(spark, sf_dir) -> DataFrame:
         "object_name", F.regexp_extract("object_name", "object=([^/]+)/", 1)))
 
 
+def split_bundle_entries(spark, sf_dir) -> DataFrame:
+    """Entries of the census bundles as files, read by byte ranges and not as whole objects."""
+    root = scratch_path(spark, "landing")
+    write_bundle_files(census_documents(spark, sf_dir), root)
+    entry = F.from_json("body", "fullUrl STRING, resource STRUCT<resourceType: STRING, gender: STRING>")
+    return split_entries(spark, root).select(
+        F.regexp_extract("object_name", "object=([^/]+)/", 1).alias("object_name"), "pos", entry.alias("e")).select(
+        "object_name", "pos", F.col("e.fullUrl").alias("full_url"),
+        F.col("e.resource.resourceType").alias("resource_type"), F.col("e.resource.gender").alias("gender"))
+
+
 def request_runs(spark, sf_dir) -> DataFrame:
     """One run request per quarter of order dates, newest first and the newest twice, through the
     request stream: every delivery is a finished run with its counts, in arrival order (G8)."""
@@ -280,6 +292,7 @@ INGEST_QUERIES = {
     "quarantine": quarantine,
     "visit_rewrites": visit_rewrites,
     "bundle_files": bundle_files,
+    "split_bundle_entries": split_bundle_entries,
     "request_runs": request_runs,
     "streamed_patients": streamed_patients,
     "ingest_results": ingest_results,

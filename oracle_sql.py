@@ -641,6 +641,12 @@ SELECT 'visits/order-' || o_orderkey || '.json' AS object_name, 6 AS entries, 3
     "bundle_files": """
 SELECT 'census_group-' || (c_custkey // 50) || '.json' AS object_name, count(*) AS resource_count
 FROM customer GROUP BY 1""",
+    "split_bundle_entries": """
+SELECT 'census_group-' || (c_custkey // 50) || '.json' AS object_name,
+       (row_number() OVER (PARTITION BY c_custkey // 50 ORDER BY c_custkey || '"') - 1)::INTEGER AS pos,
+       'urn:uuid:c-' || c_custkey AS full_url, 'Patient' AS resource_type,
+       CASE WHEN c_custkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender
+FROM customer""",
     "request_runs": f"""
 WITH {QUARTER_EVALS},
 asked_for AS (SELECT r, 0 AS again FROM run UNION ALL SELECT max(r), 1 FROM run),
