@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from gapwise.functions.expr import gap_status
 from gapwise.operators.ids import dense_index
 from gapwise.session import checkpoint_root
+from gapwise.sources.store import Buckets, Snapshot
 
 KEY = ["measure_id", "patient_id"]
 
@@ -96,27 +97,34 @@ def _joined(state: DataFrame, evals: DataFrame, now: dt.datetime, seq: str | Non
         F.col("s.status").alias("_old"), evaluated.alias("_hit")).checkpoint()
 
 
-def _numbered(j: DataFrame, max_id: int | None, order: list[str]) -> DataFrame:
-    """The joined rows as a state: those without an id get the next ones, in ``order``."""
+def _numbered(j: DataFrame, max_id: int | None, order: list[str], buckets: int | None = None) -> DataFrame:
+    """The joined rows as a state: those without an id get the next ones, in ``order``.
+
+    With ``buckets`` the new rows are dealt by key, as the kept ones are after a
+    join with a bucketed state, so that a task writes one bucket's file.
+    """
     if max_id is None:
         # A scalar subquery over the joined rows: never collected to the driver.
         start = j.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long")).scalar() + 1
     else:
         start = max_id + 1
     new = dense_index(j.where("id IS NULL").drop("id"), order, name="id", start=start)
+    if buckets:
+        new = new.repartition(buckets, *KEY)
     return j.where("id IS NOT NULL").select(*COLUMNS).unionByName(new.select(*COLUMNS))
 
 
 def upsert_gaps(state: DataFrame, evals: DataFrame, now: dt.datetime,
-                seq: str | None = None, max_id: int | None = None) -> DataFrame:
+                seq: str | None = None, max_id: int | None = None, buckets: int | None = None) -> DataFrame:
     """New gap state after applying one evaluation batch at time ``now``.
 
     State and batch are joined once; the result is checkpointed, since both the
     kept rows and the new rows, which get ids, are read from it. ``max_id`` is
     the greatest id of the state, as the store's manifest has it; None
     reads it from the state. Without ``seq`` a key may occur once per batch.
+    ``buckets`` says that the result is committed in that many buckets of the key.
     """
-    return _numbered(_joined(state, evals, now, seq), max_id, KEY)
+    return _numbered(_joined(state, evals, now, seq), max_id, KEY, buckets)
 
 
 def upsert_with_deltas(state: DataFrame, evals: DataFrame, now: dt.datetime, seq: str | None = None,
@@ -166,6 +174,19 @@ def upsert_runs(state: DataFrame, evals: DataFrame, max_id: int | None = None) -
     return _numbered(j, max_id, ["_seq", *KEY])
 
 
+def state_buckets(spark: SparkSession, snapshot: Snapshot | None = None) -> Buckets:
+    """Buckets of a co-located state: those of ``snapshot``, if it has any and enough of them.
+
+    A join reads the state without an exchange only if it has at least
+    ``spark.sql.shuffle.partitions`` buckets. Sorted by patient, a read of one
+    patient skips all row groups but one a file.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if snapshot and snapshot.buckets and snapshot.buckets.n >= n:
+        return snapshot.buckets
+    return Buckets(n, tuple(KEY), ("patient_id", "measure_id"))
+
+
 def state_stats() -> dict:
     """Aggregates that the store takes while a state is written."""
     return {"max_id": F.max("id")}

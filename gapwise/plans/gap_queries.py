@@ -169,6 +169,15 @@ def gap_state(spark, sf_dir):
     return TwoRuns(spark, sf_dir).state()
 
 
+def bucketed_gap_state(spark, sf_dir):
+    """The gap state after two real runs that keep it in buckets of its key, so that neither reads it through an exchange."""
+    store = TableStore(spark, scratch_path(spark, "buckets"))
+    tables = MeasureTables.of(star_clinical_tables(spark, sf_dir))
+    for day, now in ((RUN1, NOW1), (RUN2, NOW2)):
+        run_measures(spark, tables, day, store, now=now, run_id=str(day), bucketed=True)
+    return current_state(store)
+
+
 def gap_batch_dedup(spark, sf_dir):
     r = TwoRuns(spark, sf_dir)
     batch = (r.evals1.withColumn("seq", F.lit(1))
@@ -292,6 +301,7 @@ def issue_bundles(spark, sf_dir):
 GAP_QUERIES = {
     "gap_status": gap_status,
     "gap_state": gap_state,
+    "bucketed_gap_state": bucketed_gap_state,
     "gap_batch_dedup": gap_batch_dedup,
     "gap_counts": gap_counts,
     "run_summary": run_summary,

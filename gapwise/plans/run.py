@@ -42,12 +42,13 @@ def evaluate(spark: SparkSession, source, run_date, catalog) -> DataFrame:
 def run_measures(spark: SparkSession, source, run_date, store: TableStore,
                  now: dt.datetime | None = None, run_id: str | None = None, catalog=CATALOG,
                  issues_path: str | None = None,
-                 code_system: str = issues.DEFAULT_MEASURE_CODE_SYSTEM) -> dict:
+                 code_system: str = issues.DEFAULT_MEASURE_CODE_SYSTEM, bucketed: bool = False) -> dict:
     """Evaluate ``catalog`` over ``source`` (see :func:`evaluate`) and publish the result.
 
     The run fails, and publishes nothing, if the result lacks a contract
     column, names an unknown measure or repeats a key, or if another run has
-    committed in the meantime.
+    committed in the meantime. ``bucketed`` keeps the state in buckets of its key
+    instead of measure partitions, so the upsert moves the evaluations only.
     """
     run_date = run_date_of(run_date)
     started = now or _utcnow()
@@ -60,10 +61,12 @@ def run_measures(spark: SparkSession, source, run_date, store: TableStore,
         if checks.check_fk(evals, "measure_id", dim).limit(1).count() > 0:
             raise ValueError("evaluated measure is not in the measure dimension")
         state = store.read("care_gap", gaps.CARE_GAP_SCHEMA)
+        buckets = gaps.state_buckets(spark, store.current("care_gap")) if bucketed else None
         new_state = gaps.upsert_gaps(state, evals, now or _utcnow(),
-                                     max_id=store.stats("care_gap").get("max_id"))
-        version = store.commit("care_gap", new_state, note=f"run {run_id}", partition_by=["measure_id"],
-                               stats=gaps.state_stats())
+                                     max_id=store.stats("care_gap").get("max_id"), buckets=buckets and buckets.n)
+        version = store.commit("care_gap", new_state, note=f"run {run_id}",
+                               partition_by=None if bucketed else ["measure_id"],
+                               stats=gaps.state_stats(), buckets=buckets)
         if issues_path:
             docs = issues.issue_document(issues.issue_rows(evals, dim, run_date, code_system))
             issues.write_issues(docs, issues_path, version)

@@ -23,6 +23,12 @@ writer that finds a later attempt beside its own raises: of the filled attempts
 of a version the last one counts. This rests on exclusive creation, which HDFS and
 local file systems have; object stores without it need one writer at a time.
 
+With ``buckets`` a snapshot is written as a bucketed external table: the rows of
+a key lie in the file of their hash, sorted, and a reader declares the table over
+the folder again from the manifest, in any session. A join on the bucket columns
+then needs no exchange on the snapshot's side. Spark keeps the buckets apart only
+if there are at least ``spark.sql.shuffle.partitions`` of them.
+
 ``root`` must be a shared folder (the deployment's ``spark.checkpoint.dir`` or
 a warehouse path), never a machine-local one on a cluster.
 """
@@ -32,24 +38,35 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
-MANIFEST_DDL = "version BIGINT, path STRING, committed_at STRING, note STRING, stats MAP<STRING, BIGINT>, attempt INT"
+MANIFEST_DDL = "version BIGINT, path STRING, committed_at STRING, note STRING, stats MAP<STRING, BIGINT>, attempt INT, " \
+    "buckets STRUCT<n: INT, by: ARRAY<STRING>, sort: ARRAY<STRING>>"
 
 
 class ConcurrentCommit(RuntimeError):
     """Another writer has committed since the table was read."""
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """``n`` files by the hash of ``by``, each sorted by ``sort``."""
+
+    n: int
+    by: tuple[str, ...]
+    sort: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class Snapshot:
     version: int
     path: str
     stats: dict[str, int]
+    buckets: Buckets | None = None
 
 
 class TableStore:
@@ -75,7 +92,22 @@ class TableStore:
         m = self._optional(self.spark.read.schema(MANIFEST_DDL).json, self._manifest(name))
         rows = [] if m is None else m.where("version is not null").collect()
         last = {r["version"]: r for r in sorted(rows, key=lambda r: (r["version"], r["attempt"] or 0))}
-        return [Snapshot(v, r["path"], dict(r["stats"] or {})) for v, r in sorted(last.items(), reverse=True)]
+        return [Snapshot(v, r["path"], dict(r["stats"] or {}),
+                         (b := r["buckets"]) and Buckets(b["n"], tuple(b["by"]), tuple(b["sort"])))
+                for v, r in sorted(last.items(), reverse=True)]
+
+    @staticmethod
+    def _table(path: str) -> str:
+        return "snapshot_" + "".join(c if c.isalnum() else "_" for c in "_".join(path.rsplit("/", 2)[1:]))
+
+    def _declare(self, path: str, schema: T.StructType, buckets: Buckets) -> str:
+        """The name of a bucketed external table over the folder ``path``."""
+        table = self._table(path)
+        names = [", ".join(f"`{c}`" for c in cs) for cs in (buckets.by, buckets.sort)]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet CLUSTERED BY ({names[0]}) "
+                       f"SORTED BY ({names[1]}) INTO {int(buckets.n)} BUCKETS LOCATION '{path}'")
+        return table
 
     def current(self, name: str) -> Snapshot | None:
         found = self.snapshots(name)
@@ -91,6 +123,8 @@ class TableStore:
         self._base[name] = cur.version if cur else 0
         if cur is None:
             return self.spark.createDataFrame([], schema)
+        if cur.buckets:
+            return self.spark.table(self._declare(cur.path, schema, cur.buckets)).select(*schema.fieldNames())
         return self.spark.read.schema(schema).parquet(cur.path).select(*schema.fieldNames())
 
     def stats(self, name: str) -> dict[str, int]:
@@ -99,20 +133,28 @@ class TableStore:
         return next((x.stats for x in self.snapshots(name) if x.version == base), {})
 
     def commit(self, name: str, df: DataFrame, note: str | None = None,
-               partition_by: list[str] | None = None, stats: dict[str, Column] | None = None) -> int:
+               partition_by: list[str] | None = None, stats: dict[str, Column] | None = None,
+               buckets: Buckets | None = None) -> int:
         """Write ``df`` as the version after the one last read; ``stats`` are
-        aggregates taken during the write, without another pass."""
+        aggregates taken during the write, without another pass. A task writes
+        one file for every bucket of which it holds rows, so ``df`` should come
+        dealt by ``buckets.by``."""
+        if partition_by and buckets:
+            raise ValueError("a snapshot has partitions or buckets, not both")
         base = self._base.get(name)
         v = (base if base is not None else self.current_version(name) or 0) + 1
         path = f"{self.root}/{name}/v={v}-{uuid.uuid4().hex[:12]}"
         seen = Observation()
         if stats:
             df = df.observe(seen, *[c.cast("bigint").alias(k) for k, c in stats.items()])
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        row = {"version": v, "path": path, "note": note,
+        if buckets:
+            df.write.insertInto(self._declare(path, df.schema, buckets))
+        else:
+            w = df.write.mode("errorifexists")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
+        row = {"version": v, "path": path, "note": note, "buckets": asdict(buckets) if buckets else None,
                "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
                "stats": {k: x for k, x in seen.get.items() if x is not None} if stats else {}}
         self._publish(name, v, row)
@@ -160,6 +202,9 @@ class TableStore:
             for p in [c.getPath() for c in fs.globStatus(claims)
                       if c.getPath().getName().split(".")[0] == f"v={x.version}"] + [self._fs(x.path)[1]]:
                 fs.delete(p, True)
+            if x.buckets:
+                # the folder is gone; this session's table over it goes too
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(x.path)}")
         return len(old)
 
     def append(self, name: str, df: DataFrame) -> None:

@@ -298,6 +298,7 @@ GAPS = {
     "gap_status": with_two_runs(
         "SELECT measure_id, patient_id, status, last_evidence_date FROM ev2"),
     "gap_state": with_two_runs("SELECT * FROM st2"),
+    "bucketed_gap_state": with_two_runs("SELECT * FROM st2"),
     "gap_batch_dedup": with_two_runs(
         "SELECT measure_id, patient_id, in_numerator, last_evidence_date FROM evals_2 "
         "UNION ALL SELECT measure_id, patient_id, in_numerator, last_evidence_date FROM evals_1 a "
