@@ -71,6 +71,45 @@ def test_several_blocks_give_the_same(spark, monkeypatch):
     assert _run(decontam.find_contamination(documents(spark, rows), bench)) == _brute(rows, items)
 
 
+def test_many_blocks_drop_the_same_rows_whatever_the_filter(spark, monkeypatch):
+    rows, items = _case()
+    rows += [(1000 + i, items[20][1], "en", "s", 1) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = sorted(x[0] for x in _brute(rows, items) if not x[4])
+    docs = documents(spark, rows)
+    monkeypatch.setattr(decontam, "blocks", lambda b, f=decontam.blocks: f(b, limit=500))
+    # few bits let every text pass, and small steps cut between the words of windows
+    for bits, step, keys in ((decontam.FILTER_BITS, 1 << 16, 200_000), (64, 3, 0)):
+        monkeypatch.setattr(decontam, "FILTER_BITS", bits)
+        monkeypatch.setattr(decontam, "FILTER_STEP", step)
+        monkeypatch.setattr(decontam, "MAX_BROADCAST_KEYS", keys)
+        kept = decontam.drop_contaminated(docs, bench)
+        assert [f.name for f in kept.schema] == docs.columns
+        assert sorted(str(r.doc_id) for r in kept.collect()) == want
+    spans = {r.doc_id: r.spans for r in decontam.find_contamination(docs, bench).collect()}
+    monkeypatch.undo()
+    assert spans == {r.doc_id: r.spans for r in decontam.find_contamination(docs, bench).collect()}
+
+
+def test_the_filter_has_no_false_negatives(monkeypatch):
+    rows, items = _case()
+    monkeypatch.setattr(decontam, "FILTER_BITS", 1 << 20)
+    monkeypatch.setattr(decontam, "FILTER_STEP", 5)
+    held = decontam.WindowFilter()
+    held.add([w for _, t in items for w in decontam.windows(decontam.normalise((t or "").encode()))])
+    passed = {str(r[0]) for r in rows if held.may_hit(decontam.normalise((r[1] or "").encode()))}
+    hit = {x[0] for x in _brute(rows, items) if x[2]}
+    assert hit <= passed and len(passed) <= len(hit) + 3
+
+
+def test_offsets_count_code_points():
+    text = "é — ein Wört, ŽLUŤ x\u00a0y".encode()
+    plain = text.translate(decontam._TO_WORDS)
+    starts, ends = decontam.word_offsets(text, plain)
+    want = [m.span() for m in WORD.finditer(text.decode().translate({c: c + 32 for c in range(65, 91)}))]
+    assert list(zip(starts.tolist(), ends.tolist())) == want
+
+
 def test_drop_keeps_clean_rows_and_columns(spark):
     rows, items = _case()
     bench = spark.createDataFrame(items, "item_id bigint, text string")
