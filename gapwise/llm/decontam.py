@@ -51,7 +51,6 @@ FILTER_STEP = 1 << 16
 SALTS = 16
 #: Text hashes (16 bytes each) that are broadcast.
 MAX_BROADCAST_KEYS = 200_000
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: A document is contaminated if at least one word in ``SHARE`` is hit.
 SHARE = 20
 

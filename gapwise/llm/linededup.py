@@ -16,7 +16,10 @@ everywhere. Keys travel as two independent 64-bit hashes.
 A key in a large part of all documents would send all their probes to one
 shard. Such keys are resolved without probing: fewer than ``HOT_KEYS`` keys can
 each have more than 1/``HOT_KEYS`` of all (document, key) pairs, so their list
-has a proven bound and goes into the plan as a literal set.
+has a proven bound and goes into the plan as a literal set. Keys just below that
+still make a shard heavy when there are many shards: a shard with more than
+``HEAVY`` times the mean is copied and its probes dealt to the copies, so no task
+holds more than a fixed multiple of ``pairs / shards`` probes.
 
 Edge cases: a null or empty text is one empty line; empty keys are never
 dropped (``min_chars``); every row is a document of its own, so repeated rows
@@ -42,6 +45,8 @@ MIN_DOCS = 10
 MIN_CHARS = 1
 KEYS_PER_SHARD = 1 << 16
 HOT_KEYS = 1024
+#: A shard with more than this many times the mean number of probes is copied.
+HEAVY = 4
 _BLANKS = " \t\n\x0b\x0c\r"
 _SPLIT = "\n"
 
@@ -155,8 +160,26 @@ def build_arrays(keys: DataFrame, shards: int, cap: int) -> DataFrame:
     return map_arrow(dealt, make, "shard int, index binary, prints binary, counts binary")
 
 
-def probe(probes: DataFrame, arrays: DataFrame, shards: int, least: int) -> DataFrame:
-    """The rows of ``probes(doc, a, b)`` whose key is in at least ``least`` documents."""
+def heavy_shards(keys: DataFrame, shards: int, pairs: int, hot_from: int) -> DataFrame | None:
+    """(shard, copies) of the shards with more than ``HEAVY`` times the mean number of probes.
+
+    There are at most ``shards / HEAVY`` of them, one for each 262,144 distinct
+    keys, so their list is broadcast; None where no shard can be heavy.
+    """
+    if shards <= HEAVY:
+        return None
+    most = HEAVY * max(1, pairs // shards)
+    return (keys.where(F.col("n") < hot_from).groupBy(_shard(shards)).agg(F.sum("n").alias("w"))
+            .where(F.col("w") > most)
+            .select("shard", F.ceil(F.col("w") / F.lit(most)).cast("int").alias("copies")))
+
+
+def probe(probes: DataFrame, arrays: DataFrame, shards: int, least: int,
+          heavy: DataFrame | None = None) -> DataFrame:
+    """The rows of ``probes(doc, a, b)`` whose key is in at least ``least`` documents.
+
+    The arrays of a ``heavy`` shard are copied, and its probes dealt to the copies by document.
+    """
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, None
         for batch in batches:
@@ -182,6 +205,16 @@ def probe(probes: DataFrame, arrays: DataFrame, shards: int, least: int) -> Data
     held = arrays.select("shard", F.lit(0).alias("kind"),
                          *(none.cast("bigint").alias(c) for c in ("doc", "a", "b")),
                          "index", "prints", "counts")
+    if heavy is not None:
+        copies, many = F.coalesce("copies", F.lit(1)), F.broadcast(heavy)
+        # copy c of shard s is a shard of its own: s + shards * c
+        def copy(c: Column) -> Column:
+            return (F.col("shard") + F.lit(shards).cast("bigint") * c).alias("shard")
+        rest = held.columns[1:]
+        asked = asked.join(many, "shard", "left").select(
+            copy(F.pmod(F.xxhash64("doc"), copies)), *rest)
+        held = (held.join(many, "shard", "left")
+                .withColumn("c", F.explode(F.sequence(F.lit(0), copies - 1))).select(copy(F.col("c")), *rest))
     dealt = held.union(asked).repartition("shard").sortWithinPartitions("shard", "kind")
     return map_arrow(dealt, look, "doc bigint, a bigint, b bigint")
 
@@ -208,7 +241,8 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     cold = F.filter(_keyed(F.col("text"), min_chars), lambda k: ~is_hot(k))
     probes = (docs.select(own.alias("doc"), F.explode(cold).alias("k"))
               .select("doc", "k.a", "k.b"))
-    hits = (probe(probes, build_arrays(keys, shards, min_docs), shards, min_docs)
+    heavy = heavy_shards(keys, shards, shape["pairs"], hot_from)
+    hits = (probe(probes, build_arrays(keys, shards, min_docs), shards, min_docs, heavy)
             .groupBy("doc").agg(F.collect_set(F.struct("a", "b")).alias("hits")))
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     # the input row travels as one column, so that its names meet no names used here

@@ -49,6 +49,18 @@ def test_many_shards_and_hot_lines(spark, monkeypatch):
     assert _run(documents(spark, rows), 3) == _brute(rows, 3)
 
 
+def test_heavy_shards_are_copied(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "KEYS_PER_SHARD", 7)
+    monkeypatch.setattr(linededup, "HOT_KEYS", 1)  # no key is hot
+    monkeypatch.setattr(linededup, "HEAVY", 2)
+    seen = []
+    monkeypatch.setattr(linededup, "heavy_shards", lambda *a, f=linededup.heavy_shards: seen.append(f(*a)) or seen[-1])
+    rows = [(i, f"everywhere\nown {i}\npair {i // 3}", "en", "s", 1) for i in range(120)] + odd_rows()
+    assert _run(documents(spark, rows), 3) == _brute(rows, 3)
+    assert max(r.copies for r in seen[0].collect()) > 1
+    assert linededup.heavy_shards(spark.range(0), 2, 100, 10) is None
+
+
 def test_empty_table_and_columns(spark):
     assert linededup.drop_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     docs = documents(spark)
