@@ -262,11 +262,15 @@ def dispositions(spark, sf_dir) -> DataFrame:
 
 
 def ingest_report(spark, sf_dir) -> DataFrame:
-    """Events of all bundle objects → admission → read the admitted objects → validate → outcome."""
+    """Events of all bundle objects → admission → validate the objects, those admitted → outcome.
+
+    Every object is validated where it is read and the admitted ones are told apart by name
+    afterwards, so no document moves.
+    """
     texts = object_event_texts(spark, sf_dir).unionByName(procedure_event_texts(spark, sf_dir))
     admitted = I.admit_events(I.parse_object_events(texts), EXPECTED_BUCKET).withColumnRenamed("name", "object_name")
     accepted = admitted.where(F.col("reason").isNull()).select("object_name").distinct()
-    ing = I.ingest(bundle_documents(spark, sf_dir).join(accepted, "object_name", "left_semi"))
+    ing = I.Ingested(I.ingest(bundle_documents(spark, sf_dir)).rows.join(accepted, "object_name", "left_semi"))
     return I.ingest_report(I.object_statuses(admitted, ing, I.dispositions(store_attempts(spark, sf_dir))))
 
 
