@@ -222,3 +222,44 @@ def test_run_request_cases(spark):
     assert got == [("run", dt.date(2024, 1, 31))] + [("run", today)] * 6 + [("ignored", None)] * 6
     assert [r.run_date for r in run_dates_in_order(parse_run_requests(df, today)).collect()] == \
         [dt.date(2024, 1, 31), today]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_typed_reads_move_no_documents(spark):
+    """References are resolved on typed columns: no join of the plan carries a VARIANT, and only urns are targets."""
+    staged = I.stage(raw(spark, {"a": json.dumps(bundle())}))
+    plan = _plan(staged.versions()["Observation"])
+    joins = [i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line]
+    below = plan.splitlines()[joins[0] + 1]
+    assert joins and "Project" in below and "resource#" not in below.split("Project", 1)[1].split(" AS ")[0]
+    targets = I.reference_targets(I.ingest(raw(spark, {"a": json.dumps(bundle(entries=[
+        entry("urn:uuid:p", PATIENT), entry("Patient/x", PATIENT, "PUT", "Patient/x")]))})).entries)
+    assert [r.urn for r in targets.collect()] == ["urn:uuid:p"]
+
+
+def test_odd_entries_and_references(spark):
+    """Entries and parts of another kind, siblings, unsorted and unknown names, escapes and repeated references."""
+    twice = {"resourceType": "Group", "id": "g", "member": [{"entity": {"reference": "urn:uuid:p"}}] * 2,
+             "managingEntity": {"reference": "urn:uuid:p"}}
+    odd = [5, None, "x", {"resource": 7, "request": 3}, {"fullUrl": 1, "resource": {"resourceType": 2, "zz": 1}},
+           entry("urn:uuid:p", {"_gender": {"id": "1"}, "gender": "male", "resourceType": "Patient", "active": [[True]]}),
+           entry("Group/g", twice, "PUT", "Group/g")]
+    escaped = json.dumps(bundle(entries=[entry("urn:uuid:p", PATIENT), entry(None, OBS)])).replace(
+        "urn:uuid:pat-1", "urn\\u003auuid:p")
+    ing = I.stage(raw(spark, {"odd": json.dumps(bundle(entries=odd)), "escaped": escaped,
+                              "bad": json.dumps(bundle(entries=[entry(None, dict(PATIENT, _note={}))]))}))
+    assert [(r.object_name, r.detail) for r in ing.rejected.collect()] == [("bad", "Patient._note")]
+    rows = {(r.object_name, r.pos): r for r in ing.entries.drop("resource").collect()}
+    assert [rows["odd", i].has_request for i in range(7)] == [False] * 5 + [True, True]
+    assert [rows["odd", i].resource_type for i in range(7)] == [None] * 4 + ["2", "Patient", "Group"]
+    assert rows["odd", 4].full_url == "1" and rows["odd", 6].urns == ["urn:uuid:p"] * 3
+    assert rows["escaped", 1].urns == ["urn:uuid:p"]
+    refs = sorted((r.object_name, r.pos, r.target) for r in I.reference_rows(ing.entries).collect())
+    assert refs == [("escaped", 1, "Patient/p"), ("odd", 6, "Patient/p")]
+    docs = {r.object_name: json.loads(r.d) for r in I.resolve_documents(ing.entries).where(
+        "pos = 6 or (pos = 1 and object_name = 'escaped')").select("object_name", F.to_json("resource").alias("d")).collect()}
+    assert [m["entity"]["reference"] for m in docs["odd"]["member"]] == ["Patient/p"] * 2
+    assert docs["odd"]["managingEntity"]["reference"] == docs["escaped"]["subject"]["reference"] == "Patient/p"
