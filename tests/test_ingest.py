@@ -263,3 +263,39 @@ def test_odd_entries_and_references(spark):
         "pos = 6 or (pos = 1 and object_name = 'escaped')").select("object_name", F.to_json("resource").alias("d")).collect()}
     assert [m["entity"]["reference"] for m in docs["odd"]["member"]] == ["Patient/p"] * 2
     assert docs["odd"]["managingEntity"]["reference"] == docs["escaped"]["subject"]["reference"] == "Patient/p"
+
+
+def test_a_delivery_to_the_version_log_is_computed_once(spark, tmp_path):
+    from gapwise.operators.replays import VersionLog
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(docs):
+        def count(batches):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
+        return docs.mapInArrow(count, docs.schema)
+
+    docs = raw(spark, {"a": json.dumps(bundle()), "b": json.dumps(bundle())})
+    versions = I.ingest(counted(docs)).versions_long()
+    versions.write.format("noop").mode("overwrite").save()
+    once, log = read.value, VersionLog(spark, str(tmp_path))
+    for batch in ("first", "second"):
+        before = read.value
+        log.append(versions, batch)
+        assert 0 < read.value - before <= once
+    assert log.read().count() == 6
+
+
+def test_report_moves_no_documents(spark, tmp_path):
+    from gapwise.plans.ingest_queries import ingest_report
+    spark.sql("""select id as o_orderkey, id % 7 as o_custkey, timestamp_ntz'2000-01-02' as o_orderdate,
+        'F' as o_orderstatus, 1.5D as o_totalprice from range(120)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("""select id as l_orderkey, 1 as l_linenumber, id % 40 as l_partkey, id % 3 as l_suppkey,
+        timestamp_ntz'2000-03-04' as l_shipdate from range(120)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    report = ingest_report(spark, str(tmp_path))
+    lines = _plan(report).splitlines()
+    joins = [i for i, line in enumerate(lines) if "Join " in line and "object_name#" in line]
+    assert joins and not any(c in lines[i + 1] for i in joins for c in ("body", "resource#", "entry#"))
+    got = {r.status: r.objects for r in report.collect()}
+    assert sum(got.values()) == 240 and set(got) <= {"skipped", "ingested", "pending", "failed"}
