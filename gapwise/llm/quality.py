@@ -7,11 +7,16 @@ turned into an accept / reject decision by a score quantile: the cut is the
 quantile of the training scores that equals the share of bad labels, and the
 reported score is shifted so that the cut lies at ``ACCEPT``.
 
-Features are measured on whole texts in one Arrow pass. Training uses a
-bounded sample, the documented parameter ``max_rows_per_label`` (the labelled
-ids of each class with the smallest hash; one without a document leaves the
-sample smaller), and ``pairs`` pairs; scoring covers every row and moves no
-text between tasks.
+Features are measured on whole texts in one Arrow pass. Every usable label whose
+document is there takes part in training, and every (good, bad) pair of them in
+the loss; there is no sample of rows or pairs. The sum over all pairs is not
+formed pair by pair: the logistic function of a score difference is interpolated
+in each of the two scores, between Chebyshev nodes of score cells of width 1
+(error about 1e-11), so it is a sum over pairs of nodes, and what a task adds to
+a node are its rows' shares and their feature sums. The driver sees the sums of
+the cells in which scores lie (tens, whatever the number of rows), never rows.
+The cut is found by counting ranges of the score. Scoring covers every row and
+moves no text between tasks.
 
 Edge cases: a null or empty text has all features zero and gets a score like
 any other; a null doc_id is never trained on and is not held out; repeated
@@ -24,7 +29,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,15 +38,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwise.llm.arrowtext import LOWER, NON_SPACE, Texts, hash_spans, in_share, map_arrow, tokens
+from gapwise.llm.arrowtext import LOWER, NON_SPACE, Texts, hash_spans, map_arrow, tokens
+from gapwise.session import scratch_path
 
 #: Scores from here on are accepted.
 ACCEPT = 0.7
 #: Score of every document when there is nothing to learn from.
 NEUTRAL = 0.75
-MAX_ROWS_PER_LABEL = 20_000
-PAIRS = 200_000
 RIDGE = 1e-3
+#: Chebyshev nodes in a score cell of width 1.
+NODES = 10
+#: A range of so many rows is looked at value by value for the cut; larger ones are cut into so many buckets.
+SELECT_ROWS, BUCKETS = 10_000, 1024
 
 
 def _table(chars: str) -> np.ndarray:
@@ -133,39 +141,166 @@ class RankModel:
         return 1.0 / (1.0 + np.exp(-np.clip(raw - self.cut + np.log(ACCEPT / (1 - ACCEPT)), -40, 40)))
 
 
-def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int = PAIRS,
-              seed: int = 7) -> RankModel:
-    """Bradley-Terry weights from sampled (good, bad) pairs, and the quantile cut."""
-    both = np.concatenate([good, bad])
-    mean, scale = both.mean(axis=0), both.std(axis=0)
-    scale[scale < 1e-9] = 1.0
-    good, bad = (good - mean) / scale, (bad - mean) / scale
-    rng = np.random.default_rng(seed)
-    diff = good[rng.integers(0, len(good), pairs)] - bad[rng.integers(0, len(bad), pairs)]
-    w = np.zeros(diff.shape[1])
-    loss = np.inf
+_AT = 0.5 + 0.5 * np.cos((2 * np.arange(NODES) + 1) * np.pi / (2 * NODES))
+_TO_NODES = np.linalg.inv(np.polynomial.chebyshev.chebvander(2 * _AT - 1, NODES - 1))
+
+
+def _place(score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each score and its shares in the cell's nodes: f(score) is about shares @ f(nodes)."""
+    cell = np.floor(score)
+    return cell.astype(np.int64), np.polynomial.chebyshev.chebvander(2 * (score - cell) - 1, NODES - 1) @ _TO_NODES
+
+
+def _add_sums(sums: dict, label: np.ndarray, z: np.ndarray, w: np.ndarray) -> None:
+    """Add to ``sums[label, cell]`` the rows' shares in the cell's nodes, and these times their features."""
+    cell, share = _place(z @ w)
+    order = np.lexsort((cell, label))
+    label, cell = label[order], cell[order]
+    first = np.flatnonzero(np.r_[True, (label[1:] != label[:-1]) | (cell[1:] != cell[:-1])]) if len(order) else []
+    for a, b in zip(first, [*first[1:], len(order)]):
+        own, key = share[order[a:b]], (int(label[a]), int(cell[a]))
+        rows = np.concatenate([own.sum(axis=0)[:, None], own.T @ z[order[a:b]]], axis=1)
+        sums[key] = sums[key] + rows if key in sums else rows
+
+
+class _AllPairs:
+    """Loss over all pairs, its gradient and its curvature, from the sums of ``_add_sums`` at weights ``w``."""
+
+    def __init__(self, sums: dict, w: np.ndarray):
+        self.w, d = w, len(w)
+        cells = [sorted(c for q, c in sums if q == k) for k in (0, 1)]
+        at = [(np.array(c, float)[:, None] + _AT).ravel() for c in cells]
+        rows = [np.concatenate([sums[k, c] for c in cells[k]]) for k in (0, 1)]
+        n, x = [r[:, 0] for r in rows], [r[:, 1:] for r in rows]
+        # means over all pairs of the loss, of p = 1 / (1 + e^difference) and of p (1 - p), and by node
+        loss, p, q = 0.0, [np.zeros(len(a)) for a in at], [np.zeros(len(a)) for a in at]
+        cross = np.zeros((d, d))
+        n_pairs = self.n_pairs = n[0].sum() * n[1].sum()
+        for a in range(0, len(at[1]), 64 * NODES):
+            part = slice(a, a + 64 * NODES)
+            difference = at[1][part, None] - at[0][None, :]
+            loss += n[1][part] @ np.logaddexp(0.0, -difference) @ n[0]
+            wrong = 1.0 / (1.0 + np.exp(np.clip(difference, -40, 40)))
+            p[1][part], p[0] = wrong @ n[0], p[0] + n[1][part] @ wrong
+            wrong *= 1.0 - wrong
+            q[1][part], q[0] = wrong @ n[0], q[0] + n[1][part] @ wrong
+            cross += x[1][part].T @ wrong @ x[0]
+        self.loss = loss / n_pairs + RIDGE / 2 * w @ w
+        self.gradient = RIDGE * w - (p[1] @ x[1] - p[0] @ x[0]) / n_pairs
+        self.cross = (cross + cross.T) / n_pairs
+        #: For each label and cell, by node: the sum of p (1 - p) over the pairs of a row at that node.
+        self.weights = {(k, c): v for k in (0, 1) for c, v in zip(cells[k], q[k].reshape(-1, NODES))}
+
+    def add_squares(self, squares: np.ndarray, label: np.ndarray, z: np.ndarray) -> None:
+        """Add the rows' part of the curvature that is a sum over rows."""
+        cell, share = _place(z @ self.w)
+        keys, which = np.unique(np.stack([label, cell], axis=1), axis=0, return_inverse=True)
+        # a score on a cell's edge may have been rounded into the next cell when the sums were taken
+        none = np.zeros(NODES)
+        at_nodes = np.array([self.weights.get((int(k), int(c)), none) for k, c in keys]).reshape(-1, NODES)
+        weight = (share * at_nodes[which.ravel()]).sum(axis=1)
+        squares += (z * weight[:, None]).T @ z
+
+    def curve(self, squares: np.ndarray) -> np.ndarray:
+        return squares / self.n_pairs - self.cross + RIDGE * np.eye(len(self.w))
+
+
+def _newton(d: int, sums: Callable[[np.ndarray], dict], squares: Callable[[_AllPairs], np.ndarray]) -> np.ndarray:
+    """Weights of least loss; ``sums`` and ``squares`` are passes over all rows.
+
+    Weights are rounded, so that the order in which tasks' sums are added does not show.
+    """
+    at = _AllPairs(sums(np.zeros(d)), np.zeros(d))
     for _ in range(50):  # Newton steps, halved until the loss falls
-        p = 1.0 / (1.0 + np.exp(np.clip(diff @ w, -40, 40)))
-        gradient = RIDGE * w - diff.T @ p / len(diff)
-        curve = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + RIDGE * np.eye(len(w))
-        step, rate = np.linalg.solve(curve, gradient), 1.0
-        while True:
-            new = w - rate * step
-            value = np.logaddexp(0.0, -(diff @ new)).mean() + RIDGE / 2 * new @ new
-            if value < loss or rate < 1e-3:
+        step, rate = np.linalg.solve(at.curve(squares(at)), at.gradient), 1.0
+        if at.gradient @ step < 1e-8:  # twice what is left to gain
+            break
+        while rate > 1e-3:
+            w = np.round(at.w - rate * step, 6)
+            new = _AllPairs(sums(w), w)
+            if new.loss < at.loss:
                 break
             rate /= 2
-        done = loss - value < 1e-7
-        w, loss = new, min(loss, value)
-        if done:
+        else:
             break
-    raw = np.concatenate([good @ w, bad @ w])
-    weight = np.concatenate([np.full(len(good), (1 - bad_share) / len(good)),
-                             np.full(len(bad), bad_share / len(bad))])
-    order = np.argsort(raw, kind="stable")
-    k = int(np.searchsorted(np.cumsum(weight[order]), bad_share - 1e-12))
-    cut = float(raw[order][k] + raw[order][min(k + 1, len(raw) - 1)]) / 2
-    return RankModel(tuple(mean), tuple(scale), tuple(w), cut)
+        at = new
+    return at.w
+
+
+def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int | None = None,
+              seed: int | None = None) -> RankModel:
+    """Bradley-Terry weights from all (good, bad) pairs of local rows, and the quantile cut.
+
+    ``pairs`` and ``seed`` chose a sample of the pairs once; they have no effect.
+    """
+    both = np.concatenate([good, bad])
+    mean, scale = both.mean(axis=0), both.std(axis=0)
+    scale[scale < 1e-9] = 1.0
+    z, label = (both - mean) / scale, np.repeat([1, 0], [len(good), len(bad)])
+
+    def sums(w: np.ndarray) -> dict:
+        out: dict = {}
+        _add_sums(out, label, z, w)
+        return out
+
+    def squares(at: _AllPairs) -> np.ndarray:
+        out = np.zeros((z.shape[1], z.shape[1]))
+        at.add_squares(out, label, z)
+        return out
+
+    w = _newton(z.shape[1], sums, squares)
+    raw, counts = np.unique(np.stack([z @ w, 1 - label], axis=1), axis=0, return_counts=True)
+    found = _walk([(v, 1 - int(q), int(c)) for (v, q), c in zip(raw, counts)], 0.0,
+                  bad_share, {1: (1 - bad_share) / len(good), 0: bad_share / len(bad)})
+    cut = (found[0] + (found[0] if found[1] is None else found[1])) / 2
+    return RankModel(tuple(mean), tuple(scale), tuple(w), float(cut))
+
+
+def _walk(entries: list[tuple[float, int, int]], below: float, wanted: float,
+          weight: dict[int, float]) -> tuple[float, float | None]:
+    """The score at which the summed weights reach ``wanted``, and that of the row after it, if in ``entries``.
+
+    ``entries`` are (score, label, rows) in order; ``below`` is the weight before the first.
+    """
+    for i, (score, label, rows) in enumerate(entries):
+        need = max(1, int(np.ceil((wanted - 1e-12 - below) / weight[label])))
+        if need < rows:
+            return score, score
+        if need == rows or i == len(entries) - 1:
+            return score, entries[i + 1][0] if i + 1 < len(entries) else None
+        below += rows * weight[label]
+    raise ValueError("no rows")
+
+
+def _cut(raw: DataFrame, bad_share: float, weight: dict[int, float]) -> float:
+    """The weighted quantile ``bad_share`` of ``raw(_q, _raw)``: between the row that reaches it and the next one.
+
+    Ranges of the score are counted, and the one in which the quantile lies is
+    looked at next, until it has few rows or a single value.
+    """
+    low, high, n = raw.agg(F.min("_raw"), F.max("_raw"), F.count(F.lit(1))).first()
+    below, inside = 0.0, raw
+    while n > SELECT_ROWS and low < high:
+        width = (high - low) / BUCKETS
+        bucket = F.least(F.floor((F.col("_raw") - F.lit(low)) / F.lit(width)), F.lit(BUCKETS - 1))
+        counts = (inside.groupBy(bucket.alias("_b")).agg(
+            F.count_if(F.col("_q") == 1).alias("good"), F.count_if(F.col("_q") == 0).alias("bad"),
+            F.min("_raw").alias("low"), F.max("_raw").alias("high")).orderBy("_b").collect())
+        for r in counts:
+            held = r["good"] * weight[1] + r["bad"] * weight[0]
+            if below + held >= bad_share - 1e-12:
+                break
+            below += held
+        else:  # rounding alone keeps the last range from reaching it
+            below -= held
+        low, high, n = r["low"], r["high"], r["good"] + r["bad"]
+        inside = raw.where(F.col("_raw").between(low, high))
+    entries = (inside.groupBy("_raw", "_q").agg(F.count(F.lit(1)).alias("n"))
+               .orderBy("_raw", F.desc("_q")).collect())
+    here, after = _walk([tuple(r) for r in entries], below, bad_share, weight)
+    if after is None:
+        after = raw.where(F.col("_raw") > high).agg(F.min("_raw")).first()[0]
+    return round((here + (here if after is None else after)) / 2, 9)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -173,13 +308,71 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows_per_label: int = MAX_ROWS_PER_LABEL,
-          pairs: int = PAIRS, seed: int = 7) -> RankModel:
-    """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, quality)``.
+def _unpack(batch: pa.RecordBatch, mean: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and standardised features of a batch of ``(_q, _x)``."""
+    x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+    return batch.column(0).to_numpy(zero_copy_only=False), (x - mean) / scale
+
+
+def _fit(rows: DataFrame, bad_share: float) -> RankModel:
+    """The model of ``rows(_q, _x)``, labels and features; every pass over them is one Spark job."""
+    at = [F.col("_x")[i].cast("double") for i in range(N_FEATURES)]
+    got = rows.agg(F.count_if(F.col("_q") == 1), F.count_if(F.col("_q") == 0), *map(F.avg, at), *map(F.stddev_pop, at)).first()
+    if not (got[0] and got[1]):
+        return RankModel((), (), None, 0.0)
+    # as float32, so that the order in which tasks' sums are added does not show
+    mean, scale = (np.array(got[k:k + N_FEATURES], np.float32).astype(float) for k in (2, 2 + N_FEATURES))
+    scale[scale < 1e-9] = 1.0
+    spark = rows.sparkSession
+
+    def sums(w: np.ndarray) -> dict:
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out: dict = {}
+            for b in batches:
+                _add_sums(out, *_unpack(b, mean, scale), w)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in out], pa.int32()), pa.array([k[1] for k in out], pa.int64()),
+                 pa.array([v.ravel() for v in out.values()], pa.list_(pa.float64()))], names=["_q", "_cell", "_sums"])
+
+        def added(group: pa.Table) -> pa.Table:
+            total = np.sum([np.asarray(v.values) for c in group.column(2).chunks for v in c], axis=0)
+            return group.slice(0, 1).set_column(2, "_sums", pa.array([total], pa.list_(pa.float64())))
+
+        schema = "_q int, _cell bigint, _sums array<double>"
+        cells = map_arrow(rows, part, schema).groupBy("_q", "_cell").applyInArrow(added, schema).toArrow()
+        return {(q, c): np.array(v).reshape(NODES, -1) for q, c, v in zip(*(x.to_pylist() for x in cells.columns))}
 
-    The sample is taken from the labels: at most ``max_rows_per_label`` ids of
-    each class, which bounds their broadcast. Only the texts of these ids are
-    measured, both classes in one pass over the documents.
+    def squares(at: _AllPairs) -> np.ndarray:
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = np.zeros((N_FEATURES, N_FEATURES))
+            for b in batches:
+                at.add_squares(out, *_unpack(b, mean, scale))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size), pa.int32()), pa.array(out.ravel())],
+                                             names=["_at", "_sum"])
+
+        total = map_arrow(rows, part, "_at int, _sum double").groupBy("_at").agg(F.sum("_sum")).toArrow()
+        out = np.zeros(N_FEATURES * N_FEATURES)
+        out[total.column(0).to_numpy()] = total.column(1).to_numpy()
+        return out.reshape(N_FEATURES, N_FEATURES)
+
+    w = _newton(N_FEATURES, sums, squares)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            q, z = _unpack(b, mean, scale)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z @ w)], names=["_q", "_raw"])
+
+    map_arrow(rows, scored, "_q int, _raw double").write.parquet(path := scratch_path(spark, "quality"))
+    cut = _cut(spark.read.parquet(path), bad_share, {1: (1 - bad_share) / got[0], 0: bad_share / got[1]})
+    return RankModel(tuple(mean), tuple(scale), tuple(w), cut)
+
+
+def train(docs: DataFrame, labels: DataFrame, pairs: int | None = None, seed: int | None = None) -> RankModel:
+    """Fit on every usable row of ``docs(doc_id, text)`` and ``labels(doc_id, quality)``.
+
+    Documents that are not held out are measured in place; their features, not
+    their texts, meet the labels, and are written once for the passes of the
+    fit. ``pairs`` and ``seed`` chose a sample once; they have no effect.
     """
     quality = F.col("quality").try_cast("double")
     lab = (labels.select(F.col("doc_id").alias("_id"), quality.alias("_q"))
@@ -189,28 +382,20 @@ def train(docs: DataFrame, labels: DataFrame, max_rows_per_label: int = MAX_ROWS
     counts = {r["_q"]: r["n"] for r in lab.groupBy("_q").agg(F.count("*").alias("n")).collect()}
     if not (counts.get(0) and counts.get(1)):
         return RankModel((), (), None, 0.0)
-    some = [lab.where((F.col("_q") == q) & in_share(F.col("_id"), max_rows_per_label, counts[q]))
-            .orderBy(F.xxhash64("_id"), "_id").limit(max_rows_per_label) for q in (1, 0)]
-    chosen = (docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-              .join(F.broadcast(some[0].union(some[1])), "_id").select("_id", "_q", "_text"))
+    plain = (docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+             .where(F.col("_id").isNotNull() & ~held_out(F.col("_id"))))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = features(Texts(b.column(2))).astype(np.float32)
+            x = features(Texts(b.column(1))).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(list(x), pa.list_(pa.float32()))],
-                names=["_id", "_q", "_x"])
-
-    schema = T.StructType([chosen.schema["_id"], chosen.schema["_q"],
-                           T.StructField("_x", T.ArrayType(T.FloatType()))])
-    got = (map_arrow(chosen, measure, schema).groupBy("_id", "_q").agg(F.min("_x").alias("_x"))
-           .select("_q", "_x", F.xxhash64("_id").alias("_h"), "_id").toArrow()
-           .sort_by([("_h", "ascending"), ("_id", "ascending")]))
-    label, x = got.column("_q").to_numpy(), np.array(got.column("_x").to_pylist(), dtype=float)
-    sample = [x.reshape(-1, N_FEATURES)[label == q] for q in (1, 0)]
-    if not (len(sample[0]) and len(sample[1])):
-        return RankModel((), (), None, 0.0)
-    return fit_pairs(sample[0], sample[1], counts[0] / (counts[0] + counts[1]), pairs, seed)
+                [b.column(0), pa.array(list(x), pa.list_(pa.float32()))], names=["_id", "_x"])
+
+    schema = T.StructType([plain.schema["_id"], T.StructField("_x", T.ArrayType(T.FloatType()))])
+    spark = docs.sparkSession
+    (map_arrow(plain, measure, schema).groupBy("_id").agg(F.min("_x").alias("_x")).join(lab, "_id")
+     .select("_q", "_x").write.parquet(path := scratch_path(spark, "quality")))
+    return _fit(spark.read.parquet(path), counts[0] / (counts[0] + counts[1]))
 
 
 def score_documents(docs: DataFrame, model: RankModel) -> DataFrame:

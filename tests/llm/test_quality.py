@@ -151,3 +151,66 @@ def test_training_is_the_pairwise_loss_over_all_usable_labels(spark):
             rate /= 2
         best = best - rate * step
     assert loss(best) <= loss(w) + 1e-9 < loss(best) + 0.01
+
+
+def test_every_label_and_every_pair_count(spark):
+    # 40,500 good rows of six kinds of text, those of the sixth kind rare
+    rng = np.random.default_rng(5)
+    marks = rng.integers(0, 6, 41_500)
+    marks[:40_500] = np.where(np.arange(40_500) % 300 == 0, 5, marks[:40_500] % 3)
+    rows = [(i, "w " * 6 + "%% " * int(k), "en", "s", 1) for i, k in enumerate(marks)]
+    docs = documents(spark, rows, clash=False)
+    labels = spark.createDataFrame([(i, int(i < 40_500)) for i in range(len(rows))], "doc_id bigint, quality int")
+    model = quality.train(docs, labels)
+    used = [r.doc_id for r in docs.where(~quality.held_out(docs.doc_id)).select("doc_id").collect()]
+    x = quality.features(Texts(pa.array(["w " * 6 + "%% " * k for k in range(6)]))).astype(np.float32).astype(float)
+    n = [np.bincount([marks[i] for i in used if (i < 40_500) == good], minlength=6) for good in (False, True)]
+    n_all = n[0] + n[1]
+    mean = n_all @ x / n_all.sum()
+    assert np.allclose(model.mean, mean, atol=1e-7)
+    assert np.allclose(model.scale, np.maximum(np.sqrt(n_all @ (x - mean) ** 2 / n_all.sum()), 0) + (np.ptp(x, axis=0) < 1e-9),
+                       atol=1e-7)
+    # the gradient over all pairs, counted by the six kinds of text, is zero
+    z, w = (x - model.mean) / model.scale, np.array(model.weights)
+    gradient = quality.RIDGE * w
+    for g in range(6):
+        for b in range(6):
+            gradient = gradient - n[1][g] * n[0][b] / (n[1].sum() * n[0].sum()) * (z[g] - z[b]) / (1 + np.exp((z[g] - z[b]) @ w))
+    assert np.abs(gradient).max() < 1e-4
+    raw = sorted((float(z[k] @ w), k) for k in range(6))
+    share = n[0].sum() / n_all.sum()
+    passed = np.cumsum([n_all[k] for _, k in raw]) / n_all.sum()
+    assert abs(model.cut - raw[int(np.argmax(passed >= share))][0]) < 1e-6
+
+
+def test_sums_over_nodes_are_the_sums_over_pairs():
+    rng = np.random.default_rng(2)
+    z, label = rng.normal(0, 4, (90, 3)), rng.integers(0, 2, 90)
+    w = np.array([1.5, -0.7, 2.0])
+    sums = {}
+    for part in (slice(0, 40), slice(40, 90)):
+        quality._add_sums(sums, label[part], z[part], w)
+    at = quality._AllPairs(sums, w)
+    diff = np.array([g - b for g in z[label == 1] for b in z[label == 0]])
+    p = 1 / (1 + np.exp(diff @ w))
+    assert abs(at.loss - np.logaddexp(0, -(diff @ w)).mean() - quality.RIDGE / 2 * w @ w) < 1e-9
+    assert np.allclose(at.gradient, quality.RIDGE * w - diff.T @ p / len(diff), atol=1e-9)
+    squares = np.zeros((3, 3))
+    at.add_squares(squares, label, z)
+    want = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + quality.RIDGE * np.eye(3)
+    assert np.allclose(at.curve(squares), want, atol=1e-8)
+
+
+def test_cut_is_the_weighted_quantile_of_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(quality, "SELECT_ROWS", 20)
+    monkeypatch.setattr(quality, "BUCKETS", 4)
+    for values, share in ((rng.normal(0, 1, 300), 0.3), (np.round(rng.normal(0, 1, 300)), 0.4), (np.zeros(50), 0.5),
+                          (np.r_[rng.normal(0, 1, 99), 1e6], 0.99), (rng.normal(0, 1, 100), 0.001)):
+        label = rng.integers(0, 2, len(values))
+        weight = {1: (1 - share) / (label == 1).sum(), 0: share / (label == 0).sum()}
+        rows = spark.createDataFrame([(int(q), float(v)) for q, v in zip(label, values)], "_q int, _raw double")
+        order = np.lexsort((1 - label, values))
+        k = int(np.searchsorted(np.cumsum([weight[q] for q in label[order]]), share - 1e-12))
+        want = (values[order][k] + values[order][min(k + 1, len(values) - 1)]) / 2
+        assert abs(quality._cut(rows, share, weight) - want) < 1e-8
