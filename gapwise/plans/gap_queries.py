@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.operators import checks, gaps, issues, runs, serving
-from gapwise.plans.measures import CATALOG, MeasureTables, evaluate_all
+from gapwise.plans.measures import CATALOG, MeasureTables, RankedTables, evaluate_all, rank_tables
 from gapwise.plans.run import current_state, run_measures
 from gapwise.plans.sqlfiles import load_measures, register_dataset
 from gapwise.session import scratch_path
@@ -33,20 +33,27 @@ DRILL_PATIENT = "p-105"
 
 
 class TwoRuns:
-    """The two runs over the star tables; ``evals1`` and ``evals2`` are lazy plans."""
+    """The two runs over the star tables; ``evals1`` and ``evals2`` are lazy plans.
+
+    Both read the tables ranked once and kept, however often they are evaluated.
+    """
 
     def __init__(self, spark, sf_dir):
         self.spark = spark
         self._t = MeasureTables.of(star_clinical_tables(spark, sf_dir))
         self.dim = measure_dim(spark)
 
+    @cached_property
+    def ranked(self) -> RankedTables:
+        return rank_tables(self._t).kept(scratch_path(self.spark, "ranked"))
+
     @cached_property
     def evals1(self) -> DataFrame:
-        return evaluate_all(self._t, RUN1)
+        return evaluate_all(self.ranked, RUN1)
 
     @cached_property
     def evals2(self) -> DataFrame:
-        return evaluate_all(self._t, RUN2)
+        return evaluate_all(self.ranked, RUN2)
 
     @cached_property
     def store(self) -> TableStore:
@@ -71,6 +78,11 @@ class TwoRuns:
         return runs.current_runs(reduce(DataFrame.unionByName, parts))
 
 
+def second_run(spark, sf_dir) -> DataFrame:
+    """Evaluations of run 2 alone, for queries that read them once."""
+    return evaluate_all(MeasureTables.of(star_clinical_tables(spark, sf_dir)), RUN2)
+
+
 def _orders(spark, sf_dir) -> DataFrame:
     return read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
 
@@ -162,7 +174,7 @@ def sql_run_state(spark, sf_dir):
 
 
 def gap_status(spark, sf_dir):
-    return gaps.to_gap_rows(TwoRuns(spark, sf_dir).evals2)
+    return gaps.to_gap_rows(second_run(spark, sf_dir))
 
 
 def gap_state(spark, sf_dir):
@@ -186,11 +198,11 @@ def gap_batch_dedup(spark, sf_dir):
 
 
 def gap_counts(spark, sf_dir):
-    return gaps.gap_counts(TwoRuns(spark, sf_dir).evals2)
+    return gaps.gap_counts(second_run(spark, sf_dir))
 
 
 def run_summary(spark, sf_dir):
-    return gaps.run_summary(TwoRuns(spark, sf_dir).evals2, len(CATALOG))
+    return gaps.run_summary(second_run(spark, sf_dir), len(CATALOG))
 
 
 def run_log(spark, sf_dir):
@@ -285,17 +297,16 @@ def patient_gaps(spark, sf_dir):
 
 
 def issue_documents(spark, sf_dir):
-    r = TwoRuns(spark, sf_dir)
-    return issues.issue_rows(r.evals2, r.dim, RUN2)
+    return issues.issue_rows(second_run(spark, sf_dir), measure_dim(spark), RUN2)
 
 
 def invalid_issue_ids(spark, sf_dir):
-    return issues.invalid_issue_ids(TwoRuns(spark, sf_dir).evals2)
+    return issues.invalid_issue_ids(second_run(spark, sf_dir))
 
 
 def issue_bundles(spark, sf_dir):
-    r = TwoRuns(spark, sf_dir)
-    return issues.flat_chunks(issues.chunk_issues(issues.issue_document(issues.issue_rows(r.evals2, r.dim, RUN2))))
+    rows = issues.issue_rows(second_run(spark, sf_dir), measure_dim(spark), RUN2)
+    return issues.flat_chunks(issues.chunk_issues(issues.issue_document(rows)))
 
 
 GAP_QUERIES = {

@@ -12,7 +12,8 @@ Plan notes (checked with ``explain``):
   expressions need not: code flags, evidence days and birth years are computed
   before the ranking, so only ``(id, order key, patient, flags, day)`` is
   shuffled for it and never the ``code`` arrays or texts;
-* ``evaluate_all`` ranks each table once for the whole catalog;
+* ``evaluate_all`` ranks each table once for the whole catalog, or reads tables
+  ranked once for several run dates (``rank_tables``);
 * evidence is aggregated per patient with partial (map-side) aggregation, and
   a qualifying-condition side is de-duplicated before its join, so a patient
   with a very large number of rows never reaches one task as a raw group;
@@ -23,7 +24,7 @@ Plan notes (checked with ``explain``):
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -196,17 +197,31 @@ def evaluate_each(tables: MeasureTables, run_date, catalog=CATALOG) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
-def evaluate_all(tables: MeasureTables, run_date, catalog=CATALOG) -> DataFrame:
-    """All catalog measures in one plan, tagged with ``measure_id`` (M4).
+@dataclass(frozen=True)
+class RankedTables:
+    """What a catalog needs of the newest versions, whatever the run date (:func:`rank_tables`)."""
 
-    Same rows as :func:`evaluate_each`, but every resource table is ranked
-    once, its evidence is aggregated once per patient with one conditional
-    maximum per measure, and population and evidence meet on ``patient_id``.
-    The measures become rows only after that join.
-    """
-    specs = sorted(catalog, key=lambda m: m.id)
-    rd = as_date_lit(run_date)
+    patients: DataFrame   # patient_id, gender, birth, a flag per measure with conditions
+    evidence: DataFrame   # patient_id, day, a flag per evidence clause
+    catalog: tuple[MeasureSpec, ...]
+
+    def kept(self, path: str) -> "RankedTables":
+        """The same rows written under the shared folder ``path``, so that several run dates rank once."""
+        out = {}
+        for name in ("patients", "evidence"):
+            df = getattr(self, name)
+            df.write.parquet(f"{path}/{name}")
+            out[name] = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+        return replace(self, **out)
 
+
+def rank_tables(tables: MeasureTables, catalog=CATALOG) -> RankedTables:
+    """Every resource table ranked once; of the evidence only the rows with a code of the catalog stay.
+
+    A version without such a code is ranked with the others, as it may be the newest of its id, but
+    its patient and day are not shuffled.
+    """
+    specs = tuple(sorted(catalog, key=lambda m: m.id))
     p = tables.latest("Patient", F.col("gender"), _birth()).withColumnRenamed("id", "patient_id")
     cond_specs = [s for s in specs if s.condition_codes]
     if cond_specs:
@@ -217,22 +232,43 @@ def evaluate_all(tables: MeasureTables, run_date, catalog=CATALOG) -> DataFrame:
              .groupBy("patient_id").agg(*[F.bool_or(n).alias(n) for n in names]))
         p = p.join(c, "patient_id", "left")
 
-    parts, clauses = [], [(i, ev) for i, s in enumerate(specs) for ev in s.evidence]
+    parts, clauses = [], [ev for s in specs for ev in s.evidence]
     for resource in DATE_FIELD:
-        own = [(i, k, ev) for k, (i, ev) in enumerate(clauses) if ev.resource == resource]
+        own = {k: has_code(F.col("code.coding"), ev.codes, ev.system) for k, ev in enumerate(clauses)
+               if ev.resource == resource}
         if not own:
             continue
-        flags = [has_code(F.col("code.coding"), ev.codes, ev.system).alias(f"_f{k}") for _, k, ev in own]
-        rows = tables.latest(resource, _patient(), _day(resource), *flags)
-        days = []
-        for i in range(len(specs)):
-            hits = [F.col(f"_f{k}") & in_lookback(F.col("day"), rd, ev.months) for m, k, ev in own if m == i]
-            day = F.when(reduce(lambda a, b: a | b, hits), F.col("day")) if hits else F.lit(None).cast("date")
-            days.append(day.alias(f"_d{i}"))
-        kept = rows.select("patient_id", *days)
-        parts.append(kept.where(F.coalesce(*[F.col(f"_d{i}") for i in range(len(specs))]).isNotNull()))
-    ev = (reduce(DataFrame.unionByName, parts).groupBy("patient_id")
-          .agg(*[F.max(f"_d{i}").alias(f"_d{i}") for i in range(len(specs))]))
+        hit = reduce(lambda a, b: a | b, own.values())
+        rows = tables.latest(resource, F.when(hit, F.struct(
+            _patient(), _day(resource), *[(own[k] if k in own else F.lit(False)).alias(f"_f{k}")
+                                          for k in range(len(clauses))])).alias("_row"))
+        parts.append(rows.where(F.col("_row.day").isNotNull()).select("_row.*"))
+    return RankedTables(p, reduce(DataFrame.unionByName, parts), specs)
+
+
+def evaluate_all(tables: MeasureTables | RankedTables, run_date, catalog=CATALOG) -> DataFrame:
+    """All catalog measures in one plan, tagged with ``measure_id`` (M4).
+
+    Same rows as :func:`evaluate_each`, but every resource table is ranked
+    once, its evidence is aggregated once per patient with one conditional
+    maximum per measure, and population and evidence meet on ``patient_id``.
+    The measures become rows only after that join. Tables that are ranked
+    already serve any run date.
+    """
+    ranked = tables if isinstance(tables, RankedTables) else rank_tables(tables, catalog)
+    specs = sorted(catalog, key=lambda m: m.id)
+    if list(ranked.catalog) != specs:
+        raise ValueError("the tables were ranked for another catalog")
+    rd = as_date_lit(run_date)
+
+    clauses = [(i, ev) for i, s in enumerate(specs) for ev in s.evidence]
+    days = []
+    for i in range(len(specs)):
+        hits = [F.col(f"_f{k}") & in_lookback(F.col("day"), rd, ev.months) for k, (m, ev) in enumerate(clauses) if m == i]
+        days.append(F.when(reduce(lambda a, b: a | b, hits), F.col("day")).alias(f"_d{i}"))
+    ev = (ranked.evidence.select("patient_id", *days)
+          .where(F.coalesce(*[F.col(f"_d{i}") for i in range(len(specs))]).isNotNull())
+          .groupBy("patient_id").agg(*[F.max(f"_d{i}").alias(f"_d{i}") for i in range(len(specs))]))
 
     age = year_diff(rd, F.col("birth"))
 
@@ -244,7 +280,7 @@ def evaluate_all(tables: MeasureTables, run_date, catalog=CATALOG) -> DataFrame:
             cond = cond & F.col(f"_c{i}")
         return F.when(cond, F.struct(F.lit(s.id).alias("measure_id"), F.col(f"_d{i}").alias("last_evidence_date")))
 
-    return (p.join(ev, "patient_id", "left")
+    return (ranked.patients.join(ev, "patient_id", "left")
             .select("patient_id", F.explode(F.filter(
                 F.array(*[in_population(i, s) for i, s in enumerate(specs)]),
                 lambda x: x.isNotNull())).alias("_m"))

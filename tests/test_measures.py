@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from gapwise.operators.versions import latest
 from gapwise.plans.measures import (CATALOG, Evidence, MeasureSpec, MeasureTables, assert_contract,
-                                    build_measure, catalog_by_id, evaluate_all, evaluate_each)
+                                    build_measure, catalog_by_id, evaluate_all, evaluate_each, rank_tables)
 from gapwise.plans.sqlfiles import (bind_dataset, evaluate_sql_catalog, load_measures,
                                     register_dataset)
 from gapwise.sources.fixtures import RUN_DATE, star_clinical_tables
@@ -130,3 +130,41 @@ def test_custom_spec_is_data(spark):
         MeasureSpec("BAD", "x", 10, 5, (Evidence("Observation", ("c",), 1),))
     with pytest.raises(ValueError):
         Evidence("Encounter", ("c",), 1)
+
+
+def test_tables_ranked_once_serve_every_run_date(spark, tmp_dir):
+    old, new = (ts("2020-01-01"), "1"), (ts("2021-01-01"), "2")
+    hit, a1c = [("s", "73761001")], [("http://loinc.org", "2335-8")]
+    t = _tables(spark, [(f"p{i}", old, "female", "1940-01-01") for i in range(1, 6)],
+                procedures=[("x1", old, ("p1",), (hit,), ("1995-03-01",)),
+                            ("x2", old, ("p2",), (hit,), ("1995-03-01",)),
+                            ("x2", new, ("p2",), ([("s", "x")],), ("1995-03-01",)),  # the newest has no such code
+                            ("x3", old, ("p3",), ([("s", "x")],), ("1995-03-01",)),
+                            ("x3", new, ("p3",), (hit,), ("1990-08-01",)),           # in reach of the first date only
+                            ("x4", old, ("p4",), (hit,), (None,))],
+                observations=[("o1", old, ("p4",), (a1c,), ("2001-07-15",)), ("o2", old, ("p5",), (a1c,), (None,))])
+    ranked = rank_tables(t).kept(f"{tmp_dir}/ranked")
+    for day in ("2000-08-01", "2001-08-01"):
+        got, want = evaluate_all(ranked, day), evaluate_each(t, day)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    closed = {r.patient_id for r in got.where("measure_id = 'COL_SCREENING' AND in_numerator").collect()}
+    assert closed == {"p1", "p4"}
+    with pytest.raises(ValueError):
+        evaluate_all(ranked, "2001-08-01", CATALOG[:1])
+
+
+def test_versions_without_a_code_are_ranked_without_their_patient(spark):
+    meta = (ts("2020-01-01"), "1")
+    t = _tables(spark, [("p1", meta, "female", "1950-01-01")],
+                procedures=[("x1", meta, ("p1",), ([("s", "x")],), ("2001-01-01",))])
+    plan = rank_tables(t).evidence._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and "_row" in plan.split("Window")[-1]
+
+
+def test_two_runs_rank_their_tables_once(spark):
+    from gapwise.plans.gap_queries import TwoRuns
+    r = TwoRuns(spark, SF0001)
+    for evals in (r.evals1, r.evals2):
+        plan = evals._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "l_orderkey" not in plan
