@@ -85,6 +85,20 @@ def test_replays(spark, tmp_dir, bits):
     assert len(_stored(log)) - len(got) == 3000
 
 
+def test_a_batch_is_compared_without_telling_its_repeats_apart_first(spark, tmp_dir):
+    """Rows that come several times in a batch are stored or left out together, and no step takes out repeats."""
+    log = replays.VersionLog(spark, tmp_dir)
+    log.append(_versions(spark, [("a", 0, '{"x":1}', "o1", 0), ("b", 0, '{"x":1}', "o1", 1)]), "1")
+    twice = _versions(spark, [("a", 1, '{"x":1}', "o1", 0), ("b", 1, '{"x":2}', "o1", 1), ("b", 2, '{"x":1}', "o1", 1),
+                             ("b", 3, '{"x":1}', "o1", 1)] * 2)
+    new = replays.with_keys(twice)
+    found = log.replays(new, "2")
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 2 and found.distinct().count() == 2
+    log.append(twice, "2")
+    assert [r for r in _stored(log) if r[0] == "2"] == [("2", "b", "o1", 1, f'{{"x":{k}}}') for k in (1, 1, 2, 2)]
+
+
 def test_the_filter_never_misses_and_seldom_lies(spark):
     keys = spark.range(20_000).select(F.lit("T").alias("resource_type"), F.col("id").cast("string").alias("id"),
                                       F.lit("c").alias("content"))
