@@ -105,8 +105,10 @@ OBJECT_EVENT_DDL = ("event_type STRING, bucket STRING, name STRING, generation S
 
 
 def parse_object_events(df: DataFrame, col: str = "value") -> DataFrame:
-    """JSON event text → the bound fields; unknown fields are ignored (S3)."""
-    return df.select("*", F.from_json(F.col(col), OBJECT_EVENT_DDL).alias("_e")).select(
+    """JSON event text → the bound fields; unknown fields are ignored (S3).
+
+    A text is parsed once, not once for every use of a field."""
+    return df.select("*", _once(F.from_json(F.col(col), OBJECT_EVENT_DDL)).alias("_e")).select(
         *[c for c in df.columns if c != col], "_e.*")
 
 

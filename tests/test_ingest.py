@@ -299,3 +299,10 @@ def test_report_moves_no_documents(spark, tmp_path):
     assert joins and not any(c in lines[i + 1] for i in joins for c in ("body", "resource#", "entry#"))
     got = {r.status: r.objects for r in report.collect()}
     assert sum(got.values()) == 240 and set(got) <= {"skipped", "ingested", "pending", "failed"}
+
+
+def test_an_event_is_parsed_once(spark):
+    events = I.parse_object_events(spark.range(9).selectExpr("concat('{\"bucket\":\"b', id, '\",\"name\":\"x.json\"}') value"))
+    wanted = I.admit_events(events, "b1").where("reason IS NULL")
+    plan = _plan(wanted.select("name").distinct())
+    assert plan.count("from_json") == 1 and wanted.count() == 1
