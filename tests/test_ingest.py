@@ -301,6 +301,39 @@ def test_report_moves_no_documents(spark, tmp_path):
     assert sum(got.values()) == 240 and set(got) <= {"skipped", "ingested", "pending", "failed"}
 
 
+def test_documents_of_short_bundles_are_resolved_in_their_row(spark):
+    """Without a join or a shuffle; bundles that are long or share name and time with another as by the join."""
+    short = raw(spark, {"a": json.dumps(bundle()), "b": CASES["searchset"], "c": json.dumps(bundle(entries=[
+        entry("urn:uuid:x", ENC), entry("urn:uuid:x", OBS), entry(None, dict(OBS, id="o", encounter={"reference": "urn:uuid:x"})),
+        {"fullUrl": "urn:uuid:y", "request": {"method": "POST", "url": "Patient"}},
+        entry(None, {"resourceType": "Device", "patient": {"reference": "urn:uuid:y"}}, "PUT", "Device/d-1")]))})
+    long = bundle(entries=[entry(f"urn:uuid:{k}", dict(ENC, partOf={"reference": f"urn:uuid:{k + 1}"}))
+                           for k in range(I.ROW_LOOKUP + 1)])
+    none = spark.createDataFrame([(None, T, json.dumps(bundle()))], short.schema)
+    mixed = short.unionByName(none).unionByName(raw(spark, {"long": json.dumps(long)})).unionByName(
+        raw(spark, {"a": json.dumps(bundle(entries=[entry("urn:uuid:later", PATIENT), entry(None, OBS)]))}))
+
+    def rows(versions):
+        return sorted(tuple(r) for r in versions.select(
+            F.coalesce("object_name", F.lit("")), "pos", "resource_type", "id", "meta", F.to_json("resource")).collect())
+
+    for docs in (short, mixed):
+        got = rows(I.stage(docs).versions_long())
+        assert got == rows(I.ingest(docs).versions_long()) and '"Encounter/x"' in str(got)
+    plan = _plan(I.stage(short).versions_long())
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert "Join" in _plan(I.stage(mixed).versions_long())
+
+
+def test_counts_resolve_no_documents(spark):
+    plan = _plan(I.resource_counts(I.stage(raw(spark, {"a": json.dumps(bundle())})).versions_long()))
+    assert "Join" not in plan and "StructsToJson" not in plan
+
+
+def test_staging_writes_no_document_as_text(spark):
+    assert "StructsToJson" not in _plan(I.ingest(raw(spark, {"a": json.dumps(bundle())})).rows)
+
+
 def test_an_event_is_parsed_once(spark):
     events = I.parse_object_events(spark.range(9).selectExpr("concat('{\"bucket\":\"b', id, '\",\"name\":\"x.json\"}') value"))
     wanted = I.admit_events(events, "b1").where("reason IS NULL")
